@@ -1 +1,401 @@
-"""."""
+"""Plan, new-sales, tracker, portfolio, electric and discount reports on the driver's tables."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from lotwise.functions import classify as C
+from lotwise.functions import dates as D
+from lotwise.operators import measures as MS
+from lotwise.operators.lookup import dedupe_last
+from lotwise.plans import allocation_plan as P
+from lotwise.plans import discounts as DT
+from lotwise.plans import electric as E
+from lotwise.plans import new_sales as N
+
+from . import rules_sql as S
+from .base import register
+from .roles import AS_OF, EVENT_AS_OF
+
+CURRENT = D.month_start(AS_OF)
+R0 = "EUROPE"
+
+# --- plan -------------------------------------------------------------------------
+
+PLAN_ROLES = ("commits", "forecasts", "vehicles", "brands", "models", "dealers", "cores", "sorts")
+
+
+def _dims(t):
+    return {
+        "vehicles": t.vehicles.select("dealer_vehicle_id", "brand_id", "brand_model_id", "dealer_code"),
+        "brands": t.brands, "models": t.models, "dealers": t.dealers, "cores": t.cores, "sorts": t.sorts,
+    }
+
+
+def _plan_fact(entries: str) -> str:
+    return f"""SELECT e.year, e.month, v.dealer_code, b.brand_code, m.brand_model_code, {S.plan_code('e.column_code')} AS code, e.entered_value
+    FROM ({entries}) e JOIN (SELECT dealer_vehicle_id, brand_id, brand_model_id, dealer_code FROM vehicles) v USING (dealer_vehicle_id)
+    JOIN brands b ON b.brand_id = v.brand_id JOIN models m ON m.brand_model_id = v.brand_model_id AND m.brand_id = b.brand_id
+    JOIN dealers d ON d.dealer_code = v.dealer_code
+    JOIN cores c ON c.dealer_vehicle_id = e.dealer_vehicle_id AND c.year = e.year AND c.month = e.month
+    JOIN sorts s ON s.brand_model_id = m.brand_model_id"""
+
+
+_COLS = "year, month, dealer_vehicle_id, mth, column_code, entered_value, status_id"
+
+
+def _entries(where: str) -> str:
+    return f"""SELECT {_COLS} FROM commits WHERE {where} UNION SELECT {_COLS} FROM forecasts WHERE {where}"""
+
+
+_WANTED = "entered_value <> 0 AND column_code <> 'OTHER'"
+_BY_MODEL = f"""by_model AS (SELECT year, month, dealer_code, brand_code, brand_model_code,
+  sum(CASE WHEN code = 'Earned' THEN entered_value ELSE 0 END) AS earned_m1, sum(CASE WHEN code = 'Commit' THEN entered_value ELSE 0 END) AS commit_m1,
+  sum(CASE WHEN code = 'F1' THEN entered_value ELSE 0 END) AS fcast_m1, sum(CASE WHEN code = 'F2' THEN entered_value ELSE 0 END) AS fcast_m2,
+  sum(CASE WHEN code = 'F3' THEN entered_value ELSE 0 END) AS fcast_m3, sum(CASE WHEN code = 'Net' THEN entered_value ELSE 0 END) AS net_add
+  FROM ({_plan_fact(_entries(_WANTED))}) f GROUP BY 1, 2, 3, 4, 5)"""
+register(
+    "plan_by_model",
+    "year:i month:i dealer_code brand_code brand_model_code earned_m1:d commit_m1:d turned_down:d fcast_m1:d fcast_m2:d fcast_m3:d net_add:d",
+    lambda t: P.plan_by_model(t.commits, t.forecasts, _dims(t)),
+    "SELECT *, earned_m1 - commit_m1 AS turned_down FROM by_model", PLAN_ROLES, _BY_MODEL,
+)
+register(
+    "plan_rollup_capped", "parent_brand segment dealer_code earned_m1:d commit_m1:d",
+    lambda t: P.plan_rollup(P.plan_by_model(t.commits, t.forecasts, _dims(t), [(AS_OF.year, AS_OF.month)])),
+    f"""SELECT parent_brand, segment, dealer_code, earned_m1, CASE WHEN commit_m1 > earned_m1 THEN earned_m1 ELSE commit_m1 END AS commit_m1
+    FROM (SELECT {S.brand_plan('brand_code')} AS parent_brand, {S.segment_plan('brand_code')} AS segment, dealer_code,
+      sum(b.earned_m1) AS earned_m1, sum(b.commit_m1) AS commit_m1 FROM by_model b WHERE year = 1999 AND month = 8 GROUP BY 1, 2, 3) x
+    WHERE segment IS NOT NULL""", PLAN_ROLES, _BY_MODEL,
+)
+register(
+    "plan_history", "year:i month:i parent_brand segment dealer_code brand_model_code earned_m1:d commit_m1:d year_month accounting_month:t segment_filter",
+    lambda t: P.history_layout(
+        P.plan_rollup(P.plan_by_model(t.commits, t.forecasts, _dims(t), since_year=AS_OF.year - 2), keep_model=True, keep_period=True)
+    ),
+    f"""SELECT *, CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') AS year_month, make_date(year, month, 1) AS accounting_month,
+      segment AS segment_filter FROM (
+      SELECT year, month, {S.brand_plan('brand_code')} AS parent_brand, {S.segment_plan('brand_code')} AS segment, dealer_code, brand_model_code,
+      sum(b.earned_m1) AS earned_m1, least(sum(b.commit_m1), sum(b.earned_m1)) AS commit_m1
+      FROM by_model b WHERE year >= 1997 GROUP BY 1, 2, 3, 4, 5, 6) x WHERE segment IS NOT NULL""", PLAN_ROLES, _BY_MODEL,
+)
+register(
+    "plan_weekly", "brand segment earned_m1:d commit_m1:d",
+    lambda t: P.plan_weekly(t.commits, t.forecasts, _dims(t), AS_OF),
+    f"""SELECT {S.brand_plan('brand_code', False)} AS brand, {S.segment_plan('brand_code', False)} AS segment,
+      sum(CASE WHEN code = 'Earned' THEN entered_value ELSE 0 END) AS earned_m1, sum(CASE WHEN code = 'Commit' THEN entered_value ELSE 0 END) AS commit_m1
+    FROM ({_plan_fact(_entries("entered_value <> 0 AND year = 1999 AND month = 8 AND column_code IN ('TCCM1','TCC2_M1','TCC3_M1','EAM1','EA2_M1','EA3_M1')"))}) f
+    GROUP BY 1, 2""", PLAN_ROLES,
+)
+register(
+    "plan_by_brand_month", "year:i month:i brand_code commit_units:d net_add:d",
+    lambda t: P.plan_by_brand_month(t.commits, _dims(t), AS_OF.year - 1),
+    f"""SELECT year, month, brand_code, sum(CASE WHEN code = 'Commit' THEN entered_value ELSE 0 END) AS commit_units,
+      sum(CASE WHEN code = 'Net' THEN entered_value ELSE 0 END) AS net_add
+    FROM ({_plan_fact("SELECT * FROM commits WHERE year >= 1998 AND (column_code LIKE 'TCC%' OR column_code LIKE 'NAM%')")}) f
+    GROUP BY 1, 2, 3""", PLAN_ROLES,
+)
+register(
+    "union_distinct", "year:i month:i dealer_vehicle_id:i column_code entered_value:d status_id:i",
+    lambda t: P.commits_and_forecasts(t.commits, t.forecasts, P.ALL_CODES, None),
+    _entries(_WANTED), ("commits", "forecasts"),
+)
+
+
+def _efficiency(t):
+    extract = t.sales_detail.groupBy("store_id", "accounting_month").agg(F.sum("sold_count").alias("value")).select(
+        F.col("store_id").alias("org"), F.col("accounting_month").alias("month"), F.lit("Base").alias("scenario"),
+        F.lit("PPR").alias("manufacture"), F.lit("NEW").alias("department"), F.lit("SALES EFFICIENCY %").alias("account"),
+        F.lit("ACTUAL").alias("consolidated_scenario"), "value",
+    )
+    return P.sales_efficiency(extract, date(1999, 7, 1))
+
+
+register(
+    "sales_efficiency", "store_id month:i year:i scenario manufacture department account value:i", _efficiency,
+    """SELECT store_id, 7 AS month, 1999 AS year, 'Base' AS scenario, 'PPR' AS manufacture, 'NEW' AS department,
+      'SALES EFFICIENCY %' AS account, sum(sold_count) AS value FROM sales_detail WHERE accounting_month = DATE '1999-07-01' GROUP BY store_id""",
+    ("sales_detail",),
+)
+
+# --- new sales by period ------------------------------------------------------------
+
+register(
+    "period_interval_join",
+    "date:t period brand category sold_count:i base_gross:d incentive_gross:d cfs_gross:d ovi_gross:d accounting_sold_count:i",
+    lambda t: N.sales_by_period(t.sales_detail, AS_OF),
+    f"""SELECT * FROM (SELECT p.e AS date, p.period, {S.brand_spine()} AS brand, {S.segment_spine()} AS category, sum(sold_count) AS sold_count,
+      sum(CASE WHEN record_source = 'Accounting' THEN base_retail ELSE 0 END) AS base_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN incentives ELSE 0 END) AS incentive_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN fi_gross ELSE 0 END) AS cfs_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN ovi ELSE 0 END) AS ovi_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN sold_count ELSE 0 END) AS accounting_sold_count
+    FROM (VALUES ('PM', DATE '1999-07-01', DATE '1999-07-19'), ('IN-BETWEEN-1', DATE '1999-07-01', DATE '1999-07-27'),
+      ('CM', DATE '1999-08-01', DATE '1999-08-19'), ('IN-BETWEEN-2', DATE '1999-08-01', DATE '1999-08-13')) p(period, s, e)
+    JOIN sales_detail v ON v.contract_date BETWEEN p.s AND p.e WHERE department = 'New' GROUP BY 1, 2, 3, 4) x
+    WHERE sold_count + base_gross + incentive_gross + cfs_gross + ovi_gross <> 0""", ("sales_detail",),
+)
+register(
+    "period_labels", "accounting_month:t period quarter units:i",
+    lambda t: t.sales_detail.groupBy("accounting_month").agg(F.sum("sold_count").alias("units")).select(
+        "accounting_month", D.period_label(F.col("accounting_month"), AS_OF).alias("period"),
+        D.quarter_label(F.col("accounting_month")).alias("quarter"), "units",
+    ),
+    """SELECT accounting_month, CASE accounting_month WHEN DATE '1999-07-01' THEN 'PM' WHEN DATE '1999-08-01' THEN 'CM'
+      WHEN DATE '1998-08-01' THEN 'PY' ELSE 'ERROR' END AS period, 'Q' || quarter(accounting_month) AS quarter, sum(sold_count) AS units
+    FROM sales_detail GROUP BY 1, 2, 3""", ("sales_detail",),
+)
+
+_TRACKER_SPEC = ("period accounting_month:t store_id store_name brand inv_total:i aged_inv_count:i sold_count:i base_gross:d front_gross:d "
+                 "base_pvr:d core_pvr:d accounting_sold_count:i")
+
+
+def _tracker(offsets):
+    def build(t):
+        stores = N.store_brand(t.stores, ["AFRICA", "AMERICA", "ASIA"], ["#000000013", "WBYC"])
+        return N.brand_tracker(t.inventory_month, t.sales_detail, stores, AS_OF, offsets, ["NATION_3", "market 97"])
+
+    return build
+
+
+def _tracker_sql(pm: str, cm: str, nxt: str) -> str:
+    py = "DATE '1998-08-01'"
+    recent = f"(accounting_month >= {pm} AND accounting_month <> {nxt})"
+    return f"""SELECT CASE accounting_month WHEN {pm} THEN 'PM' WHEN {cm} THEN 'CM' WHEN {py} THEN 'PY' ELSE 'ERROR' END AS period,
+      accounting_month, store_id, store_name, brand, sum(inv) AS inv_total, sum(aged) AS aged_inv_count, sum(sold) AS sold_count,
+      sum(bg) AS base_gross, sum(fg) AS front_gross,
+      CASE WHEN sum(sold) = 0 THEN NULL ELSE CAST(sum(bg) AS DOUBLE) / CAST(sum(sold) AS DOUBLE) END AS base_pvr,
+      CASE WHEN sum(sold) = 0 THEN NULL ELSE CAST(sum(fg) AS DOUBLE) / CAST(sum(sold) AS DOUBLE) END AS core_pvr, sum(acc) AS accounting_sold_count
+    FROM (SELECT accounting_month, store_id, store_name, {S.brand_tracker()} AS brand, sum(inventory_count) AS inv,
+        sum(CASE WHEN days_in_inventory_group > 90 THEN inventory_count ELSE 0 END) AS aged, NULL AS sold, NULL AS bg, NULL AS fg, NULL AS acc
+      FROM inventory_month WHERE department = '300' AND upper(market_name) NOT IN ('NATION_3', 'MARKET 97')
+        AND (accounting_month IN ({pm}, {py}) OR (accounting_month = {cm} AND status <> 'G'))
+      GROUP BY 1, 2, 3, 4, make HAVING sum(inventory_count) <> 0
+      UNION ALL
+      SELECT accounting_month, store_id, store_name, brand, NULL, NULL, sum(sold), sum(bg), sum(fg), sum(acc)
+      FROM (SELECT accounting_month, d.store_id, d.store_name, q.brand, sold_count AS sold, NULL AS bg, NULL AS fg, NULL AS acc FROM sales_detail d
+          LEFT JOIN sb q ON q.store_id = d.store_id WHERE upper(department) = 'NEW' AND ({recent} OR accounting_month = {py})
+        UNION ALL
+        SELECT accounting_month, d.store_id, d.store_name, q.brand, NULL, base_retail, front_gross, sold_count FROM sales_detail d
+          LEFT JOIN sb q ON q.store_id = d.store_id WHERE upper(department) = 'NEW' AND record_source = 'Accounting' AND {recent}) s
+      GROUP BY 1, 2, 3, 4 HAVING sum(sold) <> 0) u
+    WHERE upper(brand) NOT IN ('LAMBORGHINI', 'BENTLEY', 'ASTON MARTIN') GROUP BY 1, 2, 3, 4, 5"""
+
+
+_SB = """sb AS (SELECT store_id, CASE WHEN manufacturer_name IN ('Chevrolet','GMC','Cadillac') THEN 'GM' WHEN manufacturer_name = 'Dodge' THEN 'Chrysler'
+  WHEN manufacturer_name = 'Lincoln-Mercury' THEN 'Ford' WHEN manufacturer_name = 'Mercedes' THEN 'Mercedes-Benz'
+  WHEN manufacturer_name IN ('Jaguar','Land Rover') THEN 'JLR' ELSE manufacturer_name END AS brand FROM stores
+  WHERE store_status = 'OPEN' AND region_name IN ('AFRICA','AMERICA','ASIA') AND store_name NOT LIKE '%#000000013%' AND store_name NOT LIKE '%WBYC%')"""
+_TRACKER_ROLES = ("inventory_month", "sales_detail", "stores")
+register("brand_tracker", _TRACKER_SPEC, _tracker(D.PERIOD_OFFSETS),
+         _tracker_sql("DATE '1999-07-01'", "DATE '1999-08-01'", "DATE '1999-09-01'"), _TRACKER_ROLES, _SB)
+register("brand_tracker_month_end", _TRACKER_SPEC, _tracker(D.MONTH_END_PERIOD_OFFSETS),
+         _tracker_sql("DATE '1999-06-01'", "DATE '1999-07-01'", "DATE '1999-09-01'"), _TRACKER_ROLES, _SB)
+register(
+    "per_unit_ratio", "store_id make units:i gross:d per_unit:d",
+    lambda t: t.sales_detail.groupBy("store_id", "make").agg(
+        F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross"),
+        MS.per_unit(F.sum("front_gross"), F.sum("sold_count")).alias("per_unit"),
+    ),
+    """SELECT store_id, make, sum(sold_count) AS units, sum(front_gross) AS gross, CASE WHEN sum(sold_count) <> 0
+      THEN CAST(sum(front_gross) AS DOUBLE) / CAST(sum(sold_count) AS DOUBLE) END AS per_unit FROM sales_detail GROUP BY 1, 2""",
+    ("sales_detail",),
+)
+
+# --- portfolio ------------------------------------------------------------------------
+
+_P_ROLES = ("inventory_month", "sales_detail", "orders_month", "orders_daily")
+_P_WINDOW = "accounting_month BETWEEN DATE '1996-07-01' AND DATE '1999-08-01'"
+
+
+def _stack(t):
+    return N.portfolio_stack(t.inventory_month, t.sales_detail, t.orders_month, t.orders_daily, AS_OF)
+
+
+def _p_orders(source: str, month: str, where: str, prefix: str) -> str:
+    rows = []
+    for label, test, transit in (("In Transit", "status = 'in transit'", True),
+                                 ("Pipeline", "lower(status) NOT IN ('ignore','cancelled','in transit')", False)):
+        n = f"'{prefix}{label}'"
+        rows.append(f"""SELECT {month} AS accounting_month, {n}, {n}, {n}, {n}, {n}, {S.first_cap('make')}, {n}, {n}, NULL, store_id, 0, 0, '', 0, '', '', '', 0, {n}, {n},
+          0, 0, 0, 0, 0, 0, {'count(*), 0' if transit else '0, count(*)'}
+          FROM {source} WHERE {test} AND make IS NOT NULL AND {where} GROUP BY ALL""")
+    return "\nUNION ALL ".join(rows)
+
+
+_OM = "make_date(CAST(left(time_period, 4) AS INT), CAST(right(time_period, 2) AS INT), 1)"
+_STACK_SQL = f"""stack AS (
+  SELECT accounting_month, market_name, store_name, department, style_name, fuel_type, make, model, trim, mileage, store_id,
+    0 AS days_in_inventory_group, 0 AS days_in_inventory_store, '' AS loaner, 0 AS msrp_adv, '' AS allocation_group, '' AS exterior_color,
+    '' AS status, 0 AS balance, ex_service, 'Sales_Table' AS table_source, 0 AS inv_count, sum(sold_count) AS sum_sold,
+    sum(front_gross) AS sum_front_gross, sum(fi_gross) AS sum_fi_gross, sum(incentives) AS sum_incentive_gross, sum(ovi) AS sum_ovi_gross,
+    0 AS in_transit_count, 0 AS pipeline_count
+  FROM sales_detail WHERE {_P_WINDOW} AND lower(market_name) NOT IN ('market 97','market 98') AND model_year > 2020 AND department = 'New'
+  GROUP BY ALL
+  UNION ALL
+  SELECT accounting_month, market_name, store_name, department, style_name, fuel_type, make, model, trim, mileage, store_id, days_in_inventory_group,
+    days_in_inventory_store, loaner, msrp_adv, allocation_group, exterior_color, status, balance, '', 'Inventory_Table', sum(inventory_count),
+    0, 0, 0, 0, 0, 0, 0
+  FROM inventory_month WHERE {_P_WINDOW} AND lower(market_name) NOT IN ('market 97','market 98') AND department = '300'
+  GROUP BY ALL HAVING sum(inventory_count) > 0
+  UNION ALL {_p_orders('orders_month', _OM, f"{_OM} >= DATE '1996-07-01' AND ({_OM} = DATE '1999-07-01' OR (right(time_period, 2) IN ('03','06','09','12') AND {_OM} < DATE '1999-07-01'))", '')}
+  UNION ALL {_p_orders('orders_daily', "DATE '1999-08-01'", "update_date = DATE '1999-08-19'", 'CM ')})"""
+_STACK_SPEC = ("accounting_month:t market_name store_name department style_name fuel_type make model trim mileage:i store_id days_in_inventory_group:i "
+               "days_in_inventory_store:i loaner msrp_adv:d allocation_group exterior_color status balance:d ex_service table_source inv_count:i "
+               "sum_sold:i sum_front_gross:d sum_fi_gross:d sum_incentive_gross:d sum_ovi_gross:d in_transit_count:i pipeline_count:i")
+register("portfolio_stack", _STACK_SPEC, _stack, "SELECT * FROM stack", _P_ROLES, _STACK_SQL)
+_PIVOT_KEYS = ["market_name", "store_name", "department", "style_name", "fuel_type", "make", "model", "trim", "store_id", "loaner",
+               "allocation_group", "status", "ex_service", "table_source"]
+_PIVOT = f"""pivot_rows AS (SELECT CAST(accounting_month AS VARCHAR) AS accounting_month, {', '.join(f"coalesce({k}, 'NaN') AS {k}" for k in _PIVOT_KEYS)},
+    sum(coalesce(mileage, 0)) AS mileage, sum(coalesce(days_in_inventory_store, 0)) AS days_in_inventory_store, sum(coalesce(balance, 0)) AS balance,
+    sum(inv_count) AS inv_count, sum(sum_sold) AS sum_sold, sum(sum_front_gross) AS sum_front_gross, sum(sum_fi_gross) AS sum_fi_gross,
+    sum(sum_incentive_gross) AS sum_incentive_gross, sum(sum_ovi_gross) AS sum_ovi_gross FROM stack GROUP BY ALL)"""
+register(
+    "portfolio_pivot",
+    "accounting_month " + " ".join(_PIVOT_KEYS) + " mileage:i days_in_inventory_store:i balance:d inv_count:i sum_sold:i sum_front_gross:d "
+    "sum_fi_gross:d sum_incentive_gross:d sum_ovi_gross:d year asp:d",
+    lambda t: N.portfolio_pivot(_stack(t)),
+    """SELECT *, left(accounting_month, 4) AS year, CASE WHEN sum_sold <> 0 THEN CAST(sum_front_gross AS DOUBLE) / CAST(sum_sold AS DOUBLE)
+      ELSE 0 END AS asp FROM pivot_rows""", _P_ROLES, f"{_STACK_SQL}, {_PIVOT}",
+)
+register(
+    "portfolio_final",
+    "brand model_group year market_name store_name sales_date units_sold:i sum_front_gross:d asp:d inventory_levels:i days_on_lot:i",
+    lambda t: N.portfolio_final(N.portfolio_pivot(_stack(t))),
+    """SELECT make AS brand, allocation_group AS model_group, left(accounting_month, 4) AS year, market_name, store_name, accounting_month AS sales_date,
+      sum_sold AS units_sold, sum_front_gross, CASE WHEN sum_sold <> 0 THEN CAST(sum_front_gross AS DOUBLE) / CAST(sum_sold AS DOUBLE) ELSE 0 END AS asp,
+      inv_count AS inventory_levels, days_in_inventory_store AS days_on_lot FROM pivot_rows""", _P_ROLES, f"{_STACK_SQL}, {_PIVOT}",
+)
+register(
+    "quarter_month_filter", "accounting_month:t status orders:i",
+    lambda t: t.orders_month.withColumn("accounting_month", D.year_month_to_date(F.col("time_period")))
+    .filter(D.quarter_months(F.col("accounting_month"), AS_OF) & D.last_months(F.col("accounting_month"), 37, AS_OF))
+    .groupBy("accounting_month", "status").agg(F.count(F.lit(1)).alias("orders")),
+    f"""SELECT {_OM} AS accounting_month, status, count(*) AS orders FROM orders_month WHERE {_OM} >= DATE '1996-07-01'
+      AND ({_OM} = DATE '1999-07-01' OR (month({_OM}) % 3 = 0 AND {_OM} < DATE '1999-07-01')) GROUP BY 1, 2""", ("orders_month",),
+)
+register(
+    "year_month_parse", "time_period accounting_month:t orders:i",
+    lambda t: t.orders_month.groupBy("time_period", D.year_month_to_date(F.col("time_period")).alias("accounting_month")).agg(
+        F.count(F.lit(1)).alias("orders")
+    ),
+    f"SELECT time_period, {_OM} AS accounting_month, count(*) AS orders FROM orders_month GROUP BY 1, 2", ("orders_month",),
+)
+
+# --- electric availability ---------------------------------------------------------------
+
+_START = date(1999, 7, 1)
+_E_ROLES = _P_ROLES
+
+
+def _available(t):
+    return E.availability(t.inventory_month, t.sales_detail, t.orders_month, t.orders_daily, AS_OF, _START, R0)
+
+
+def _e_orders(source: str, month: str, where: str, prefix: str) -> str:
+    label = (f"'{prefix}' || CASE upper(status) WHEN 'NOT PRODUCED' THEN 'Not_Produced' WHEN 'TO BE BUILT' THEN 'To_Be_Built' "
+             "WHEN 'BUILT' THEN 'Built' ELSE 'In Transit' END")
+    counts = ", ".join(f"count(*) FILTER (WHERE upper(status) = '{s}')" for s in ("NOT PRODUCED", "TO BE BUILT", "BUILT", "IN TRANSIT"))
+    return f"""SELECT {month}, {label}, alloc_group, store_id, {label}, {S.first_cap('make')}, 0, {counts} FROM {source}
+      WHERE make IS NOT NULL AND upper(status) IN ('NOT PRODUCED','TO BE BUILT','BUILT','IN TRANSIT') AND {where} GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+_AVAILABLE = f"""stacked AS (SELECT accounting_month, store_name, allocation_group AS model, store_id, fuel_type, {S.first_cap('make')} AS make,
+    sum(inventory_count) AS inventory_count, 0 AS not_produced_count, 0 AS to_be_built_count, 0 AS built_count, 0 AS in_transit_count
+  FROM inventory_month WHERE accounting_month >= DATE '1999-07-01' AND region_name <> '{R0}' AND lower(market_name) NOT IN ('market 97','market 98')
+    AND department = '300' AND status IS NOT NULL AND make IS NOT NULL AND NOT (accounting_month = DATE '1999-08-01' AND status = 'G')
+  GROUP BY 1, 2, 3, 4, 5, 6
+  UNION ALL {_e_orders('orders_month', _OM, f"{_OM} >= DATE '1999-07-01'", '')}
+  UNION ALL {_e_orders('orders_daily', "DATE '1999-08-01'", "update_date = DATE '1999-08-19'", 'CM_')}),
+ available AS (SELECT c.*, coalesce(s.sales_count, 0) AS sales_count, {S.brand_availability('c.make')} AS brand_group,
+    {S.segment_availability('c.make')} AS segment
+  FROM (SELECT accounting_month, store_name, model, store_id, fuel_type, make, sum(inventory_count) AS inventory_count,
+      sum(not_produced_count) AS not_produced_count, sum(to_be_built_count) AS to_be_built_count, sum(built_count) AS built_count,
+      sum(in_transit_count) AS in_transit_count FROM stacked GROUP BY 1, 2, 3, 4, 5, 6) c
+  LEFT JOIN (SELECT accounting_month, store_name, allocation_group AS model, store_id, fuel_type, {S.first_cap('make')} AS make, sum(sold_count) AS sales_count
+    FROM sales_detail WHERE accounting_month >= DATE '1999-07-01' AND lower(department) = 'new' AND lower(market_name) NOT IN ('market 97','market 98')
+      AND make IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) s
+   ON c.accounting_month = s.accounting_month AND c.model = s.model AND c.store_id = s.store_id AND c.fuel_type = s.fuel_type AND c.make = s.make)"""
+_COUNTS = ["inventory_count", "not_produced_count", "to_be_built_count", "built_count", "in_transit_count"]
+register(
+    "availability",
+    "accounting_month:t store_name model store_id fuel_type make " + " ".join(f"{c}:i" for c in _COUNTS) + " sales_count:i brand_group segment",
+    _available, "SELECT * FROM available", _E_ROLES, _AVAILABLE,
+)
+_MIX = """mix AS (SELECT a.store_id, a.make, a.allocation_group, sum(sold_count) AS sold_count, any_value(b.n) AS denominator,
+    CAST(sum(sold_count) AS DOUBLE) / CAST(any_value(b.n) AS DOUBLE) AS sales_mix
+  FROM sales_detail a LEFT JOIN (SELECT store_id, sum(sold_count) AS n FROM sales_detail WHERE accounting_month = DATE '1999-07-01'
+      AND lower(department) = 'new' AND record_source = 'Accounting' AND make IS NOT NULL GROUP BY 1 HAVING sum(sold_count) <> 0) b ON a.store_id = b.store_id
+  WHERE accounting_month = DATE '1999-07-01' AND lower(department) = 'new' AND record_source = 'Accounting' AND make IS NOT NULL
+  GROUP BY 1, 2, 3 HAVING sum(sold_count) <> 0)"""
+register(
+    "sales_mix", "store_id make allocation_group sold_count:i denominator:i sales_mix:d",
+    lambda t: E.prior_month_mix(t.sales_detail, AS_OF), "SELECT * FROM mix", ("sales_detail",), _MIX,
+)
+
+
+def _electric(t):
+    flags = dedupe_last(
+        t.inventory_month.select(F.col("allocation_group").alias("model"), C.ev_flag(F.col("fuel_type")).alias("ev_flag")),
+        ["model"], ["ev_flag"],
+    ).replace("ICE", "EV", "ev_flag")
+    pace = t.stores.select(F.concat("store_id", F.lit(".0")).alias("store_id"), F.col("acctbal").cast("string").alias("pace"))
+    stores = t.stores.select("store_id", "store_name")
+    return E.electric_availability(_available(t), stores, flags, pace, E.prior_month_mix(t.sales_detail, AS_OF), _START)
+
+
+register(
+    "electric_availability",
+    "month store_name brand_group store_id model make " + " ".join(f"{c}:i" for c in _COUNTS) + " sales_count:i pace:d sales_mix:d pace_by_model:d",
+    _electric,
+    f"""SELECT g.*, CASE WHEN month = 'Current Month' THEN coalesce(p.acctbal, 0) ELSE 0 END AS pace,
+      CASE WHEN month = 'Current Month' THEN coalesce(x.sales_mix, 0) ELSE 0 END AS sales_mix,
+      CASE WHEN month = 'Current Month' THEN coalesce(p.acctbal, 0) * coalesce(x.sales_mix, 0) ELSE 0 END AS pace_by_model
+    FROM (SELECT CASE WHEN accounting_month = DATE '1999-07-01' THEN 'Prior Month' ELSE 'Current Month' END AS month, st.store_name, brand_group,
+        a.store_id, a.model, a.make, {', '.join(f'sum({c}) AS {c}' for c in _COUNTS)}, sum(sales_count) AS sales_count
+      FROM available a JOIN stores st ON st.store_id = a.store_id
+      WHERE a.model IN (SELECT allocation_group FROM inventory_month) AND a.make IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) g
+    LEFT JOIN stores p ON p.store_id = g.store_id LEFT JOIN mix x ON x.store_id = g.store_id AND x.allocation_group = g.model""",
+    (*_E_ROLES, "stores"), f"{_AVAILABLE}, {_MIX}",
+)
+
+# --- discount tracking ----------------------------------------------------------------------
+
+def _approved(t):
+    keyed = t.inventory_daily.filter("days_in_inventory > 30").select(DT.unit_key().alias("key"))
+    return keyed.distinct().withColumn("approval", F.lit("Approved"))
+
+
+_KEY = "coalesce(make, '') || coalesce(model, '') || coalesce(trim, '') || CAST(coalesce(style_id, 0) AS VARCHAR) || style_name"
+register(
+    "discount_tracking",
+    "key snapshot_date:t region_name market_name store_name store_id stock_type vin year:i make model trim style_id:i style_name "
+    "days_in_inventory:i price_tier_93:d price_tier_95:d msrp:d invoice_price:d balance:d status discounted website_discount:d "
+    "ecom_discount:d avg_discount:d discount_opportunity over_45_days snapshot approved_over_list",
+    lambda t: DT.discount_tracking(t.inventory_daily, _approved(t), EVENT_AS_OF, "corporate management"),
+    f"""SELECT *, CASE WHEN make IN ('BMW','MINI') THEN CAST(ecom_discount AS DOUBLE)
+        ELSE CASE WHEN website_discount IS NULL AND ecom_discount IS NULL THEN NULL ELSE
+          CAST(coalesce(website_discount, 0) + coalesce(ecom_discount, 0) AS DOUBLE) /
+          (CASE WHEN website_discount IS NULL THEN 0 ELSE 1 END + CASE WHEN ecom_discount IS NULL THEN 0 ELSE 1 END) END END AS avg_discount,
+      CASE WHEN discounted = 'No' AND days_in_inventory > 45 THEN 'Opportunity' ELSE 'N/A' END AS discount_opportunity,
+      CASE WHEN days_in_inventory > 45 THEN 'Yes' ELSE 'No' END AS over_45_days,
+      CASE WHEN snapshot_date = DATE '2024-01-29' THEN 'Current' ELSE 'Previous' END AS snapshot,
+      CASE WHEN key IN (SELECT {_KEY} FROM inventory_daily WHERE days_in_inventory > 30) THEN 'Approved' ELSE 'Not Approved' END AS approved_over_list
+    FROM (SELECT *, CASE WHEN discounted = 'Yes' THEN msrp - price_tier_93 ELSE 0 END AS website_discount,
+        CASE WHEN discounted = 'Yes' THEN msrp - price_tier_95 ELSE 0 END AS ecom_discount
+      FROM (SELECT DISTINCT {_KEY} AS key, snapshot_date, region_name, market_name, store_name, store_id, stock_type, vin, year, make, model, trim,
+          style_id, style_name, days_in_inventory, price_tier_93, price_tier_95, msrp, invoice_price, balance, status,
+          CASE WHEN price_tier_95 = 0 THEN 'No' WHEN price_tier_93 < msrp OR price_tier_95 < msrp THEN 'Yes' ELSE 'No' END AS discounted
+        FROM inventory_daily WHERE snapshot_date IN (DATE '2024-01-22', DATE '2024-01-29') AND upper(stock_type) = 'NEW' AND msrp > 0
+          AND valid_for_group = 1 AND valid_for_pricing = 1 AND year > 2021 AND lower(region_name) <> 'corporate management'
+          AND market_name NOT IN ('market 97', 'market 98')) a) b""", ("inventory_daily",),
+)
+register(
+    "composite_lookup", "key units:i approved",
+    lambda t: t.inventory_daily.groupBy(DT.unit_key().alias("key")).agg(F.count(F.lit(1)).alias("units"))
+    .join(_approved(t), "key", "left").select("key", "units", F.coalesce("approval", F.lit("Not Approved")).alias("approved")),
+    f"""SELECT {_KEY} AS key, count(*) AS units, CASE WHEN max(days_in_inventory) > 30 THEN 'Approved' ELSE 'Not Approved' END AS approved
+    FROM inventory_daily GROUP BY 1""", ("inventory_daily",),
+)
