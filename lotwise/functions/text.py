@@ -72,7 +72,7 @@ def clean_html(col: Column, line_break: str) -> Column:
 
 def split_address(text: Column) -> Column:
     """Comma-separated address as STRUCT<street, city, state_zip, full_address>."""
-    parts = F.filter(F.transform(F.split(text, ","), F.trim), lambda part: part != "")
+    parts = F.filter(F.transform(F.split(text, ","), lambda part: F.trim(part)), lambda part: part != "")
     size = F.size(parts)
     whole = F.array_join(parts, ", ")
     split = size >= 3

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +42,7 @@ def match_people(
     )
     known = customers.select(
         "cust_no",
-        F.col("market_id").alias("market"),
+        F.col("market_id").alias("c_market"),
         _text("first_name").alias("c_first"),
         _text("last_name").alias("c_last"),
         _text("email").alias("c_email"),
@@ -52,21 +50,20 @@ def match_people(
     )
     both = probe.join(
         known,
-        (probe["market"] == known["market"])
+        (F.col("market") == F.col("c_market"))
         & (F.col("f_email") == F.col("c_email"))
         & (F.col("f_phone") == F.col("c_phone")),
-    ).drop(known["market"])
+    )
     by_email = _same_value_and_name(probe, known, "email", hot_rows)
     by_phone = _same_value_and_name(probe, known, "phone", hot_rows)
     # The three parts overlap only where all three agree; distinct runs on answers alone.
     pairs = both.unionByName(by_email).unionByName(by_phone).distinct()
-    flagged = pairs.select(
+    return pairs.select(
         "form_id", "cust_no", "market",
         F.when(F.col("f_email") == F.col("c_email"), "Email_match").alias("email_match"),
         F.when(F.col("f_phone") == F.col("c_phone"), "Phone_match").alias("phone_match"),
         F.when(_name_match(), "name_match").alias("name_match"),
     )
-    return flagged
 
 
 def _name_match() -> Column:
@@ -78,19 +75,15 @@ def _same_value_and_name(probe: DataFrame, known: DataFrame, what: str, hot_rows
     named = probe.filter(F.col(f_key).isNotNull() & F.col("f_first").isNotNull() & F.col("f_last").isNotNull())
     present = known.filter(F.col(c_key).isNotNull())
     hot = (
-        present.groupBy(F.col("market").alias("_m"), F.col(c_key).alias("_v"))
+        present.groupBy(F.col("c_market").alias("_m"), F.col(c_key).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
         .drop("_n")
     )
-    c_hot = (F.col("market") == F.col("_m")) & (F.col(c_key) == F.col("_v"))
+    c_hot = (F.col("c_market") == F.col("_m")) & (F.col(c_key) == F.col("_v"))
     f_hot = (F.col("market") == F.col("_m")) & (F.col(f_key) == F.col("_v"))
-    same = (named["market"] == present["market"]) & (F.col(f_key) == F.col(c_key))
-    plain = (
-        named.join(present.join(hot, c_hot, "left_anti"), same)
-        .filter(_name_match())
-        .drop(present["market"])
-    )
+    same = (F.col("market") == F.col("c_market")) & (F.col(f_key) == F.col(c_key))
+    plain = named.join(present.join(hot, c_hot, "left_anti"), same).filter(_name_match())
     pieces = F.array_distinct(
         F.flatten(
             F.transform(
@@ -111,7 +104,6 @@ def _same_value_and_name(probe: DataFrame, known: DataFrame, what: str, hot_rows
         named.join(hot, f_hot, "left_semi")
         .join(spread, same & (F.col("f_last") == F.col("_piece")))
         .filter(_name_match())
-        .drop(present["market"])
         .drop("_piece")
     )
     return plain.unionByName(hot_pairs)
@@ -155,9 +147,3 @@ def org_hierarchy(entities: DataFrame, manufacturers: DataFrame) -> DataFrame:
         .filter(F.lower("region_name") != "corporate")
         .drop("_market_id", "_region_id", "_entity_id")
     )
-
-
-def composite_lookup_key(cols: Sequence[str]) -> Column:
-    from ..functions.text import composite_key
-
-    return composite_key(*[F.col(c) for c in cols])

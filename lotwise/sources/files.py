@@ -90,13 +90,15 @@ def combine_tenant_files(
     extra_maps: Mapping[str, Mapping[str, str]] | None = None,
     encoding: str = "ISO-8859-1",
     text_limits: Mapping[str, int] | None = None,
+    match_on: str = "file_name",
 ) -> DataFrame:
     """Rows of many tenants' CSV files as one table of text columns.
 
     Every file has its own header; cells are matched to ``columns`` by header name, and a
     column a file lacks is NULL.  The last line of each file is a footer total and is
     dropped, files without rows vanish.  ``tenant`` (and the columns of ``extra_maps``) come
-    from the first map entry found in the file name; a filled file of an unknown tenant is an
+    from the first map entry found in the file name (with ``match_on="file_path"`` in the whole
+    path, for a folder per tenant); a filled file of an unknown tenant is an
     error that names it.  Quoted cells may hold separators but no line breaks.
 
     Lines with their positions are checkpointed once, because positions are only comparable
@@ -105,7 +107,7 @@ def combine_tenant_files(
     """
     shared_dir(spark)
     lines = _located_lines(spark, paths, encoding).filter(F.trim("line") != "").checkpoint()
-    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    stem = F.regexp_replace(match_on, r"\.[^./]*$", "")
     ends = lines.groupBy("file_path").agg(
         F.min("position").alias("first"), F.max("position").alias("last"),
         F.min_by("line", "position").alias("header"),
@@ -121,7 +123,7 @@ def combine_tenant_files(
     width = facts["width"] or 1
     cells_schema = ", ".join(f"c{i} string" for i in range(width))
     as_cells = lambda c: F.array(*[F.from_csv(c, cells_schema)[f"c{i}"] for i in range(width)])
-    heads = ends.withColumn("names", F.transform(as_cells(F.col("header")), F.trim)).drop("header")
+    heads = ends.withColumn("names", F.transform(as_cells(F.col("header")), lambda name: F.trim(name))).drop("header")
     body = (
         lines.join(heads, "file_path")
         .filter((F.col("position") > F.col("first")) & (F.col("position") < F.col("last")))

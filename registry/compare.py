@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import time
 
 import duckdb
 
@@ -37,15 +38,18 @@ def canonical(columns: list[str], rows) -> list[tuple[str, ...]]:
 
 
 def compare(spark, con, build, sql: str, sf_dir: str) -> tuple[bool, str, int]:
+    start = time.time()
     df = build(spark, sf_dir)
     ours = canonical(df.columns, df.collect())
+    middle = time.time()
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     theirs = canonical(names, result.fetchall())
+    timing = f"spark {middle - start:.1f}s oracle {time.time() - middle:.1f}s"
     if sorted(names) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} vs {sorted(names)}", len(ours)
     if ours == theirs:
-        return True, "", len(ours)
+        return True, timing, len(ours)
     only_ours = [r for r in ours if r not in set(theirs)][:2]
     only_theirs = [r for r in theirs if r not in set(ours)][:2]
     return False, f"rows {len(ours)} vs {len(theirs)}\n  {sorted(names)}\n  spark only {only_ours}\n  oracle only {only_theirs}", len(ours)
