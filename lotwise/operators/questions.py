@@ -18,32 +18,53 @@ def _any_in(text: Column, words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
 
 
-def first_name_in_text(texts: DataFrame, key: str, text: Column, names: DataFrame, name: str, position: str) -> DataFrame:
-    """(key, name): the first catalogue name, by ``position``, that occurs in the text.
+SMALL_CATALOGUE = 200
 
-    Each text is cut into its substrings of the lengths that names have, and these meet the
-    names by equality.  Only real occurrences are emitted; texts and names are never paired.
+
+def first_name(text: Column, names: DataFrame, limit: int = SMALL_CATALOGUE) -> Column | None:
+    """The first catalogue name in the text as one CASE, if the catalogue has at most ``limit``
+    names; None when it is larger.  At most ``limit`` + 1 names come to the driver."""
+    rows = names.select("name", "position").orderBy("position", "name").limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    chain = F
+    for row in rows:
+        chain = chain.when(text.contains(row["name"].lower()), row["name"])
+    return (chain if rows else F.when(F.lit(False), "")).otherwise(F.lit(None).cast("string"))
+
+
+def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str, DataFrame]) -> DataFrame:
+    """Per text the first name of each catalogue (``{column: (name, position) frame}``) in it.
+
+    Texts are cut into their substrings of the lengths that names have, and these meet the
+    names by equality: only real occurrences are emitted, texts and names are never paired.
+    Start and length are exploded instead of mapped, which keeps the cutting in codegen.  The
+    texts are spread by key once, so the final grouping needs no further shuffle when the
+    names are small enough to be broadcast.
     """
-    catalogue = names.select(F.lower(name).alias("_lower"), F.col(name).alias("_name"), F.col(position).alias("_pos"))
-    sizes = catalogue.agg(F.sort_array(F.collect_set(F.length("_lower")))).scalar()
-    pieces = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.col("_sizes"),
-                lambda size: F.transform(
-                    F.when(
-                        F.length("_text") >= size, F.sequence(F.lit(1), F.length("_text") - size + 1)
-                    ).otherwise(F.array().cast("array<int>")),
-                    lambda start: F.substring(F.col("_text"), start, size),
-                ),
+    names = reduce(
+        lambda a, b: a.unionByName(b),
+        [
+            frame.select(
+                F.lit(kind).alias("_kind"), F.lower("name").alias("_piece"), F.col("name").alias("_name"),
+                F.col("position").cast("long").alias("_position"),
             )
-        )
+            for kind, frame in catalogues.items()
+        ],
+    )
+    sizes = names.agg(F.sort_array(F.collect_set(F.length("_piece")))).scalar()
+    cut = (
+        texts.select(key, F.col(text).alias("_text"))
+        .repartition(key)
+        .select(key, "_text", F.explode(sizes).alias("_size"))
+        .filter(F.length("_text") >= F.col("_size"))
+        .select(key, "_text", "_size", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_size") + 1)).alias("_start"))
+        .select(key, F.col("_text").substr(F.col("_start"), F.col("_size")).alias("_piece"))
     )
-    probes = texts.select(key, text.alias("_text")).withColumn("_sizes", sizes).select(key, F.explode(pieces).alias("_lower"))
-    return (
-        probes.join(catalogue, "_lower")
-        .groupBy(key)
-        .agg(F.min_by("_name", F.struct("_pos", "_name")).alias("found"))
+    hits = cut.join(names, "_piece")
+    order = F.struct("_position", "_name")
+    return hits.groupBy(key).agg(
+        *[F.min(F.when(F.col("_kind") == kind, order))["_name"].alias(kind) for kind in catalogues]
     )
 
 
@@ -54,12 +75,14 @@ def resolve_questions(
     brands: DataFrame,
     key: str = "question_id",
     text: str = "question",
+    small_catalogue: int = SMALL_CATALOGUE,
 ) -> DataFrame:
     """Month, year, store, brand, operation and metric of each question.
 
     ``phrases`` maps a phrase to a metric; the longest one found wins.  Without a phrase the
     first metric sharing a word of more than four letters is taken.  ``stores``/``brands``
-    hold (name, position) in catalogue order.
+    hold (name, position) in catalogue order; up to ``small_catalogue`` names are looked for
+    one by one, larger catalogues through :func:`names_in_text`, with the same result.
     """
     asked = questions.select(key, F.lower(text).alias("_q"))
     q = F.col("_q")
@@ -88,18 +111,20 @@ def resolve_questions(
         operation.otherwise("sum").alias("operation"),
         metric.otherwise(F.lit(None).cast("string")).alias("metric"),
     )
-    open_store = ~_any_in(q, ["what store", "which store"])
-    with_store = first_name_in_text(base.filter(open_store), key, q, stores, "name", "position")
-    with_brand = first_name_in_text(base.filter(~F.col("asks_brand")), key, q, brands, "name", "position")
-    return (
-        base.drop("_q")
-        .join(with_store.withColumnRenamed("found", "store"), key, "left")
-        .join(with_brand.withColumnRenamed("found", "brand"), key, "left")
+    named_store = ~_any_in(q, ["what store", "which store"])
+    store, brand = first_name(q, stores, small_catalogue), first_name(q, brands, small_catalogue)
+    if store is None or brand is None:
+        found = names_in_text(base, key, "_q", {"store": stores, "brand": brands})
+        base, store, brand = base.join(found, key, "left"), F.col("store"), F.col("brand")
+    return base.select(
+        *[c for c in base.columns if c not in ("_q", "store", "brand")],
+        F.when(named_store, store).alias("store"),
+        F.when(~F.col("asks_brand"), brand).alias("brand"),
     )
 
 
 def answer_questions(resolved: DataFrame, scorecard: DataFrame, metrics: Sequence[str], key: str = "question_id") -> DataFrame:
-    """Answers of the resolved questions; a question without a metric has none.
+    """Answers of the resolved questions; a question without a metric keeps a NULL answer.
 
     Every filter is optional, so the scorecard is summed once for all combinations of the
     four dimensions (CUBE with map-side partial sums), and a question looks its combination
@@ -127,12 +152,11 @@ def answer_questions(resolved: DataFrame, scorecard: DataFrame, metrics: Sequenc
             high.alias("high"), low.alias("low"), high_b.alias("high_b"), low_b.alias("low_b"),
         )
     )
-    asked = resolved.filter(F.col("metric").isNotNull())
     gid = reduce(
         lambda a, b: a + b,
         [F.when(F.col(d).isNull(), 1 << (len(DIMENSIONS) - 1 - i)).otherwise(0) for i, d in enumerate(DIMENSIONS)],
     ).cast("long")
-    probe = asked.select(
+    probe = resolved.select(
         key, F.col("metric").alias("_metric"), "operation", "asks_store", "asks_brand", gid.alias("_gid"),
         *[F.col(d).cast("string").alias(f"q_{d}") for d in DIMENSIONS],
     )
@@ -154,4 +178,7 @@ def answer_questions(resolved: DataFrame, scorecard: DataFrame, metrics: Sequenc
         .when(F.col("asks_brand") & (op == "max"), F.col("high_b.e"))
         .when(F.col("asks_brand") & (op == "min"), F.col("low_b.e"))
     )
-    return joined.select(key, F.col("_metric").alias("metric"), op, value.alias("value"), entity.alias("entity"))
+    known = F.col("_metric").isNotNull()
+    return joined.select(
+        key, F.col("_metric").alias("metric"), op, F.when(known, value).alias("value"), F.when(known, entity).alias("entity")
+    )

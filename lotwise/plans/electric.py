@@ -105,11 +105,13 @@ def electric_availability(
     shares = mix.select(
         id_cleanup(F.col("store_id")).alias("store_id"), F.trim("allocation_group").alias("model"), "sales_mix"
     )
-    current = summed.filter(F.col("month") == "Current Month")
-    current = lookup(lookup(current, paces, ["store_id"], ["pace"], 0.0), shares, ["store_id", "model"], ["sales_mix"], 0.0)
-    prior = summed.filter(F.col("month") == "Prior Month")
-    return stack_facts([current, prior], {"pace": 0.0, "sales_mix": 0.0}).withColumn(
-        "pace_by_model", F.col("pace") * F.col("sales_mix")
+    # Both months take the lookups in one pass; the prior month's figures are blanked afterwards.
+    paced = lookup(lookup(summed, paces, ["store_id"], ["pace"], 0.0), shares, ["store_id", "model"], ["sales_mix"], 0.0)
+    is_current = F.col("month") == "Current Month"
+    return (
+        paced.withColumn("pace", F.when(is_current, F.col("pace")).otherwise(0.0))
+        .withColumn("sales_mix", F.when(is_current, F.col("sales_mix")).otherwise(0.0))
+        .withColumn("pace_by_model", F.col("pace") * F.col("sales_mix"))
     )
 
 

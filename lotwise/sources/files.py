@@ -122,12 +122,19 @@ def combine_tenant_files(
         raise ValueError(f"tenant could not be determined for file: {facts['unknown']}")
     width = facts["width"] or 1
     cells_schema = ", ".join(f"c{i} string" for i in range(width))
-    as_cells = lambda c: F.array(*[F.from_csv(c, cells_schema)[f"c{i}"] for i in range(width)])
-    heads = ends.withColumn("names", F.transform(as_cells(F.col("header")), lambda name: F.trim(name))).drop("header")
+    # One parse per line: the struct is a column of its own before its fields become an array.
+    as_row = lambda c: F.from_csv(c, cells_schema)
+    as_array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
+    heads = (
+        ends.withColumn("_row", as_row(F.col("header")))
+        .withColumn("names", F.transform(as_array, lambda name: F.trim(name)))
+        .drop("header", "_row")
+    )
     body = (
         lines.join(heads, "file_path")
         .filter((F.col("position") > F.col("first")) & (F.col("position") < F.col("last")))
-        .withColumn("cells", as_cells(F.col("line")))
+        .withColumn("_row", as_row(F.col("line")))
+        .withColumn("cells", as_array)
     )
     picked: list[Column] = []
     for name in columns:

@@ -84,7 +84,7 @@ PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 DISC = "CAST(l_discount AS DECIMAL(4,2))"
 TAX = "CAST(l_tax AS DECIMAL(4,2))"
 QTY = "CAST(l_quantity AS DECIMAL(12,2))"
-TARGET = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(4,0)) AS DECIMAL(19,4))"
+TARGET = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(4,0)) AS DECIMAL(18,4))"
 BRAND_NO = "CAST(replace(p_brand, 'Brand#', '') AS INT)"
 PRIORITY_NO = "CAST(left(o_orderpriority, 1) AS INT)"
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
@@ -94,7 +94,7 @@ LINE_STAR = ["lineitem", "orders:o_orderkey=l_orderkey", "part:p_partkey=l_partk
 
 
 def money(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(19,4))"
+    return f"CAST({x} AS DECIMAL(18,4))"
 
 
 def _unit(d: Dialect) -> str:
@@ -113,7 +113,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
     """Role -> (columns, joined tables).  A table is ``name:left=right`` after the first."""
     make = d.pick(MAKES, BRAND_NO)
     event_make = d.pick(MAKES, "user_id % 25 + 1")
-    event_price = "CAST(floor(value / 10) * 1500 + 4000 AS DECIMAL(19,4))"
+    event_price = "CAST(floor(value / 10) * 1500 + 4000 AS DECIMAL(18,4))"
     roles: dict[str, tuple[dict[str, str], list[str]]] = {}
     roles["sales_detail"] = ({
         "accounting_month": d.month("o_orderdate"),
@@ -245,17 +245,17 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
         "days_in_inventory": f"{K}",
         "days_in_inventory_group": f"{K} + 2",
         "internet_price": f"CASE WHEN value < 0.5 THEN NULL ELSE {event_price} END",
-        "balance": f"CAST({event_price} * CAST(0.9 AS DECIMAL(4,2)) AS DECIMAL(19,4))",
+        "balance": f"CAST({event_price} * CAST(0.9 AS DECIMAL(4,2)) AS DECIMAL(18,4))",
         "target_price": f"CASE WHEN {K} % 7 = 0 THEN NULL ELSE {event_price} END",
-        "original_acv": f"CAST({event_price} * CAST(0.8 AS DECIMAL(4,2)) + {K} * 20 AS DECIMAL(19,4))",
-        "price_tier_93": f"CASE WHEN {K} % 5 = 0 THEN NULL ELSE CAST({event_price} - {K} * 10 AS DECIMAL(19,4)) END",
-        "price_tier_95": f"CASE WHEN {K} % 8 = 0 THEN CAST(0 AS DECIMAL(19,4)) WHEN {K} % 9 = 0 THEN NULL ELSE CAST({event_price} + 300 - {K} * 10 AS DECIMAL(19,4)) END",
-        "msrp": f"CASE WHEN {K} % 13 = 0 THEN CAST(0 AS DECIMAL(19,4)) ELSE {event_price} END",
+        "original_acv": f"CAST({event_price} * CAST(0.8 AS DECIMAL(4,2)) + {K} * 20 AS DECIMAL(18,4))",
+        "price_tier_93": f"CASE WHEN {K} % 5 = 0 THEN NULL ELSE CAST({event_price} - {K} * 10 AS DECIMAL(18,4)) END",
+        "price_tier_95": f"CASE WHEN {K} % 8 = 0 THEN CAST(0 AS DECIMAL(18,4)) WHEN {K} % 9 = 0 THEN NULL ELSE CAST({event_price} + 300 - {K} * 10 AS DECIMAL(18,4)) END",
+        "msrp": f"CASE WHEN {K} % 13 = 0 THEN CAST(0 AS DECIMAL(18,4)) ELSE {event_price} END",
         "invoice_price": event_price,
-        "great_price": f"CAST(3000 + {K} * 100 AS DECIMAL(19,4))",
-        "good_price": f"CASE WHEN {K} % 10 = 0 THEN NULL ELSE CAST(4000 + {K} * 100 AS DECIMAL(19,4)) END",
-        "fair_price": f"CAST(5000 + {K} * 100 AS DECIMAL(19,4))",
-        "poor_price": f"CAST(9000 + {K} * 100 AS DECIMAL(19,4))",
+        "great_price": f"CAST(3000 + {K} * 100 AS DECIMAL(18,4))",
+        "good_price": f"CASE WHEN {K} % 10 = 0 THEN NULL ELSE CAST(4000 + {K} * 100 AS DECIMAL(18,4)) END",
+        "fair_price": f"CAST(5000 + {K} * 100 AS DECIMAL(18,4))",
+        "poor_price": f"CAST(9000 + {K} * 100 AS DECIMAL(18,4))",
         "original_source_code": d.pick(SOURCE_CODES, f"{K} % 5 + 1"),
         "source_code": d.pick(CURRENT_CODES, f"{K} % 7 + 1"),
         "vin_priced": "'Y'",
@@ -355,7 +355,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
         "source_group_1": d.pick(ACQUISITION_SOURCES, PRIORITY_NO),
         "acquisition_count": "CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS BIGINT)",
         "sold_count": "CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT)",
-        "amount": "CAST(o_totalprice AS DECIMAL(19,4))",
+        "amount": "CAST(o_totalprice AS DECIMAL(18,4))",
         "lead_group": d.pick(LEAD_GROUPS, PRIORITY_NO),
     }, ["orders"])
     roles["photo_trend"] = ({
@@ -451,8 +451,28 @@ DERIVED = {
 }
 
 
+# Explicit schemas: no read has to look into a file before it is planned.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @lru_cache(maxsize=1)

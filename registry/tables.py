@@ -393,6 +393,10 @@ _RESOLVED = f"""resolved AS (SELECT question_id, CASE {_MONTH_CASE} END AS month
   FROM (SELECT question_id, lower(question) AS q FROM questions) x)"""
 _RESOLVED_SPEC = "question_id:i month:i year:i store brand operation metric asks_store:b"
 register("questions_resolved", _RESOLVED_SPEC, _resolved, "SELECT * FROM resolved", ("questions",), _RESOLVED)
+register(
+    "questions_resolved_large", _RESOLVED_SPEC, lambda t: Q.resolve_questions(t.questions, PHRASES, *_catalogues(t), small_catalogue=0),
+    "SELECT * FROM resolved", ("questions",), _RESOLVED,
+)
 _SCORE = """score AS (SELECT month, year, store, brand, CAST(round(sum(units)) AS DOUBLE) AS u, CAST(round(sum(gross)) AS DOUBLE) AS c, CAST(round(max(retail)) AS DOUBLE) AS v
     FROM scorecard_rows GROUP BY 1, 2, 3, 4),
   long_rows AS (SELECT month, year, store, brand, 'retail units' AS metric, u AS value FROM score UNION ALL SELECT month, year, store, brand, 'core gross', c FROM score
@@ -416,9 +420,9 @@ def _answers(t):
 
 register(
     "question_answers", "question_id:i metric operation value:r entity", _answers,
-    """SELECT question_id, r.metric, operation, CASE operation WHEN 'sum' THEN coalesce(s, 0) WHEN 'mean' THEN m WHEN 'max' THEN hi WHEN 'min' THEN lo ELSE n END AS value,
+    """SELECT question_id, r.metric, operation, CASE WHEN r.metric IS NULL THEN NULL ELSE CASE operation WHEN 'sum' THEN coalesce(s, 0) WHEN 'mean' THEN m WHEN 'max' THEN hi WHEN 'min' THEN lo ELSE n END END AS value,
       CASE WHEN asks_store AND operation = 'min' THEN low_store END AS entity
-    FROM resolved r JOIN facts f ON f.metric = r.metric AND f.month IS NOT DISTINCT FROM r.month AND f.year IS NOT DISTINCT FROM r.year
+    FROM resolved r LEFT JOIN facts f ON f.metric = r.metric AND f.month IS NOT DISTINCT FROM r.month AND f.year IS NOT DISTINCT FROM r.year
       AND f.store IS NOT DISTINCT FROM r.store AND f.brand IS NOT DISTINCT FROM r.brand""", ("questions", "scorecard_rows"), f"{_RESOLVED}, {_SCORE}",
 )
 
