@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import digits_only, drop_quotes
+from .measures import row_nonnull
 
 HOT_VALUE_ROWS = 10_000
 
@@ -20,14 +21,14 @@ def match_people(
     """Customers of the form's market that agree with a referral in two of e-mail, phone, name.
 
     E-mail and phone agree when equal, the name when first and last name both occur in the
-    customer's.  Two agreements always include an equal e-mail or phone, so the candidates
-    are the union of two equality joins and no pair is tried on names alone.  An empty probe
-    agrees with nothing.
+    customer's.  Two agreements always include an equal e-mail or phone, so both sides are
+    turned into (market, kind, value) rows and meet in one equality join; no pair is tried on
+    names alone.  An empty probe agrees with nothing.
 
-    A value shared by more than ``hot_rows`` customers (a switchboard number, a placeholder
-    address) takes a second key as well: the other equal value, or the last name found among
-    the substrings of the customer's.  Every emitted pair is then nearly an answer, and the
-    result is the same on both ways.
+    A value that more than ``hot_rows`` customers share (a switchboard number, a placeholder
+    address) needs a second equal key: the other value, or the referral's last name among the
+    substrings of the customer's.  Every emitted pair is then nearly an answer, and the result
+    does not depend on ``hot_rows``.
 
     ``form``: form_id, market_id, first_name, last_name, email, phone.
     ``customers``: cust_no, market_id, first_name, last_name, email, phone.
@@ -42,71 +43,62 @@ def match_people(
     )
     known = customers.select(
         "cust_no",
-        F.col("market_id").alias("c_market"),
+        F.col("market_id").alias("market"),
         _text("first_name").alias("c_first"),
         _text("last_name").alias("c_last"),
         _text("email").alias("c_email"),
         F.nullif(F.trim(F.col("phone")), F.lit("")).alias("c_phone"),
     )
-    both = probe.join(
-        known,
-        (F.col("market") == F.col("c_market"))
-        & (F.col("f_email") == F.col("c_email"))
-        & (F.col("f_phone") == F.col("c_phone")),
-    )
-    by_email = _same_value_and_name(probe, known, "email", hot_rows)
-    by_phone = _same_value_and_name(probe, known, "phone", hot_rows)
-    # The three parts overlap only where all three agree; distinct runs on answers alone.
-    pairs = both.unionByName(by_email).unionByName(by_phone).distinct()
-    return pairs.select(
+    probes = _by_value(probe, "f_email", "f_phone")
+    values = _by_value(known, "c_email", "c_phone")
+    key = ["market", "kind", "value"]
+    hot = values.groupBy(*key).agg((F.count(F.lit(1)) > hot_rows).alias("hot")).filter("hot")
+    name_key = F.concat(F.lit("n:"), F.col("f_last"))
+    probes = probes.join(hot, key, "left").withColumn("second", F.explode(_second_keys(F.array(name_key))))
+    name_keys = F.transform(_substrings("c_last"), lambda piece: F.concat(F.lit("n:"), piece))
+    values = values.join(hot, key, "left").withColumn("second", F.explode(_second_keys(name_keys)))
+    met = probes.drop("hot", "other").join(values.drop("hot", "other"), [*key, "second"])
+    flags = met.select(
         "form_id", "cust_no", "market",
         F.when(F.col("f_email") == F.col("c_email"), "Email_match").alias("email_match"),
         F.when(F.col("f_phone") == F.col("c_phone"), "Phone_match").alias("phone_match"),
-        F.when(_name_match(), "name_match").alias("name_match"),
+        F.when(
+            F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last")), "name_match"
+        ).alias("name_match"),
     )
+    agreed = row_nonnull(F.col("email_match"), F.col("phone_match"), F.col("name_match"))
+    # A pair equal in both values meets twice; distinct runs on answers alone.
+    return flags.filter(agreed >= 2).distinct()
 
 
-def _name_match() -> Column:
-    return F.coalesce(F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last")), F.lit(False))
-
-
-def _same_value_and_name(probe: DataFrame, known: DataFrame, what: str, hot_rows: int) -> DataFrame:
-    f_key, c_key = f"f_{what}", f"c_{what}"
-    named = probe.filter(F.col(f_key).isNotNull() & F.col("f_first").isNotNull() & F.col("f_last").isNotNull())
-    present = known.filter(F.col(c_key).isNotNull())
-    hot = (
-        present.groupBy(F.col("c_market").alias("_m"), F.col(c_key).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .drop("_n")
+def _by_value(df: DataFrame, email: str, phone: str) -> DataFrame:
+    entry = lambda kind, value, other: F.struct(
+        F.lit(kind).alias("kind"), F.col(value).alias("value"), F.col(other).alias("other")
     )
-    c_hot = (F.col("c_market") == F.col("_m")) & (F.col(c_key) == F.col("_v"))
-    f_hot = (F.col("market") == F.col("_m")) & (F.col(f_key) == F.col("_v"))
-    same = (F.col("market") == F.col("c_market")) & (F.col(f_key) == F.col(c_key))
-    plain = named.join(present.join(hot, c_hot, "left_anti"), same).filter(_name_match())
-    pieces = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.length("c_last")),
-                lambda start: F.transform(
-                    F.sequence(F.lit(1), F.length("c_last") - start + 1),
-                    lambda size: F.substring(F.col("c_last"), start, size),
-                ),
-            )
-        )
-    )
-    spread = (
-        present.join(hot, c_hot, "left_semi")
-        .filter(F.length("c_last") > 0)
-        .withColumn("_piece", F.explode(pieces))
+    return (
+        df.withColumn("_entry", F.explode(F.array(entry("email", email, phone), entry("phone", phone, email))))
+        .select("*", "_entry.*")
+        .drop("_entry")
+        .filter(F.col("value").isNotNull() & F.col("market").isNotNull())
     )
-    hot_pairs = (
-        named.join(hot, f_hot, "left_semi")
-        .join(spread, same & (F.col("f_last") == F.col("_piece")))
-        .filter(_name_match())
-        .drop("_piece")
+
+
+def _second_keys(name_keys: Column) -> Column:
+    other = F.array(F.concat(F.lit("o:"), F.col("other")))
+    both = F.array_compact(F.concat(F.coalesce(name_keys, F.array().cast("array<string>")), other))
+    return F.when(F.col("hot"), both).otherwise(F.array(F.lit("")))
+
+
+def _substrings(col: str) -> Column:
+    text = F.col(col)
+    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
+    pieces = F.transform(
+        starts,
+        lambda start: F.transform(
+            F.sequence(F.lit(1), F.length(text) - start + 1), lambda size: F.substring(text, start, size)
+        ),
     )
-    return plain.unionByName(hot_pairs)
+    return F.array_distinct(F.flatten(pieces))
 
 
 def exclude_seen(df: DataFrame, previous: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,6 @@ from ..operators.extract import extract_addresses, extract_blocks, extract_recor
 from ..operators.history import replace_named_period, roll_history
 from ..operators.lookup import lookup
 from ..operators.matching import exclude_seen, match_people
-from ..operators.measures import row_nonnull
 from ..operators.questions import answer_questions, resolve_questions
 from ..operators.stacking import drop_empty_columns
 from ..sources.files import combine_tenant_files, standardize
@@ -43,10 +42,7 @@ def tenant_report(
 
 def referral_matches(form: DataFrame, customers: DataFrame, deals: DataFrame, since: date, **options) -> DataFrame:
     """Sales since ``since`` to customers that agree with a referral in two of three respects."""
-    flags = match_people(form, customers, **options)
-    strong = flags.filter(
-        row_nonnull(F.col("email_match"), F.col("phone_match"), F.col("name_match")) >= 2
-    )
+    strong = match_people(form, customers, **options)
     sold = deals.filter((F.col("accounting_month") >= F.lit(since)) & (F.col("sale_type") == "VehicleSale"))
     return strong.join(sold, "cust_no")
 

@@ -82,6 +82,9 @@ def _located_lines(spark: SparkSession, paths: str | list[str], encoding: str) -
     )
 
 
+BROADCAST_FILES = 20_000
+
+
 def combine_tenant_files(
     spark: SparkSession,
     paths: str | list[str],
@@ -115,6 +118,7 @@ def combine_tenant_files(
     )
     filled = F.col("first") < F.col("last")
     facts = ends.agg(
+        F.count(F.lit(1)).alias("files"),
         F.max(F.when(filled, F.size(F.split("header", ",")))).alias("width"),
         F.min(F.when(filled & F.col("tenant").isNull(), F.col("file_path"))).alias("unknown"),
     ).first()
@@ -125,11 +129,11 @@ def combine_tenant_files(
     # One parse per line: the struct is a column of its own before its fields become an array.
     as_row = lambda c: F.from_csv(c, cells_schema)
     as_array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
-    heads = (
-        ends.withColumn("_row", as_row(F.col("header")))
-        .withColumn("names", F.transform(as_array, lambda name: F.trim(name)))
-        .drop("header", "_row")
-    )
+    names = F.transform(as_array, lambda name: F.trim(name))
+    places = F.array(*[F.nullif(F.array_position(names, c), F.lit(0)).cast("int") for c in columns])
+    heads = ends.withColumn("_row", as_row(F.col("header"))).withColumn("places", places).drop("header", "_row")
+    if facts["files"] <= BROADCAST_FILES:  # one short row per file
+        heads = F.broadcast(heads)
     body = (
         lines.join(heads, "file_path")
         .filter((F.col("position") > F.col("first")) & (F.col("position") < F.col("last")))
@@ -137,9 +141,8 @@ def combine_tenant_files(
         .withColumn("cells", as_array)
     )
     picked: list[Column] = []
-    for name in columns:
-        place = F.nullif(F.array_position("names", name), F.lit(0)).cast("int")
-        value = F.nullif(F.try_element_at(F.col("cells"), place), F.lit(""))
+    for i, name in enumerate(columns):
+        value = F.nullif(F.try_element_at(F.col("cells"), F.col("places")[i]), F.lit(""))
         limit = (text_limits or {}).get(name)
         picked.append((F.substring(value, 1, limit) if limit else value).alias(name))
     extras = [first_contained(stem, m).alias(c) for c, m in (extra_maps or {}).items()]

@@ -286,10 +286,7 @@ def _matches(t, hot_rows=MT.HOT_VALUE_ROWS):
 
 register(
     "record_match", _MATCH_SPEC,
-    lambda t: MT.match_people(t.referral_form, t.customers).filter(
-        F.col("email_match").isNotNull().cast("int") + F.col("phone_match").isNotNull().cast("int")
-        + F.col("name_match").isNotNull().cast("int") >= 2
-    ), _MATCH_SQL, ("referral_form", "customers"), _PAIRS,
+    lambda t: MT.match_people(t.referral_form, t.customers), _MATCH_SQL, ("referral_form", "customers"), _PAIRS,
 )
 register(
     "record_match_hot_keys", _MATCH_SPEC, lambda t: MT.match_people(t.referral_form, t.customers, hot_rows=0), _MATCH_SQL,

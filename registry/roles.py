@@ -470,7 +470,22 @@ SCHEMAS = {
 }
 
 
+_FRAMES: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _remembered(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Analysed frames of a session, so that a role is analysed once and not per use."""
+    key = (id(spark), sf_dir, name)
+    if key not in _FRAMES or _FRAMES[key].sparkSession is not spark:
+        _FRAMES[key] = build()
+    return _FRAMES[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return _remembered(spark, sf_dir, f"table {name}", lambda: _read(spark, sf_dir, name))
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -482,6 +497,10 @@ def _spark_definitions():
 
 def frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     """A role as a DataFrame; unused columns and tables' columns are pruned by Catalyst."""
+    return _remembered(spark, sf_dir, role, lambda: _build(spark, sf_dir, role))
+
+
+def _build(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     if role in DERIVED:
         base, distinct, condition = DERIVED[role]
         df = frame(spark, sf_dir, base)

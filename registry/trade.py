@@ -6,10 +6,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lotwise.functions import classify as C
 from lotwise.functions import dates as D
 from lotwise.operators import measures as MS
-from lotwise.operators.lookup import dedupe_last
 from lotwise.plans import allocation_plan as P
 from lotwise.plans import discounts as DT
 from lotwise.plans import electric as E
@@ -337,10 +335,7 @@ register(
 
 
 def _electric(t):
-    flags = dedupe_last(
-        t.inventory_month.select(F.col("allocation_group").alias("model"), C.ev_flag(F.col("fuel_type")).alias("ev_flag")),
-        ["model"], ["ev_flag"],
-    ).replace("ICE", "EV", "ev_flag")
+    flags = t.inventory_month.select(F.col("allocation_group").alias("model")).distinct().withColumn("ev_flag", F.lit("EV"))
     pace = t.stores.select(F.concat("store_id", F.lit(".0")).alias("store_id"), F.col("acctbal").cast("string").alias("pace"))
     stores = t.stores.select("store_id", "store_name")
     return E.electric_availability(_available(t), stores, flags, pace, E.prior_month_mix(t.sales_detail, AS_OF), _START)
