@@ -36,25 +36,36 @@ def prefer_source(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return keyed.unionByName(df.filter(F.col(key).isNull()))
 
 
-def chunked_row_number(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], out: str) -> DataFrame:
+def _keyed(df: DataFrame, keys: Sequence[str], chunk: str) -> DataFrame:
+    """Adds ``_cell``, the key and chunk as one struct.  A struct is never NULL and its NULL
+    fields are equal to each other, so one equality join keeps rows without a key, and the
+    window that follows finds its rows already placed by the join."""
+    return df.withColumn("_cell", F.struct(*keys, chunk))
+
+
+def chunked_row_number(
+    df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], out: str, total: str | None = None,
+    count_from: DataFrame | None = None,
+) -> DataFrame:
     """``row_number`` over ``keys`` ordered by (chunk, order), computed chunk by chunk.
 
-    ``chunk`` must never be NULL.  The running count is over one row per (key, chunk).
+    The running count is over one row per (key, chunk).  ``total`` adds the key's row count,
+    which the same small table provides.  ``count_from`` names a cheaper frame with the same
+    rows to count, where ``df`` already went through a join.
     """
-    cells = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    shifted = cells.select(
-        *[F.col(k).alias(f"_{k}") for k in [*keys, chunk]],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
-    same = F.col(chunk) == F.col(f"_{chunk}")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    keyed = _keyed(df, keys, chunk)
+    counted = keyed if count_from is None else _keyed(count_from, keys, chunk)
+    cells = counted.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    history = Window.partitionBy(*[F.col(f"_cell.{k}") for k in keys])
+    before = history.orderBy(F.col(f"_cell.{chunk}")).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")]
+    if total is not None:
+        shifts.append(F.sum("_n").over(history).alias(total))
+    inside = Window.partitionBy("_cell").orderBy(*order)
     return (
-        df.join(shifted, same, "inner")
+        keyed.join(cells.select("_cell", *shifts), "_cell")
         .withColumn(out, (F.row_number().over(inside) + F.col("_before")).cast("int"))
-        .drop("_before", *[f"_{k}" for k in [*keys, chunk]])
+        .drop("_before", "_cell")
     )
 
 
@@ -63,22 +74,14 @@ def chunked_lag(
 ) -> DataFrame:
     """``lag`` over ``keys`` ordered by (chunk, order): inside a chunk a window, across chunks
     the last value of the chunk before."""
-    cells = df.groupBy(*keys, chunk).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy(chunk)
-    carried = cells.select(
-        *[F.col(k).alias(f"_{k}") for k in [*keys, chunk]], F.lag("_last").over(across).alias("_carry")
-    )
-    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
-    same = F.col(chunk) == F.col(f"_{chunk}")
-    for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    keyed = _keyed(df, keys, chunk)
+    cells = keyed.groupBy("_cell").agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
+    across = Window.partitionBy(*[F.col(f"_cell.{k}") for k in keys]).orderBy(F.col(f"_cell.{chunk}"))
+    carried = cells.select("_cell", F.lag("_last").over(across).alias("_carry"))
+    inside = Window.partitionBy("_cell").orderBy(*order)
     first = F.row_number().over(inside) == 1
     previous = F.when(first, F.col("_carry")[value]).otherwise(F.lag(value).over(inside))
-    return df.join(carried, same, "inner").withColumn(out, previous).drop(
-        "_carry", *[f"_{k}" for k in [*keys, chunk]]
-    )
-
-
+    return keyed.join(carried, "_cell").withColumn(out, previous).drop("_carry", "_cell")
 
 
 def price_runs(df: DataFrame, unit: str, store: str, price: str, day: str, tie: Sequence[str]) -> DataFrame:
@@ -88,13 +91,12 @@ def price_runs(df: DataFrame, unit: str, store: str, price: str, day: str, tie:
     counted from the first and from the last record) and ``price_change_flag``.  The backward
     count is the group size minus the forward count, which saves a second numbering.
     """
-    keys = [unit, store, price]
     numbered = chunked_row_number(df, [unit, store], day, [day, *tie], "appearance")
-    numbered = chunked_row_number(numbered, keys, day, [day, *tie], "days_at_price")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    numbered = chunked_row_number(
+        numbered, [unit, store, price], day, [day, *tie], "days_at_price", total="_size", count_from=df
+    )
     return (
-        numbered.join(sizes, keys, "inner")
-        .withColumn("from_last", (F.col("_size") - F.col("days_at_price") + 1).cast("int"))
+        numbered.withColumn("from_last", (F.col("_size") - F.col("days_at_price") + 1).cast("int"))
         .withColumn("price_change_flag", (F.col("days_at_price") == 1).cast("int"))
         .drop("_size")
     )

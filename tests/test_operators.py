@@ -120,6 +120,17 @@ def test_price_deltas_across_chunks(spark, rows):
     ]
 
 
+def test_numbering_keeps_rows_without_a_key(spark, rows):
+    df = spark.createDataFrame(
+        [(None, "s", 1, 10), (None, "s", 2, 20), (None, "s", 2, 30), ("u", None, None, 40), ("u", None, 1, 50)],
+        "u string, s string, day int, id int",
+    )
+    got = W.chunked_row_number(df, ["u", "s"], "day", ["id"], "n", total="size")
+    assert rows(got, "id", "n", "size") == [(10, 1, 3), (20, 2, 3), (30, 3, 3), (40, 1, 2), (50, 2, 2)]
+    lag = W.chunked_lag(df, ["u", "s"], "day", ["id"], "id", "prev")
+    assert rows(lag, "id", "prev") == [(10, None), (20, 10), (30, 20), (40, None), (50, 40)]
+
+
 def test_carry_last_valid(spark, rows):
     df = spark.createDataFrame(
         [("u", 9, True, 0), ("u", 7, True, None), ("u", 5, True, 3), ("u", 4, True, 2), ("u", 2, True, 0), ("u", 1, True, 1)],
