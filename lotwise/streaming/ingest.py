@@ -1,39 +1,53 @@
-"""Folder ingestion: each new file once, newest last, period by period."""
+"""Folder ingestion: each new file once; the newest file of a period wins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.sinks import replace_partitions
 
+FILES_PER_BATCH = 1000
 
-def read_folder(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1) -> DataFrame:
-    """Files of a folder as a stream, oldest first.  Keep checkpoint and folder on shared storage."""
+
+def read_folder(spark: SparkSession, folder: str, schema: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Files of a folder as a stream, oldest first, each row with its file (``_file``).
+    Keep checkpoint and folder on shared storage."""
     return (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
+        .withColumn("_file", F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")))
     )
 
 
+def newest_per_period(batch: DataFrame, period_keys: Sequence[str]) -> DataFrame:
+    """Rows of the newest file that covers their period."""
+    newest = batch.groupBy(F.struct(*period_keys).alias("_period")).agg(F.max("_file").alias("_file"))
+    rows = batch.withColumn("_period", F.struct(*period_keys))
+    return rows.join(newest, ["_period", "_file"], "left_semi").drop("_period", "_file")
+
+
 def ingest_new_files(
-    spark: SparkSession, folder: str, schema: str, table_path: str, checkpoint: str, period_keys: Sequence[str]
+    spark: SparkSession, folder: str, schema: str, table_path: str, checkpoint: str, period_keys: Sequence[str],
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Bring the files that arrived since the last run into a table partitioned by period.
 
-    A batch is one file and replaces the periods it covers, so the newest file of a period
-    wins and a batch repeated after a crash leaves the same table.  The checkpoint remembers
-    the files handled.
+    A file replaces the periods it covers.  Batches take files in the order of their age, and
+    inside a batch only the newest file of a period counts, so the outcome does not depend on
+    how files fall into batches, and a batch repeated after a crash leaves the same table.
+    The checkpoint remembers the files handled.
     """
 
     def upsert(batch: DataFrame, _batch_id: int) -> None:
-        replace_partitions(batch, table_path, period_keys)
+        replace_partitions(newest_per_period(batch, period_keys), table_path, period_keys)
 
     query = (
-        read_folder(spark, folder, schema)
+        read_folder(spark, folder, schema, files_per_batch)
         .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -110,6 +110,17 @@ def test_stream_handles_each_file_once(spark, rows, tmp_path):
     assert rows(spark.read.parquet(table), "year", "month", "v") == [(2025, 1, 1), (2025, 2, 20)]
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 100])
+def test_stream_newest_file_wins(spark, rows, tmp_path, files_per_batch):
+    folder, table, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    os.mkdir(folder)
+    for age, name, text in ((30, "z", "2025,1,1\n2025,2,2\n2025,2,3\n"), (10, "a", "2025,2,20\n"), (20, "m", "2025,2,9\n2025,3,9\n")):
+        write(tmp_path / "in" / f"{name}.csv", "year,month,v\n" + text)
+        os.utime(tmp_path / "in" / f"{name}.csv", (time.time() - age, time.time() - age))
+    ingest_new_files(spark, folder, "year int, month int, v int", table, progress, ["year", "month"], files_per_batch)
+    assert rows(spark.read.parquet(table), "year", "month", "v") == [(2025, 1, 1), (2025, 2, 20), (2025, 3, 9)]
+
+
 def test_tables(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "nums.parquet"))
     dims = read_dims(spark, ["nums"], str(tmp_path))
