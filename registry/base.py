@@ -18,6 +18,10 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def __call__(self, role: str, columns: str) -> DataFrame:
+        """A role cut down to the columns a report reads, and so to the joins they need."""
+        return R.frame(self.spark, self.sf_dir, role, columns)
+
     def __getattr__(self, name: str) -> DataFrame:
         known = R._spark_definitions()
         if name in known or name in R.DERIVED:

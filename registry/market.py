@@ -78,14 +78,14 @@ register(
 register(
     "share_of_total", "market_name make units:i total:i share:r",
     lambda t: MS.share_of_total(
-        t.market_sales.groupBy("market_name", "make").agg(F.sum("mtd_sales").alias("units")), ["make"], "units", "total", "share", None
+        t("market_sales", "market_name make mtd_sales").groupBy("market_name", "make").agg(F.sum("mtd_sales").alias("units")), ["make"], "units", "total", "share", None
     ),
     """SELECT market_name, make, units, total, CAST(units AS DOUBLE) / CAST(total AS DOUBLE) AS share FROM (SELECT *, sum(units) OVER (PARTITION BY make) AS total
       FROM (SELECT market_name, make, sum(mtd_sales) AS units FROM market_sales GROUP BY 1, 2) a) b""", ("market_sales",),
 )
 register(
     "tag_competition", "store_num historical comp_sales:i own_sales:i",
-    lambda t: t.market_sales.select(
+    lambda t: t("market_sales", "own_store mtd_sales").select(
         C.store_or_competition(F.col("own_store"), True).alias("store_num"), C.store_or_competition(F.col("own_store"), False).alias("historical"),
         *[c.alias(n) for c, n in zip(C.split_measure(C.store_or_competition(F.col("own_store"), True), F.col("mtd_sales")), ("comp", "own"))],
     ).groupBy("store_num", "historical").agg(F.sum("comp").alias("comp_sales"), F.sum("own").alias("own_sales")),
@@ -96,7 +96,7 @@ register(
 register(
     "blank_override", "site_code own_store selling_dealer units:i",
     lambda t: LK.override_blank(
-        t.market_sales.groupBy("site_code", "own_store", "selling_dealer").agg(F.sum("mtd_sales").alias("units")), _dims(t)["override"],
+        t("market_sales", "site_code own_store selling_dealer mtd_sales").groupBy("site_code", "own_store", "selling_dealer").agg(F.sum("mtd_sales").alias("units")), _dims(t)["override"],
         ["site_code"], {"own_store": "own_store_override", "selling_dealer": "selling_dealer_override"},
     ).groupBy("site_code", "own_store", "selling_dealer").agg(F.sum("units").alias("units")),
     """SELECT site_code, CASE WHEN own_store = '' THEN CASE WHEN s_acctbal > 5000 THEN 'OV' || site_code END ELSE own_store END AS own_store,
@@ -105,7 +105,7 @@ register(
 )
 register(
     "allowed_whitelist_join", "market_name make units:i",
-    lambda t: LK.restrict_to_allowed(t.market_sales, t.allowed_pairs, ["market_name", "make"]).groupBy("market_name", "make").agg(
+    lambda t: LK.restrict_to_allowed(t("market_sales", "market_name make mtd_sales"), t.allowed_pairs, ["market_name", "make"]).groupBy("market_name", "make").agg(
         F.sum("mtd_sales").alias("units")
     ),
     """SELECT m.market_name, m.make, sum(mtd_sales) AS units FROM market_sales m JOIN allowed_pairs a ON a.market_name = m.market_name AND a.make = m.make

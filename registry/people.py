@@ -73,7 +73,7 @@ _MARKETS = "market_name IN (" + ", ".join(f"'{m}'" for m in MARKETS) + ")"
 
 
 def _lead_dims(t):
-    stores = t.stores
+    stores = t("stores", "store_eid store_id store_name market_eid region_eid manufacturer_key zip")
     providers = t.events.select(F.col("event_type").alias("provider_key")).distinct()
     subproviders = t.leads.select("subprovider_key").distinct()
     return {
@@ -133,7 +133,7 @@ register(
 
 
 def _funnel(t):
-    rows = t.sales_detail.select(
+    rows = t("sales_detail", "accounting_month market_name store_name department sold_count fi_count auction_count").select(
         F.month("accounting_month").alias("month"), "market_name", F.col("store_name").alias("store"), "department",
         F.col("sold_count").alias("opportunities"), F.col("fi_count").alias("sales"), F.col("auction_count").alias("first_visit_count"),
     )
@@ -157,7 +157,7 @@ register(
 
 
 def _acquired(t):
-    stores = t.stores.select("store_eid", "store_id", "store_name", "market_name", "region_name", "manufacturer_name")
+    stores = t("stores", "store_eid store_id store_name market_name region_name manufacturer_name")
     return t.acquired.join(stores, "store_eid", "left")
 
 
@@ -205,7 +205,7 @@ def _spend(t):
 
 
 def _distance(t):
-    stores = t.stores.select("store_eid", "zip", "market_name")
+    stores = t("stores", "store_eid zip market_name")
     return L.spend_and_distance(
         t.leads, stores, t.zip_points, _spend(t), date(2024, 1, 1), date(2024, 1, 29), MARKETS, [2023, 2024]
     )
@@ -238,7 +238,7 @@ register(
 _P0, _P1 = date(1997, 1, 1), date(1999, 12, 31)
 register(
     "speed_bands_distinct", "mth:i store_id flag vin_count:i",
-    lambda t: L.speed_bands(t.photo_trend, t.unit_snapshots, _P0, _P1),
+    lambda t: L.speed_bands(t.photo_trend, t("unit_snapshots", "vin stock_type valid_for_group status image_type"), _P0, _P1),
     """SELECT month(snapshot_date) AS mth, store_id, CASE WHEN d <= 5 THEN '0-5 Days' WHEN d <= 10 THEN '6-10 Days' ELSE 'Above 10 Days' END AS flag,
       count(DISTINCT vin) AS vin_count
     FROM (SELECT DISTINCT i.snapshot_date, i.store_id, i.vin, i.entry_date, i.photo_date, date_diff('day', i.entry_date, i.photo_date) AS d
@@ -258,7 +258,7 @@ def _pair(name: str, test: str) -> str:
 register(
     "duration_components",
     "snapshot_month:t store_id under_5_num:d under_5_den:d under_10_num:d under_10_den:d above_10_num:d above_10_den:d all_num:d all_den:d",
-    lambda t: L.speed_components(t.photo_trend, t.stores, _P0, _P1),
+    lambda t: L.speed_components(t("photo_trend", "snapshot_date store_id entry_date photo_date"), t("stores", "store_id"), _P0, _P1),
     f"""SELECT CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_month, store_id, {_pair('under_5', '<= 5')},
       {_pair('under_10', '> 5 AND d <= 10')}, {_pair('above_10', '> 10 AND d <= 30')}, {_pair('all', '<= 30')}
     FROM (SELECT p.*, date_diff('day', entry_date, photo_date) AS d FROM photo_trend p JOIN stores s ON s.store_id = p.store_id) x
@@ -280,7 +280,7 @@ _MATCH_SQL = """SELECT form_id, cust_no, CASE WHEN e = 1 THEN 'Email_match' END
 
 
 def _matches(t, hot_rows=MT.HOT_VALUE_ROWS):
-    deals = t.sales_detail.select("cust_no", "accounting_month", "sale_type", "deal_no", "front_gross")
+    deals = t("sales_detail", "cust_no accounting_month sale_type deal_no front_gross")
     return K.referral_matches(t.referral_form, t.customers, deals, date(1999, 7, 1), hot_rows=hot_rows)
 
 

@@ -8,6 +8,7 @@ the reports on top of them are written twice, independently.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date
 from functools import lru_cache
@@ -495,19 +496,30 @@ def _spark_definitions():
     return definitions(SPARK)
 
 
-def frame(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
-    """A role as a DataFrame; unused columns and tables' columns are pruned by Catalyst."""
-    return _remembered(spark, sf_dir, role, lambda: _build(spark, sf_dir, role))
+def frame(spark: SparkSession, sf_dir: str, role: str, wanted: str = "") -> DataFrame:
+    """A role as a DataFrame, with all columns or the ``wanted`` ones.
 
+    A table is only joined when a wanted column needs it: every foreign key of the driver's
+    tables has exactly one match, so leaving the join out changes no row.
+    """
+    return _remembered(spark, sf_dir, f"{role} {wanted}", lambda: _build(spark, sf_dir, role, wanted.split()))
 
-def _build(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
+
+def _build(spark: SparkSession, sf_dir: str, role: str, wanted: list[str]) -> DataFrame:
     if role in DERIVED:
         base, distinct, condition = DERIVED[role]
-        df = frame(spark, sf_dir, base)
+        chosen = wanted or distinct or []
+        tested = [c for c in _spark_definitions()[base][0] if condition and re.search(rf"\b{c}\b", condition)]
+        df = frame(spark, sf_dir, base, " ".join(dict.fromkeys([*chosen, *tested])) if chosen else "")
         if condition:
             df = df.filter(condition)
-        return df.select(*distinct).distinct() if distinct else df
+        if chosen:
+            df = df.select(*chosen)
+        return df.distinct() if distinct else df
     columns, tables = _spark_definitions()[role]
+    if wanted:
+        columns = {name: columns[name] for name in wanted}
+        tables = _needed(columns.values(), tables)
     df = table(spark, sf_dir, tables[0])
     for joined in tables[1:]:
         name, keys = joined.split(":")
@@ -516,6 +528,16 @@ def _build(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
+def _needed(expressions, tables: list[str]) -> list[str]:
+    """The first table, the tables whose columns are used, and those they are joined through."""
+    by_prefix = {name.split(":")[0][0]: name for name in tables}
+    used = {p for expr in expressions for p in re.findall(r"\b([a-z])_[a-z]", expr) if p in by_prefix}
+    for joined in reversed(tables[1:]):
+        if joined[0] in used:
+            used.add(joined.split("=")[1][0])
+    return [tables[0], *[t for t in tables[1:] if t[0] in used]]
+
+
 def views(*names: str) -> str:
     """``WITH`` clause of the oracle defining the roles named, ready for more CTEs."""
     wanted: list[str] = []

@@ -40,22 +40,22 @@ _ELECTRIC = "AND fuel_type = 'Electric Fuel System'"
 _PAIR = ("inventory_month", "sales_detail")
 register(
     "inventory_vs_sales_pivot", "accounting_month:t store_id store_name brand inv:i sales:i",
-    lambda t: I.inventory_vs_sales(t.inventory_month, t.sales_detail, MONTH, min_inventory=0),
+    lambda t: I.inventory_vs_sales(t("inventory_month", "accounting_month store_id store_name make fuel_type department inventory_count"), t("sales_detail", "accounting_month store_id store_name make fuel_type department record_source sold_count"), MONTH, min_inventory=0),
     _inv_vs_sales("store_id, store_name,", "", "HAVING sum(CASE WHEN t = 'Inv' THEN q ELSE 0 END) > 0"), _PAIR,
 )
 register(
     "inventory_vs_sales_electric", "accounting_month:t store_id store_name brand inv:i sales:i",
-    lambda t: I.inventory_vs_sales(t.inventory_month, t.sales_detail, MONTH, electric_only=True, min_inventory=None),
+    lambda t: I.inventory_vs_sales(t("inventory_month", "accounting_month store_id store_name make fuel_type department inventory_count"), t("sales_detail", "accounting_month store_id store_name make fuel_type department record_source sold_count"), MONTH, electric_only=True, min_inventory=None),
     _inv_vs_sales("store_id, store_name,", _ELECTRIC, ""), _PAIR,
 )
 register(
     "inventory_vs_sales_brand", "accounting_month:t brand inv:i sales:i",
-    lambda t: I.inventory_vs_sales(t.inventory_month, t.sales_detail, MONTH, by_store=False),
+    lambda t: I.inventory_vs_sales(t("inventory_month", "accounting_month make department inventory_count"), t("sales_detail", "accounting_month make department record_source sold_count"), MONTH, by_store=False),
     _inv_vs_sales("", "", "HAVING sum(CASE WHEN t = 'Inv' THEN q ELSE 0 END) > 5"), _PAIR,
 )
 register(
     "electric_flags", "allocation_group ev_flag",
-    lambda t: I.electric_flags(t.inventory_month, AS_OF),
+    lambda t: I.electric_flags(t("inventory_month", "accounting_month department allocation_group fuel_type"), AS_OF),
     f"""SELECT DISTINCT allocation_group, CASE WHEN fuel_type = 'Electric Fuel System' THEN 'EV' ELSE 'ICE' END AS ev_flag
     FROM inventory_month WHERE accounting_month >= DATE '1999-02-01' AND department = '300'""", ("inventory_month",),
 )
@@ -79,13 +79,13 @@ def _spine(filter_sql: str) -> str:
 
 register(
     "dense_brand_spine", "brand category date:t inv:i sales:i",
-    lambda t: I.others_last(I.dense_brand_inventory(t.inventory_month, t.sales_detail, [MONTH, CURRENT])),
+    lambda t: I.others_last(I.dense_brand_inventory(t("inventory_month", "accounting_month make department status inventory_count"), t("sales_detail", "accounting_month make department sold_count"), [MONTH, CURRENT])),
     _spine(f"accounting_month IN ({M}, DATE '{CURRENT}')"), _PAIR, SPINE,
 )
 ALL_MONTHS = [D.add_months(date(1995, 1, 1), i) for i in range(83)]
 register(
     "brand_segment_monthly", "brand category date:t inv:i sales:i",
-    lambda t: I.dense_brand_inventory(t.inventory_month, t.sales_detail, ALL_MONTHS),
+    lambda t: I.dense_brand_inventory(t("inventory_month", "accounting_month make department status inventory_count"), t("sales_detail", "accounting_month make department sold_count"), ALL_MONTHS),
     _spine("accounting_month BETWEEN DATE '1995-01-01' AND DATE '2001-11-30'"), _PAIR, SPINE,
 )
 register(
@@ -128,26 +128,26 @@ YEAR_BACK = D.add_months(CURRENT, -12)
 _WINDOW = f"accounting_month BETWEEN DATE '{YEAR_BACK}' AND DATE '{CURRENT}'"
 register(
     "arrivals_inventory", "accounting_month:t make model status entry_date:t store_name inventory_count:i",
-    lambda t: I.arrivals_inventory(t.inventory_month, YEAR_BACK, CURRENT),
+    lambda t: I.arrivals_inventory(t("inventory_month", "accounting_month make model status entry_date store_name department balance inventory_count"), YEAR_BACK, CURRENT),
     f"""SELECT accounting_month, make, model, status, entry_date, store_name, sum(inventory_count) AS inventory_count
     FROM inventory_month WHERE department = '300' AND balance > 0 AND inventory_count > 0 AND {_WINDOW} GROUP BY ALL""",
     ("inventory_month",),
 )
 register(
     "arrivals_sales", "accounting_month:t make sold_mtd:i ex_service record_source store_name",
-    lambda t: I.arrivals_sales(t.sales_detail, YEAR_BACK, CURRENT),
+    lambda t: I.arrivals_sales(t("sales_detail", "accounting_month make sold_count ex_service record_source store_name department"), YEAR_BACK, CURRENT),
     f"""SELECT accounting_month, make, sum(sold_count) AS sold_mtd, ex_service, record_source, store_name
     FROM sales_detail WHERE lower(department) = 'new' AND sold_count <> 0 AND {_WINDOW} GROUP BY ALL""", ("sales_detail",),
 )
 register(
     "sold_by_service", "ex_service sold_mtd:i",
-    lambda t: I.sold_by_service(t.sales_detail, AS_OF),
+    lambda t: I.sold_by_service(t("sales_detail", "accounting_month ex_service department sold_count"), AS_OF),
     f"""SELECT ex_service, sum(sold_count) AS sold_mtd FROM sales_detail
     WHERE accounting_month = DATE '{CURRENT}' AND lower(department) = 'new' GROUP BY ex_service""", ("sales_detail",),
 )
 register(
     "inventory_by_status", "status accounting_month:t inventory_count:i",
-    lambda t: I.inventory_by_status(t.inventory_month, AS_OF),
+    lambda t: I.inventory_by_status(t("inventory_month", "accounting_month status department balance inventory_count"), AS_OF),
     f"""SELECT status, accounting_month, sum(inventory_count) AS inventory_count FROM inventory_month
     WHERE accounting_month = DATE '{CURRENT}' AND balance <> 0 AND department = '300' GROUP BY ALL""", ("inventory_month",),
 )
@@ -170,7 +170,8 @@ register(
     "vin store_name inventory_source inventory_count:i price_bucket valid_price_bucket age_bucket balance:d target_price:d "
     "type_no:i type status accounting_month:t week week_flag:i source_side franchise_type collapsed_age_bucket as_of:t",
     lambda t: U.used_inventory(
-        t.inventory_month, t.inventory_live, t.unit_snapshots, AS_OF, CURRENT, R0, MARKETS, "Supplier#00000000"
+        t.inventory_month, t.inventory_live,
+        t("unit_snapshots", "vin snapshot_date store_id department status original_source_code source_code"), AS_OF, CURRENT, R0, MARKETS, "Supplier#00000000"
     ),
     f"""SELECT vin, store_name, CASE WHEN src IN ('LEASE RETURN','Other','SERVICE LOANER') THEN 'Others' WHEN src = 'TRADE-IN' THEN 'Trade'
         WHEN src = 'AUCTION/RENTAL' THEN 'Auction' ELSE src END AS inventory_source,
@@ -315,7 +316,7 @@ register(
 register(
     "prefer_source_dedupe", "vin accounting_month:t store_name balance:d type_no:i",
     lambda t: W.prefer_source(
-        t.inventory_month.select(
+        t("inventory_month", "vin accounting_month store_name balance department").select(
             "vin", "accounting_month", "store_name", "balance", F.when(F.col("department") == "300", 1).otherwise(2).alias("type_no")
         ),
         "vin", ["type_no", "accounting_month", "store_name", "balance"],
@@ -360,7 +361,7 @@ register(
 
 register(
     "age_price_buckets", "accounting_month:t bucket_45 bucket_120 price_bucket inv_count:i",
-    lambda t: U.used_inventory_buckets(t.inventory_month, THREE_BACK, R0, MARKETS),
+    lambda t: U.used_inventory_buckets(t("inventory_month", "accounting_month region_name market_name balance inventory_count department status days_in_inventory_group price_tier_93"), THREE_BACK, R0, MARKETS),
     f"""SELECT accounting_month,
       CASE WHEN d IS NULL THEN 'N/A' WHEN d < 45 THEN 'Under 45 Days' ELSE 'Over/At 45 Days' END AS bucket_45,
       CASE WHEN d IS NULL THEN 'N/A' WHEN d < 120 THEN 'Under 120 Days' ELSE 'Over/At 120 Days' END AS bucket_120,
@@ -373,7 +374,7 @@ register(
 )
 register(
     "unit_bands", "age_bucket collapsed price_v1 price_v2 valid band units:i balance:d",
-    lambda t: t.inventory_month.groupBy(
+    lambda t: t("inventory_month", "days_in_inventory_group price_tier_93 balance target_price internet_price").groupBy(
         C.age_bucket(F.col("days_in_inventory_group")).alias("age_bucket"),
         C.collapse_age(C.age_bucket(F.col("days_in_inventory_group"))).alias("collapsed"),
         C.price_bucket_inclusive(F.col("price_tier_93"), F.col("balance")).alias("price_v1"),
@@ -390,7 +391,7 @@ register(
 )
 register(
     "source_group_coalesce", "source side short_side label units:i",
-    lambda t: t.inventory_month.withColumn("source", C.source_group(F.col("original_source_code"), F.col("source_type")))
+    lambda t: t("inventory_month", "original_source_code source_type").withColumn("source", C.source_group(F.col("original_source_code"), F.col("source_type")))
     .groupBy("source", C.source_side(F.col("source")).alias("side"), C.source_side_short(F.col("source")).alias("short_side"),
              C.source_label(F.col("source")).alias("label"))
     .agg(F.count(F.lit(1)).alias("units")),
@@ -440,7 +441,7 @@ register(
 _ROWS = f"accounting_month BETWEEN DATE '{_START}' AND DATE '{_END}' AND upper(region_name) = 'ASIA'"
 register(
     "trades_by_month", "month:i year:i vehicle_sold:i trades:i",
-    lambda t: U.sold_and_trades(t.sales_detail, _START, _END, "asia"),
+    lambda t: U.sold_and_trades(t("sales_detail", "accounting_month region_name record_source trade_vin sold_count"), _START, _END, "asia"),
     f"""SELECT month, year, sum(v) AS vehicle_sold, sum(tr) AS trades FROM (SELECT month(accounting_month) AS month,
         year(accounting_month) AS year, sum(sold_count) AS v, CASE WHEN trade_vin IS NOT NULL THEN sum(sold_count) ELSE 0 END AS tr
       FROM sales_detail WHERE {_ROWS} AND record_source = 'Accounting' GROUP BY 1, 2, trade_vin HAVING sum(sold_count) <> 0) x
@@ -448,7 +449,7 @@ register(
 )
 register(
     "wholesale_by_month", "month:i year:i wholesale_sold:i",
-    lambda t: U.wholesale(t.sales_detail, _START, _END, "asia"),
+    lambda t: U.wholesale(t("sales_detail", "accounting_month region_name department auction_count"), _START, _END, "asia"),
     f"""SELECT month(accounting_month) AS month, year(accounting_month) AS year, sum(auction_count) AS wholesale_sold
     FROM sales_detail WHERE {_ROWS} AND upper(department) = 'USED' GROUP BY 1, 2 HAVING sum(auction_count) <> 0""", ("sales_detail",),
 )

@@ -42,7 +42,7 @@ register(
 )
 register(
     "map_values_default", "make_code brand segment units:i",
-    lambda t: t.industry.groupBy(
+    lambda t: t("industry", "make sales").groupBy(
         F.col("make").alias("make_code"), C.industry_brand(F.col("make")).alias("brand"),
         C.brand_segment(C.industry_brand(F.col("make"))).alias("segment"),
     ).agg(F.sum("sales").alias("units")),
@@ -55,7 +55,7 @@ register(
 )
 register(
     "exclude_values", "make model units:i",
-    lambda t: exclude_values(t.sales_detail, {"make": ["FIAT", "KIA"], "model": ["PROMO"]}).groupBy("make", "model").agg(
+    lambda t: exclude_values(t("sales_detail", "make model sold_count"), {"make": ["FIAT", "KIA"], "model": ["PROMO"]}).groupBy("make", "model").agg(
         F.sum("sold_count").alias("units")
     ),
     """SELECT make, model, sum(sold_count) AS units FROM sales_detail WHERE (make IS NULL OR make NOT IN ('FIAT','KIA')) AND model <> 'PROMO'
@@ -132,7 +132,7 @@ register(
 
 
 def _unmapped_inventory(t):
-    return AG.map_inventory(t.inventory_month, _groups(t), _vans(t), date(1995, 6, 1), 2018)
+    return AG.map_inventory(t("inventory_month", "allocation_group department accounting_month year make model model_id style_id style_name trim"), _groups(t), _vans(t), date(1995, 6, 1), 2018)
 
 
 register(
@@ -143,7 +143,7 @@ register(
 )
 register(
     "pipeline_group_mapping", "model_year:i make model model_id trim allocation_group was_missing:b",
-    lambda t: AG.map_pipeline(t.orders_daily, t.inventory_month, _pipeline_groups(t), _vans(t), date(1997, 2, 27), 2019),
+    lambda t: AG.map_pipeline(t.orders_daily, t("inventory_month", "model_id allocation_group year accounting_month"), _pipeline_groups(t), _vans(t), date(1997, 2, 27), 2019),
     """SELECT model_year, make, model, model_id, trim, CASE WHEN h.g IS NULL THEN 'nomap' ELSE coalesce(p.g, 'nomap') END AS allocation_group, true AS was_missing
     FROM (SELECT DISTINCT model_year, make, model, coalesce(model_number, '0') AS model_id, trim FROM orders_daily
       WHERE update_date > DATE '1997-02-27' AND model_year > 2019 AND ((make <> 'nomake' AND alloc_group = 'nomap') OR alloc_group = '' OR alloc_group IS NULL)) o
@@ -171,8 +171,8 @@ def _pipeline_groups(t):
 register(
     "history_backfill", "model_id model units:i allocation_group was_missing:b",
     lambda t: LK.backfill_from_history(
-        t.inventory_month.groupBy("model_id", "model", "allocation_group").agg(F.count(F.lit(1)).alias("units")),
-        t.inventory_month.filter("allocation_group <> 'nomap' OR balance IS NULL").select("model_id", "allocation_group", "year", "accounting_month"),
+        t("inventory_month", "model_id model allocation_group").groupBy("model_id", "model", "allocation_group").agg(F.count(F.lit(1)).alias("units")),
+        t("inventory_month", "model_id allocation_group year accounting_month balance").filter("allocation_group <> 'nomap' OR balance IS NULL").select("model_id", "allocation_group", "year", "accounting_month"),
         "model_id", "allocation_group", ["year", "accounting_month"], "nomap",
     ),
     """SELECT m.model_id, model, count(*) AS units, CASE WHEN m.allocation_group = 'nomap' THEN coalesce(h.g, 'nomap') ELSE m.allocation_group END AS allocation_group,
@@ -191,7 +191,7 @@ register(
 
 register(
     "first_cap", "make capped units:i",
-    lambda t: t.sales_detail.groupBy("make", TX.first_cap(F.col("make")).alias("capped")).agg(F.sum("sold_count").alias("units")),
+    lambda t: t("sales_detail", "make sold_count").groupBy("make", TX.first_cap(F.col("make")).alias("capped")).agg(F.sum("sold_count").alias("units")),
     "SELECT make, upper(left(make, 1)) || lower(substring(make, 2)) AS capped, sum(sold_count) AS units FROM sales_detail GROUP BY 1, 2", ("sales_detail",),
 )
 register(
@@ -217,7 +217,7 @@ register(
 )
 register(
     "sum_if_max", "store_id vin_prefix over_45:i over_120:i",
-    lambda t: t.inventory_month.groupBy("store_id", F.col("model").alias("vin_prefix"), "accounting_month").agg(
+    lambda t: t("inventory_month", "store_id model accounting_month days_in_inventory_group inventory_count").groupBy("store_id", F.col("model").alias("vin_prefix"), "accounting_month").agg(
         MS.sum_if_max(F.col("days_in_inventory_group"), 45, F.col("inventory_count")).alias("a"),
         MS.sum_if_max(F.col("days_in_inventory_group"), 120, F.col("inventory_count")).alias("b"),
     ).groupBy("store_id", "vin_prefix").agg(F.sum("a").alias("over_45"), F.sum("b").alias("over_120")),
@@ -232,11 +232,11 @@ _FACT = "accounting_month:t make inv:i sold:i"
 
 
 def _inv_side(t):
-    return t.inventory_month.groupBy("accounting_month", "make").agg(F.sum("inventory_count").alias("inv"))
+    return t("inventory_month", "accounting_month make inventory_count").groupBy("accounting_month", "make").agg(F.sum("inventory_count").alias("inv"))
 
 
 def _sold_side(t):
-    return t.sales_detail.groupBy("accounting_month", "make").agg(F.sum("sold_count").alias("sold"))
+    return t("sales_detail", "accounting_month make sold_count").groupBy("accounting_month", "make").agg(F.sum("sold_count").alias("sold"))
 
 
 register(
@@ -253,7 +253,7 @@ register(
 
 
 def _snapshots(t):
-    sums = t.sales_detail.groupBy("accounting_month", "store_id").agg(F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross"))
+    sums = t("sales_detail", "accounting_month store_id sold_count front_gross").groupBy("accounting_month", "store_id").agg(F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross"))
     history = sums.filter(F.col("accounting_month") <= F.lit(date(1999, 8, 1))).withColumnRenamed("accounting_month", "date")
     return history, sums.filter(F.col("accounting_month") == F.lit(date(1999, 9, 1))).drop("accounting_month")
 
@@ -283,7 +283,7 @@ register(
 
 
 def _period_tables(t):
-    sums = t.sales_detail.groupBy(F.year("accounting_month").alias("year"), F.month("accounting_month").alias("mth"), "store_id").agg(
+    sums = t("sales_detail", "accounting_month store_id sold_count").groupBy(F.year("accounting_month").alias("year"), F.month("accounting_month").alias("mth"), "store_id").agg(
         F.sum("sold_count").alias("units")
     )
     return sums, sums.filter("year = 1999 AND mth >= 6").withColumn("units", F.col("units") * 10)
@@ -300,7 +300,7 @@ register(
 )
 register(
     "append_months", "sale_year:i sale_month:i make units:i",
-    lambda t: H.append_months(t.sales_current, t.sales_history, [1, 2, 3], [2000, 2001]).groupBy("sale_year", "sale_month", "make").agg(
+    lambda t: H.append_months(t("sales_current", "sale_year sale_month make mtd_sales"), t("sales_history", "sale_year sale_month make mtd_sales"), [1, 2, 3], [2000, 2001]).groupBy("sale_year", "sale_month", "make").agg(
         F.sum("mtd_sales").alias("units")
     ),
     """SELECT sale_year, sale_month, make, sum(mtd_sales) AS units FROM (SELECT * FROM sales_history UNION ALL
@@ -308,7 +308,7 @@ register(
 )
 register(
     "current_plus_history", "sale_year:i sale_month:i units:i",
-    lambda t: ST.stack_facts([drop_overlap(t.sales_current, MARKET_AS_OF), t.sales_history]).groupBy("sale_year", "sale_month").agg(
+    lambda t: ST.stack_facts([drop_overlap(t("sales_current", "sale_year sale_month mtd_sales"), MARKET_AS_OF), t("sales_history", "sale_year sale_month mtd_sales")]).groupBy("sale_year", "sale_month").agg(
         F.sum("mtd_sales").alias("units")
     ),
     "SELECT sale_year, sale_month, sum(mtd_sales) AS units FROM market_sales GROUP BY 1, 2", ("market_sales",),

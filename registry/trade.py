@@ -103,7 +103,7 @@ register(
 
 
 def _efficiency(t):
-    extract = t.sales_detail.groupBy("store_id", "accounting_month").agg(F.sum("sold_count").alias("value")).select(
+    extract = t("sales_detail", "store_id accounting_month sold_count").groupBy("store_id", "accounting_month").agg(F.sum("sold_count").alias("value")).select(
         F.col("store_id").alias("org"), F.col("accounting_month").alias("month"), F.lit("Base").alias("scenario"),
         F.lit("PPR").alias("manufacture"), F.lit("NEW").alias("department"), F.lit("SALES EFFICIENCY %").alias("account"),
         F.lit("ACTUAL").alias("consolidated_scenario"), "value",
@@ -123,7 +123,7 @@ register(
 register(
     "period_interval_join",
     "date:t period brand category sold_count:i base_gross:d incentive_gross:d cfs_gross:d ovi_gross:d accounting_sold_count:i",
-    lambda t: N.sales_by_period(t.sales_detail, AS_OF),
+    lambda t: N.sales_by_period(t("sales_detail", "contract_date make department record_source sold_count base_retail incentives fi_gross ovi"), AS_OF),
     f"""SELECT * FROM (SELECT p.e AS date, p.period, {S.brand_spine()} AS brand, {S.segment_spine()} AS category, sum(sold_count) AS sold_count,
       sum(CASE WHEN record_source = 'Accounting' THEN base_retail ELSE 0 END) AS base_gross,
       sum(CASE WHEN record_source = 'Accounting' THEN incentives ELSE 0 END) AS incentive_gross,
@@ -137,7 +137,7 @@ register(
 )
 register(
     "period_labels", "accounting_month:t period quarter units:i",
-    lambda t: t.sales_detail.groupBy("accounting_month").agg(F.sum("sold_count").alias("units")).select(
+    lambda t: t("sales_detail", "accounting_month sold_count").groupBy("accounting_month").agg(F.sum("sold_count").alias("units")).select(
         "accounting_month", D.period_label(F.col("accounting_month"), AS_OF).alias("period"),
         D.quarter_label(F.col("accounting_month")).alias("quarter"), "units",
     ),
@@ -153,7 +153,9 @@ _TRACKER_SPEC = ("period accounting_month:t store_id store_name brand inv_total:
 def _tracker(offsets):
     def build(t):
         stores = N.store_brand(t.stores, ["AFRICA", "AMERICA", "ASIA"], ["#000000013", "WBYC"])
-        return N.brand_tracker(t.inventory_month, t.sales_detail, stores, AS_OF, offsets, ["NATION_3", "market 97"])
+        inventory = t("inventory_month", "accounting_month store_id store_name market_name make department status inventory_count days_in_inventory_group")
+        sales = t("sales_detail", "accounting_month store_id store_name department record_source sold_count base_retail front_gross")
+        return N.brand_tracker(inventory, sales, stores, AS_OF, offsets, ["NATION_3", "market 97"])
 
     return build
 
@@ -193,7 +195,7 @@ register("brand_tracker_month_end", _TRACKER_SPEC, _tracker(D.MONTH_END_PERIOD_O
          _tracker_sql("DATE '1999-06-01'", "DATE '1999-07-01'", "DATE '1999-09-01'"), _TRACKER_ROLES, _SB)
 register(
     "per_unit_ratio", "store_id make units:i gross:d per_unit:d",
-    lambda t: t.sales_detail.groupBy("store_id", "make").agg(
+    lambda t: t("sales_detail", "store_id make sold_count front_gross").groupBy("store_id", "make").agg(
         F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross"),
         MS.per_unit(F.sum("front_gross"), F.sum("sold_count")).alias("per_unit"),
     ),
@@ -330,15 +332,15 @@ _MIX = """mix AS (SELECT a.store_id, a.make, a.allocation_group, sum(sold_count)
   GROUP BY 1, 2, 3 HAVING sum(sold_count) <> 0)"""
 register(
     "sales_mix", "store_id make allocation_group sold_count:i denominator:i sales_mix:d",
-    lambda t: E.prior_month_mix(t.sales_detail, AS_OF), "SELECT * FROM mix", ("sales_detail",), _MIX,
+    lambda t: E.prior_month_mix(t("sales_detail", "accounting_month store_id make allocation_group department record_source sold_count"), AS_OF), "SELECT * FROM mix", ("sales_detail",), _MIX,
 )
 
 
 def _electric(t):
-    flags = t.inventory_month.select(F.col("allocation_group").alias("model")).distinct().withColumn("ev_flag", F.lit("EV"))
-    pace = t.stores.select(F.concat("store_id", F.lit(".0")).alias("store_id"), F.col("acctbal").cast("string").alias("pace"))
-    stores = t.stores.select("store_id", "store_name")
-    return E.electric_availability(_available(t), stores, flags, pace, E.prior_month_mix(t.sales_detail, AS_OF), _START)
+    flags = t("inventory_month", "allocation_group").select(F.col("allocation_group").alias("model")).distinct().withColumn("ev_flag", F.lit("EV"))
+    pace = t("stores", "store_id acctbal").select(F.concat("store_id", F.lit(".0")).alias("store_id"), F.col("acctbal").cast("string").alias("pace"))
+    stores = t("stores", "store_id store_name")
+    return E.electric_availability(_available(t), stores, flags, pace, E.prior_month_mix(t("sales_detail", "accounting_month store_id make allocation_group department record_source sold_count"), AS_OF), _START)
 
 
 register(
