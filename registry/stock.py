@@ -453,3 +453,56 @@ register(
     f"""SELECT month(accounting_month) AS month, year(accounting_month) AS year, sum(auction_count) AS wholesale_sold
     FROM sales_detail WHERE {_ROWS} AND upper(department) = 'USED' GROUP BY 1, 2 HAVING sum(auction_count) <> 0""", ("sales_detail",),
 )
+
+# --- single rules on whole tables ----------------------------------------------------
+
+register(
+    "price_band_fallback", "band units:i balance:d",
+    lambda t: t("inventory_month", "internet_price price_tier_93 balance").groupBy(
+        C.price_band(F.abs("internet_price"), F.abs("price_tier_93"), F.abs("balance")).alias("band")
+    ).agg(F.count(F.lit(1)).alias("units"), F.sum("balance").alias("balance")),
+    f"""SELECT {S.band('abs(internet_price)', 'abs(price_tier_93)', 'abs(balance)')} AS band, count(*) AS units, sum(balance) AS balance
+    FROM inventory_month GROUP BY 1""", ("inventory_month",),
+)
+register(
+    "valid_price_gate", "make valid units:i",
+    lambda t: t("inventory_month", "make price_tier_93 balance target_price").groupBy(
+        "make", C.valid_price(F.col("price_tier_93"), F.col("balance"), F.col("target_price")).alias("valid")
+    ).agg(F.count(F.lit(1)).alias("units")),
+    f"SELECT make, {S.valid('price_tier_93', 'balance', 'target_price')} AS valid, count(*) AS units FROM inventory_month GROUP BY 1, 2",
+    ("inventory_month",),
+)
+_GATE = ("sold_count", "cash_price", "target_price", "front_cos")
+
+
+def _gated(t):
+    rows = t("sales_detail", "store_id sold_count cash_price target_price front_cos")
+    ok = C.price_gate(*[F.col(c) for c in _GATE])
+    return rows.withColumn("ok", ok).groupBy("store_id").agg(
+        *[F.sum(C.gated(F.col("ok"), F.col(c))).alias(c) for c in _GATE]
+    )
+
+
+register(
+    "gated_measures", "store_id sold_count:i cash_price:d target_price:d front_cos:d", _gated,
+    "SELECT store_id, " + ", ".join(f"sum({S.gate('s.' + c, 's.sold_count', 's.cash_price', 's.target_price', 's.front_cos')}) AS {c}" for c in _GATE)
+    + " FROM sales_detail s GROUP BY 1", ("sales_detail",),
+)
+register(
+    "sale_sources", "source units:i gross:d",
+    lambda t: t("sales_detail", "source_name source_type sold_count front_gross").groupBy(
+        C.sale_source(F.col("source_name"), F.col("source_type")).alias("source")
+    ).agg(F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross")),
+    """SELECT CASE WHEN left(source_name, 9) = 'From 2090' THEN 'Auction' ELSE CASE lower(source_type) WHEN 'activeloaner' THEN 'ExLoaner'
+      WHEN 'auction' THEN 'Auction' WHEN 'dealer-trade' THEN 'Trade' WHEN 'inter-co' THEN 'Interco' WHEN 'webuyyourcar' THEN 'WBYC' ELSE 'Other' END END AS source,
+      sum(sold_count) AS units, sum(front_gross) AS gross FROM sales_detail GROUP BY 1""", ("sales_detail",),
+)
+_LAST_MONDAY, _LAST_SUNDAY = D.last_week(EVENT_AS_OF)
+register(
+    "last_week_snapshots", "store_name snapshot_date:t units:i price:d",
+    lambda t: t("inventory_daily", "store_name snapshot_date internet_price").filter(
+        D.between_days(F.col("snapshot_date"), _LAST_MONDAY, _LAST_SUNDAY)
+    ).groupBy("store_name", "snapshot_date").agg(F.count(F.lit(1)).alias("units"), F.sum("internet_price").alias("price")),
+    """SELECT store_name, snapshot_date, count(*) AS units, sum(internet_price) AS price FROM inventory_daily
+    WHERE snapshot_date BETWEEN DATE '2024-01-22' AND DATE '2024-01-28' GROUP BY 1, 2""", ("inventory_daily",),
+)

@@ -547,3 +547,56 @@ register(
     "archive_snapshot", "store_name units:i as_of:t", _archived,
     "SELECT store_name, count(*) AS units, DATE '2024-01-23' AS as_of FROM inventory_daily GROUP BY 1", ("inventory_daily",),
 )
+
+# --- further operators on whole tables ------------------------------------------------------------
+
+register(
+    "group_sum_null_keys", "model_number kept:i dropped:i",
+    lambda t: _null_key_sums(t),
+    """SELECT model_number, count(*) AS kept, CASE WHEN model_number IS NOT NULL THEN count(*) END AS dropped FROM orders_month GROUP BY 1""", ("orders_month",),
+)
+
+
+def _null_key_sums(t):
+    ones = t.orders_month.select("model_number", F.lit(1).alias("one"))
+    kept = MS.group_sum(ones, ["model_number"], ["one"]).withColumnRenamed("one", "kept")
+    dropped = MS.group_sum(ones, ["model_number"], ["one"], drop_null_keys=True).withColumnRenamed("one", "dropped")
+    return kept.join(dropped, "model_number", "left")
+
+
+register(
+    "having_any_nonzero", "store_id make sold:i interco:i auction:i any_moved:b total_moved:b",
+    lambda t: t("sales_detail", "store_id make accounting_month sold_count interco_count auction_count").groupBy("store_id", "make", "accounting_month").agg(
+        F.sum("sold_count").alias("sold"), F.sum("interco_count").alias("interco"), F.sum("auction_count").alias("auction")
+    ).withColumn("any_moved", MS.any_nonzero(F.col("sold"), F.col("interco"), F.col("auction")))
+    .withColumn("total_moved", MS.total_nonzero(F.col("sold"), F.col("interco"), F.col("auction"))),
+    """SELECT *, sold <> 0 OR interco <> 0 OR auction <> 0 AS any_moved, sold + interco + auction <> 0 AS total_moved FROM (SELECT store_id, make, accounting_month,
+      sum(sold_count) AS sold, sum(interco_count) AS interco, sum(auction_count) AS auction FROM sales_detail GROUP BY 1, 2, 3) x""", ("sales_detail",),
+)
+register(
+    "pivot_by_status", "make in_transit:i built:i to_be_built:i not_produced:i",
+    lambda t: MS.pivot_sum(
+        t.orders_month.select("make", "status", F.lit(1).alias("one")), ["make"], "status", "one",
+        {"in transit": "in_transit", "BUILT": "built", "TO BE BUILT": "to_be_built", "NOT PRODUCED": "not_produced"},
+    ),
+    """SELECT make, count(*) FILTER (WHERE status = 'in transit') AS in_transit, count(*) FILTER (WHERE status = 'BUILT') AS built,
+      count(*) FILTER (WHERE status = 'TO BE BUILT') AS to_be_built, count(*) FILTER (WHERE status = 'NOT PRODUCED') AS not_produced
+    FROM orders_month GROUP BY 1""", ("orders_month",),
+)
+
+
+def _turns(t):
+    turns = t.conversations.filter("role = 'user'")
+    return turns.select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.col("text").alias("question"))
+
+
+register(
+    "conversation_questions", "question_id month:i year:i operation metric",
+    lambda t: Q.resolve_questions(_turns(t), PHRASES, *_catalogues(t)),
+    f"""SELECT conv_id || '-' || turn AS question_id, CASE {_MONTH_CASE} END AS month, CAST(nullif(regexp_extract(q, '\\b(20[0-9][0-9])\\b', 1), '') AS INT) AS year,
+      CASE WHEN q LIKE '%average%' OR q LIKE '%avg%' OR q LIKE '%mean%' THEN 'mean' WHEN q LIKE '%max%' OR q LIKE '%highest%' THEN 'max'
+        WHEN q LIKE '%min%' OR q LIKE '%lowest%' THEN 'min' WHEN q LIKE '%count%' OR q LIKE '%how many%' THEN 'count' ELSE 'sum' END AS operation,
+      CASE WHEN contains(q, 'retail units') THEN 'retail units' WHEN contains(q, 'core pvr') THEN 'core gross' WHEN contains(q, 'variable gross') THEN 'variable gross'
+        WHEN regexp_matches(q, '(^|\\s)(retail|units)(\\s|$)') THEN 'retail units' WHEN regexp_matches(q, '(^|\\s)gross(\\s|$)') THEN 'core gross' END AS metric
+    FROM (SELECT conv_id, turn, lower(text) AS q FROM conversations WHERE role = 'user') x""",
+)
