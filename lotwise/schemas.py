@@ -50,3 +50,10 @@ INDUSTRY_MAKE = "make string, sale_year int, sale_month int, file_date date, sal
 
 ENTITIES = "entity_id string, parent_id string, store_id string, entity_name string, entity_type string, " \
     "status string, manufacturer_code string, city string, state string"
+
+ROLES = {
+    "inventory_month": INVENTORY_MONTH, "inventory_daily": INVENTORY_DAILY, "inventory_live": INVENTORY_DAILY,
+    "sales_detail": SALES_DETAIL, "orders_month": ORDERS_MONTH, "orders_daily": ORDERS_DAILY, "commits": PLAN_ENTRIES,
+    "forecasts": PLAN_ENTRIES, "photo_trend": PHOTO_TREND, "market_sales_current": MARKET_SALES,
+    "market_sales_history": MARKET_SALES, "industry_make": INDUSTRY_MAKE, "entities": ENTITIES,
+}

@@ -6,9 +6,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 
 def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
@@ -36,10 +36,13 @@ def archive_snapshot(df: DataFrame, root: str, as_of: date, if_absent: bool = Tr
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame | None:
+    """All dated copies with their ``as_of`` column, or None before the first one."""
     try:
         return spark.read.parquet(root)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def snapshot_at(df: DataFrame, day_col: str, as_of: date, days_back: int = 7) -> DataFrame:

@@ -7,13 +7,17 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..schemas import ROLES
+
 
 def read_table(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
-    """A parquet table under ``root``, or a catalog table.  Filters and column choices made
-    on the result reach the scan."""
+    """A parquet table under ``root``, or a catalog table.  A known role is read with its
+    explicit schema, without a look into the files; filters and column choices made on the
+    result reach the scan."""
     if root is None:
         return spark.table(name)
-    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    reader = spark.read.schema(ROLES[name]) if name in ROLES else spark.read
+    return reader.parquet(os.path.join(root, f"{name}.parquet"))
 
 
 def read_jdbc(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.sources import files as FS
 from lotwise.sources import sinks as SK
-from lotwise.sources.tables import read_dims, run_queries, select_rename
+from lotwise.sources.tables import read_dims, read_table, run_queries, select_rename
 from lotwise.streaming.ingest import ingest_new_files
 from lotwise.plans.upkeep import tenant_report
 
@@ -121,6 +121,15 @@ def test_stream_newest_file_wins(spark, rows, tmp_path, files_per_batch):
     assert rows(spark.read.parquet(table), "year", "month", "v") == [(2025, 1, 1), (2025, 2, 20), (2025, 3, 9)]
 
 
+def test_role_schema_is_explicit(spark, tmp_path):
+    spark.createDataFrame([("A", 2025, 1, 5)], "make string, sale_year int, sale_month int, sales long").write.parquet(
+        str(tmp_path / "industry_make.parquet")
+    )
+    df = read_table(spark, "industry_make", str(tmp_path))
+    assert df.columns == ["make", "sale_year", "sale_month", "file_date", "sales"]
+    assert tuple(df.first()) == ("A", 2025, 1, None, 5)
+
+
 def test_tables(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "nums.parquet"))
     dims = read_dims(spark, ["nums"], str(tmp_path))
