@@ -334,7 +334,8 @@ register(
       WHERE department = '320' AND snapshot_date BETWEEN DATE '2024-01-02' AND DATE '2024-01-30' AND upper(status) <> 'G'
         AND target_price IS NOT NULL AND target_price <> 0 AND balance >= original_acv) x WHERE rn = 1""", ("inventory_daily",),
 )
-_CARRY_BASE = """deltas AS (SELECT *, lag(internet_price) OVER (PARTITION BY vin ORDER BY snapshot_date, event_id) AS previous_price FROM runs),
+_CARRY_BASE = """deltas AS (SELECT *, lag(internet_price) OVER (PARTITION BY vin ORDER BY snapshot_date, event_id) AS previous_price
+    FROM busy WHERE max_changes > 1),
   walk AS (SELECT *, internet_price IS DISTINCT FROM previous_price AS changed,
       coalesce(internet_price IS DISTINCT FROM previous_price AND previous_price - internet_price <> 0, false) AS is_real FROM deltas),
   seg AS (SELECT *, coalesce(sum(CASE WHEN is_real THEN 1 ELSE 0 END) OVER (PARTITION BY vin ORDER BY days_at_price DESC, event_id
@@ -342,7 +343,8 @@ _CARRY_BASE = """deltas AS (SELECT *, lag(internet_price) OVER (PARTITION BY vin
 
 
 def _carry(t):
-    deltas = W.price_deltas(_runs(t), "vin", "internet_price", "snapshot_date", ["event_id"])
+    changes = W.price_changes(_runs(t), "vin", "store_name")
+    deltas = W.price_deltas(changes, "vin", "internet_price", "snapshot_date", ["event_id"])
     return W.carry_last_valid(
         deltas, "vin", "days_at_price", F.col("price_changed"), F.col("discount"), ["event_id"], "carried_days"
     )
@@ -354,7 +356,7 @@ register(
     """SELECT event_id, vin, days_at_price, CASE WHEN is_real THEN coalesce(last_value(CASE WHEN changed AND NOT is_real THEN days_at_price END
         IGNORE NULLS) OVER (PARTITION BY vin, s ORDER BY days_at_price DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
         days_at_price) ELSE days_at_price END AS carried_days FROM seg""",
-    ("inventory_daily",), f"{_RUNS}, {_CARRY_BASE}",
+    ("inventory_daily",), f"{_RUNS}, {_CHANGES}, {_CARRY_BASE}",
 )
 
 # --- buckets, strategy stack -------------------------------------------------------
