@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list:
+    """A text column of an Arrow batch; NULL as empty bytes."""
+    return [b"" if t is None else t for t in batch.column(column).to_pylist()]
+
+
+def lists_of(parts: list[np.ndarray]) -> pa.ListArray:
+    """An Arrow column of 64-bit integer lists."""
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, np.concatenate(parts) if parts else np.empty(0, np.int64))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
