@@ -25,7 +25,7 @@ from .hashing import U, chunks, mix, word_hashes
 
 WORDS, SIMILARITY = 3, 90
 #: Documents of a bucket that are compared with its other members per round; buckets take as many rounds as they need.
-LEADERS = 16
+LEADERS = 64
 
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | U(1)
 
@@ -52,7 +52,12 @@ class SizeClasses:
     """Classes of set sizes such that similar sets lie in the same or in neighbouring classes.
 
     Meeting t joins class t - 1 and class t; ``blocks(t)`` is one more than the n-grams that two of its
-    similar sets can differ in: |A| + |B| - 2 |A and B| <= (|A| + |B|) (1 - s) / (1 + s).
+    similar sets can differ in, |A| + |B| - 2 |A and B| <= (|A| + |B|) (1 - s) / (1 + s), plus ``spare(t)``.
+
+    So similar sets agree on more than ``spare`` blocks, and a set may withhold its ``spare`` weakest ones:
+    of a similar pair, the set that withholds up to the stronger block still offers one of those they agree
+    on, and the other set, which withholds less, offers it too.  Weak are blocks of few n-grams (ties by
+    their signature): those are what dissimilar sets agree on by chance or by a shared passage.
     """
 
     def __init__(self, percent: int, most: int = 1 << 40):
@@ -63,12 +68,18 @@ class SizeClasses:
     def of(self, n: int) -> int:
         return int(np.searchsorted(self.starts, n, side="right")) - 1
 
+    def differing(self, meeting: int) -> int:
+        return 2 * (self.starts[meeting + 1] - 1) * (100 - self.percent) // (100 + self.percent)
+
+    def spare(self, meeting: int) -> int:
+        return (self.differing(meeting) + 1) // 2
+
     def blocks(self, meeting: int) -> int:
-        return 2 * (self.starts[meeting + 1] - 1) * (100 - self.percent) // (100 + self.percent) + 1
+        return self.differing(meeting) + 1 + self.spare(meeting)
 
 
 def block_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
-    """One hash per column block and meeting: of the meeting, the block's number and its n-grams."""
+    """One hash per offered column block and meeting: of the meeting, the block's number and its n-grams."""
     out = []
     own = classes.of(len(grams)) if len(grams) else 0
     sums = np.concatenate(([U(0)], np.cumsum(mix(grams ^ U(0x5851F42D4C957F2D)))))
@@ -78,7 +89,8 @@ def block_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
             limits = (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64)
             cuts = np.concatenate(([0], np.searchsorted(grams, limits), [len(grams)]))
             number = np.arange(n, dtype=np.uint64) + (U(meeting) << U(40))
-            out.append(mix((sums[cuts[1:]] - sums[cuts[:-1]]) ^ mix(number)))
+            signatures = mix((sums[cuts[1:]] - sums[cuts[:-1]]) ^ mix(number))
+            out.append(signatures[np.lexsort((signatures, np.diff(cuts)))[classes.spare(meeting) :]])
     return np.concatenate(out) if out else grams[:0]
 
 

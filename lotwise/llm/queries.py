@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, ngram_join, packing, quality_rules, resharding, url_filter
+from . import exact_dedup, language_id, mixing, ngram_join, packing, quality_rules, resharding, suffix_array, suffix_automaton, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op1_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_automaton.remove_repeats(documents(spark, sf_dir))
+    return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")
 
@@ -45,6 +50,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages).drop("block_probability")
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_array.remove_repeats(documents(spark, sf_dir))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -56,8 +66,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_resharding, op3_quality_rules, op4_ngram_join, op5_language_id, op6_mixing, op7_url_filter, op9_packing,
-        op10_exact_dedup,
+        op1_resharding, op2_suffix_automaton, op3_quality_rules, op4_ngram_join, op5_language_id, op6_mixing, op7_url_filter,
+        op8_suffix_array, op9_packing, op10_exact_dedup,
     )
 }
 
