@@ -201,3 +201,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMIL
     return known.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The rows of ``docs``, all columns, of the documents with the smallest doc_id of their component."""
+    found = jaccard_components(docs, words, percent)
+    others = keep(found.where("doc_id != component_id").select(F.col("doc_id").alias("other_id")), "near-copies")
+    return docs.join(others, F.col("doc_id") == F.col("other_id"), "left_anti")
