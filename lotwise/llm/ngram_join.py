@@ -1,12 +1,11 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
-The columns (n-grams) are cut into blocks by hash, so many per document that two documents similar
-enough must agree on a whole block: with at most d n-grams in one set only, d + 1 blocks leave one
-without a difference.  d, and so the number of blocks, follows from the sizes alone.  Multiplying the
-incidence of documents with the contents of blocks yields the candidate pairs; pairs whose sizes rule
-the similarity out are never formed (documents meet only in size classes next to each other), and the
-overlap of the others is counted exactly over their whole rows.  A shared passage, however frequent,
-makes no candidates, since it would have to fill a block alone.
+Which rows can be similar at all follows from sizes alone.  The columns (n-grams) are cut into ranges by
+hash, so many per document that two similar documents agree on a whole range: with at most d n-grams in
+one set only, d + 1 ranges leave one without a difference.  Documents that agree on a range, directly or
+through others, form a candidate group; a shared passage, however frequent, makes none, since it would
+have to fill a range alone.  Each group's rows of the matrix, in tiles of bounded size, are multiplied
+with their transpose, columns a block at a time, and pairs below the bound for their sizes are dropped.
 """
 
 from __future__ import annotations
@@ -24,8 +23,10 @@ from .components import connected_components
 from .hashing import U, chunks, mix, word_hashes
 
 WORDS, SIMILARITY = 3, 90
-#: Documents of a bucket that are compared with its other members per round; buckets take as many rounds as they need.
-LEADERS = 64
+#: A tile of the product: documents and n-grams on either side, in expectation.
+TILE_DOCUMENTS, TILE_GRAMS = 1024, 1 << 20
+#: Columns of a dense block; an n-gram in fewer documents of a tile is added up pair by pair.
+DENSE_COLUMNS, DENSE_FROM = 2048, 24
 
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | U(1)
 
@@ -51,12 +52,12 @@ def shingle_sets(texts: Sequence[bytes], words: int = WORDS) -> Iterator[np.ndar
 class SizeClasses:
     """Classes of set sizes such that similar sets lie in the same or in neighbouring classes.
 
-    Meeting t joins class t - 1 and class t; ``blocks(t)`` is one more than the n-grams that two of its
+    Meeting t joins class t - 1 and class t; ``ranges(t)`` is one more than the n-grams that two of its
     similar sets can differ in, |A| + |B| - 2 |A and B| <= (|A| + |B|) (1 - s) / (1 + s), plus ``spare(t)``.
 
-    So similar sets agree on more than ``spare`` blocks, and a set may withhold its ``spare`` weakest ones:
-    of a similar pair, the set that withholds up to the stronger block still offers one of those they agree
-    on, and the other set, which withholds less, offers it too.  Weak are blocks of few n-grams (ties by
+    So similar sets agree on more than ``spare`` ranges, and a set may withhold its ``spare`` weakest ones:
+    of a similar pair, the set that withholds up to the stronger range still offers one of those they agree
+    on, and the other set, which withholds less, offers it too.  Weak are ranges of few n-grams (ties by
     their signature): those are what dissimilar sets agree on by chance or by a shared passage.
     """
 
@@ -74,18 +75,18 @@ class SizeClasses:
     def spare(self, meeting: int) -> int:
         return (self.differing(meeting) + 1) // 2
 
-    def blocks(self, meeting: int) -> int:
+    def ranges(self, meeting: int) -> int:
         return self.differing(meeting) + 1 + self.spare(meeting)
 
 
-def block_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
-    """One hash per offered column block and meeting: of the meeting, the block's number and its n-grams."""
+def range_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
+    """One hash per offered column range and meeting: of the meeting, the range's number and its n-grams."""
     out = []
     own = classes.of(len(grams)) if len(grams) else 0
     sums = np.concatenate(([U(0)], np.cumsum(mix(grams ^ U(0x5851F42D4C957F2D)))))
     for meeting in (own, own + 1):
-        n = classes.blocks(meeting)
-        if len(grams) and n > 1:  # with one block only equal sets would meet, which are one class already
+        n = classes.ranges(meeting)
+        if len(grams) and n > 1:  # with one range only equal sets would meet, which are one class already
             limits = (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64)
             cuts = np.concatenate(([0], np.searchsorted(grams, limits), [len(grams)]))
             number = np.arange(n, dtype=np.uint64) + (U(meeting) << U(40))
@@ -95,21 +96,21 @@ def block_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, fingerprint of the set (NULL for an empty one) and its block signatures."""
+    """doc_id, n_shingles, fingerprint of the set (NULL for an empty one) and its range signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
         for batch in batches:
-            sizes, marks, blocks = [], [], []
+            sizes, marks, ranges = [], [], []
             for grams in shingle_sets(texts_of(batch), words):
                 sizes.append(len(grams))
                 marks.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
-                blocks.append(block_signatures(grams, classes).view(np.int64))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), lists_of(blocks)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "mark", "blocks"])
+                ranges.append(range_signatures(grams, classes).view(np.int64))
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), lists_of(ranges)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "mark", "ranges"])
 
     cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return cut.mapInArrow(run, "doc_id long, n_shingles long, mark binary, blocks array<long>")
+    return cut.mapInArrow(run, "doc_id long, n_shingles long, mark binary, ranges array<long>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -124,70 +125,122 @@ def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose exact overlap reaches the bound."""
-    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
-    sizes = F.size("grams_a") + F.size("grams_b")
-    both = F.size(F.array_intersect("grams_a", "grams_b"))
-    return pairs.join(right, "b").join(left, "a").where(100 * both >= percent * (sizes - both)).select("a", "b")
+def overlap_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
+    """Common n-grams of each left and each right row: the product of two sparse 0/1 matrices.
 
-
-def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, links, components).
+    Columns of few entries are added up entry pair by entry pair, the others in dense blocks, so neither
+    many rare nor a few frequent n-grams blow the work up; memory is the result and one block.
+    """
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    sides = []
+    for rows in (left, right):
+        grams = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        order = np.argsort(grams, kind="stable")
+        sides.append((grams[order], owner[order]))
+    (grams_a, rows_a), (grams_b, rows_b) = sides
+    columns = np.intersect1d(grams_a, grams_b)
+    begin_a, end_a = np.searchsorted(grams_a, columns), np.searchsorted(grams_a, columns, side="right")
+    begin_b, end_b = np.searchsorted(grams_b, columns), np.searchsorted(grams_b, columns, side="right")
+    size_a, size_b = end_a - begin_a, end_b - begin_b
+    light = np.flatnonzero(size_a * size_b < DENSE_FROM * DENSE_FROM)
+    for part in np.array_split(light, 1 + int((size_a * size_b)[light].sum()) // (1 << 22)):
+        n = (size_a * size_b)[part]
+        column = np.repeat(part, n)
+        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        x = rows_a[begin_a[column] + k // size_b[column]]
+        y = rows_b[begin_b[column] + k % size_b[column]]
+        cells, counts = np.unique(x * len(right) + y, return_counts=True)
+        out.reshape(-1)[cells] += counts.astype(np.float32)
+    heavy = np.setdiff1d(np.arange(len(columns)), light)
+    for part in (heavy[k : k + DENSE_COLUMNS] for k in range(0, len(heavy), DENSE_COLUMNS)):
+        dense = []
+        for rows, begin, size, height in ((rows_a, begin_a, size_a, len(left)), (rows_b, begin_b, size_b, len(right))):
+            block = np.zeros((height, len(part)), dtype=np.float32)
+            n = size[part]
+            at = np.repeat(begin[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            block[rows[at], np.repeat(np.arange(len(part)), n)] = 1
+            dense.append(block)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _tile_links(left: list, right: list, percent: int) -> Iterator[tuple[int, int]]:
+    """(larger, smaller) ids that connect what the similar pairs of a tile connect; a forest, not all pairs."""
+    (ids_a, rows_a), (ids_b, rows_b) = left, right
+    sizes_a, sizes_b = (np.array([len(r) for r in rows], dtype=np.float64) for rows in (rows_a, rows_b))
+    sums = sizes_a[:, None] + sizes_b[None, :]
+    x, y = np.nonzero(overlap_counts(rows_a, rows_b).astype(np.float64) * (100 + percent) >= percent * sums)
+    ids, at = np.unique(np.concatenate((ids_a, ids_b)), return_inverse=True)
+    x, y = at[x], at[len(ids_a) + y]
+    label = np.arange(len(ids))
+    while True:  # each round takes the least label of the neighbours, then follows labels to their ends
+        new = label.copy()
+        np.minimum.at(new, x, label[y])
+        np.minimum.at(new, y, label[x])
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    linked = np.flatnonzero(label != np.arange(len(ids)))
+    return zip(ids[linked].tolist(), ids[label[linked]].tolist(), strict=True)
+
+
+def _product(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) from (group, id, grams) rows: every similar pair of a group is connected by them.
+
+    Small groups share a tile (numbered below 0), a large one is dealt by hash into as many parts as it needs, and each pair
+    of its parts is a tile.  So no task holds more than two parts, however large the group.
+    """
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("size"))
+    parts = F.ceil(F.greatest(F.col("n") / TILE_DOCUMENTS, F.col("size") / TILE_GRAMS))
+    sizes = keep(sizes.select("group", "n", "size", parts.cast("int").alias("parts")), "group-sizes")
+    small = sizes.where("parts = 1").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
+    cells = 1 + max((small["n"] or 0) // TILE_DOCUMENTS, (small["size"] or 0) // TILE_GRAMS) * 2
+    rows = members.join(sizes.select("group", "parts"), "group")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    shared = rows.where("parts = 1").select((-1 - F.pmod(F.xxhash64("group"), F.lit(cells))).alias("tile"), F.lit(0).alias("low"), F.lit(0).alias("high"), "part", "id", "grams")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    split = rows.where("parts > 1").select(F.col("group").alias("tile"), other.alias("other"), "part", "id", "grams")
+    split = split.select("tile", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "grams")
+
+    def run(tile: pa.Table) -> pa.Table:
+        part, ids = tile.column("part").to_numpy(), tile.column("id").to_numpy()
+        grams = tile.column("grams").combine_chunks()
+        offsets, values = grams.offsets.to_numpy(), grams.values.to_numpy()
+        sides = []
+        for number in (tile.column("low")[0].as_py(), tile.column("high")[0].as_py()):
+            own = np.flatnonzero(part == number)
+            sides.append((ids[own], [values[offsets[k] : offsets[k + 1]] for k in own]))
+        links = list(_tile_links(*sides, percent))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return shared.unionByName(split).groupBy("tile", "low", "high").applyInArrow(run, "a long, b long")
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(documents, links).
 
     documents: doc_id, n_shingles, class_id (smallest doc_id with the same set; NULL for an empty set).
-    links: (a, b) between class ids, enough of them to connect all that link.  components: (node,
-    component) of the class ids that have links.
-
-    Equal sets are one class before anything is paired.  Each bucket compares its smallest member with
-    all others (a star, not all pairs), components are taken, and only buckets that still hold several
-    components go on with their next members, until none does.  So no pair is left out unless its ends
-    are already connected, and a group of k near copies costs about k comparisons.
+    links: (a, b) between class ids, which connect all that link; equal sets are one class before.
     """
     marks = keep(sketches(docs, words, percent), "sketches")
     classes = keep(marks.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("class_id")), "set-classes")
     known = marks.select("doc_id", "n_shingles", "mark").join(classes, "mark", "left").drop("mark")
-    bucket = Window.partitionBy("block")
-    rows = (
-        marks.where(F.size("blocks") > 0)
+    met = (
+        marks.where(F.size("ranges") > 0)
         .join(classes, "mark")
         .where("doc_id = class_id")
-        .select(F.col("class_id").alias("id"), F.explode("blocks").alias("block"))
-        .withColumn("leader", F.min("id").over(bucket))
-        .withColumn("last", F.max("id").over(bucket))
-        .where("leader < last")
+        .select(F.col("class_id").alias("id"), F.explode("ranges").alias("range"))
+        .withColumn("leader", F.min("id").over(Window.partitionBy("range")))
+        .where("leader < id")
+        .select(F.col("id").alias("a"), F.col("leader").alias("b"))
+        .distinct()
     )
-    met = keep(rows.drop("last"), "met")
-    sets = keep(sets_of(docs, met.select("id").distinct(), words), "met-sets")
-    found = met.where("leader < id").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = keep(_overlaps(found, sets, percent), "overlaps")
-    comps = keep(connected_components(links), "components")
-    rest = met.where("leader < id").select("block", "id")
-    while True:
-        named = rest.join(comps, F.col("id") == F.col("node"), "left").select("block", "id", F.coalesce("component", "id").alias("comp"))
-        open_rows = (
-            named.withColumn("low", F.min("comp").over(bucket))
-            .withColumn("high", F.max("comp").over(bucket))
-            .where("low < high")
-            .withColumn("place", F.row_number().over(bucket.orderBy("id")))
-        )
-        open_rows = keep(open_rows.select("block", "id", "comp", "place"), "open")
-        if open_rows.isEmpty():
-            return known, links, comps
-        heads = open_rows.where(F.col("place") <= LEADERS).select("block", F.col("id").alias("a"), F.col("comp").alias("comp_a"))
-        found = (
-            open_rows.select("block", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-            .join(heads, "block")
-            .where("a < b and comp_a != comp_b")
-            .select("a", "b")
-            .distinct()
-        )
-        more = keep(_overlaps(found, sets, percent), "overlaps")
-        links = links.unionByName(more)
-        stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        comps = keep(connected_components(stars.unionByName(more)), "components")
-        rest = open_rows.where(F.col("place") > LEADERS).select("block", "id")
+    groups = keep(connected_components(keep(met, "met")), "groups").withColumnsRenamed({"node": "id", "component": "group"})
+    sets = keep(sets_of(docs, groups.select("id"), words), "sets")
+    return known, keep(_product(groups.join(sets, "id"), percent), "set-links")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> DataFrame:
@@ -197,7 +250,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMIL
     shingles and are linked with nothing.  Rows that repeat a doc_id are one node. A row with
     a NULL doc_id gets the component of its set, or NULL.  Sets are sets of 64-bit hashes.
     """
-    known, _, comps = jaccard_links(docs, words, percent)
+    known, links = jaccard_links(docs, words, percent)
+    comps = keep(connected_components(links), "components")
     return known.join(comps, F.col("class_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class_id", "doc_id").alias("component_id")
     )
