@@ -40,6 +40,7 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
     )
     members = keep(texts.join(groups, "hash").select("doc_id", "hash", "first_id", "norm", sha), "dedup-members")
     first = members.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("hash").agg(F.min("norm").alias("first_norm"))
+    first = keep(first, "dedup-first")  # a join of two shuffles, whose hot key Spark splits
     compared = keep(
         members.join(first, "hash").select(
             "doc_id", "hash", "text_sha256", F.when(F.col("norm") != F.col("first_norm"), F.col("norm")).alias("other")
@@ -51,6 +52,7 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
         .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .withColumnsRenamed({"hash": "class_hash", "other": "class_other"})
     )
+    classes = keep(classes, "dedup-classes")
     same_class = (F.col("hash") == F.col("class_hash")) & F.col("other").eqNullSafe(F.col("class_other"))
     grouped = compared.join(classes, same_class).select("doc_id", "keep_id", "group_size", "text_sha256")
     single = keys.join(groups, "hash", "left_anti").select(
