@@ -60,8 +60,9 @@ def prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in order, and the place of each text's first word (one more at the end)."""
+def word_table(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all words of the texts in order: hashes, and where they start and end in the texts joined by one
+    byte each; and the place of each text's first word (one more at the end)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     word = _IS_WORD[data]
     edge = np.flatnonzero(word[1:] != word[:-1]) + 1
@@ -71,4 +72,10 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sums, down = prefix_sums(data)
     hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
     offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
-    return hashes, np.searchsorted(starts, offsets)
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in order, and the place of each text's first word (one more at the end)."""
+    hashes, _, _, first = word_table(texts)
+    return hashes, first

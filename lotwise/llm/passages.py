@@ -14,23 +14,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import keep, texts_of
-from .hashing import U, chunks, mix, prefix_sums, word_hashes
+from .hashing import U, chunks, mix, prefix_sums, word_table
 
 _FACTORS = mix(np.arange(101, 165, dtype=np.uint64)) | U(1)
 
-#: From the distinct segments of a shard and the smallest doc_id of each: per segment, the smallest doc_id
-#: of each of its windows.
-Index = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
+#: From the distinct segments of a shard, joined, with their sizes and the smallest doc_id of each: the
+#: smallest doc_id of each of their windows, all in one array, and the number of windows of each segment.
+Index = Callable[[bytes, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+#: "Up to the last window" in a span.
+END = -1
 
 
 @dataclass(frozen=True)
 class Units:
-    """How a text is cut: ``grams`` gives the gram hashes at each unit of several texts joined, and where
-    each text's units begin; ``part`` the bytes of a range of units of one text."""
+    """How a text is cut: windows of ``length`` units, anchored by grams of ``gram`` units."""
 
     length: int
     gram: int
@@ -41,38 +44,50 @@ class Units:
         """Grams in a window."""
         return self.length - self.gram + 1
 
-    def grams(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _grams(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Gram hashes at each unit; where units start and end in the texts joined by one byte each; and the
+        place of each text's first unit."""
         if self.words:
-            units, first = word_hashes(texts)
+            units, starts, ends, first = word_table(texts)
             out = np.zeros(max(len(units) - self.gram + 1, 0), dtype=np.uint64)
             for k in range(self.gram):
                 out += units[k : k + len(out)] * _FACTORS[k]
-            return mix(out), first
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+            return mix(out), starts, ends, first
+        data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
         sums, down = prefix_sums(data)
         n = max(len(data) - self.gram + 1, 0)
-        return mix((sums[self.gram : self.gram + n] - sums[:n]) * down[:n]), np.cumsum([0, *map(len, texts)])
+        starts = np.arange(len(data) + 1)  # the byte between two texts counts as a unit that no window holds
+        return mix((sums[self.gram : self.gram + n] - sums[:n]) * down[:n]), starts, starts + 1, np.cumsum([0, *(len(t) + 1 for t in texts)])
 
-    def anchors(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The anchor at each unit (of the window that starts there) and where each text's units begin."""
-        low, first = self.grams(texts)
+    def windows(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all windows of the texts in order: number of the text, place in it, anchor, and where the window
+        starts and ends in the texts joined by one byte each."""
+        low, starts, ends, first = self._grams(texts)
         reach = 1
         while reach < self.span and len(low):
             step = min(reach, self.span - reach)
             low = np.minimum(low[:-step], low[step:]) if len(low) > step else low[:0]
             reach += step
-        return low, first
+        counts = np.maximum(np.diff(first) - self.length + 1 - (not self.words), 0)
+        text = np.repeat(np.arange(len(texts)), counts)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        unit = place + np.repeat(first[:-1], counts)
+        return text, place, low[unit], starts[unit], ends[unit + self.length - 1]
 
-    def cut(self, text: bytes) -> Sequence:
-        return text.split() if self.words else text
 
-    def part(self, units: Sequence, start: int, end: int) -> bytes:
-        return b" ".join(units[start:end]) if self.words else bytes(units[start:end])
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of rows begins that are equal in all columns."""
+    if not len(columns[0]):
+        return np.empty(0, np.int64)
+    changed = np.zeros(len(columns[0]), dtype=bool)
+    changed[0] = True
+    for c in columns:
+        changed[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(changed)
 
 
-def _runs(values: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin."""
-    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
+def _lists(kind: type[pa.Array], sizes: np.ndarray, values) -> pa.Array:
+    return kind.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), values)
 
 
 def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
@@ -80,40 +95,42 @@ def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
         for batch in batches:
             data = texts_of(batch)
             for a, b in chunks(data):
-                anchors, first = units.anchors(data[a:b])
-                counts = np.maximum(np.diff(first) - units.length + 1, 0)
-                doc = np.repeat(np.arange(a, b), counts)
-                at = np.arange(len(doc)) + np.repeat(first[:-1] - (np.cumsum(counts) - counts), counts)
-                values = anchors[at]
-                if len(values):
-                    begin = np.flatnonzero(np.concatenate(([True], (values[1:] != values[:-1]) | (doc[1:] != doc[:-1]))))
-                    columns = [batch.column("doc_id").take(pa.array(doc[begin])), pa.array(values[begin].view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "anchor"])
+                text, _, anchors, _, _ = units.windows(data[a:b])
+                begin = _begins(text, anchors)
+                columns = [batch.column("doc_id").take(pa.array(a + text[begin])), pa.array(anchors[begin].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "anchor"])
 
     return texts.mapInArrow(run, "doc_id long, anchor long")
 
 
 def _segments(texts: DataFrame, units: Units) -> DataFrame:
-    """doc_id, start, content of each run of windows whose anchor is in ``shared``."""
+    """doc_id, start, anchor and bytes of each run of windows whose anchor is in ``shared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, starts, anchors, contents = [], [], [], []
-            for k, (text, shared) in enumerate(zip(texts_of(batch), batch.column("shared"), strict=True)):
-                values, first = units.anchors([text])
-                values = values[: max(int(first[1]) - units.length + 1, 0)]
-                begin = _runs(values)
-                end = np.append(begin[1:], len(values))
-                own = np.isin(values[begin].view(np.int64), shared.values.to_numpy())
-                cut = units.cut(text)
-                for s, e in zip(begin[own].tolist(), end[own].tolist(), strict=True):
-                    of.append(k)
-                    starts.append(s)
-                    contents.append(units.part(cut, s, e + units.length - 1))
-                anchors.append(values[begin[own]].view(np.int64))
-            keys = np.concatenate(anchors) if anchors else np.empty(0, np.int64)
-            columns = [batch.column("doc_id").take(pa.array(of, pa.int64())), pa.array(starts, pa.int64()), pa.array(keys), pa.array(contents, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "anchor", "content"])
+            data = texts_of(batch)
+            shared = batch.column("shared")
+            for a, b in chunks(data):
+                text, place, anchors, starts, ends = units.windows(data[a:b])
+                begin = _begins(text, anchors)
+                last = np.append(begin[1:], len(text)) - 1
+                lists = shared.slice(a, b - a)
+                # One number for (text, anchor): a clash would only add a segment.
+                owner = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
+                pairs = mix(lists.flatten().to_numpy().view(np.uint64) ^ mix(owner.astype(np.uint64)))
+                own = np.isin(mix(anchors[begin] ^ mix(text[begin].astype(np.uint64))), pairs)
+                begin, last = begin[own], last[own]
+                size = ends[last] - starts[begin]
+                at = np.arange(int(size.sum())) + np.repeat(starts[begin] - (np.cumsum(size) - size), size)
+                content = np.frombuffer(b"\n".join(data[a:b]), dtype=np.uint8)[at]
+                offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                columns = [
+                    batch.column("doc_id").take(pa.array(a + text[begin])),
+                    pa.array(place[begin]),
+                    pa.array(anchors[begin].view(np.int64)),
+                    pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(content)]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "anchor", "content"])
 
     return texts.mapInArrow(run, "doc_id long, start long, anchor long, content binary")
 
@@ -125,32 +142,45 @@ def first_documents(segments: DataFrame, index: Index, shard_bytes: int) -> Data
     Equal segments are one row before they reach a shard, so a passage in a third of all documents is
     indexed once.  The number of shards follows the bytes of the distinct segments.
     """
-    distinct = keep(segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("first")), "segments-distinct")
+    distinct = segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
+    distinct = keep(distinct.withColumn("mark", F.unhex(F.md5("content"))), "segments-distinct")
     total = distinct.agg(F.sum(F.octet_length("content")).alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_bytes))
 
     def run(group: pa.Table) -> pa.Table:
-        contents = group.column("content").to_pylist()
-        runs = []
-        for firsts in index(contents, group.column("first").to_numpy()):
-            begin = _runs(firsts)
-            end = np.append(begin[1:], len(firsts)) - 1
-            runs.append([{"low": a, "high": b, "first": f} for a, b, f in zip(begin.tolist(), end.tolist(), firsts[begin].tolist(), strict=True)])
-        kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64()), ("first", pa.int64())]))
-        return pa.table({"content": pa.array(contents, pa.binary()), "runs": pa.array(runs, kind)})
+        group = group.combine_chunks()
+        contents = group.column("content").combine_chunks()
+        sizes = pc.binary_length(contents).to_numpy().astype(np.int64)
+        firsts, windows = index(b"".join(contents.to_pylist()), sizes, group.column("first").to_numpy())
+        segment = np.repeat(np.arange(len(sizes)), windows)
+        begin = _begins(segment, firsts)
+        last = np.append(begin[1:], len(firsts)) - 1
+        before = (np.cumsum(windows) - windows)[segment[begin]]
+        runs = pa.StructArray.from_arrays([pa.array(x) for x in (begin - before, last - before, firsts[begin])], names=["low", "high", "first"])
+        per = np.bincount(segment[begin], minlength=len(sizes))
+        return pa.table({"mark": group.column("mark"), "runs": _lists(pa.ListArray, per, runs)})
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    found = dealt.groupBy("shard").applyInArrow(run, "content binary, runs array<struct<low: long, high: long, first: long>>")
-    return found.select(F.unhex(F.md5("content")).alias("mark"), "runs")
+    return dealt.groupBy("shard").applyInArrow(run, "mark binary, runs array<struct<low: long, high: long, first: long>>")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """doc_id of each document whose whole text a smaller doc_id has (equal in two hashes, MD5 and 64 bits)."""
+    marks = keep(texts.select("doc_id", F.unhex(F.md5("text")).alias("mark"), F.xxhash64("text").alias("more")), "text-marks")
+    groups = marks.groupBy("mark", "more").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    return marks.join(keep(groups, "text-groups"), ["mark", "more"]).where("doc_id > least").select("doc_id").distinct()
 
 
 def repeated_windows(docs: DataFrame, units: Units, index: Index, shard_bytes: int) -> DataFrame:
     """doc_id, spans (low, high): its windows that also start in a document with a smaller doc_id.
 
     ``docs`` has doc_id and text.  Rows with a NULL doc_id take no part.  Only documents with such windows
-    are returned.
+    are returned.  Equal texts are one text, that of the smallest doc_id, before anything is indexed; all
+    windows of the others (span 0 to END) start in it.
     """
-    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
+    texts = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    copies = keep(_copies(texts), "copies")
+    texts = texts.join(copies, "doc_id", "left_anti")
     by_anchor = Window.partitionBy("anchor")
     shared = (
         _all_anchors(texts, units)
@@ -168,13 +198,18 @@ def repeated_windows(docs: DataFrame, units: Units, index: Index, shard_bytes: i
         lambda r: F.struct((F.col("start") + r["low"]).alias("low"), (F.col("start") + r["high"]).alias("high")),
     )
     spans = marked.join(firsts, "mark").select("doc_id", earlier.alias("spans")).where(F.size("spans") > 0)
-    return spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(END).cast("long").alias("high")))
+    return spans.unionByName(copies.select("doc_id", whole.alias("spans")))
 
 
-def covered(spans: list[dict] | None, length: int, n: int) -> np.ndarray:
-    """Which of n units lie in a window that starts in one of the spans."""
+def covered(batch: pa.RecordBatch, at: int, length: int, n: int) -> np.ndarray:
+    """Which of n units of the text in row ``at`` lie in a window that starts in one of its ``spans``."""
+    found = batch.column("spans").slice(at, 1)
     change = np.zeros(n + 1, dtype=np.int64)
-    if spans:
-        np.add.at(change, [s["low"] for s in spans], 1)
-        np.add.at(change, [s["high"] + length for s in spans], -1)
+    if n >= length and not found.is_null()[0].as_py():
+        spans = found.flatten()
+        low, high = (spans.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        np.add.at(change, low, 1)
+        np.add.at(change, np.where(high == END, n - length, high) + length, -1)
     return np.cumsum(change[:n]) > 0

@@ -38,8 +38,6 @@ class SuffixAutomaton:
 
     def _split(self, state: int, symbol: int, to: int) -> int:
         """The state of exactly the substrings that reach ``to`` by ``symbol`` from ``state``."""
-        if self.length[to] == self.length[state] + 1:
-            return to
         clone = self._state(self.length[state] + 1, self.next[to].copy(), self.link[to], self.first[to])
         self.link[to] = clone
         while state >= 0 and self.next[state].get(symbol) == to:
@@ -48,60 +46,75 @@ class SuffixAutomaton:
         return clone
 
     def add(self, symbols: list[int], document: int) -> None:
+        step, link, size, first = self.next, self.link, self.length, self.first
         last = 0
         for symbol in symbols:
-            known = self.next[last].get(symbol)
-            if known is not None:
-                last = self._split(last, symbol, known)
-            else:
-                made, state = self._state(self.length[last] + 1, {}, 0, document), last
-                while state >= 0 and symbol not in self.next[state]:
-                    self.next[state][symbol] = made
-                    state = self.link[state]
-                if state >= 0:
-                    self.link[made] = self._split(state, symbol, self.next[state][symbol])
-                last = made
-            if document < self.first[last]:
-                self.first[last] = document
+            to = step[last].get(symbol)
+            if to is not None:
+                last = to if size[to] == size[last] + 1 else self._split(last, symbol, to)
+                if document < first[last]:
+                    first[last] = document
+                continue
+            made, state = len(size), last
+            step.append({})
+            link.append(0)
+            size.append(size[last] + 1)
+            first.append(document)
+            while state >= 0:
+                steps = step[state]
+                to = steps.get(symbol)
+                if to is not None:
+                    link[made] = to if size[to] == size[state] + 1 else self._split(state, symbol, to)
+                    break
+                steps[symbol] = made
+                state = link[state]
+            last = made
 
     def finish(self) -> None:
         """Carry the smallest documents along the suffix links, longest substrings first."""
+        first, link = self.first, self.link
         for state in np.argsort(-np.array(self.length), kind="stable").tolist()[:-1]:
-            up = self.link[state]
-            if self.first[state] < self.first[up]:
-                self.first[up] = self.first[state]
+            up = link[state]
+            if first[state] < first[up]:
+                first[up] = first[state]
 
-    def matches(self, symbols: list[int], length: int) -> Iterator[tuple[int, int]]:
-        """Matching statistics, cut off at ``length``: per symbol, how many symbols up to it occur in the
-        reference, and the smallest document of that match (for less than ``length``: of its state)."""
+    def matches(self, symbols: list[int], length: int) -> list[int]:
+        """Matching statistics, cut off at ``length``: where the last ``length`` symbols occur in the
+        reference, the smallest document they occur in."""
         step, link, size, first = self.next, self.link, self.length, self.first
-        state, matched = 0, 0
+        state, matched, out = 0, 0, []
         for symbol in symbols:
-            while state and symbol not in step[state]:
+            to = step[state].get(symbol)
+            while to is None and state:
                 state = link[state]
                 matched = size[state]
-            state = step[state].get(symbol, 0)
-            matched = matched + 1 if state else 0
+                to = step[state].get(symbol)
+            if to is None:
+                matched = 0
+                continue
+            state = to
+            matched += 1
             if matched >= length:
                 matched = length
                 while size[link[state]] >= length:
                     state = link[state]
-            yield matched, first[state]
+                out.append(first[state])
+        return out
 
 
 def automaton_index(length: int):
     """First documents of all windows of the segments of a shard (see ``passages.Index``)."""
 
-    def index(contents: list[bytes], firsts: np.ndarray) -> list[np.ndarray]:
+    def index(data: bytes, sizes: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         numbers: dict[bytes, int] = {}
-        symbols = [[numbers.setdefault(w, len(numbers)) for w in c.split(b" ")] for c in contents]
+        ends = np.cumsum(sizes).tolist()
+        symbols = [[numbers.setdefault(w, len(numbers)) for w in data[a:b].split()] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         automaton = SuffixAutomaton()
         for part, document in zip(symbols, firsts.tolist(), strict=True):
             automaton.add(part, document)
         automaton.finish()
-        return [
-            np.fromiter((d for m, d in automaton.matches(part, length) if m == length), dtype=np.int64) for part in symbols
-        ]
+        found = [automaton.matches(part, length) for part in symbols]
+        return np.array([d for part in found for d in part], dtype=np.int64), np.array([len(part) for part in found], dtype=np.int64)
 
     return index
 
@@ -121,9 +134,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, kept = [], [], []
-            for text, found in zip(texts_of(batch), batch.column("spans").to_pylist(), strict=True):
+            for at, text in enumerate(texts_of(batch)):
                 words = text.split()
-                gone = covered(found, length, len(words))
+                gone = covered(batch, at, length, len(words))
                 total.append(len(words))
                 removed.append(int(gone.sum()))
                 kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if removed[-1] else words))
