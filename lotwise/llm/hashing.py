@@ -14,7 +14,7 @@ _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, size=256, dtype=np.uint64)
 #: Bytes of text that are hashed together; a longer text forms a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

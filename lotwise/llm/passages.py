@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, texts_of
+from .base import WHITE, keep, texts_of
 from .hashing import U, chunks, mix, prefix_sums, word_table
 
 _FACTORS = mix(np.arange(101, 165, dtype=np.uint64)) | U(1)
@@ -135,15 +135,44 @@ def _segments(texts: DataFrame, units: Units) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, start long, anchor long, content binary")
 
 
-def first_documents(segments: DataFrame, index: Index, shard_bytes: int) -> DataFrame:
-    """mark (of a distinct segment's content) and runs (low, high, first): its windows low to high first
-    occur in document ``first``.
+def _distinct(segments: DataFrame) -> DataFrame:
+    rows = segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
+    return keep(rows.withColumn("mark", F.unhex(F.md5("content"))), "segments-distinct")
+
+
+def _single_windows(segments: DataFrame, units: Units) -> DataFrame:
+    """The windows of each segment as segments of their own, with a hash of the whole window as anchor."""
+    if units.words:
+        words = F.array_remove(F.split(F.col("content").cast("string"), WHITE), "")
+        parts = segments.withColumn("words", words).withColumn("k", F.explode(F.sequence(F.lit(0), F.size("words") - units.length)))
+        content = F.array_join(F.slice("words", F.col("k") + 1, units.length), " ").cast("binary")
+    else:
+        parts = segments.withColumn("k", F.explode(F.sequence(F.lit(0), F.octet_length("content") - units.length)))
+        content = F.substring("content", F.col("k") + 1, F.lit(units.length))
+    cut = parts.select("doc_id", (F.col("start") + F.col("k")).alias("start"), content.alias("content"))
+    return cut.select("doc_id", "start", F.xxhash64("content").alias("anchor"), "content")
+
+
+def spread(segments: DataFrame, units: Units, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(segments, distinct segments with their smallest document) without an anchor that outgrows a shard.
 
     Equal segments are one row before they reach a shard, so a passage in a third of all documents is
-    indexed once.  The number of shards follows the bytes of the distinct segments.
+    indexed once.  An anchor with more than ``shard_bytes`` of distinct segments (a frequent gram that many
+    different windows share) is cut into single windows, which a hash of the whole window deals evenly.
     """
-    distinct = segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
-    distinct = keep(distinct.withColumn("mark", F.unhex(F.md5("content"))), "segments-distinct")
+    distinct = _distinct(segments)
+    sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("n"))
+    hot = keep(sizes.where(F.col("n") > shard_bytes).select("anchor"), "hot-anchors")
+    if hot.isEmpty():
+        return segments, distinct
+    cut = keep(_single_windows(segments.join(hot, "anchor", "left_semi"), units), "single-windows")
+    rest = distinct.join(hot, "anchor", "left_anti")
+    return segments.join(hot, "anchor", "left_anti").unionByName(cut), rest.unionByName(_distinct(cut))
+
+
+def first_documents(distinct: DataFrame, index: Index, shard_bytes: int) -> DataFrame:
+    """mark (of a distinct segment's content) and runs (low, high, first): its windows low to high first
+    occur in document ``first``.  The number of shards follows the bytes of the distinct segments."""
     total = distinct.agg(F.sum(F.octet_length("content")).alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_bytes))
 
@@ -191,7 +220,8 @@ def repeated_windows(docs: DataFrame, units: Units, index: Index, shard_bytes: i
     )
     shared = keep(shared, "anchors").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     segments = keep(_segments(texts.join(shared, "doc_id"), units), "segments")
-    firsts = keep(first_documents(segments, index, shard_bytes), "segment-runs")
+    segments, distinct = spread(segments, units, shard_bytes)
+    firsts = keep(first_documents(distinct, index, shard_bytes), "segment-runs")
     marked = segments.select("doc_id", "start", F.unhex(F.md5("content")).alias("mark"))
     earlier = F.transform(
         F.filter("runs", lambda r: r["first"] < F.col("doc_id")),

@@ -18,7 +18,7 @@ from .base import keep, texts_of
 from .passages import Units, covered, repeated_windows
 
 #: Words of a window; words of the grams that anchor it; bytes of distinct passages in an automaton.
-LENGTH, GRAM, SHARD_BYTES = 13, 5, 1 << 20
+LENGTH, GRAM, SHARD_BYTES = 13, 5, 1 << 19
 
 
 class SuffixAutomaton:
