@@ -66,6 +66,6 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id stays."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    """The rows of ``docs``, all columns, without those whose doc_id goes; rows with a NULL doc_id stay."""
+    gone = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(keep(gone, "dedup-gone"), F.col("doc_id") == F.col("gone_id"), "left_anti")

@@ -27,7 +27,7 @@ STEPS, SMOOTHING, UNKNOWN = 2, 0.1, 1e-8
 #: A run of more letters is scored as several words.
 LONGEST = 32
 #: Word scores that a worker keeps; others are computed again when they return.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 UNDECIDED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
@@ -191,9 +191,9 @@ def predict(docs: DataFrame, langs: list[str], names: list[str], table: np.ndarr
         pieces = Pieces(names, table)
         place, scores = memory.setdefault("place", {}), memory.setdefault("scores", np.zeros((REMEMBERED, max(len(known), 1))))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a in range(0, len(texts), 256):
-                part = [Counter(words_of(t)) if t and known else Counter() for t in texts[a : a + 256]]
+            for a in range(0, batch.num_rows, 256):
+                texts = batch.column("text").slice(a, 256).to_pylist()
+                part = [Counter(words_of(t)) if t and known else Counter() for t in texts]
                 new = list(dict.fromkeys(w for counts in part for w in counts if w not in place))
                 fresh = pieces.log_probability(new) if new else scores[:0]
                 room = min(len(new), REMEMBERED - len(place))

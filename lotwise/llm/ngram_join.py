@@ -95,22 +95,38 @@ def range_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
     return np.concatenate(out) if out else grams[:0]
 
 
-def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, fingerprint of the set (NULL for an empty one) and its range signatures."""
+def set_marks(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n_shingles and a fingerprint of the set (NULL for an empty one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = SizeClasses(percent)
         for batch in batches:
-            sizes, marks, ranges = [], [], []
+            sizes, marks = [], []
             for grams in shingle_sets(texts_of(batch), words):
                 sizes.append(len(grams))
                 marks.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
-                ranges.append(range_signatures(grams, classes).view(np.int64))
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), lists_of(ranges)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "mark", "ranges"])
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "mark"])
+
+    cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return cut.mapInArrow(run, "doc_id long, n_shingles long, mark binary")
+
+
+def offered_ranges(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """range, id: a row for each range signature that a document offers.  They go straight into a shuffle;
+    hashing the texts a second time costs less than keeping them on disk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = SizeClasses(percent)
+        for batch in batches:
+            texts = texts_of(batch)
+            for a in range(0, len(texts), 512):
+                parts = [range_signatures(grams, classes) for grams in shingle_sets(texts[a : a + 512], words)]
+                of = np.repeat(np.arange(a, a + len(parts)), [len(p) for p in parts])
+                columns = [pa.array(np.concatenate(parts).view(np.int64)), batch.column("doc_id").take(pa.array(of))]
+                yield pa.RecordBatch.from_arrays(columns, names=["range", "id"])
 
     cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return cut.mapInArrow(run, "doc_id long, n_shingles long, mark binary, ranges array<long>")
+    return cut.mapInArrow(run, "range long, id long")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -225,14 +241,12 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY
     documents: doc_id, n_shingles, class_id (smallest doc_id with the same set; NULL for an empty set).
     links: (a, b) between class ids, which connect all that link; equal sets are one class before.
     """
-    marks = keep(sketches(docs, words, percent), "sketches")
+    marks = keep(set_marks(docs, words), "set-marks")
     classes = keep(marks.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("class_id")), "set-classes")
-    known = marks.select("doc_id", "n_shingles", "mark").join(classes, "mark", "left").drop("mark")
+    known = keep(marks.join(classes, "mark", "left").drop("mark"), "set-members")
+    copies = keep(known.where("doc_id is not null and doc_id != class_id").select("doc_id").distinct(), "set-copies")
     met = (
-        marks.where(F.size("ranges") > 0)
-        .join(classes, "mark")
-        .where("doc_id = class_id")
-        .select(F.col("class_id").alias("id"), F.explode("ranges").alias("range"))
+        offered_ranges(docs.where("doc_id is not null").join(copies, "doc_id", "left_anti"), words, percent)
         .withColumn("leader", F.min("id").over(Window.partitionBy("range")))
         .where("leader < id")
         .select(F.col("id").alias("a"), F.col("leader").alias("b"))
