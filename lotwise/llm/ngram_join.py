@@ -129,16 +129,18 @@ def offered_ranges(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return cut.mapInArrow(run, "range long, id long")
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """id, grams: the whole incidence rows of the documents in ``ids`` (id)."""
+def with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``members`` (id and int or long columns) with grams, the whole incidence rows of their documents."""
+    carried = members.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = lists_of([g.view(np.int64) for g in shingle_sets(texts_of(batch), words)])
-            yield pa.RecordBatch.from_arrays([batch.column("id"), grams], names=["id", "grams"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), grams], names=[*carried, "grams"])
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(ids, F.col("doc_id") == F.col("id"))
-    return texts.select("id", "text").mapInArrow(run, "id long, grams array<long>")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(members, F.col("doc_id") == F.col("id"))
+    fields = ", ".join(f"{c} {t}" for c, t in members.dtypes)
+    return texts.select(*carried, "text").mapInArrow(run, f"{fields}, grams array<long>")
 
 
 def overlap_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
@@ -203,23 +205,26 @@ def _tile_links(left: list, right: list, percent: int) -> Iterator[tuple[int, in
     return zip(ids[linked].tolist(), ids[label[linked]].tolist(), strict=True)
 
 
-def _product(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) from (group, id, grams) rows: every similar pair of a group is connected by them.
+def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) from (id, group, n_shingles) rows: every similar pair of a group is connected by them.
 
-    Small groups share a tile (numbered below 0), a large one is dealt by hash into as many parts as it needs, and each pair
-    of its parts is a tile.  So no task holds more than two parts, however large the group.
+    Small groups share a tile (numbered below 0), a large one is dealt by hash into as many parts as it
+    needs, and each pair of its parts is a tile.  So no task holds more than two parts, however large the
+    group.  Tiles are known from the sizes before any text is read, and n-grams are shuffled once.
     """
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("size"))
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
     parts = F.ceil(F.greatest(F.col("n") / TILE_DOCUMENTS, F.col("size") / TILE_GRAMS))
-    sizes = keep(sizes.select("group", "n", "size", parts.cast("int").alias("parts")), "group-sizes")
+    sizes = keep(sizes.withColumn("parts", parts.cast("int")), "group-sizes")
     small = sizes.where("parts = 1").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
     cells = 1 + max((small["n"] or 0) // TILE_DOCUMENTS, (small["size"] or 0) // TILE_GRAMS) * 2
-    rows = members.join(sizes.select("group", "parts"), "group")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    shared = rows.where("parts = 1").select((-1 - F.pmod(F.xxhash64("group"), F.lit(cells))).alias("tile"), F.lit(0).alias("low"), F.lit(0).alias("high"), "part", "id", "grams")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    split = rows.where("parts > 1").select(F.col("group").alias("tile"), other.alias("other"), "part", "id", "grams")
-    split = split.select("tile", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "grams")
+    dealt = members.join(sizes.select("group", "parts"), "group").select(
+        "id",
+        F.when(F.col("parts") > 1, F.col("group")).otherwise(-1 - F.pmod(F.xxhash64("group"), F.lit(cells))).alias("tile"),
+        F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
+        "parts",
+    )
+    rows = with_grams(docs, keep(dealt, "dealt"), words).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("tile", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "grams")
 
     def run(tile: pa.Table) -> pa.Table:
         part, ids = tile.column("part").to_numpy(), tile.column("id").to_numpy()
@@ -232,7 +237,7 @@ def _product(members: DataFrame, percent: int) -> DataFrame:
         links = list(_tile_links(*sides, percent))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return shared.unionByName(split).groupBy("tile", "low", "high").applyInArrow(run, "a long, b long")
+    return rows.groupBy("tile", "low", "high").applyInArrow(run, "a long, b long")
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -252,9 +257,10 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY
         .select(F.col("id").alias("a"), F.col("leader").alias("b"))
         .distinct()
     )
-    groups = keep(connected_components(keep(met, "met")), "groups").withColumnsRenamed({"node": "id", "component": "group"})
-    sets = keep(sets_of(docs, groups.select("id"), words), "sets")
-    return known, keep(_product(groups.join(sets, "id"), percent), "set-links")
+    groups = connected_components(keep(met, "met")).withColumnsRenamed({"node": "id", "component": "group"})
+    sizes = known.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.max("n_shingles").alias("n_shingles"))
+    members = keep(groups.join(sizes, "id"), "groups")
+    return known, keep(_product(docs, members, words, percent), "set-links")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> DataFrame:
