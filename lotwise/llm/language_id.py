@@ -118,13 +118,14 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: dict[str, Counter] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(words_of(text))
-            rows = [(lang, w, n) for lang, counter in found.items() for w, n in counter.items()]
-            columns = list(zip(*rows, strict=True)) if rows else [[], [], []]
-            kinds = (pa.string(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "word", "n"])
+            for part in (batch.slice(a, 256) for a in range(0, batch.num_rows, 256)):
+                found: dict[str, Counter] = {}
+                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    found.setdefault(lang, Counter()).update(words_of(text))
+                langs = [lang for lang, counter in found.items() for _ in counter]
+                words, n = [w for c in found.values() for w in c], [n for c in found.values() for n in c.values()]
+                columns = [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
 
     return labelled.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 

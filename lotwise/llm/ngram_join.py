@@ -24,9 +24,11 @@ from .hashing import U, chunks, mix, word_hashes
 
 WORDS, SIMILARITY = 3, 90
 #: A tile of the product: documents and n-grams on either side, in expectation.
-TILE_DOCUMENTS, TILE_GRAMS = 1024, 1 << 20
+TILE_DOCUMENTS, TILE_GRAMS = 1024, 1 << 19
 #: Columns of a dense block; an n-gram in fewer documents of a tile is added up pair by pair.
 DENSE_COLUMNS, DENSE_FROM = 2048, 24
+#: Entry pairs that are added up at once.
+PAIRS = 1 << 19
 
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | U(1)
 
@@ -162,7 +164,7 @@ def overlap_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> n
     begin_b, end_b = np.searchsorted(grams_b, columns), np.searchsorted(grams_b, columns, side="right")
     size_a, size_b = end_a - begin_a, end_b - begin_b
     light = np.flatnonzero(size_a * size_b < DENSE_FROM * DENSE_FROM)
-    for part in np.array_split(light, 1 + int((size_a * size_b)[light].sum()) // (1 << 22)):
+    for part in np.array_split(light, 1 + int((size_a * size_b)[light].sum()) // PAIRS):
         n = (size_a * size_b)[part]
         column = np.repeat(part, n)
         k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
