@@ -107,7 +107,8 @@ def exclude_seen(df: DataFrame, previous: DataFrame, key: str) -> DataFrame:
 
 
 def split_credit(df: DataFrame, first: str, second: str, measure: str, out: str) -> DataFrame:
-    """One row per associate: full credit alone, half each for a pair.  Totals are preserved."""
+    """One row per associate: full credit alone, half each for a pair.  A row without the name it credits is
+    left out, so totals are preserved where the first name is known."""
     pair = F.array(
         F.struct(F.col(first).alias("who"), F.lit(0.5).alias("part")),
         F.struct(F.col(second).alias("who"), F.lit(0.5).alias("part")),
@@ -116,6 +117,7 @@ def split_credit(df: DataFrame, first: str, second: str, measure: str, out: str)
     return (
         df.withColumn("_credit", F.explode(F.when(F.col(second).isNotNull(), pair).otherwise(alone)))
         .withColumn(out, F.col("_credit.who"))
+        .where(F.col(out).isNotNull())
         .withColumn(measure, F.col(measure) * F.col("_credit.part"))
         .drop("_credit", first, second)
     )

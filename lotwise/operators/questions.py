@@ -24,7 +24,7 @@ SMALL_CATALOGUE = 200
 def first_name(text: Column, names: DataFrame, limit: int = SMALL_CATALOGUE) -> Column | None:
     """The first catalogue name in the text as one CASE, if the catalogue has at most ``limit``
     names; None when it is larger.  At most ``limit`` + 1 names come to the driver."""
-    rows = names.select("name", "position").orderBy("position", "name").limit(limit + 1).collect()
+    rows = names.where("name is not null").select("name", "position").orderBy("position", "name").limit(limit + 1).collect()
     if len(rows) > limit:
         return None
     chain = F
@@ -51,7 +51,7 @@ def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str
             )
             for kind, frame in catalogues.items()
         ],
-    )
+    ).where("_name is not null")
     sizes = names.agg(F.sort_array(F.collect_set(F.length("_piece")))).scalar()
     cut = (
         texts.select(key, F.col(text).alias("_text"))

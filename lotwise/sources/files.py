@@ -14,12 +14,16 @@ from ..session import shared_dir
 
 def read_delimited(
     spark: SparkSession, path: str | list[str], schema: str | T.StructType, sep: str = ",", quote: str = '"',
-    encoding: str = "UTF-8", header: bool = True,
+    encoding: str = "UTF-8", header: bool = True, multi_line: bool = False,
 ) -> DataFrame:
-    """Typed read without inference; pass an all-string schema for the text mode."""
+    """Typed read without inference; pass an all-string schema for the text mode.
+
+    A doubled quote inside a quoted cell is one quote.  ``multi_line`` reads quoted line breaks; such
+    files are not split, so leave it off where no cell has one.
+    """
     return (
         spark.read.schema(schema)
-        .options(header=str(header).lower(), sep=sep, quote=quote, encoding=encoding)
+        .options(header=str(header).lower(), sep=sep, quote=quote, escape=quote, encoding=encoding, multiLine=multi_line)
         .csv(path)
     )
 
@@ -51,14 +55,17 @@ def latest_file(
     return files.agg(F.max_by("path", F.struct("modified", "path"))).first()[0]
 
 
-def append_csv(spark: SparkSession, path: str, schema: str, table_path: str, header: bool = True) -> int:
+def append_csv(
+    spark: SparkSession, path: str, schema: str, table_path: str, header: bool = True, multi_line: bool = False
+) -> int:
     """Append the readable rows of a file and report how many; broken rows are skipped.
 
-    The count rides along with the write instead of a second pass.
+    The count rides along with the write instead of a second pass.  Cells are quoted as in
+    :func:`read_delimited`; :func:`rejected_rows` returns what is skipped here.
     """
     rows = (
         spark.read.schema(schema)
-        .options(header=str(header).lower(), mode="DROPMALFORMED", quote='"')
+        .options(header=str(header).lower(), mode="DROPMALFORMED", quote='"', escape='"', multiLine=multi_line)
         .csv(path)
     )
     seen = Observation("append_csv")
@@ -66,6 +73,39 @@ def append_csv(spark: SparkSession, path: str, schema: str, table_path: str, hea
     return seen.get["rows"]
 
 
+def rejected_rows(spark: SparkSession, path: str, schema: str, header: bool = True, multi_line: bool = False) -> DataFrame:
+    """(file_path, line) of the rows that :func:`append_csv` cannot read."""
+    marked = T.StructType.fromDDL(schema).add("_line", T.StringType())
+    rows = (
+        spark.read.schema(marked)
+        .options(header=str(header).lower(), mode="PERMISSIVE", quote='"', escape='"', multiLine=multi_line)
+        .option("columnNameOfCorruptRecord", "_line")
+        .csv(path)
+    )
+    # All columns take part, or the parser would not read the cells that are broken.
+    cells = F.concat_ws("", *[F.col(f"`{c}`").cast("string") for c in rows.columns if c != "_line"])
+    return rows.where(F.col("_line").isNotNull() & (F.length(cells) >= 0)).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_line").alias("line")
+    )
+
+
+def append_csv_once(spark: SparkSession, path: str, schema: str, table_path: str, header: bool = True, multi_line: bool = False) -> int:
+    """:func:`append_csv` that may be repeated: each file has its own partition ``source_file`` of the table,
+    which a second load of the file replaces."""
+    rows = (
+        spark.read.schema(schema)
+        .options(header=str(header).lower(), mode="DROPMALFORMED", quote='"', escape='"', multiLine=multi_line)
+        .csv(path)
+    )
+    columns = rows.columns
+    # The file's own name alone would let two folders' files replace each other.
+    source = F.concat_ws("-", F.xxhash64(F.col("_metadata.file_path")), F.col("_metadata.file_name"))
+    seen = Observation("append_csv_once")
+    rows = rows.select(*columns, source.alias("source_file")).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(table_path)
+    return seen.get["rows"]
+
+
 def _located_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
     """Text lines with file and position.  Files are split as usual: inside a split rows keep
     their order, and splits are ordered by their start."""
@@ -127,7 +167,7 @@ def combine_tenant_files(
     width = facts["width"] or 1
     cells_schema = ", ".join(f"c{i} string" for i in range(width))
     # One parse per line: the struct is a column of its own before its fields become an array.
-    as_row = lambda c: F.from_csv(c, cells_schema)
+    as_row = lambda c: F.from_csv(c, cells_schema, {"escape": '"'})
     as_array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
     names = F.transform(as_array, lambda name: F.trim(name))
     places = F.array(*[F.nullif(F.array_position(names, c), F.lit(0)).cast("int") for c in columns])

@@ -21,18 +21,29 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str], writers: int = 32) -> None:
     """Replace only the partitions present in ``df``; the same input gives the same table.
-    Rows are gathered per partition value plus a hash, so a big period is written by many tasks."""
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(32)))
+    Rows are gathered per partition value plus a hash, so a big period is written by up to ``writers`` tasks."""
+    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(writers)))
     spread.repartition(*keys, "_salt").drop("_salt").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*keys).parquet(path)
 
 
 def archive_snapshot(df: DataFrame, root: str, as_of: date, if_absent: bool = True) -> None:
-    """Dated copy ``root/as_of=YYYY-MM-DD``, written once per day unless told to replace it."""
-    df.write.mode("ignore" if if_absent else "overwrite").parquet(f"{root}/as_of={as_of.isoformat()}")
+    """Dated copy ``root/as_of=YYYY-MM-DD``, written once per day unless told to replace it.
+
+    A day is there when its success marker is; one that a crash left half-written is written again.
+    """
+    path = f"{root}/as_of={as_of.isoformat()}"
+    if not (if_absent and _is_complete(df.sparkSession, path)):
+        df.write.mode("overwrite").parquet(path)
+
+
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def read_archive(spark: SparkSession, root: str) -> DataFrame | None:

@@ -148,3 +148,16 @@ def test_text(spark):
     assert one(spark, [(" a ", None, 3)], "x string, y string, z int", T.composite_key(F.col("x"), F.col("y"), F.col("z"))) == ["a3"]
     df = T.normalize_headers(spark.createDataFrame([(1, 2)], [" a b", "C"]))
     assert df.columns == ["A B", "C"]
+
+
+def test_references_resolve_before_tags_go(spark):
+    cells = ["&lt;b&gt;x&lt;/b&gt;", "caf&eacute; &#8217;&#x1F600;&rsquo;", "&unknown; &#0; a & b;", "&amp;eacute;", "a&nbsp;b", None]
+    want = ["x", "café \u2019\U0001f600\u2019", "&unknown; &#0; a & b;", "&eacute;", "a b", None]
+    assert one(spark, [(c,) for c in cells], "s string", T.clean_html(F.col("s"), ", ")) == want
+
+
+def test_long_ids_keep_their_digits(spark):
+    cells = ["12345678901234567", "12345678901234567.0", "99999999999999999999", "12.5", "x1"]
+    assert one(spark, [(c,) for c in cells], "s string", T.id_cleanup(F.col("s"))) == [
+        "12345678901234567", "12345678901234567", "99999999999999999999", "12", "x1",
+    ]

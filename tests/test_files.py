@@ -136,3 +136,48 @@ def test_tables(spark, tmp_path):
     frames = run_queries({"big": lambda: dims["nums"].filter("id > 0")}, register=True)
     assert frames["big"].count() == spark.table("big").count() == 2
     assert select_rename(spark.createDataFrame([(1, 2)], "a int, b int"), {"a": "x"}, ["b"]).columns == ["b", "x"]
+
+
+QUOTED = 'k,v,z\n1,"say ""hi"", ok",x\nbad,b,y\n2,"two\nlines",w\n'
+
+
+def test_doubled_quotes_and_line_breaks(spark, rows, tmp_path):
+    path = write(tmp_path / "in.csv", QUOTED)
+    schema = "k int, v string, z string"
+    want = [(1, 'say "hi", ok', "x"), (2, "two\nlines", "w"), (None, "b", "y")]
+    assert rows(FS.read_delimited(spark, path, schema, multi_line=True)) == want
+    assert FS.append_csv(spark, path, schema, str(tmp_path / "table"), multi_line=True) == 2
+    assert rows(spark.read.parquet(str(tmp_path / "table"))) == want[:2]
+    rejected = FS.rejected_rows(spark, path, schema, multi_line=True)
+    assert [r["line"] for r in rejected.collect()] == ["bad,b,y"] and rejected.count() == 1
+
+
+def test_append_once(spark, rows, tmp_path):
+    path, target = write(tmp_path / "in.csv", "k,v\n1,a\n2,b\n"), str(tmp_path / "table")
+    other = write(tmp_path / "more.csv", "k,v\n3,c\n")
+    for p, n in ((path, 2), (other, 1), (path, 2)):
+        assert FS.append_csv_once(spark, p, "k int, v string", target) == n
+    assert rows(spark.read.parquet(target), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_stream_late_files(spark, rows, tmp_path):
+    """A file that arrives later but is older: it fills its own period and overwrites none, however old it is."""
+    folder, table, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    os.mkdir(folder)
+    for age, name, text in ((0, "new", "2025,1,1\n"), (2, "late", "2025,1,9\n2025,2,9\n"), (30, "older", "2025,2,7\n2025,3,7\n")):
+        write(tmp_path / "in" / f"{name}.csv", "year,month,v\n" + text)
+        then = time.time() - age * 86_400
+        os.utime(tmp_path / "in" / f"{name}.csv", (then, then))
+        ingest_new_files(spark, folder, "year int, month int, v int", table, progress, ["year", "month"])
+    assert rows(spark.read.parquet(table), "year", "month", "v") == [(2025, 1, 1), (2025, 2, 9), (2025, 3, 7)]
+
+
+def test_half_written_archive_is_repaired(spark, rows, tmp_path):
+    from datetime import date
+
+    from lotwise.sources import sinks
+
+    os.makedirs(tmp_path / "as_of=2025-01-01" / "_temporary")
+    for value in (1, 2):
+        sinks.archive_snapshot(spark.createDataFrame([(value,)], "v int"), str(tmp_path), date(2025, 1, 1))
+    assert rows(spark.read.parquet(str(tmp_path / "as_of=2025-01-01"))) == [(1,)]

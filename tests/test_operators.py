@@ -305,3 +305,8 @@ def test_market_cubes(spark, rows):
     ytd = MK.ytd_cube(sales, as_of)
     assert ("Competition", "YTDFeb", 2025, 10) in rows(ytd, "store_num", "time", "year", "ytd_sales")
     assert ("S1", "YTDMar", 2025, 30, 0.6) in rows(ytd, "store_num", "time", "year", "ytd_sales", "share_pct")
+
+
+def test_split_credit_without_first_name(spark, rows):
+    df = spark.createDataFrame([(None, "b", 4.0), (None, None, 2.0), ("a", "b", 1.0)], "a1 string, a2 string, n double")
+    assert rows(MT.split_credit(df, "a1", "a2", "n", "who"), "who", "n") == [("a", 0.5), ("b", 0.5), ("b", 2.0)]
