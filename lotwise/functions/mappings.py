@@ -98,7 +98,7 @@ SOURCE_LABELS = {
 
 # Source of a sold unit.  A source name starting with the direct-channel
 # prefix counts as the direct channel whatever its type says.
-DIRECT_PREFIX, DIRECT_SOURCE = "From 2090", "CAAD"
+DIRECT_PREFIX, DIRECT_SOURCE = "From direct desk", "CAAD"
 SALE_SOURCES = {
     "ExLoaner": ("ACTIVE LOANER", "ACTIVELOANER", "RETIREDLOANER", "MANUFACTURER"),
     "Auction": ("AUCTION", "CAAD", "RENTAL-CO"),
@@ -132,10 +132,10 @@ PLAN_CODES = {
 VOI_GROUPS = ("TRADE OFFER (VOI)", "RANGE TRADE (VOI)")
 SELL_GROUPS = ("SELL ONLY", "RANGE - SELL ONLY")
 SHOWROOM_PROVIDER = "WBYC-SHOWROOM"
-SELL_ONLY_LEAD, NON_PROGRAM_LEAD, OTHER_LEAD = "AN.COM SELL ONLY LEAD", "NON-WBYC LEAD", "WBYC-OTHER"
+SELL_ONLY_LEAD, NON_PROGRAM_LEAD, OTHER_LEAD = "OWN SITE SELL ONLY LEAD", "NON-WBYC LEAD", "WBYC-OTHER"
 CASH_OFFER = "KBB INSTANT CASH OFFER"
 PARTNER_PROVIDER, PARTNER_SUBPROVIDER, PARTNER_LEAD = "Cargurus", "Sell my car", "CARGURUS-Sell My Car"
-SUBPROVIDER_LABELS = {"WBYC Sell Only": "WBYC-AN.com", "Dealer Website – WBYC": "WBYC-OEM Sites"}
+SUBPROVIDER_LABELS = {"WBYC Sell Only": "WBYC-Own site", "Dealer Website – WBYC": "WBYC-OEM Sites"}
 
 # Fuel types.
 ELECTRIC_FUEL = "Electric Fuel System"

@@ -35,6 +35,7 @@ def register(
     """``spec`` fixes the output columns of both sides; without ``sql`` only rows are checked."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        R.forget()
         return R.finish(build(Tables(spark, sf_dir)), spec)
 
     QUERIES[name] = run

@@ -110,12 +110,12 @@ register(
         "reporting_group", C.lead_group(F.col("lead_group"), F.col("provider_name"), F.col("subprovider_name"))
     ).withColumn("reporting_subgroup", C.lead_subgroup(F.col("lead_group"), F.col("subprovider_name")))
     .withColumn("final_group", C.lead_final(F.col("reporting_group"))),
-    """SELECT *, CASE WHEN reporting_group IN ('AN.COM SELL ONLY LEAD', 'KBB INSTANT CASH OFFER') THEN reporting_group ELSE 'WBYC-OTHER' END AS final_group
+    """SELECT *, CASE WHEN reporting_group IN ('OWN SITE SELL ONLY LEAD', 'KBB INSTANT CASH OFFER') THEN reporting_group ELSE 'WBYC-OTHER' END AS final_group
     FROM (SELECT *, CASE WHEN lead_group LIKE '%(VOI)' THEN 'NON-WBYC LEAD'
-        WHEN lead_group LIKE '%SELL ONLY' AND upper(provider_name) <> 'WBYC-SHOWROOM' THEN 'AN.COM SELL ONLY LEAD'
+        WHEN lead_group LIKE '%SELL ONLY' AND upper(provider_name) <> 'WBYC-SHOWROOM' THEN 'OWN SITE SELL ONLY LEAD'
         WHEN subprovider_name = 'Sell my car' AND provider_name = 'Cargurus' THEN 'CARGURUS-Sell My Car'
         WHEN lead_group = 'UNKNOWN' THEN 'NON-WBYC LEAD' ELSE lead_group END AS reporting_group,
-      CASE WHEN lead_group LIKE '%SELL ONLY' THEN CASE subprovider_name WHEN 'WBYC Sell Only' THEN 'WBYC-AN.com'
+      CASE WHEN lead_group LIKE '%SELL ONLY' THEN CASE subprovider_name WHEN 'WBYC Sell Only' THEN 'WBYC-Own site'
         WHEN 'Dealer Website – WBYC' THEN 'WBYC-OEM Sites' END END AS reporting_subgroup FROM enriched) x""", _LEAD_ROLES, _ENRICHED,
 )
 register(
@@ -178,10 +178,10 @@ register(
     "lead_acquisition_stack", "year:i month:i vin reporting_group lead_count:i acquisitions:i acquisition_count:i reporting_group_final",
     lambda t: L.lead_acquisition_stack(_enriched(t), _acquired(t), EVENT_AS_OF, MARKETS),
     f"""SELECT year, month, vin, g AS reporting_group, lead_count, acquisitions, acquisition_count,
-      CASE WHEN g IN ('AN.COM SELL ONLY LEAD', 'KBB INSTANT CASH OFFER') THEN g ELSE 'WBYC-OTHER' END AS reporting_group_final FROM (
+      CASE WHEN g IN ('OWN SITE SELL ONLY LEAD', 'KBB INSTANT CASH OFFER') THEN g ELSE 'WBYC-OTHER' END AS reporting_group_final FROM (
       SELECT year(activity_date) AS year, month(activity_date) AS month, vin, region_name, market_name, store_id, manufacturer_name, associate_1,
         associate_2, CASE WHEN lead_group LIKE '%(VOI)' THEN 'NON-WBYC LEAD'
-          WHEN lead_group LIKE '%SELL ONLY' AND upper(provider_name) <> 'WBYC-SHOWROOM' THEN 'AN.COM SELL ONLY LEAD'
+          WHEN lead_group LIKE '%SELL ONLY' AND upper(provider_name) <> 'WBYC-SHOWROOM' THEN 'OWN SITE SELL ONLY LEAD'
           WHEN subprovider_name = 'Sell my car' AND provider_name = 'Cargurus' THEN 'CARGURUS-Sell My Car'
           WHEN lead_group = 'UNKNOWN' THEN 'NON-WBYC LEAD' ELSE lead_group END AS g,
         CASE WHEN lead_group LIKE '%SELL ONLY' AND subprovider_name IN ('WBYC Sell Only', 'Dealer Website – WBYC') THEN subprovider_name END AS sg,

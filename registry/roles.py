@@ -163,7 +163,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
         "vehicle_age_group": f"CASE WHEN l_linenumber = 1 THEN NULL ELSE {d.days('l_shipdate', 'o_orderdate')} - 3 END",
         "source_type": d.pick(CURRENT_CODES, "l_linenumber"),
         "original_source_code": d.pick(SOURCE_CODES, PRIORITY_NO),
-        "source_name": "CASE WHEN p_size = 1 THEN 'From 2090 Store' ELSE p_name END",
+        "source_name": "CASE WHEN p_size = 1 THEN 'From direct desk Store' ELSE p_name END",
         "cust_no": "CAST(o_custkey AS STRING)",
         "deal_no": "CAST(o_orderkey AS STRING)",
         "ex_service": "o_orderpriority",
@@ -474,8 +474,13 @@ SCHEMAS = {
 _FRAMES: dict[tuple[int, str, str], DataFrame] = {}
 
 
+def forget() -> None:
+    """Every query lists and analyses its files anew, as a user's first call does."""
+    _FRAMES.clear()
+
+
 def _remembered(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Analysed frames of a session, so that a role is analysed once and not per use."""
+    """Analysed frames of one query, so that a role is analysed once and not per use."""
     key = (id(spark), sf_dir, name)
     if key not in _FRAMES or _FRAMES[key].sparkSession is not spark:
         _FRAMES[key] = build()

@@ -12,6 +12,7 @@ from lotwise.functions import text as TX
 from lotwise.operators import extract as X
 from lotwise.operators import history as H
 from lotwise.operators import lookup as LK
+from lotwise.operators import matching as MA
 from lotwise.operators import measures as MS
 from lotwise.operators import questions as Q
 from lotwise.operators import stacking as ST
@@ -346,8 +347,8 @@ register(
     WHERE contains(line, 'License') OR contains(line, 'license') OR contains(line, 'Training') OR contains(line, 'contact')""",
 )
 register(
-    "key_value", "doc_id:i value", lambda t: X.key_value(t.documents, ["doc_id"], "text", "[Pp]assword[:=]"),
-    """SELECT doc_id, list_extract(m, -1) AS value FROM (SELECT doc_id, regexp_extract_all(text, '[Pp]assword[:=]\\s*(\\S+)', 1) AS m FROM documents) x
+    "key_value", "doc_id:i value", lambda t: X.key_value(t.documents, ["doc_id"], "text", "(?:[Tt]oken ?[:=]|[Pp]assword[:=])"),
+    """SELECT doc_id, list_extract(m, -1) AS value FROM (SELECT doc_id, regexp_extract_all(text, '(?:[Tt]oken ?[:=]|[Pp]assword[:=])\\s*(\\S+)', 1) AS m FROM documents) x
     WHERE len(m) > 0""",
 )
 register(
@@ -500,6 +501,78 @@ register(
 )
 
 
+def _newest(t):
+    folder = new_path(t.spark, "deliveries")
+    for part, name in ((0, "skip_daily"), (1, "daily")):
+        SK.write_csv(t.nation.where(F.col("n_regionkey") % 2 == part).select("n_nationkey", "n_name"), f"{folder}/{name}", ["n_nationkey"])
+    found = FS.latest_file(t.spark, f"{folder}/daily", ["part-"], ["skip"])
+    return FS.read_delimited(t.spark, found, "key bigint, n_name string")
+
+
+register(
+    "latest_file", "key:i n_name", _newest,
+    "SELECT n_nationkey AS key, n_name FROM nation WHERE n_regionkey % 2 = 1",
+)
+
+
+def _replaced(t):
+    whole, parts = new_path(t.spark, "whole"), new_path(t.spark, "parts")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    for status in ("O", "F"):  # the second write replaces all of the first
+        SK.replace_table(rows.where(F.col("o_orderstatus") == status), whole)
+    SK.replace_partitions(rows.withColumn("o_orderkey", F.lit(0).cast("long")), parts, ["o_orderstatus"])
+    SK.replace_partitions(t.spark.read.schema(rows.schema).parquet(whole), parts, ["o_orderstatus"])
+    return (
+        t.spark.read.schema(rows.schema).parquet(parts).groupBy("o_orderstatus")
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys"))
+    )
+
+
+register(
+    "replace_tables", "o_orderstatus orders:i keys:i", _replaced,
+    """SELECT o_orderstatus, count(*) AS orders, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE 0 END) AS BIGINT) AS keys
+    FROM orders GROUP BY 1""",
+)
+register(
+    "normalize_headers", "S_SUPPKEY:i S_NAME", lambda t: TX.normalize_headers(t.supplier.select(
+        F.col("s_suppkey").alias(" s_suppkey\u00a0"), F.col("s_name").alias("s_name ")
+    )),
+    "SELECT s_suppkey AS S_SUPPKEY, s_name AS S_NAME FROM supplier",
+)
+register(
+    "half_credit", "who orders:d", lambda t: MA.split_credit(
+        t.orders.select(
+            F.nullif("o_orderstatus", F.lit("P")).alias("a"), F.when(F.col("o_custkey") % 3 == 0, F.col("o_orderpriority")).alias("b"),
+            F.lit(1.0).alias("orders"),
+        ), "a", "b", "orders", "who",
+    ).groupBy("who").agg(F.sum("orders").alias("orders")),
+    """SELECT who, sum(part) AS orders FROM (
+      SELECT nullif(o_orderstatus, 'P') AS who, CASE WHEN o_custkey % 3 = 0 THEN 0.5 ELSE 1 END AS part FROM orders
+      UNION ALL SELECT o_orderpriority, 0.5 FROM orders WHERE o_custkey % 3 = 0) x WHERE who IS NOT NULL GROUP BY 1""",
+)
+register(
+    "clean_html", "page_id:i title", lambda t: t.pages.select(
+        "page_id", TX.clean_html(F.concat(F.lit("&lt;i&gt;caf&eacute; &#8211;&#x20;"), F.substring_index("url", "/", -1), F.lit("<br>b&amp;lt;")), "; ").alias("title")
+    ),
+    """SELECT page_id, trim(regexp_replace('café – ' || list_extract(string_split(url, '/'), -1) || '; b&lt;', '<[^>]*>', '', 'g')) AS title FROM pages""",
+)
+
+
+def _append_once(t):
+    source, target = new_path(t.spark, "load"), new_path(t.spark, "loaded")
+    rows = t.part.select("p_partkey", F.concat(F.lit('a "'), F.col("p_type"), F.lit('", b')).alias("quoted"))
+    rows.write.option("header", True).option("escape", '"').csv(source)
+    for _ in range(2):
+        loaded = FS.append_csv_once(t.spark, source, "key bigint, quoted string", target)
+    return t.spark.read.schema("key bigint, quoted string").parquet(target).withColumn("loaded", F.lit(loaded))
+
+
+register(
+    "append_csv_once", "key:i quoted loaded:i", _append_once,
+    """SELECT p_partkey AS key, 'a "' || p_type || '", b' AS quoted, (SELECT count(*) FROM part) AS loaded FROM part""",
+)
+
+
 def _append(t):
     source, target = new_path(t.spark, "load"), new_path(t.spark, "loaded")
     t.supplier.select(F.when(F.col("s_acctbal") < 500, F.lit("broken")).otherwise(F.col("s_suppkey").cast("string")).alias("key"), "s_name").write.option(
