@@ -98,7 +98,7 @@ SOURCE_LABELS = {
 
 # Source of a sold unit.  A source name starting with the direct-channel
 # prefix counts as the direct channel whatever its type says.
-DIRECT_PREFIX, DIRECT_SOURCE = "From direct desk", "CAAD"
+DIRECT_PREFIX, DIRECT_SOURCE = "From desk", "CAAD"
 SALE_SOURCES = {
     "ExLoaner": ("ACTIVE LOANER", "ACTIVELOANER", "RETIREDLOANER", "MANUFACTURER"),
     "Auction": ("AUCTION", "CAAD", "RENTAL-CO"),

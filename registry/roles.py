@@ -163,7 +163,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
         "vehicle_age_group": f"CASE WHEN l_linenumber = 1 THEN NULL ELSE {d.days('l_shipdate', 'o_orderdate')} - 3 END",
         "source_type": d.pick(CURRENT_CODES, "l_linenumber"),
         "original_source_code": d.pick(SOURCE_CODES, PRIORITY_NO),
-        "source_name": "CASE WHEN p_size = 1 THEN 'From direct desk Store' ELSE p_name END",
+        "source_name": "CASE WHEN p_size = 1 THEN 'From desk Store' ELSE p_name END",
         "cust_no": "CAST(o_custkey AS STRING)",
         "deal_no": "CAST(o_orderkey AS STRING)",
         "ex_service": "o_orderpriority",

@@ -230,7 +230,7 @@ register(
       sum(auction_revenue) AS wholesale_revenue, sum(fi_gross) AS cfs_gross, sum(ovi) AS ovi_gross,
       max(abs(vehicle_age_group)) AS ag, max(abs(vehicle_age)) AS sa, max(abs(cash_price)) AS p, max(abs(x.interco_revenue)) AS ic,
       max(abs(target_price)) AS tg, sum(front_cos) AS fc, max(abs(x.sold_count)) AS sc
-      FROM (SELECT *, CASE WHEN left(source_name, 9) = 'From direct desk' THEN 'CAAD' ELSE source_type END AS code FROM sales_detail) x
+      FROM (SELECT *, CASE WHEN left(source_name, 9) = 'From desk' THEN 'CAAD' ELSE source_type END AS code FROM sales_detail) x
       WHERE lower(department) = 'used' AND accounting_month = DATE '{_USED_MONTH}'
         AND region_name IN ('AFRICA','AMERICA','ASIA') AND record_source = 'Accounting'
       GROUP BY 1, 2, 3, 4, 5, 6, 7, 8
@@ -495,7 +495,7 @@ register(
     lambda t: t("sales_detail", "source_name source_type sold_count front_gross").groupBy(
         C.sale_source(F.col("source_name"), F.col("source_type")).alias("source")
     ).agg(F.sum("sold_count").alias("units"), F.sum("front_gross").alias("gross")),
-    """SELECT CASE WHEN left(source_name, 9) = 'From direct desk' THEN 'Auction' ELSE CASE lower(source_type) WHEN 'activeloaner' THEN 'ExLoaner'
+    """SELECT CASE WHEN left(source_name, 9) = 'From desk' THEN 'Auction' ELSE CASE lower(source_type) WHEN 'activeloaner' THEN 'ExLoaner'
       WHEN 'auction' THEN 'Auction' WHEN 'dealer-trade' THEN 'Trade' WHEN 'inter-co' THEN 'Interco' WHEN 'webuyyourcar' THEN 'WBYC' ELSE 'Other' END END AS source,
       sum(sold_count) AS units, sum(front_gross) AS gross FROM sales_detail GROUP BY 1""", ("sales_detail",),
 )

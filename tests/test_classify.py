@@ -68,7 +68,7 @@ def test_sources(spark):
     cases = [("Rental-Co", "WEBUYYOURCAR", None), (None, "trade-in", "Other"), ("x", "y", "LEASE RETURN"), ("x", None, None)]
     got = one(spark, cases, "o string, c string, h string", C.source_group(F.col("o"), F.col("c"), F.col("h")))
     assert got == ["AUCTION/RENTAL", "TRADE-IN", "LEASE RETURN", "Other"]
-    sale = one(spark, [("From direct desk X", "Trade-in"), ("a", "Trade-In"), (None, "Manufacturer"), ("a", None)], "n string, t string",
+    sale = one(spark, [("From desk X", "Trade-in"), ("a", "Trade-In"), (None, "Manufacturer"), ("a", None)], "n string, t string",
                C.sale_source(F.col("n"), F.col("t")))
     assert sale == ["Auction", "Trade", "ExLoaner", "Other"]
     acq = one(spark, [("rental company",), ("Loaner",), (None,)], "s string", C.acquisition_group(F.col("s")))
