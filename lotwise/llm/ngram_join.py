@@ -23,6 +23,8 @@ from .components import connected_components
 from .hashing import U, chunks, mix, word_hashes
 
 WORDS, SIMILARITY = 3, 90
+#: A range that more documents offer is crowded.
+CROWD = 32
 #: A tile of the product: documents and n-grams on either side, in expectation.
 TILE_DOCUMENTS, TILE_GRAMS = 1024, 1 << 19
 #: Columns of a dense block; an n-gram in fewer documents of a tile is added up pair by pair.
@@ -57,9 +59,9 @@ class SizeClasses:
     Meeting t joins class t - 1 and class t; ``ranges(t)`` is one more than the n-grams that two of its
     similar sets can differ in, |A| + |B| - 2 |A and B| <= (|A| + |B|) (1 - s) / (1 + s), plus ``spare(t)``.
 
-    So similar sets agree on more than ``spare`` ranges, and a set may withhold its ``spare`` weakest ones:
-    of a similar pair, the set that withholds up to the stronger range still offers one of those they agree
-    on, and the other set, which withholds less, offers it too.  Weak are ranges of few n-grams (ties by
+    So similar sets agree on more than ``spare`` ranges, and a set may withhold its ``spare`` - 1 weakest:
+    of a similar pair, the set that withholds up to the stronger range still offers two of those they agree
+    on (one where ``spare`` is 0), and the other set, which withholds less, offers them too.  Weak are ranges of few n-grams (ties by
     their signature): those are what dissimilar sets agree on by chance or by a shared passage.
     """
 
@@ -93,7 +95,7 @@ def range_signatures(grams: np.ndarray, classes: SizeClasses) -> np.ndarray:
             cuts = np.concatenate(([0], np.searchsorted(grams, limits), [len(grams)]))
             number = np.arange(n, dtype=np.uint64) + (U(meeting) << U(40))
             signatures = mix((sums[cuts[1:]] - sums[cuts[:-1]]) ^ mix(number))
-            out.append(signatures[np.lexsort((signatures, np.diff(cuts)))[classes.spare(meeting) :]])
+            out.append(signatures[np.lexsort((signatures, np.diff(cuts)))[max(classes.spare(meeting) - 1, 0) :]])
     return np.concatenate(out) if out else grams[:0]
 
 
@@ -242,6 +244,28 @@ def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
     return rows.groupBy("tile", "low", "high").applyInArrow(run, "a long, b long")
 
 
+def _candidates(offered: DataFrame) -> DataFrame:
+    """(a, b, n, leads): pairs that may be similar, and enough of them to connect all that are.
+
+    A similar pair agrees on two ranges at least (``SizeClasses``).  In a range that up to CROWD documents
+    offer, every pair counts one; in a larger one every document meets the smallest id alone (``leads``),
+    which connects all pairs of it, so its size costs no squares.  What a pair has in common is then either
+    a crowded range or n >= 2 others; a pair with one range in common by chance is no candidate.
+    """
+    range_of = Window.partitionBy("range")
+    rows = (
+        offered.withColumn("n", F.count(F.lit(1)).over(range_of))
+        .withColumn("leader", F.min("id").over(range_of))
+        .where("n > 1")
+    )
+    rows = keep(rows, "met")
+    crowded = rows.where((F.col("n") > CROWD) & (F.col("leader") < F.col("id"))).select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    few = rows.where(F.col("n") <= CROWD).groupBy("range").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    pairs = few.select(F.posexplode("ids").alias("k", "a"), "ids").select("a", F.explode(F.slice("ids", F.lit(1), F.col("k"))).alias("b"))
+    both = crowded.withColumn("leads", F.lit(True)).unionByName(pairs.withColumn("leads", F.lit(False)))
+    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("leads"))
+
+
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(documents, links).
 
@@ -252,13 +276,8 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY
     classes = keep(marks.where("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("class_id")), "set-classes")
     known = keep(marks.join(classes, "mark", "left").drop("mark"), "set-members")
     copies = keep(known.where("doc_id is not null and doc_id != class_id").select("doc_id").distinct(), "set-copies")
-    met = (
-        offered_ranges(docs.where("doc_id is not null").join(copies, "doc_id", "left_anti"), words, percent)
-        .withColumn("leader", F.min("id").over(Window.partitionBy("range")))
-        .where("leader < id")
-        .select(F.col("id").alias("a"), F.col("leader").alias("b"))
-        .distinct()
-    )
+    offered = offered_ranges(docs.where("doc_id is not null").join(copies, "doc_id", "left_anti"), words, percent)
+    met = keep(_candidates(offered), "candidates").where("leads or n >= 2").select("a", "b")
     groups = connected_components(keep(met, "met")).withColumnsRenamed({"node": "id", "component": "group"})
     sizes = known.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.max("n_shingles").alias("n_shingles"))
     members = keep(groups.join(sizes, "id"), "groups")
