@@ -27,7 +27,7 @@ STEPS, SMOOTHING, UNKNOWN = 2, 0.1, 1e-8
 #: A run of more letters is scored as several words.
 LONGEST = 32
 #: Word scores that a worker keeps; others are computed again when they return.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 UNDECIDED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
