@@ -150,7 +150,8 @@ def test_targets(spark):
 def test_token_libraries_agree():
     import public_tokenizers
 
-    fast, general = packing._encoders(public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fast, general = packing._fast(path), packing._general(path)
     rng = random.Random(5)
     for _ in range(300):
         text = "".join(chr(rng.randrange(256)) if rng.random() < 0.5 else rng.choice(" \n\t'sabZ09<|endoftext|>") for _ in range(rng.randrange(60)))
