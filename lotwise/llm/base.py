@@ -16,18 +16,25 @@ from lotwise.session import new_path
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = r"[\x20\x09-\x0D]+"
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of an Arrow batch: whole texts are held in the JVM and again in Python, so batches are kept small.
+BATCH_ROWS = 512
+#: While a table is written: its shuffle files go when the write ends (the table is read instead), and batches are small.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
+}
 
 
 @contextmanager
-def _shuffle_files_go(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the write go when it ends: the table that it leaves is read instead."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def _set_for_writing(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +46,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, f"llm-{name}")
-    with _shuffle_files_go(spark):
+    with _set_for_writing(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
