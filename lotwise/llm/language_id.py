@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import keep, text_or_empty
+from .base import keep, lean, text_or_empty
 
 #: Documents per language that the model is fitted on, in expectation (drawn by a hash of the doc_id).
 LABELLED = 1500
@@ -127,7 +127,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
                 columns = [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
 
-    return labelled.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return labelled.select("lang", "text").mapInArrow(lean(run), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _em_step(counts: DataFrame, names: list[str], langs: list[str], table: np.ndarray) -> np.ndarray:
@@ -149,7 +149,7 @@ def _em_step(counts: DataFrame, names: list[str], langs: list[str], table: np.nd
         columns = [pa.array(rows.astype(np.int32)), pa.array(cols.astype(np.int32)), pa.array(total[2:][rows, cols])]
         yield pa.RecordBatch.from_arrays(columns, names=["piece", "lang", "n"])
 
-    found = counts.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow()
+    found = counts.mapInArrow(lean(run), "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow()
     out = np.full((len(names), len(langs)), SMOOTHING)
     out[found.column("piece").to_numpy(), found.column("lang").to_numpy()] += found.column("n").to_numpy()
     return out / out.sum(axis=0)
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, langs: list[str], names: list[str], table: np.ndarr
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(preds, pa.string()), pa.array(sure, pa.float64())], names=[*carry, "lang_pred", "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(lean(run), f"{fields}, lang_pred string, score double")
 
 
 def held_out(doc_id: Column) -> Column:

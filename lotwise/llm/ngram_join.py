@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, lists_of, texts_of
+from .base import keep, lean, lean_group, lists_of, texts_of
 from .components import connected_components
 from .hashing import U, chunks, mix, word_hashes
 
@@ -112,7 +112,7 @@ def set_marks(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "mark"])
 
     cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return cut.mapInArrow(run, "doc_id long, n_shingles long, mark binary")
+    return cut.mapInArrow(lean(run), "doc_id long, n_shingles long, mark binary")
 
 
 def offered_ranges(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -130,7 +130,7 @@ def offered_ranges(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["range", "id"])
 
     cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return cut.mapInArrow(run, "range long, id long")
+    return cut.mapInArrow(lean(run), "range long, id long")
 
 
 def with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
@@ -144,7 +144,7 @@ def with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(members, F.col("doc_id") == F.col("id"))
     fields = ", ".join(f"{c} {t}" for c, t in members.dtypes)
-    return texts.select(*carried, "text").mapInArrow(run, f"{fields}, grams array<long>")
+    return texts.select(*carried, "text").mapInArrow(lean(run), f"{fields}, grams array<long>")
 
 
 def overlap_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
@@ -241,7 +241,7 @@ def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
         links = list(_tile_links(*sides, percent))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return rows.groupBy("tile", "low", "high").applyInArrow(run, "a long, b long")
+    return rows.groupBy("tile", "low", "high").applyInArrow(lean_group(run), "a long, b long")
 
 
 def _candidates(offered: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import keep, text_or_empty
+from .base import keep, lean, lean_group, text_or_empty
 
 CAPACITY, END_ID = 1024, 2
 #: Pieces that are packed together, on average: bounds the memory of a task, and leaves at most about one
@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
             columns = [batch.column("doc_id").take(pa.array(of)), pa.array(rest[0].astype(np.int32)), *map(pa.array, rest[1:])]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, PIECES)
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(lean(run), PIECES)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -195,5 +195,5 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     part = rows.where(F.col("length") < capacity)
     groups = max(1, -(-part.count() // group_pieces))
     dealt = part.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    packed = dealt.groupBy("pack").applyInArrow(lambda g: _pack(g, capacity), PACKED)
+    packed = dealt.groupBy("pack").applyInArrow(lean_group(lambda g: _pack(g, capacity)), PACKED)
     return packed.unionByName(whole)
