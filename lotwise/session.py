@@ -40,7 +40,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="lotwise-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
