@@ -17,7 +17,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = resharding.reshard(documents(spark, sf_dir), resharding.old_shard_of_file())
+    placed = resharding.reshard(documents(spark, sf_dir), resharding.old_shard_of_file(), row=resharding.row_in_file())
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )

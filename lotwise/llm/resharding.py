@@ -1,6 +1,6 @@
 """Resharding by minimum-cost flow: from old shard sizes to new capacities with the fewest bytes moved.
 
-Each old shard is cut into blocks by a hash of the doc_id.  The flow network has one node per old and
+Each old shard is cut into blocks by a hash of its rows.  The flow network has one node per old and
 new shard, so its size does not depend on the data; its solution says how many bytes go from each old
 to each new shard.  Blocks, a bounded number per old shard, then realise these amounts.
 """
@@ -136,26 +136,21 @@ def old_shard_of_file(shards: int = OLD_SHARDS) -> Column:
     return F.pmod(F.crc32(F.element_at(F.split(F.input_file_name(), "/"), -1).cast("binary")), F.lit(shards)).cast("int")
 
 
-def reshard(
-    docs: DataFrame, old_shard: Column, shards: int = NEW_SHARDS, capacities: Sequence[int] | None = None, blocks: int = BLOCKS
-) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, block, shard and slot, one row per row of ``docs``.
+def row_in_file() -> Column:
+    """The place of a row in its Parquet file, which tells rows apart that are equal in all values."""
+    return F.col("_metadata.row_index")
 
-    ``old_shard`` numbers the old layout from 0 and must have a bounded number of values.  Size: UTF-8
-    bytes of the text (NULL: none) plus 8.  Without ``capacities`` the new shards get near equal
-    bytes.  Slots of a shard go gapless from 0, by block, then doc_id; rows that tie on all values take
-    neighbouring slots.  A NULL doc_id falls into a block like any other value.  An empty table gives an
-    empty result.  Only one row per block, at most old shards times ``blocks``, reaches the driver, and
-    the broadcast block table has that bound.
-    """
+
+def _block(blocks: int, row: Column | None) -> tuple[Column, Column, Column]:
+    """(size, text_crc32, block) of a document."""
     text = text_or_empty().cast("binary")
-    rows = docs.select(
-        "doc_id",
-        (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        old_shard.alias("old_shard"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"),
-    )
+    size, crc = (F.octet_length(text) + F.lit(8)).cast("long"), F.crc32(text)
+    parts = [F.col("doc_id"), crc, size] + ([] if row is None else [row])
+    return size, crc, F.pmod(F.xxhash64(*parts), F.lit(blocks)).cast("int")
+
+
+def _placed(rows: DataFrame, shards: int, capacities: Sequence[int] | None) -> list[tuple[int, int, int, int]]:
+    """(old_shard, block, shard, rows before it in that shard) of every block, from rows of old_shard, block and size."""
     summed = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     found = sorted((Block(r["old_shard"], r["block"], r["size"], r["rows"]) for r in summed.collect()), key=lambda b: (b.old, b.block))
     put = place_blocks(found, capacities or even(sum(b.size for b in found), shards))
@@ -164,8 +159,28 @@ def reshard(
     for b, shard in zip(found, put, strict=True):
         placed.append((b.old, b.block, shard, taken[shard]))
         taken[shard] += b.rows
+    return placed
+
+
+def reshard(
+    docs: DataFrame, old_shard: Column, shards: int = NEW_SHARDS, capacities: Sequence[int] | None = None, blocks: int = BLOCKS,
+    row: Column | None = None,
+) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, block, shard and slot, one row per row of ``docs``.
+
+    ``old_shard`` numbers the old layout from 0 and must have a bounded number of values.  Size: UTF-8
+    bytes of the text (NULL: none) plus 8.  Without ``capacities`` the new shards get near equal
+    bytes.  Slots of a shard go gapless from 0, by block, then doc_id; rows that tie on all values take
+    neighbouring slots.  A block is a hash of doc_id, text and ``row``, so a NULL or repeated doc_id is
+    spread over blocks; without ``row`` (:func:`row_in_file` for a table read from Parquet files) the
+    rows of an old shard that are equal in doc_id and text share one.  An empty table gives an
+    empty result.  Only one row per block, at most old shards times ``blocks``, reaches the driver, and
+    the broadcast block table has that bound.
+    """
+    size, crc, block = _block(blocks, row)
+    rows = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), old_shard.alias("old_shard"), block.alias("block"))
     schema = "old_shard int, block int, shard int, before long"
-    table = F.broadcast(docs.sparkSession.createDataFrame(placed, schema))
+    table = F.broadcast(docs.sparkSession.createDataFrame(_placed(rows, shards, capacities), schema))
     order = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
     return (
         rows.withColumn("place", F.row_number().over(order))
@@ -175,18 +190,25 @@ def reshard(
     )
 
 
-def rewrite(docs: DataFrame, old_shard: Column, name: str = "resharded", **how) -> tuple[DataFrame, list[int]]:
+def rewrite(
+    docs: DataFrame, old_shard: Column, name: str = "resharded", shards: int = NEW_SHARDS, capacities: Sequence[int] | None = None,
+    blocks: int = BLOCKS, row: Column | None = None,
+) -> tuple[DataFrame, list[int]]:
     """Write the files of the affected shards anew, one folder per shard; returns (table, shards).
 
-    A shard is affected if a row moved into or out of it.  Only its rows are read into the shuffle.
-    The number of writing tasks per shard follows its size, as the rows are rebalanced by shard.
+    A shard is affected if a block moved into or out of it.  The rows take the shards that
+    :func:`reshard` gives their (old_shard, block) under the same arguments, and only those of affected
+    shards enter the shuffle.  The number of writing tasks per shard follows its size, as the rows
+    are rebalanced by shard.
     """
-    plan = reshard(docs, old_shard, **how).withColumnsRenamed({"doc_id": "plan_id"})
-    moved = plan.where("old_shard != shard").agg(F.collect_set("shard").alias("into"), F.collect_set("old_shard").alias("out")).first()
-    affected = sorted(set(moved["into"]) | set(moved["out"]))
-    where = plan.where(F.col("shard").isin(affected)).groupBy("plan_id").agg(F.min("shard").alias("new_shard"))
+    size, _, block = _block(blocks, row)
+    placed = _placed(docs.select(size.alias("size"), old_shard.alias("old_shard"), block.alias("block")), shards, capacities)
+    affected = sorted({shard for old, _, to, _ in placed if old != to for shard in (old, to)})
+    moves = [(old, b, to) for old, b, to, _ in placed if to in set(affected)]
+    table = F.broadcast(docs.sparkSession.createDataFrame(moves, "_old_shard int, _block int, new_shard int"))
     path = new_path(docs.sparkSession, name)
-    rows = docs.join(where, F.col("doc_id").eqNullSafe(F.col("plan_id"))).drop("plan_id")
+    rows = docs.select("*", old_shard.alias("_old_shard"), block.alias("_block")).join(table, ["_old_shard", "_block"])
+    rows = rows.drop("_old_shard", "_block")
     rows.hint("rebalance", F.col("new_shard")).write.partitionBy("new_shard").option("compression", "zstd").parquet(path)
     schema = T.StructType([*docs.schema.fields, T.StructField("new_shard", T.IntegerType())])
     return docs.sparkSession.read.schema(schema).parquet(path), affected

@@ -71,6 +71,40 @@ def test_rewrite(odd):
     assert 0 in shards and table.count() == 12 and {r[0] for r in table.select("new_shard").distinct().collect()} <= set(shards)
 
 
+def test_rewrite_of_null_and_repeated_ids(spark):
+    """Rows of one doc_id lie in several old shards; shard 0 is not affected, the others even out."""
+    ids = lambda i: (None, 7, i)[i // 4 % 3]
+    rows = [(ids(i), f"text {i}", 0 if i % 4 == 0 else 1 if i % 4 < 3 else 2) for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int")
+    sizes = [sum(len(t) + 8 for _, t, part in rows if part == k) for k in range(3)]
+    rest = sum(sizes) - sizes[0]
+    how = {"capacities": [sizes[0], rest // 2, rest - rest // 2], "blocks": 64}
+    placed = resharding.reshard(docs, F.col("part"), **how)
+    by_shard = {r["shard"]: r["size"] for r in placed.groupBy("shard").agg(F.sum("size").alias("size")).collect()}
+    assert by_shard[0] == sizes[0] and abs(by_shard[1] - by_shard[2]) <= rest / 64
+    table, shards = resharding.rewrite(docs, F.col("part"), **how)
+    want = sorted((r["text_crc32"], r["shard"]) for r in placed.where("shard > 0").collect())
+    assert shards == [1, 2] and sorted(map(tuple, table.select(F.crc32("text"), "new_shard").collect())) == want
+
+
+def test_reshard_spreads_equal_rows(spark, tmp_path):
+    """A third of the rows are equal in all values: by their place in the file they fall into many blocks."""
+    rows = [(None, "same text") if i % 3 == 0 else (i, f"text {i:05}") for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    placed = resharding.reshard(docs, resharding.old_shard_of_file(), 8, row=resharding.row_in_file())
+    per_shard = [r["size"] for r in placed.groupBy("shard").agg(F.sum("size").alias("size")).collect()]
+    assert placed.count() == 3000 and len(per_shard) == 8 and max(per_shard) - min(per_shard) <= 200
+
+
+def test_rewrite_documents(spark, docs):
+    how = {"row": resharding.row_in_file()}
+    table, shards = resharding.rewrite(docs, resharding.old_shard_of_file(), **how)
+    placed = resharding.reshard(docs, resharding.old_shard_of_file(), **how).where(F.col("shard").isin(shards))
+    got = [sorted(map(tuple, d.collect())) for d in (placed.select("doc_id", "shard"), table.select("doc_id", "new_shard"))]
+    assert got[0] == got[1] and len(got[0]) == docs.count()
+
+
 def test_rules_hosts(spark):
     good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
     rows = [(i, good, "a") for i in range(40)] + [(100 + i, bad if i < 39 else good, "b") for i in range(40)]
