@@ -29,12 +29,13 @@ PAYMENT_TYPES = {new: "double" if new in PAYMENT_AMOUNTS else "string" for new i
 
 
 def tenant_report(
-    spark: SparkSession, paths: str | list[str], columns: Sequence[str], tenant_map: Mapping[str, str],
+    spark: SparkSession, paths: str | list[str], columns: Sequence[str] | None, tenant_map: Mapping[str, str],
     rename: Mapping[str, str], types: Mapping[str, str], **options,
 ) -> DataFrame:
     """One report kind of all tenants: combined, without empty columns, renamed and typed.
 
     Kinds differ in ``columns``, ``rename`` and ``types`` only; the payments report's are above.
+    ``columns=None`` keeps every header of the files.
     """
     combined = combine_tenant_files(spark, paths, columns, tenant_map, **options)
     return standardize(drop_empty_columns(combined), rename, types)

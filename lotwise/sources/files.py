@@ -128,7 +128,7 @@ BROADCAST_FILES = 20_000
 def combine_tenant_files(
     spark: SparkSession,
     paths: str | list[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None,
     tenant_map: Mapping[str, str],
     extra_maps: Mapping[str, Mapping[str, str]] | None = None,
     encoding: str = "ISO-8859-1",
@@ -137,8 +137,11 @@ def combine_tenant_files(
 ) -> DataFrame:
     """Rows of many tenants' CSV files as one table of text columns.
 
-    Every file has its own header; cells are matched to ``columns`` by header name, and a
-    column a file lacks is NULL.  The last line of each file is a footer total and is
+    Every file has its own header; cells are matched by header name, and a column a file lacks is
+    NULL.  With ``columns=None`` the table has the union of all files' headers, sorted: headers that
+    differ in case only are one column, a header that its own file repeats gets a number (``ID.1``), an
+    empty one its place (``Unnamed: 2``), and a header named like a column added here gives way
+    to it.  A list of ``columns`` selects exactly these.  The last line of each file is a footer total and is
     dropped, files without rows vanish.  ``tenant`` (and the columns of ``extra_maps``) come
     from the first map entry found in the file name (with ``match_on="file_path"`` in the whole
     path, for a folder per tenant); a filled file of an unknown tenant is an
@@ -155,7 +158,7 @@ def combine_tenant_files(
         F.min("position").alias("first"), F.max("position").alias("last"),
         F.min_by("line", "position").alias("header"),
         F.min(first_contained(stem, tenant_map)).alias("tenant"),
-    )
+    ).checkpoint()  # one short row per file, read three times
     filled = F.col("first") < F.col("last")
     facts = ends.agg(
         F.count(F.lit(1)).alias("files"),
@@ -170,8 +173,19 @@ def combine_tenant_files(
     as_row = lambda c: F.from_csv(c, cells_schema, {"escape": '"'})
     as_array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
     names = F.transform(as_array, lambda name: F.trim(name))
-    places = F.array(*[F.nullif(F.array_position(names, c), F.lit(0)).cast("int") for c in columns])
-    heads = ends.withColumn("_row", as_row(F.col("header"))).withColumn("places", places).drop("header", "_row")
+    heads = ends.withColumn("_row", as_row(F.col("header")))
+    if columns is None:
+        heads = heads.withColumn("_names", _own_names(names, F.col("header")))
+        key = F.lower("name")
+        found = heads.filter(filled).select(F.explode("_names").alias("name")).groupBy(key.alias("key")).agg(F.min("name").alias("name")).collect()
+        added = {c.lower() for c in (*(extra_maps or {}), "tenant", "file_path")}
+        keys = {r["name"]: r["key"] for r in sorted(found, key=lambda r: r["name"]) if r["key"] not in added}
+        names = F.transform("_names", lambda name: F.lower(name))
+    else:
+        heads, keys = heads.withColumn("_names", names), {c: c for c in columns}
+        names = F.col("_names")
+    places = F.array(*[F.nullif(F.array_position(names, k), F.lit(0)).cast("int") for k in keys.values()])
+    heads = heads.withColumn("places", places).drop("header", "_row", "_names")
     if facts["files"] <= BROADCAST_FILES:  # one short row per file
         heads = F.broadcast(heads)
     body = (
@@ -181,7 +195,7 @@ def combine_tenant_files(
         .withColumn("cells", as_array)
     )
     picked: list[Column] = []
-    for i, name in enumerate(columns):
+    for i, name in enumerate(keys):
         value = F.nullif(F.try_element_at(F.col("cells"), F.col("places")[i]), F.lit(""))
         limit = (text_limits or {}).get(name)
         picked.append((F.substring(value, 1, limit) if limit else value).alias(name))
@@ -189,6 +203,21 @@ def combine_tenant_files(
     return body.select(*picked, *extras, "tenant", "file_path")
 
 
+def _own_names(names: Column, header: Column) -> Column:
+    """The headers of a file under different names; ``names`` may be longer than the header."""
+    cells = F.size(F.split(F.regexp_replace(header, '"[^"]*"', ""), ","))
+    named = F.transform(
+        F.slice(names, F.lit(1), cells),
+        lambda name, i: F.coalesce(F.nullif(name, F.lit("")), F.concat(F.lit("Unnamed: "), i.cast("string"))),
+    )
+
+    def numbered(name: Column, i: Column) -> Column:
+        earlier = F.size(F.filter(F.slice(named, F.lit(1), i), lambda other: F.lower(other) == F.lower(name)))
+        return F.when(earlier == 0, name).otherwise(F.concat(name, F.lit("."), earlier.cast("string")))
+
+    return F.transform(named, numbered)
+
+
 def standardize(df: DataFrame, rename: Mapping[str, str], types: Mapping[str, str]) -> DataFrame:
     """Rename and cast the columns that exist; a value that does not convert becomes NULL."""
     out = []

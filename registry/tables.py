@@ -453,7 +453,8 @@ CHUNK_ORDERS = 500_000
 
 
 def _tenant_files(t) -> str:
-    """The orders as CSV files of five tenants, a file per tenant and key range, each with a footer."""
+    """The orders as CSV files of five tenants, a file per tenant and key range, each with a footer.
+    West Co's files name the unit in a column of their own."""
     rows = t.orders.select(
         F.replace("o_orderpriority", F.lit(" "), F.lit("_")).alias("tenant_dir"),
         F.floor(F.col("o_orderkey") / CHUNK_ORDERS).alias("chunk"), F.lit(0).alias("kind"),
@@ -467,17 +468,21 @@ def _tenant_files(t) -> str:
         "Payment Amount", F.lit(None).cast("string").alias("Refund Reason"),
     )
     path = new_path(t.spark, "tenants")
-    (
-        rows.unionByName(footers).repartition("tenant_dir", "chunk").sortWithinPartitions("tenant_dir", "chunk", "kind").drop("kind")
-        .write.partitionBy("tenant_dir", "chunk").option("header", True).option("encoding", "ISO-8859-1").csv(path)
-    )
+    lines = rows.unionByName(footers)
+    west = F.col("tenant_dir").startswith("3-MEDIUM")
+    for part in (lines.where(~west), lines.where(west).withColumnRenamed("Payment Business Unit", "Unit Of West")):
+        (
+            part.repartition("tenant_dir", "chunk").sortWithinPartitions("tenant_dir", "chunk", "kind").drop("kind")
+            .write.mode("append").partitionBy("tenant_dir", "chunk").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+        )
     return path
 
 
 def _file_combine(t):
-    return K.tenant_report(
-        t.spark, _tenant_files(t), K.PAYMENT_COLUMNS, _TENANTS, K.PAYMENT_NAMES, K.PAYMENT_TYPES, match_on="file_path"
+    report = K.tenant_report(
+        t.spark, _tenant_files(t), None, _TENANTS, K.PAYMENT_NAMES, K.PAYMENT_TYPES, match_on="file_path"
     )
+    return report.withColumn("business_unit", F.coalesce("business_unit", "Unit Of West"))
 
 
 register(

@@ -34,6 +34,18 @@ def test_tenant_files(spark, rows, tmp_path):
     ]
 
 
+def test_tenant_files_keep_every_header(spark, rows, tmp_path):
+    write(tmp_path / "NorthX.csv", 'ID,Name,"Extra, own",ID,,Tenant\n1,a,x,9,u,t\nTotal,,,,,\n')
+    write(tmp_path / "South.csv", "name,id,None,Late\nb,2,,z\nTotal,,,\n")
+    combined = FS.combine_tenant_files(spark, str(tmp_path), None, TENANTS)
+    assert combined.columns == ["Extra, own", "ID", "ID.1", "Late", "Name", "None", "Unnamed: 4", "tenant", "file_path"]
+    report = tenant_report(spark, str(tmp_path), None, TENANTS, {"ID": "id"}, {"id": "int"})
+    assert report.columns == ["Extra, own", "id", "ID.1", "Late", "Name", "Unnamed: 4", "tenant", "file_path"]
+    assert rows(report.drop("file_path")) == [
+        (None, 2, None, "z", "b", None, "South Co"), ("x", 1, "9", None, "a", "u", "North Co"),
+    ][::-1]
+
+
 def test_tenant_files_over_many_splits(spark, tmp_path):
     lines = "\n".join(f"{i},v{i}" for i in range(20000))
     write(tmp_path / "South.csv", f"ID,V\n{lines}\nTotal,20000\n")
