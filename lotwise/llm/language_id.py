@@ -29,6 +29,11 @@ LONGEST = 32
 #: Word scores that a worker keeps; others are computed again when they return.
 REMEMBERED = 120_000
 UNDECIDED = "und"
+#: What a language's texts look like is measured on one labelled document of ASIDE, if there are SEEN or more.
+ASIDE, SEEN = 5, 5
+#: A text is foreign if its mean log-probability per letter is below the range by more than the range's width
+#: (SLACK at least), and over all its letters by EVIDENCE, so that a few letters never decide.
+SLACK, EVIDENCE = 1.0, 10.0
 
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
 _START = "▁"
@@ -155,31 +160,38 @@ def _em_step(counts: DataFrame, names: list[str], langs: list[str], table: np.nd
     return out / out.sum(axis=0)
 
 
+def _labelled(docs: DataFrame, labelled: int) -> tuple[list[str], DataFrame]:
+    """The languages, and doc_id, lang and text of about ``labelled`` documents of each."""
+    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted(sizes)
+    drawn = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000))
+    limit = F.lit(0)
+    for lang in langs:
+        limit = F.when(F.col("lang") == lang, F.lit(-(-1_000_000 * labelled // sizes[lang]))).otherwise(limit)
+    return langs, known.where(drawn < limit)
+
+
 def train(docs: DataFrame, labelled: int = LABELLED, vocabulary: str | None = None) -> tuple[list[str], list[str], np.ndarray]:
     """(languages, pieces, probabilities) from the rows of ``docs`` with a text and a lang.
 
     About ``labelled`` documents per language are read, all of a language that has fewer.  The bound
     is on documents; the model itself has the size of the vocabulary times the languages.
     """
-    known = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    langs = sorted(sizes)
+    langs, sample = _labelled(docs, labelled)
     names = vocabulary_pieces(vocabulary or public_tokenizers.path("piece_bpe_32k.model"))
     if not langs:
         return [], names, np.empty((len(names), 0))
-    drawn = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1_000_000))
-    limit = F.lit(0)
-    for lang in langs:
-        limit = F.when(F.col("lang") == lang, F.lit(-(-1_000_000 * labelled // sizes[lang]))).otherwise(limit)
-    counts = keep(_word_counts(known.where(drawn < limit)), "word-counts")
+    counts = keep(_word_counts(sample), "word-counts")
     table = np.full((len(names), len(langs)), 1.0 / max(len(names), 1))
     for _ in range(STEPS):
         table = _em_step(counts, names, langs, table)
     return langs, names, table
 
 
-def predict(docs: DataFrame, langs: list[str], names: list[str], table: np.ndarray, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``carry``, lang_pred and score for each row, one pass over whole texts without a shuffle.
+def predict(docs: DataFrame, langs: list[str], names: list[str], table: np.ndarray, carry: Sequence[str] = ("doc_id",), fit: bool = False) -> DataFrame:
+    """``carry``, lang_pred and score for each row, one pass over whole texts without a shuffle; with ``fit``
+    also ``_letters`` and ``_fit``, the mean log-probability per letter in the predicted language.
 
     The score is the posterior of the predicted language under equal priors, 0 for "und": NULL text, a
     text without a letter, or a model without languages.  Ties go to the first language by name.
@@ -202,22 +214,30 @@ def predict(docs: DataFrame, langs: list[str], names: list[str], table: np.ndarr
                 extra = {w: k for k, w in enumerate(new[room:], REMEMBERED)}
                 place.update(zip(new[:room], range(len(place), len(place) + room), strict=True))
                 rows = np.vstack([scores, fresh[room:]]) if extra else scores
-                preds, sure = [], []
+                preds, sure, letters, fits = [], [], [], []
                 for counts in part:
                     if not counts:
                         preds.append(UNDECIDED)
                         sure.append(0.0)
+                        letters.append(0)
+                        fits.append(0.0)
                         continue
                     at = np.fromiter((place[w] if w in place else extra[w] for w in counts), dtype=np.int64, count=len(counts))
                     total = np.fromiter(counts.values(), dtype=np.float64, count=len(counts)) @ rows[at]
                     best = int(np.argmax(total))
                     preds.append(known[best])
                     sure.append(float(1 / np.exp(total - total[best]).sum()))
+                    letters.append(sum(len(w) * n for w, n in counts.items()) if fit else 0)
+                    fits.append(float(total[best]) / max(letters[-1], 1))
                 columns = [batch.column(c).slice(a, len(part)) for c in carry]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(preds, pa.string()), pa.array(sure, pa.float64())], names=[*carry, "lang_pred", "score"])
+                columns += [pa.array(preds, pa.string()), pa.array(sure, pa.float64())]
+                columns += [pa.array(letters, pa.int64()), pa.array(fits, pa.float64())] if fit else []
+                yield pa.RecordBatch.from_arrays(columns, names=[*carry, "lang_pred", "score", *added])
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(lean(run), f"{fields}, lang_pred string, score double")
+    added = ["_letters", "_fit"] if fit else []
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) + ", lang_pred string, score double"
+    fields += ", _letters long, _fit double" if fit else ""
+    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(lean(run), fields)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -234,8 +254,32 @@ def identify(docs: DataFrame, labelled: int = LABELLED) -> DataFrame:
     return predict(docs, *model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def least_fits(docs: DataFrame, labelled: int = LABELLED) -> dict[str, float]:
+    """By language, the ``_fit`` below which a text is not of it.
+
+    A model learned without one labelled document of ASIDE judges these (about ``labelled`` per language):
+    unseen texts score lower than learned ones.  Their range goes from the 1st to the 99th percentile.  A
+    language with fewer than SEEN of them has no entry.
+    """
+    aside = F.pmod(F.xxhash64(F.lit("aside"), "doc_id"), F.lit(ASIDE)) == 0
+    model = train(docs.where(~aside), labelled)
+    _, unseen = _labelled(docs.where(aside), labelled)
+    judged = predict(unseen, *model, carry=("lang",), fit=True).where("lang = lang_pred")
+    ends = F.percentile_approx("_fit", [0.01, 0.99], 10_000).alias("ends")
+    found = judged.groupBy("lang").agg(ends, F.count(F.lit(1)).alias("n")).where(F.col("n") >= SEEN).collect()
+    return {r["lang"]: r["ends"][0] - max(r["ends"][1] - r["ends"][0], SLACK) for r in found}
+
+
 def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, except those without a language or with a score below ``least``."""
-    model = train(docs.where(~held_out(F.col("doc_id"))))
-    judged = predict(docs, *model, carry=docs.columns)
-    return judged.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least)).select(*docs.columns)
+    """The rows of ``docs``, all columns, except those without a language or with a score below ``least``, and
+    those that look like none of the languages (:func:`least_fits`; the score alone compares the learned
+    languages, and one of them wins any text).  All rows if no row to learn from has a language."""
+    learned = docs.where(~held_out(F.col("doc_id")))
+    model = train(learned)
+    if not model[0]:
+        return docs
+    short = F.lit(0.0)
+    for lang, fit in least_fits(learned).items():
+        short = F.when(F.col("lang_pred") == lang, (F.lit(fit) - F.col("_fit")) * F.col("_letters")).otherwise(short)
+    judged = predict(docs, *model, carry=docs.columns, fit=True)
+    return judged.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least) & (short <= EVIDENCE)).select(*docs.columns)

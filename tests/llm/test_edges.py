@@ -173,6 +173,24 @@ def test_language_sums_all_segmentations():
     assert np.allclose(expected, [0.1 * 0.15 * 0.25 + 0.1 * 0.05, 0.05, 0.1 * 0.15 * 0.25, 0.1 * 0.15 * 0.25 + 0.05, 0.005, 0.25])
 
 
+def test_known_language_rejects_what_was_not_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").where("lang != 'es'")
+    rng = random.Random(7)
+    foreign = [
+        "Minä olen tänään kotona ja luen kirjaa suomalaisesta metsästä, jossa linnut laulavat ja lumi sulaa hitaasti keväällä.",
+        "Сегодня хорошая погода, и мы идём гулять по берегу реки вместе с нашими друзьями.",
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(400)),
+    ]
+    planted = spark.createDataFrame([(-1 - k, t, None) for k, t in enumerate(foreign)] + [(-9, "ok", None)], docs.schema)
+    kept = {r["doc_id"] for r in language_id.known_language(docs.unionByName(planted)).collect()}
+    assert kept == {r["doc_id"] for r in docs.where(r"text rlike '\\p{L}'").collect()} | {-9}
+
+
+def test_known_language_without_labels(odd):
+    docs = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(map(str, language_id.known_language(docs).collect())) == sorted(map(str, docs.collect()))
+
+
 def test_targets(spark):
     sizes = spark.createDataFrame([("a", 100), ("b", 10), ("c", 100), (None, 100), ("z", 0)], "source string, size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
