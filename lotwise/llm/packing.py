@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from .base import keep, lean, lean_group, text_or_empty
 
 CAPACITY, END_ID = 1024, 2
-#: Pieces that are packed together, on average: bounds the memory of a task, and leaves at most about one
-#: underfull sequence per that many pieces.
+#: Pieces that are packed together, on average: bounds the memory of a task.  What a group leaves underfull is
+#: packed again with the rests of others.
 GROUP_PIECES = 4096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
+ROUND = PACKED + ", row long, room long"
 
 
 @functools.cache
@@ -102,18 +103,18 @@ def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
+def improve(bins: list[list[int]], sizes: np.ndarray, capacity: int, gather: bool = False) -> list[list[int]]:
     """Local search between underfull bins.
 
     The emptiest bin gives: a document moves to the fullest bin that takes it, or is exchanged for a
-    smaller one, or two are exchanged for one, whichever fills the other bin most.  As the giver is the
-    emptiest, every step raises the sum of squared fills, so the search ends; a giver that can give no
-    more is left alone, an emptied bin is gone.  It stops once the room left is below one bin, when no
-    fewer bins are possible.
+    smaller one, or any two are exchanged for one, whichever fills the other bin most.  Every step raises
+    the sum of squared fills, so the search ends; a giver that can give no more is asked again after the
+    others as long as any step was made, an emptied bin is gone.  It stops once the room left is below one
+    bin, when no fewer bins are possible; with ``gather`` it goes on, so that the room is in few bins.
     """
     fill = np.array([int(sizes[b].sum()) for b in bins], dtype=np.int64)
     spare = len(bins) * capacity - int(fill.sum())
-    if spare < capacity:
+    if spare < capacity and not gather:
         return bins
     home = np.empty(len(sizes), dtype=np.int64)
     for k, b in enumerate(bins):
@@ -124,7 +125,13 @@ def improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[lis
     where = home[items]
     done = fill >= capacity
     never = np.iinfo(np.int64).max
-    while spare >= capacity and not done.all():
+    stepped = False
+    while gather or spare >= capacity:
+        if done.all():
+            done = (fill == 0) | (fill == capacity)
+            if not stepped or done.all():
+                break
+            stepped = False
         giver = int(np.argmin(np.where(done, never, fill)))
         room = capacity - fill
         room[giver] = 0
@@ -134,22 +141,28 @@ def improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[lis
             size = int(sizes[item])
             fits = np.where((room >= size) & (fill > 0), room, never)
             to = int(np.argmin(fits))
-            if fits[to] < never:
+            if fits[to] < never and fill[to] + size > fill[giver]:
                 step = (size, (item,), -1, to)
                 break
         if step is None:
-            offers = [(int(sizes[i]), (i,)) for i in mine]
-            offers += [(int(sizes[i]) + int(sizes[j]), (i, j)) for a, i in enumerate(mine[:8]) for j in mine[a + 1 : 8]]
-            open_room = room[where]
-            for size, given in offers:
-                gain = size - own
-                gain[(gain > open_room) | (where == giver)] = 0
-                at = int(np.argmax(gain))
-                if gain[at] > 0 and (step is None or gain[at] > step[0]):
-                    step = (int(gain[at]), given, int(items[at]), int(where[at]))
+            by_size = {int(sizes[i]): (i,) for i in reversed(mine)}
+            twice = {int(sizes[i]): (i, j) for i, j in zip(mine, mine[1:], strict=False) if sizes[i] == sizes[j]}
+            # Different sizes in a bin are few (their sum is bounded), so all sums of two are.
+            offers = {2 * size: pair for size, pair in twice.items()}
+            offers |= {a + b: (*by_size[a], *by_size[b]) for a in by_size for b in by_size if a > b}
+            offers |= by_size
+            best = np.zeros(capacity + 1, np.int64)  # the largest offer of at most a size
+            best[[size for size in offers]] = [size for size in offers]
+            best = np.maximum.accumulate(best)
+            gain = best[own + room[where]] - own
+            gain[(where == giver) | (gain <= fill[giver] - fill[where])] = 0
+            at = int(np.argmax(gain)) if len(gain) else 0
+            if len(gain) and gain[at] > 0:
+                step = (int(gain[at]), offers[int(own[at] + gain[at])], int(items[at]), int(where[at]))
         if step is None:
             done[giver] = True
             continue
+        stepped = True
         gain, given, taken, to = step
         for item in given:
             bins[giver].remove(item)
@@ -169,16 +182,45 @@ def improve(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[lis
     return [b for b in bins if b]
 
 
-def _pack(group: pa.Table, capacity: int) -> pa.Table:
+def _pack(group: pa.Table, capacity: int, first: int, last: bool) -> pa.Table:
+    """A group's sequences, numbered from ``first`` groups on; those of an earlier round are a second start."""
     group = group.sort_by("row")
     sizes = group.column("length").to_numpy()
-    sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-    for k, b in enumerate(improve(best_fit(sizes, capacity), sizes, capacity)):
+    bins = improve(best_fit(sizes, capacity), sizes, capacity, not last)
+    if "sequence_id" in group.column_names:
+        before: dict[int, list[int]] = {}
+        for k, sequence_id in enumerate(group.column("sequence_id").to_pylist()):
+            before.setdefault(sequence_id, []).append(k)
+        bins = min(improve(list(before.values()), sizes, capacity, not last), bins, key=len)
+    sequence, offset, room = (np.empty(len(sizes), np.int64) for _ in range(3))
+    for k, b in enumerate(bins):
         sequence[b] = k
         offset[b] = np.cumsum(sizes[b]) - sizes[b]
-    number = (group.column("pack").to_numpy().astype(np.int64) << 32) + sequence
-    kept = group.select(["doc_id", "piece", "start", "length", "ids_crc32"])
-    return kept.append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
+        room[b] = capacity - sizes[b].sum()
+    number = ((first + group.column("pack").to_numpy().astype(np.int64)) << 32) + sequence
+    out = group.select(["doc_id", "piece", "start", "length", "ids_crc32"])
+    out = out.append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
+    return out.append_column("row", group.column("row")).append_column("room", pa.array(room))
+
+
+def _pack_in_rounds(part: DataFrame, capacity: int, group_pieces: int) -> DataFrame:
+    """Groups are packed by themselves, then the underfull sequences of all groups in new groups, until one group
+    has them all, they have less room than a sequence, or a round saves none."""
+    left, least, first, packed = part.count(), None, 0, []
+    dealt_by = "row"
+    while True:
+        groups = max(1, -(-left // group_pieces))
+        dealt = part.withColumn("pack", F.pmod(F.xxhash64(dealt_by, F.lit(first)), F.lit(groups)))
+        pack_group = lean_group(functools.partial(_pack, capacity=capacity, first=first, last=groups == 1))
+        done = keep(dealt.groupBy("pack").applyInArrow(pack_group, ROUND), "pack-round")
+        if groups == 1:
+            return functools.reduce(DataFrame.unionByName, [*packed, done]).drop("row", "room")
+        part = done.where("room > 0")
+        room = part.where("offset = 0").agg(F.coalesce(F.sum("room"), F.lit(0))).first()[0]
+        if room < capacity or (least is not None and room >= least):
+            return functools.reduce(DataFrame.unionByName, [*packed, done]).drop("row", "room")
+        packed.append(done.where("room = 0"))
+        left, least, first, dealt_by = part.count(), room, first + groups, "sequence_id"
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -186,14 +228,11 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
 
     Reads doc_id and text only; NULL text is empty and still has its end id.  Rows that repeat a doc_id
     are packed each.  Pieces of full length have a sequence of their own (negative numbers).  The others
-    are dealt by a hash of their row in the written table of pieces, so groups are even whatever repeats,
-    and each group is packed by itself.  An empty table gives an empty result.
+    are dealt by a hash of their row in the written table of pieces, so groups are even whatever repeats;
+    each group is packed by itself, and the underfull sequences of all groups again in further rounds.  An
+    empty table gives an empty result.
     """
     table = keep(pieces(docs, vocabulary or public_tokenizers.path("byte_bpe_50k.json"), capacity), "pack-pieces")
     rows = table.withColumn("row", F.monotonically_increasing_id())
     whole = rows.where(F.col("length") == capacity).select(*table.columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    part = rows.where(F.col("length") < capacity)
-    groups = max(1, -(-part.count() // group_pieces))
-    dealt = part.withColumn("pack", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    packed = dealt.groupBy("pack").applyInArrow(lean_group(lambda g: _pack(g, capacity)), PACKED)
-    return packed.unionByName(whole)
+    return _pack_in_rounds(rows.where(F.col("length") < capacity), capacity, group_pieces).unionByName(whole)

@@ -219,6 +219,26 @@ def test_local_search():
     assert len(better) <= len(start)
 
 
+def test_local_search_takes_any_pair():
+    """The emptiest bin's ninth and tenth pieces together, for one of 10, are its only step."""
+    sizes = np.array([491, 10] * 84 + [40] * 8 + [7, 5], dtype=np.int64)
+    bins = packing.improve([[2 * k, 2 * k + 1] for k in range(84)] + [[*range(168, 178)]], sizes, 505)
+    assert sorted(i for b in bins for i in b) == list(range(178)) and max(int(sizes[b].sum()) for b in bins) == 503
+
+
+def test_groups_share_their_rests(spark, docs):
+    """Small groups end with nearly as few sequences as one group."""
+    counts = []
+    for group_pieces in (24, 4096):
+        rows = packing.pack(docs, group_pieces=group_pieces).collect()
+        counts.append(len({r["sequence_id"] for r in rows}))
+        fills = {}
+        for r in rows:
+            fills[r["sequence_id"]] = fills.get(r["sequence_id"], 0) + r["length"]
+        assert max(fills.values()) <= 1024
+    assert counts[1] <= counts[0] <= 1.05 * counts[1], counts
+
+
 @pytest.mark.parametrize("pages", [[], [(1, None), (2, "no scheme")], [(1, "http://a.org/x"), (2, "http://b.net/y"), (None, "http://A.example.ORG/es/1?q")]])
 def test_urls(spark, pages):
     got = url_filter.judge_urls(spark.createDataFrame([(*p, "h") for p in pages], "page_id long, url string, host string")).collect()
