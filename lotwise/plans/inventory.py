@@ -57,12 +57,13 @@ def electric_flags(inventory: DataFrame, as_of: date, months: int = 6) -> DataFr
     )
 
 
-def dense_brand_inventory(inventory: DataFrame, sales: DataFrame, months: Sequence[date]) -> DataFrame:
+def dense_brand_inventory(inventory: DataFrame, sales: DataFrame, months: Sequence[date] | None = None) -> DataFrame:
     """Inventory and sales of every spine brand on every month that has inventory, 0 where absent.
 
+    ``months`` restricts both sides; without it all months take part.
     Summed per (month, brand) first: the spine and both sides are a few hundred rows.
     """
-    chosen = F.col("accounting_month").isin(list(months))
+    chosen = F.col("accounting_month").isNotNull() if months is None else F.col("accounting_month").isin(list(months))
     keys = ["accounting_month", "brand", "category"]
     labelled = lambda df: df.withColumn("brand", C.brand_group(F.col("make"), "spine")).withColumn(
         "category", C.segment(F.col("make"), "spine")

@@ -82,10 +82,9 @@ register(
     lambda t: I.others_last(I.dense_brand_inventory(t("inventory_month", "accounting_month make department status inventory_count"), t("sales_detail", "accounting_month make department sold_count"), [MONTH, CURRENT])),
     _spine(f"accounting_month IN ({M}, DATE '{CURRENT}')"), _PAIR, SPINE,
 )
-ALL_MONTHS = [D.add_months(date(1995, 1, 1), i) for i in range(83)]
 register(
     "brand_segment_monthly", "brand category date:t inv:i sales:i",
-    lambda t: I.dense_brand_inventory(t("inventory_month", "accounting_month make department status inventory_count"), t("sales_detail", "accounting_month make department sold_count"), ALL_MONTHS),
+    lambda t: I.dense_brand_inventory(t("inventory_month", "accounting_month make department status inventory_count"), t("sales_detail", "accounting_month make department sold_count")),
     _spine("accounting_month BETWEEN DATE '1995-01-01' AND DATE '2001-11-30'"), _PAIR, SPINE,
 )
 register(

@@ -310,3 +310,15 @@ def test_market_cubes(spark, rows):
 def test_split_credit_without_first_name(spark, rows):
     df = spark.createDataFrame([(None, "b", 4.0), (None, None, 2.0), ("a", "b", 1.0)], "a1 string, a2 string, n double")
     assert rows(MT.split_credit(df, "a1", "a2", "n", "who"), "who", "n") == [("a", 0.5), ("b", 0.5), ("b", 2.0)]
+
+
+def test_dense_brand_inventory_of_all_months(spark, rows):
+    from lotwise.plans.inventory import dense_brand_inventory
+
+    inventory = spark.createDataFrame(
+        [(date(1995, 1, 1), "Ford", "300", "S", 2), (date(2031, 5, 1), "Ford", "300", "S", 3)],
+        "accounting_month date, make string, department string, status string, inventory_count int",
+    )
+    sales = spark.createDataFrame([(date(2031, 5, 1), "Ford", "New", 4)], "accounting_month date, make string, department string, sold_count int")
+    dense = dense_brand_inventory(inventory, sales)
+    assert rows(dense.where("brand = 'Ford'"), "date", "inv", "sales") == [(date(1995, 1, 1), 2, 0), (date(2031, 5, 1), 3, 4)]
