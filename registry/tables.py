@@ -520,6 +520,22 @@ register(
 )
 
 
+def _newest_orders(t):
+    """Two whole deliveries of the orders, the older one without their status; all rows of the newer."""
+    folder = new_path(t.spark, "deliveries")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    SK.write_csv(rows.withColumn("o_orderstatus", F.lit("open")), f"{folder}/z_first")
+    SK.write_csv(rows, f"{folder}/a_second")
+    delivery = FS.latest_file(t.spark, folder, ["part-"]).rpartition("/")[0]
+    return FS.read_delimited(t.spark, delivery, "key bigint, customer bigint, status string")
+
+
+register(
+    "latest_file_orders", "key:i customer:i status", _newest_orders,
+    "SELECT o_orderkey AS key, o_custkey AS customer, o_orderstatus AS status FROM orders",
+)
+
+
 def _replaced(t):
     whole, parts = new_path(t.spark, "whole"), new_path(t.spark, "parts")
     rows = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
