@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import list_files
+
 
 def write_csv(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
     """CSV with header, one file per task; ``sort`` orders the rows across the files."""
@@ -30,11 +32,17 @@ def replace_partitions(df: DataFrame, path: str, keys: Sequence[str], writers: i
     ).partitionBy(*keys).parquet(path)
 
 
-def archive_snapshot(df: DataFrame, root: str, as_of: date, if_absent: bool = True) -> None:
+def archive_snapshot(df: DataFrame, root: str, as_of: date, if_absent: bool = True, source: str | None = None) -> None:
     """Dated copy ``root/as_of=YYYY-MM-DD``, written once per day unless told to replace it.
 
     A day is there when its success marker is; one that a crash left half-written is written again.
+    With ``source``, the file or folder that ``df`` comes from, only a stale one is archived: its newest
+    file was modified before the day ``as_of`` (in the session's time zone).
     """
+    if source is not None:
+        stale = F.to_date(F.max("modified")) < F.lit(as_of)
+        if not list_files(df.sparkSession, source).agg(stale.alias("stale")).first()["stale"]:
+            return
     path = f"{root}/as_of={as_of.isoformat()}"
     if not (if_absent and _is_complete(df.sparkSession, path)):
         df.write.mode("overwrite").parquet(path)

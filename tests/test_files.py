@@ -1,6 +1,6 @@
 import os
 import time
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,3 +193,15 @@ def test_half_written_archive_is_repaired(spark, rows, tmp_path):
     for value in (1, 2):
         sinks.archive_snapshot(spark.createDataFrame([(value,)], "v int"), str(tmp_path), date(2025, 1, 1))
     assert rows(spark.read.parquet(str(tmp_path / "as_of=2025-01-01"))) == [(1,)]
+
+
+def test_archive_only_if_stale(spark, rows, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, day in (("old.csv", 1), ("new.csv", 3)):
+        then = datetime(2025, 1, day, 12, tzinfo=timezone.utc).timestamp()
+        os.utime(write(tmp_path / "in" / name, "x"), (then, then))
+    df, root = spark.createDataFrame([(1,)], "v int"), str(tmp_path / "arch")
+    SK.archive_snapshot(df, root, date(2025, 1, 3), source=str(tmp_path / "in"))
+    assert SK.read_archive(spark, root) is None
+    SK.archive_snapshot(df, root, date(2025, 1, 4), source=str(tmp_path / "in"))
+    assert rows(SK.read_archive(spark, root)) == [(1, date(2025, 1, 4))]
