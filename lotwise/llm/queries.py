@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, ngram_join, packing, quality_rules, resharding, suffix_array, suffix_automaton, url_filter
+from . import exact_dedup, importance, language_id, mixing, ngram_join, packing, quality_rules, resharding, spelling
+from . import suffix_array, suffix_automaton, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,16 +64,41 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_resharding, op2_suffix_automaton, op3_quality_rules, op4_ngram_join, op5_language_id, op6_mixing, op7_url_filter,
-        op8_suffix_array, op9_packing, op10_exact_dedup,
+        op8_suffix_array, op9_packing, op10_exact_dedup, op11_warc, op12_spelling, op13_importance,
     )
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
+
+def _crc32(data: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a string's UTF-8 bytes, bit by bit from its polynomial."""
+    crc_bytes = f"list_transform(range(octet_length(encode({data}))), lambda i: ('0x' || substr(hex(encode({data})), 2 * i + 1, 2))::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crc_table[xor(c & 255, b) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {crc_bytes}), {step}), 4294967295)"
+
+
+_CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table
+)"""
+
 ORACLE: dict[str, str] = {
     "op3_quality_rules": rf"""
 WITH d AS (
@@ -144,5 +170,87 @@ WITH d AS (
   SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+""",
+    "op11_warc": """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), g AS (
+  SELECT payload, max(page_id) AS top, sha1(payload) AS digest FROM p GROUP BY payload
+)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(digest, 10 * (k // 8) + 1, 10))::BIGINT >> (35 - 5 * (k % 8))) & 31)::INT + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p JOIN g USING (payload)
+""",
+    "op12_spelling": rf"""
+WITH RECURSIVE {_CRC_TABLE}, run AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), per AS (
+  SELECT doc_id || ':' || run AS id, run, count(*) AS n FROM run GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, {_crc32('id')} AS h FROM per, crc
+), counted AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM counted WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gap AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less, left(word, i - 1) || '$' || substr(word, i + 1) AS marked
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+), near AS (
+  SELECT DISTINCT * FROM (
+    SELECT a.word, b.word AS other, b.n FROM gap a JOIN gap b ON a.marked = b.marked AND a.word <> b.word
+    UNION ALL SELECT g.word, w.word, w.n FROM gap g JOIN words w ON g.less = w.word
+    UNION ALL SELECT w.word, g.word, g.n FROM gap g JOIN words w ON g.less = w.word
+  )
+), best AS (
+  SELECT word, count(*) AS n_near, max(n) AS near_n FROM near GROUP BY word
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n,
+    CASE WHEN near_n >= 2 * w.n THEN decode((SELECT min(encode(x.other)) FROM near x WHERE x.word = w.word AND x.n = near_n)) END AS form
+  FROM words w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL
+), last AS (
+  SELECT c.word, c.root FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NULL
+)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN last USING (word)
+""",
+    "op13_importance": rf"""
+WITH {_CRC_TABLE}, d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '') AS words
+  FROM documents
+), b AS (
+  SELECT list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '') AS words
+  FROM benchmark
+), dw AS (
+  SELECT r, word, count(*) AS n FROM (SELECT r, unnest(words) AS word FROM d) GROUP BY r, word
+), bw AS (
+  SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY word
+), bucket AS MATERIALIZED (
+  SELECT word, {_crc32('word')} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc
+), counts AS (
+  SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM (
+    SELECT word, n AS s, 0 AS t FROM dw UNION ALL SELECT word, 0, n FROM bw
+  ) JOIN bucket USING (word) GROUP BY bucket
+), totals AS (
+  SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counts
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (all_s + 10000) / ((s + 1) * (all_t + 10000))))::BIGINT AS gain FROM counts, totals
+), weights AS (
+  SELECT r, sum(n * gain)::BIGINT AS weight FROM dw JOIN bucket USING (word) JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+  SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS eligible FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= eligible * 10 // 100 THEN place END AS rank FROM placed
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_features < 20
 """,
 }
