@@ -41,8 +41,8 @@ class Buckets:
     def __init__(self, longest: int, buckets: int):
         self.longest, self.buckets, self.known = longest, buckets, {}
 
-    def of(self, text: bytes) -> tuple[int, dict[int, int]]:
-        """The number of words, and how often each bucket occurs."""
+    def of(self, text: bytes) -> tuple[int, np.ndarray, np.ndarray]:
+        """The number of words; the buckets that occur, and how often each does."""
         words = text.translate(_WORDS).split()
         found: Counter[bytes] = Counter(words)
         for size in range(2, self.longest + 1):
@@ -55,7 +55,7 @@ class Buckets:
             if bucket is None:
                 bucket = self.known[feature] = zlib.crc32(feature) % self.buckets
             out[bucket] = out.get(bucket, 0) + n
-        return len(words), out
+        return len(words), np.fromiter(out, np.int64, len(out)), np.fromiter(out.values(), np.int64, len(out))
 
 
 def bucket_counts(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
@@ -66,8 +66,8 @@ def bucket_counts(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKE
         features, total = Buckets(longest, buckets), np.zeros(buckets, np.int64)
         for batch in batches:
             for text in texts_of(batch):
-                found = features.of(text)[1]
-                total[list(found)] += list(found.values())
+                _, found, counts = features.of(text)
+                total[found] += counts
         bucket = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(total[bucket])], names=["bucket", "n"])
 
@@ -112,12 +112,11 @@ def scores(docs: DataFrame, gains: np.ndarray, longest: int = LONGEST, least_wor
         for batch in batches:
             ids, rows, sizes, weights = batch.column("doc_id").to_pylist(), [], [], []
             for text in texts_of(batch):
-                n, found = features.of(text)
-                counts = np.fromiter(found.values(), np.int64, len(found))
+                n, found, counts = features.of(text)
                 rows.append(row if n >= least_words else None)
                 row += n >= least_words
                 sizes.append(int(counts.sum()))
-                weights.append(int(gain[np.fromiter(found, np.int64, len(found))] @ counts))
+                weights.append(int(gain[found] @ counts))
             total = [w + noise(i, seed) for w, i in zip(weights, ids, strict=True)]
             columns = [ids, sizes, weights, total, [part] * len(ids), rows]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=_SCORED)
