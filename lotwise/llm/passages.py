@@ -4,7 +4,8 @@ Units are words or bytes.  A window of ``length`` units has an anchor: the least
 ``gram`` units.  Equal windows have equal anchors, so only windows whose anchor occurs in two documents
 can be equal, and all windows that can be equal to one another meet under their anchor.  This cuts the
 corpus into segments (runs of windows with one anchor) that are sharded by anchor, each shard small
-enough for an index in one task, and none of the windows is lost.
+enough for an index in one task, and none of the windows is lost.  Anchors of very many different segments are
+dealt again by longer grams, as distinct segments, so that documents cost the same rows whatever they share.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import WHITE, keep, texts_of
+from .base import keep, texts_of
 from .hashing import U, chunks, mix, prefix_sums, word_table
 
 _FACTORS = mix(np.arange(101, 165, dtype=np.uint64)) | U(1)
@@ -29,6 +30,8 @@ Index = Callable[[bytes, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 #: "Up to the last window" in a span.
 END = -1
+#: An anchor of so many distinct segments is dealt again by longer grams.
+CROWD = 64
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,10 @@ class Units:
     gram: int
     words: bool
 
+    def __post_init__(self) -> None:
+        if not 0 < self.gram <= self.length:
+            raise ValueError("a gram must fit into a window")
+
     @property
     def span(self) -> int:
         """Grams in a window."""
@@ -91,20 +98,44 @@ def _lists(kind: type[pa.Array], sizes: np.ndarray, values) -> pa.Array:
 
 
 def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
+    """id, first, anchor and two notes of each run of windows with one anchor.
+
+    ``known``: texts of the same batch with another ``first`` have the anchor too.  Of such rows all but one
+    get a ``salt`` of their own, as they have nothing left to learn: an anchor of a third of all texts meets
+    itself once per batch, not once per text.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = texts_of(batch)
+            parts = [(np.empty(0, np.int64), np.empty(0, np.uint64))]
             for a, b in chunks(data):
                 text, _, anchors, _, _ = units.windows(data[a:b])
                 begin = _begins(text, anchors)
-                columns = [batch.column("doc_id").take(pa.array(a + text[begin])), pa.array(anchors[begin].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "anchor"])
+                parts.append((a + text[begin], anchors[begin]))
+            text, anchors = (np.concatenate(p) for p in zip(*parts, strict=True))
+            first = batch.column("first").to_numpy()[text]
+            order = np.argsort(anchors)
+            group = _begins(anchors[order])
+            sizes = np.diff(np.append(group, len(order)))
+            known, salt = np.zeros(len(order), bool), np.zeros(len(order), np.int32)
+            if len(order):
+                shared = np.minimum.reduceat(first[order], group) < np.maximum.reduceat(first[order], group)
+                known[order] = np.repeat(shared, sizes)
+                number = np.arange(len(order)) - np.repeat(group, sizes)
+                salt[order] = np.where(known[order], number + (number > 0) * text[order], 0)
+            columns = [batch.column("id").take(pa.array(text)), pa.array(first), pa.array(anchors.view(np.int64)), pa.array(known), pa.array(salt)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "anchor", "known", "salt"])
 
-    return texts.mapInArrow(run, "doc_id long, anchor long")
+    return texts.mapInArrow(run, f"id {_id_type(texts)}, first long, anchor long, known boolean, salt int")
+
+
+def _id_type(texts: DataFrame) -> str:
+    return texts.schema["id"].dataType.simpleString()
 
 
 def _segments(texts: DataFrame, units: Units) -> DataFrame:
-    """doc_id, start, anchor and bytes of each run of windows whose anchor is in ``shared``."""
+    """id, first, start, windows (their number), anchor and bytes of each run of windows whose anchor is in ``shared``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,73 +155,52 @@ def _segments(texts: DataFrame, units: Units) -> DataFrame:
                 at = np.arange(int(size.sum())) + np.repeat(starts[begin] - (np.cumsum(size) - size), size)
                 content = np.frombuffer(b"\n".join(data[a:b]), dtype=np.uint8)[at]
                 offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                rows = pa.array(a + text[begin])
                 columns = [
-                    batch.column("doc_id").take(pa.array(a + text[begin])),
+                    batch.column("id").take(rows),
+                    batch.column("first").take(rows),
                     pa.array(place[begin]),
+                    pa.array(last - begin + 1),
                     pa.array(anchors[begin].view(np.int64)),
                     pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(content)]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "anchor", "content"])
-
-    return texts.mapInArrow(run, "doc_id long, start long, anchor long, content binary")
-
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "start", "windows", "anchor", "content"])
 
-def _distinct(segments: DataFrame) -> DataFrame:
-    rows = segments.groupBy("anchor", "content").agg(F.min("doc_id").alias("first"))
-    return keep(rows.withColumn("mark", F.unhex(F.md5("content"))), "segments-distinct")
-
-
-def _single_windows(segments: DataFrame, units: Units) -> DataFrame:
-    """The windows of each segment as segments of their own, with a hash of the whole window as anchor."""
-    if units.words:
-        words = F.array_remove(F.split(F.col("content").cast("string"), WHITE), "")
-        parts = segments.withColumn("words", words).withColumn("k", F.explode(F.sequence(F.lit(0), F.size("words") - units.length)))
-        content = F.array_join(F.slice("words", F.col("k") + 1, units.length), " ").cast("binary")
-    else:
-        parts = segments.withColumn("k", F.explode(F.sequence(F.lit(0), F.octet_length("content") - units.length)))
-        content = F.substring("content", F.col("k") + 1, F.lit(units.length))
-    cut = parts.select("doc_id", (F.col("start") + F.col("k")).alias("start"), content.alias("content"))
-    return cut.select("doc_id", "start", F.xxhash64("content").alias("anchor"), "content")
-
-
-def spread(segments: DataFrame, units: Units, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """(segments, distinct segments with their smallest document) without an anchor that outgrows a shard.
-
-    Equal segments are one row before they reach a shard, so a passage in a third of all documents is
-    indexed once.  An anchor with more than ``shard_bytes`` of distinct segments (a frequent gram that many
-    different windows share) is cut into single windows, which a hash of the whole window deals evenly.
-    """
-    distinct = _distinct(segments)
-    sizes = distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("n"))
-    hot = keep(sizes.where(F.col("n") > shard_bytes).select("anchor"), "hot-anchors")
-    if hot.isEmpty():
-        return segments, distinct
-    cut = keep(_single_windows(segments.join(hot, "anchor", "left_semi"), units), "single-windows")
-    rest = distinct.join(hot, "anchor", "left_anti")
-    return segments.join(hot, "anchor", "left_anti").unionByName(cut), rest.unionByName(_distinct(cut))
+    return texts.mapInArrow(run, f"id {_id_type(texts)}, first long, start long, windows long, anchor long, content binary")
 
 
 def first_documents(distinct: DataFrame, index: Index, shard_bytes: int) -> DataFrame:
     """mark (of a distinct segment's content) and runs (low, high, first): its windows low to high first
-    occur in document ``first``.  The number of shards follows the bytes of the distinct segments."""
+    occur in document ``first``.  The number of shards follows the bytes of the distinct segments.  A segment
+    that is the only one of its anchor shares no window, so that it needs no index."""
     total = distinct.agg(F.sum(F.octet_length("content")).alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_bytes))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        contents = group.column("content").combine_chunks()
-        sizes = pc.binary_length(contents).to_numpy().astype(np.int64)
-        firsts, windows = index(b"".join(contents.to_pylist()), sizes, group.column("first").to_numpy())
-        segment = np.repeat(np.arange(len(sizes)), windows)
+        _, of, times = np.unique(group.column("anchor").to_numpy(), return_inverse=True, return_counts=True)
+        asked = np.flatnonzero(times[of] > 1)
+        own, windows = group.column("first").to_numpy(), group.column("windows").to_numpy()
+        firsts = np.repeat(own, windows)
+        segment = np.repeat(np.arange(len(own)), windows)
+        if len(asked):
+            contents = group.column("content").combine_chunks().take(pa.array(asked))
+            found, counts = index(b"".join(contents.to_pylist()), pc.binary_length(contents).to_numpy().astype(np.int64), own[asked])
+            if (counts != windows[asked]).any():
+                raise ValueError("an index must give every window of a segment")
+            firsts[(times[of] > 1)[segment]] = found
         begin = _begins(segment, firsts)
         last = np.append(begin[1:], len(firsts)) - 1
         before = (np.cumsum(windows) - windows)[segment[begin]]
         runs = pa.StructArray.from_arrays([pa.array(x) for x in (begin - before, last - before, firsts[begin])], names=["low", "high", "first"])
-        per = np.bincount(segment[begin], minlength=len(sizes))
+        per = np.bincount(segment[begin], minlength=len(own))
         return pa.table({"mark": group.column("mark"), "runs": _lists(pa.ListArray, per, runs)})
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(run, "mark binary, runs array<struct<low: long, high: long, first: long>>")
+    return dealt.groupBy("shard").applyInArrow(run, f"mark binary, runs {_RUNS}")
+
+
+_RUNS = "array<struct<low: long, high: long, first: long>>"
 
 
 def _copies(texts: DataFrame) -> DataFrame:
@@ -200,35 +210,62 @@ def _copies(texts: DataFrame) -> DataFrame:
     return marks.join(keep(groups, "text-groups"), ["mark", "more"]).where("doc_id > least").select("doc_id").distinct()
 
 
-def repeated_windows(docs: DataFrame, units: Units, index: Index, shard_bytes: int) -> DataFrame:
+def first_runs(texts: DataFrame, levels: Sequence[Units], index: Index, shard_bytes: int) -> DataFrame:
+    """id, runs (low, high, first): its windows low to high first occur in document ``first``, which is smaller than
+    its own.  Only texts with such windows are returned, and runs may overlap.
+
+    ``texts`` has id, text and first, the smallest document that the text occurs in.  Equal segments are one
+    row before they reach a shard, so a passage in a third of all documents is indexed once.  An anchor of CROWD
+    distinct segments or more (a gram that many different windows share, as around a passage that stands in many
+    different documents) is dealt again: its distinct segments, not the texts that hold them, are the
+    texts of the next level, whose anchors are longer grams.  At the last level a gram is a window.
+    """
+    units = levels[0]
+    by_anchor = Window.partitionBy("anchor", "salt")
+    anchors = (
+        _all_anchors(texts, units)
+        .withColumn("least", F.min("first").over(by_anchor))
+        .withColumn("most", F.max("first").over(by_anchor))
+        .where("known or least < most")
+        .select("id", "anchor")
+    )
+    shared = keep(anchors, "anchors").groupBy("id").agg(F.collect_set("anchor").alias("shared"))
+    segments = _segments(texts.join(shared, "id").select("id", "text", "first", "shared"), units)
+    segments = keep(segments.withColumn("mark", F.unhex(F.md5("content"))), "segments")
+    distinct = segments.groupBy("anchor", "content").agg(F.min("first").alias("first"), F.first("windows").alias("windows"), F.first("mark").alias("mark"))
+    distinct = keep(distinct, "segments-distinct")
+    crowded = keep(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD).select("anchor"), "crowded-anchors")
+    if len(levels) == 1 or crowded.isEmpty():
+        firsts = first_documents(distinct, index, shard_bytes)
+    else:
+        again = keep(distinct.join(crowded, "anchor", "left_semi").select(F.col("mark").alias("id"), F.col("content").alias("text"), "first", "windows"), "crowded")
+        found = first_runs(again.select("id", "text", "first"), levels[1:], index, shard_bytes)
+        whole = F.array(F.struct(F.lit(0).cast("long").alias("low"), (F.col("windows") - 1).alias("high"), F.col("first").alias("first")))
+        dealt = again.join(found, "id", "left").select(F.col("id").alias("mark"), F.concat(whole, F.coalesce("runs", F.array())).alias("runs"))
+        firsts = first_documents(distinct.join(crowded, "anchor", "left_anti"), index, shard_bytes).unionByName(dealt)
+    firsts = keep(firsts, "segment-runs")
+    earlier = F.transform(
+        F.filter("runs", lambda r: r["first"] < F.col("first")),
+        lambda r: F.struct((F.col("start") + r["low"]).alias("low"), (F.col("start") + r["high"]).alias("high"), r["first"].alias("first")),
+    )
+    runs = segments.select("id", "first", "start", "mark").join(firsts, "mark").select("id", earlier.alias("runs")).where(F.size("runs") > 0)
+    return keep(runs.groupBy("id").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+
+
+def repeated_windows(docs: DataFrame, levels: Sequence[Units], index: Index, shard_bytes: int) -> DataFrame:
     """doc_id, spans (low, high): its windows that also start in a document with a smaller doc_id.
 
     ``docs`` has doc_id and text.  Rows with a NULL doc_id take no part.  Only documents with such windows
     are returned.  Equal texts are one text, that of the smallest doc_id, before anything is indexed; all
-    windows of the others (span 0 to END) start in it.
+    windows of the others (span 0 to END) start in it.  ``levels`` are the units of one window length with ever
+    longer grams, the last a whole window.
     """
     texts = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     copies = keep(_copies(texts), "copies")
-    texts = texts.join(copies, "doc_id", "left_anti")
-    by_anchor = Window.partitionBy("anchor")
-    shared = (
-        _all_anchors(texts, units)
-        .withColumn("least", F.min("doc_id").over(by_anchor))
-        .withColumn("most", F.max("doc_id").over(by_anchor))
-        .where("least < most")
-        .select("doc_id", "anchor")
-    )
-    shared = keep(shared, "anchors").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
-    segments = keep(_segments(texts.join(shared, "doc_id"), units), "segments")
-    segments, distinct = spread(segments, units, shard_bytes)
-    firsts = keep(first_documents(distinct, index, shard_bytes), "segment-runs")
-    marked = segments.select("doc_id", "start", F.unhex(F.md5("content")).alias("mark"))
-    earlier = F.transform(
-        F.filter("runs", lambda r: r["first"] < F.col("doc_id")),
-        lambda r: F.struct((F.col("start") + r["low"]).alias("low"), (F.col("start") + r["high"]).alias("high")),
-    )
-    spans = marked.join(firsts, "mark").select("doc_id", earlier.alias("spans")).where(F.size("spans") > 0)
-    spans = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    texts = texts.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "text", F.col("doc_id").alias("first"))
+    runs = first_runs(texts, levels, index, shard_bytes)
+    span = F.transform("runs", lambda r: F.struct(r["low"].alias("low"), r["high"].alias("high")))
+    spans = runs.select(F.col("id").alias("doc_id"), span.alias("spans"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.lit(END).cast("long").alias("high")))
     return spans.unionByName(copies.select("doc_id", whole.alias("spans")))
 

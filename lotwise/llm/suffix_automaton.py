@@ -7,7 +7,7 @@ shard's passages through it, and each distinct passage is indexed and streamed o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .base import keep, texts_of
 from .passages import Units, covered, repeated_windows
 
-#: Words of a window; words of the grams that anchor it; bytes of distinct passages in an automaton.
-LENGTH, GRAM, SHARD_BYTES = 13, 5, 1 << 19
+#: Words of a window; words of the grams that anchor it, level by level; bytes of distinct passages in an automaton.
+LENGTH, GRAMS, SHARD_BYTES = 13, (5, 9), 1 << 19
 
 
 class SuffixAutomaton:
@@ -119,7 +119,7 @@ def automaton_index(length: int):
     return index
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, grams: Sequence[int] = GRAMS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (binary, kept words joined by a space), one row per row.
 
     Removes each word covered by a window of ``length`` words that also starts in a document with a
@@ -127,9 +127,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shar
     Rows with a NULL doc_id lose nothing and count as no reference.  Rows that repeat a doc_id are one
     document as a reference and each lose the words of that document's windows; their texts must agree.
     """
-    if gram > length:
-        raise ValueError("a gram must fit into a window")
-    spans = keep(repeated_windows(docs, Units(length, gram, True), automaton_index(length), shard_bytes), "repeats")
+    levels = [Units(length, gram, True) for gram in (*grams, length)]
+    spans = keep(repeated_windows(docs, levels, automaton_index(length), shard_bytes), "repeats")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

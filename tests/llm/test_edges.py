@@ -140,12 +140,6 @@ def test_suffix_order():
     assert [text[k : k + 200] for k in ordered] == sorted(text[k : k + 200] for k in range(len(text) - 200))
 
 
-def test_hot_anchors(docs):
-    for operator, small in ((suffix_array, {"block_bytes": 300}), (suffix_automaton, {"shard_bytes": 300})):
-        plain, cut = (sorted(map(str, operator.remove_repeats(docs, **how).collect())) for how in ({}, small))
-        assert plain == cut
-
-
 def test_overlaps_and_tiles(spark, docs, monkeypatch):
     rng = np.random.default_rng(4)
     rows = [np.unique(rng.integers(0, 80, rng.integers(0, 60))) for _ in range(70)]
