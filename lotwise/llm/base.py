@@ -50,7 +50,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, f"llm-{name}")
     with _set_for_writing(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Remove tables that ``keep`` wrote, after all that was made of them is written too."""
+    for table in tables:
+        if table is not None:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(table.kept_at)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _give_back() -> None:

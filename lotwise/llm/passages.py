@@ -16,10 +16,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, texts_of
+from .base import forget, keep, texts_of
 from .hashing import U, chunks, mix, prefix_sums, word_table
 
 _FACTORS = mix(np.arange(101, 165, dtype=np.uint64)) | U(1)
@@ -31,7 +31,7 @@ Index = Callable[[bytes, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 #: "Up to the last window" in a span.
 END = -1
 #: An anchor of so many distinct segments is dealt again by longer grams.
-CROWD = 64
+CROWD = 2048
 
 
 @dataclass(frozen=True)
@@ -98,12 +98,14 @@ def _lists(kind: type[pa.Array], sizes: np.ndarray, values) -> pa.Array:
 
 
 def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
-    """id, first, anchor and two notes of each run of windows with one anchor.
+    """id, first, anchor and key of each run of windows with one anchor.
 
-    ``known``: texts of the same batch with another ``first`` have the anchor too.  Of such rows all but one
-    get a ``salt`` of their own, as they have nothing left to learn: an anchor of a third of all texts meets
-    itself once per batch, not once per text.
+    The key is the anchor, under which texts meet.  If texts of one batch with different ``first`` have an anchor,
+    all of them know that it is shared: those with the smallest and the largest ``first`` speak for the others, whose
+    key is a number of their own and whose anchor is stated beside it (else NULL).  So an anchor of a third of all
+    texts meets itself twice per batch, not once per text.
     """
+    own = "first" in texts.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,20 +116,20 @@ def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
                 begin = _begins(text, anchors)
                 parts.append((a + text[begin], anchors[begin]))
             text, anchors = (np.concatenate(p) for p in zip(*parts, strict=True))
-            first = batch.column("first").to_numpy()[text]
-            order = np.argsort(anchors)
-            group = _begins(anchors[order])
-            sizes = np.diff(np.append(group, len(order)))
-            known, salt = np.zeros(len(order), bool), np.zeros(len(order), np.int32)
-            if len(order):
-                shared = np.minimum.reduceat(first[order], group) < np.maximum.reduceat(first[order], group)
-                known[order] = np.repeat(shared, sizes)
-                number = np.arange(len(order)) - np.repeat(group, sizes)
-                salt[order] = np.where(known[order], number + (number > 0) * text[order], 0)
-            columns = [batch.column("id").take(pa.array(text)), pa.array(first), pa.array(anchors.view(np.int64)), pa.array(known), pa.array(salt)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "anchor", "known", "salt"])
-
-    return texts.mapInArrow(run, f"id {_id_type(texts)}, first long, anchor long, known boolean, salt int")
+            first = batch.column("first" if own else "id").to_numpy()[text]
+            order = np.lexsort((first, anchors))
+            low, among = first[order], _begins(anchors[order])
+            last = np.append(among[1:], len(order)) - 1
+            silent = np.repeat(low[among] < low[last], last - among + 1) if len(order) else np.empty(0, bool)
+            silent[among], silent[last] = False, False
+            spoken = np.empty(len(order), bool)
+            spoken[order] = ~silent
+            key = np.where(spoken, anchors, mix(anchors ^ mix(text.astype(np.uint64) + U(1))))
+            columns = {"id": batch.column("id").take(pa.array(text))} | ({"first": pa.array(first)} if own else {})
+            columns |= {"key": pa.array(key.view(np.int64)), "anchor": pa.array(anchors.view(np.int64), mask=spoken)}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return texts.mapInArrow(run, f"id {_id_type(texts)}, {'first long, ' if own else ''}key long, anchor long")
 
 
 def _id_type(texts: DataFrame) -> str:
@@ -136,6 +138,7 @@ def _id_type(texts: DataFrame) -> str:
 
 def _segments(texts: DataFrame, units: Units) -> DataFrame:
     """id, first, start, windows (their number), anchor and bytes of each run of windows whose anchor is in ``shared``."""
+    own = "first" in texts.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,32 +152,26 @@ def _segments(texts: DataFrame, units: Units) -> DataFrame:
                 # One number for (text, anchor): a clash would only add a segment.
                 owner = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy())
                 pairs = mix(lists.flatten().to_numpy().view(np.uint64) ^ mix(owner.astype(np.uint64)))
-                own = np.isin(mix(anchors[begin] ^ mix(text[begin].astype(np.uint64))), pairs)
-                begin, last = begin[own], last[own]
+                asked = np.isin(mix(anchors[begin] ^ mix(text[begin].astype(np.uint64))), pairs)
+                begin, last = begin[asked], last[asked]
                 size = ends[last] - starts[begin]
                 at = np.arange(int(size.sum())) + np.repeat(starts[begin] - (np.cumsum(size) - size), size)
                 content = np.frombuffer(b"\n".join(data[a:b]), dtype=np.uint8)[at]
                 offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
                 rows = pa.array(a + text[begin])
-                columns = [
-                    batch.column("id").take(rows),
-                    batch.column("first").take(rows),
-                    pa.array(place[begin]),
-                    pa.array(last - begin + 1),
-                    pa.array(anchors[begin].view(np.int64)),
-                    pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(content)]),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "first", "start", "windows", "anchor", "content"])
+                columns = {"id": batch.column("id").take(rows)} | ({"first": batch.column("first").take(rows)} if own else {})
+                columns |= {"start": pa.array(place[begin]), "windows": pa.array(last - begin + 1), "anchor": pa.array(anchors[begin].view(np.int64))}
+                columns["content"] = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(content)])
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return texts.mapInArrow(run, f"id {_id_type(texts)}, first long, start long, windows long, anchor long, content binary")
+    first = "first long, " if own else ""
+    return texts.mapInArrow(run, f"id {_id_type(texts)}, {first}start long, windows long, anchor long, content binary")
 
 
-def first_documents(distinct: DataFrame, index: Index, shard_bytes: int) -> DataFrame:
+def first_documents(distinct: DataFrame, index: Index, shards: int) -> DataFrame:
     """mark (of a distinct segment's content) and runs (low, high, first): its windows low to high first
-    occur in document ``first``.  The number of shards follows the bytes of the distinct segments.  A segment
-    that is the only one of its anchor shares no window, so that it needs no index."""
-    total = distinct.agg(F.sum(F.octet_length("content")).alias("n")).first()["n"] or 0
-    shards = max(1, -(-total // shard_bytes))
+    occur in document ``first``.  A segment that is the only one of its anchor shares no window, so that it needs
+    no index."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -196,10 +193,14 @@ def first_documents(distinct: DataFrame, index: Index, shard_bytes: int) -> Data
         per = np.bincount(segment[begin], minlength=len(own))
         return pa.table({"mark": group.column("mark"), "runs": _lists(pa.ListArray, per, runs)})
 
-    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    dealt = distinct.withColumn("mark", _mark("content")).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(run, f"mark binary, runs {_RUNS}")
 
 
+def _mark(content: str) -> Column:
+    return F.unhex(F.md5(content))
+
+
 _RUNS = "array<struct<low: long, high: long, first: long>>"
 
 
@@ -214,42 +215,48 @@ def first_runs(texts: DataFrame, levels: Sequence[Units], index: Index, shard_by
     """id, runs (low, high, first): its windows low to high first occur in document ``first``, which is smaller than
     its own.  Only texts with such windows are returned, and runs may overlap.
 
-    ``texts`` has id, text and first, the smallest document that the text occurs in.  Equal segments are one
+    ``texts`` has id, text and first, the smallest document that the text occurs in; without first, id is that.  Equal segments are one
     row before they reach a shard, so a passage in a third of all documents is indexed once.  An anchor of CROWD
     distinct segments or more (a gram that many different windows share, as around a passage that stands in many
     different documents) is dealt again: its distinct segments, not the texts that hold them, are the
     texts of the next level, whose anchors are longer grams.  At the last level a gram is a window.
     """
-    units = levels[0]
-    by_anchor = Window.partitionBy("anchor", "salt")
+    units, first = levels[0], "first" if "first" in texts.columns else "id"
+    by_key = Window.partitionBy("key")
     anchors = (
         _all_anchors(texts, units)
-        .withColumn("least", F.min("first").over(by_anchor))
-        .withColumn("most", F.max("first").over(by_anchor))
-        .where("known or least < most")
-        .select("id", "anchor")
+        .withColumn("least", F.min(first).over(by_key))
+        .withColumn("most", F.max(first).over(by_key))
+        .where("anchor is not null or least < most")
+        .select("id", F.coalesce("anchor", "key").alias("anchor"))
     )
-    shared = keep(anchors, "anchors").groupBy("id").agg(F.collect_set("anchor").alias("shared"))
-    segments = _segments(texts.join(shared, "id").select("id", "text", "first", "shared"), units)
-    segments = keep(segments.withColumn("mark", F.unhex(F.md5("content"))), "segments")
-    distinct = segments.groupBy("anchor", "content").agg(F.min("first").alias("first"), F.first("windows").alias("windows"), F.first("mark").alias("mark"))
-    distinct = keep(distinct, "segments-distinct")
+    anchors = keep(anchors, "anchors")
+    segments = keep(_segments(texts.join(anchors.groupBy("id").agg(F.collect_set("anchor").alias("shared")), "id"), units), "segments")
+    forget(anchors)
+    distinct = keep(segments.groupBy("anchor", "content").agg(F.min(first).alias("first"), F.min("windows").alias("windows")), "segments-distinct")
+    shards = max(1, -(-(distinct.agg(F.sum(F.octet_length("content"))).first()[0] or 0) // shard_bytes))
     crowded = keep(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= CROWD).select("anchor"), "crowded-anchors")
+    again = None
     if len(levels) == 1 or crowded.isEmpty():
-        firsts = first_documents(distinct, index, shard_bytes)
+        firsts = first_documents(distinct, index, shards)
     else:
-        again = keep(distinct.join(crowded, "anchor", "left_semi").select(F.col("mark").alias("id"), F.col("content").alias("text"), "first", "windows"), "crowded")
+        again = distinct.join(crowded, "anchor", "left_semi").select(_mark("content").alias("id"), F.col("content").alias("text"), "first", "windows")
+        again = keep(again, "crowded")
         found = first_runs(again.select("id", "text", "first"), levels[1:], index, shard_bytes)
         whole = F.array(F.struct(F.lit(0).cast("long").alias("low"), (F.col("windows") - 1).alias("high"), F.col("first").alias("first")))
         dealt = again.join(found, "id", "left").select(F.col("id").alias("mark"), F.concat(whole, F.coalesce("runs", F.array())).alias("runs"))
-        firsts = first_documents(distinct.join(crowded, "anchor", "left_anti"), index, shard_bytes).unionByName(dealt)
+        firsts = first_documents(distinct.join(crowded, "anchor", "left_anti"), index, shards).unionByName(dealt)
     firsts = keep(firsts, "segment-runs")
+    forget(distinct, crowded, again)
     earlier = F.transform(
-        F.filter("runs", lambda r: r["first"] < F.col("first")),
+        F.filter("runs", lambda r: r["first"] < F.col(first)),
         lambda r: F.struct((F.col("start") + r["low"]).alias("low"), (F.col("start") + r["high"]).alias("high"), r["first"].alias("first")),
     )
-    runs = segments.select("id", "first", "start", "mark").join(firsts, "mark").select("id", earlier.alias("runs")).where(F.size("runs") > 0)
-    return keep(runs.groupBy("id").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    marked = segments.select(*{"id": 0, first: 0}, "start", _mark("content").alias("mark"))
+    runs = marked.join(firsts, "mark").select("id", earlier.alias("runs")).where(F.size("runs") > 0)
+    runs = keep(runs.groupBy("id").agg(F.flatten(F.collect_list("runs")).alias("runs")), "runs")
+    forget(segments, firsts)
+    return runs
 
 
 def repeated_windows(docs: DataFrame, levels: Sequence[Units], index: Index, shard_bytes: int) -> DataFrame:
@@ -262,7 +269,7 @@ def repeated_windows(docs: DataFrame, levels: Sequence[Units], index: Index, sha
     """
     texts = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     copies = keep(_copies(texts), "copies")
-    texts = texts.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "text", F.col("doc_id").alias("first"))
+    texts = texts.join(copies, "doc_id", "left_anti").withColumnRenamed("doc_id", "id")
     runs = first_runs(texts, levels, index, shard_bytes)
     span = F.transform("runs", lambda r: F.struct(r["low"].alias("low"), r["high"].alias("high")))
     spans = runs.select(F.col("id").alias("doc_id"), span.alias("spans"))

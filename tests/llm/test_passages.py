@@ -69,6 +69,7 @@ def test_cost_of_a_document(spark, monkeypatch, case):
         return kept
 
     monkeypatch.setattr(passages, "keep", keep)
+    monkeypatch.setattr(passages, "CROWD", 64)
     found = []
     for n in (500, 1000, 2000):
         counts.clear()
