@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import WHITE, keep, text_or_empty
+from .base import WHITE, keep, text_or_empty, with_row, without
 
 
 def normalised(text: Column) -> Column:
@@ -19,8 +19,8 @@ def md5_128(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_128, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the columns ``carry``.
 
     Reads ``doc_id`` and ``text`` only.  NULL text counts as empty, so all empty texts form a group.
     Rows that repeat a doc_id and its text are one document: they count in ``group_size`` and share
@@ -32,18 +32,18 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
     the text of its group's smallest id in an equi-join whose skewed side Spark can split.  Members
     that differ from it (a collision) are grouped by their whole text.
     """
-    texts = docs.select("doc_id", normalised(text_or_empty()).alias("norm")).withColumn("hash", content_hash(F.col("norm")))
+    texts = docs.select("doc_id", *carry, normalised(text_or_empty()).alias("norm")).withColumn("hash", content_hash(F.col("norm")))
     sha = F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")
-    keys = keep(texts.select("doc_id", "hash", sha), "dedup-keys")
+    keys = keep(texts.select("doc_id", *carry, "hash", sha), "dedup-keys")
     groups = keep(
         keys.groupBy("hash").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1"), "dedup-groups"
     )
-    members = keep(texts.join(groups, "hash").select("doc_id", "hash", "first_id", "norm", sha), "dedup-members")
+    members = keep(texts.join(groups, "hash").select("doc_id", *carry, "hash", "first_id", "norm", sha), "dedup-members")
     first = members.where(F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("hash").agg(F.min("norm").alias("first_norm"))
     first = keep(first, "dedup-first")  # a join of two shuffles, whose hot key Spark splits
     compared = keep(
         members.join(first, "hash").select(
-            "doc_id", "hash", "text_sha256", F.when(F.col("norm") != F.col("first_norm"), F.col("norm")).alias("other")
+            "doc_id", *carry, "hash", "text_sha256", F.when(F.col("norm") != F.col("first_norm"), F.col("norm")).alias("other")
         ),
         "dedup-compared",
     )
@@ -54,18 +54,23 @@ def exact_dedup(docs: DataFrame, content_hash: Callable[[Column], Column] = md5_
     )
     classes = keep(classes, "dedup-classes")
     same_class = (F.col("hash") == F.col("class_hash")) & F.col("other").eqNullSafe(F.col("class_other"))
-    grouped = compared.join(classes, same_class).select("doc_id", "keep_id", "group_size", "text_sha256")
+    grouped = compared.join(classes, same_class).select("doc_id", *carry, "keep_id", "group_size", "text_sha256")
     single = keys.join(groups, "hash", "left_anti").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"
+        "doc_id", *carry, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "text_sha256"
     )
     return (
         grouped.unionByName(single)
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256", *carry)
     )
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without those whose doc_id goes; rows with a NULL doc_id stay."""
-    gone = exact_dedup(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(keep(gone, "dedup-gone"), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    """The rows of ``docs``, all columns, that ``exact_dedup`` keeps.
+
+    Decides row by row: of rows that repeat a doc_id each goes or stays by its own text, equal rows of a
+    doc_id stay together, and a copy without a doc_id goes.  Any column name may occur beside doc_id and text.
+    """
+    rows, key = with_row(docs)
+    judged = exact_dedup(rows.select("doc_id", "text", F.col(key).alias("row_key")), carry=("row_key",))
+    return without(rows, key, judged.where("not kept").select("row_key"), "dedup-gone")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, lean, lean_group, texts_of
+from .base import keep, lean, lean_group, places, texts_of
 
 #: Features are runs of one to so many words; hashed to so many buckets.
 LONGEST, BUCKETS = 1, 10_000
@@ -127,15 +127,6 @@ def scores(docs: DataFrame, gains: np.ndarray, longest: int = LONGEST, least_wor
 _SCORED = ["doc_id", "n_features", "weight", "score", "part", "row"]
 
 
-def places(rows: DataFrame) -> DataFrame:
-    """``rows`` with place, 0 to their number less one, in the order of (part, row); row is gapless within part."""
-    per = rows.groupBy(F.col("part").alias("of_part")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("of_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = per.select("of_part", F.coalesce(before, F.lit(0)).cast("long").alias("start"))  # one row per task
-    joined = rows.join(starts, F.col("part") == F.col("of_part"))
-    return joined.withColumn("place", F.col("start") + F.col("row")).drop("part", "row", "of_part", "start")
-
-
 def _digits(key: str, low: int, high: int, bits: int) -> Iterator[Column]:
     """The digits of a long column between two bounds, least significant first, in its ascending order."""
     if high - low < 1 << 63:

@@ -28,6 +28,8 @@ STEPS, SMOOTHING, UNKNOWN = 2, 0.1, 1e-8
 LONGEST = 32
 #: Word scores that a worker keeps; others are computed again when they return.
 REMEMBERED = 120_000
+#: A model and its remembered scores may take so many bytes in a task; more languages are refused.
+MOST_BYTES = 512 << 20
 UNDECIDED = "und"
 #: What a language's texts look like is measured on one labelled document of ASIDE, if there are SEEN or more.
 ASIDE, SEEN = 5, 5
@@ -176,12 +178,15 @@ def train(docs: DataFrame, labelled: int = LABELLED, vocabulary: str | None = No
     """(languages, pieces, probabilities) from the rows of ``docs`` with a text and a lang.
 
     About ``labelled`` documents per language are read, all of a language that has fewer.  The bound
-    is on documents; the model itself has the size of the vocabulary times the languages.
+    is on documents; the model itself has the size of the vocabulary times the languages, which is checked.
     """
     langs, sample = _labelled(docs, labelled)
     names = vocabulary_pieces(vocabulary or public_tokenizers.path("piece_bpe_32k.model"))
     if not langs:
         return [], names, np.empty((len(names), 0))
+    size = (len(names) + REMEMBERED) * len(langs) * 8
+    if size > MOST_BYTES:
+        raise ValueError(f"a model of {len(langs)} languages takes {size >> 20} MB in each task; merge the spellings in lang")
     counts = keep(_word_counts(sample), "word-counts")
     table = np.full((len(names), len(langs)), 1.0 / max(len(names), 1))
     for _ in range(STEPS):
@@ -273,7 +278,8 @@ def least_fits(docs: DataFrame, labelled: int = LABELLED) -> dict[str, float]:
 def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, except those without a language or with a score below ``least``, and
     those that look like none of the languages (:func:`least_fits`; the score alone compares the learned
-    languages, and one of them wins any text).  All rows if no row to learn from has a language."""
+    languages, and one of them wins any text).  All rows if no row to learn from has a language.  Each row is
+    judged by its own text, whatever its doc_id.  Any column name may occur beside doc_id, text and lang."""
     learned = docs.where(~held_out(F.col("doc_id")))
     model = train(learned)
     if not model[0]:
@@ -281,5 +287,8 @@ def known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     short = F.lit(0.0)
     for lang, fit in least_fits(learned).items():
         short = F.when(F.col("lang_pred") == lang, (F.lit(fit) - F.col("_fit")) * F.col("_letters")).otherwise(short)
-    judged = predict(docs, *model, carry=docs.columns, fit=True)
-    return judged.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least) & (short <= EVIDENCE)).select(*docs.columns)
+    # Numbered names, as a column may have the name of a result.
+    names = {c: c if c == "text" else f"c{k}" for k, c in enumerate(docs.columns)}
+    judged = predict(docs.toDF(*names.values()), *model, carry=list(names.values()), fit=True)
+    known = judged.where((F.col("lang_pred") != UNDECIDED) & (F.col("score") >= least) & (short <= EVIDENCE))
+    return known.select(*(F.col(n).alias(c) for c, n in names.items()))

@@ -70,6 +70,10 @@ def copies(docs: DataFrame, seed: str = "mix-", **shares) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: str = "mix-", **shares) -> DataFrame:
-    """The mixed rows: each document as often as its copies, with the columns of ``docs``."""
-    repeated = copies(docs, seed, **shares).withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    """The mixed rows: each row of ``docs`` as often as its ``copies``, with all its columns, whatever their names.
+
+    Rows that repeat a doc_id draw alike, each by its own source; those without a doc_id draw alike, too.
+    """
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+    drawn = copies(whole.select("whole", "whole.doc_id", "whole.text", "whole.source"), seed, **shares)
+    return drawn.select("whole", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("whole.*")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, lean, lean_group, lists_of, texts_of
+from .base import keep, lean, lean_group, lists_of, texts_of, with_unique_id, without
 from .components import connected_components
 from .hashing import U, chunks, mix, word_hashes
 
@@ -116,21 +116,38 @@ def set_marks(docs: DataFrame, words: int) -> DataFrame:
 
 
 def offered_ranges(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """range, id: a row for each range signature that a document offers.  They go straight into a shuffle;
-    hashing the texts a second time costs less than keeping them on disk."""
+    """range, id, leader: a row for each range signature that a document offers (see ``_meetings``).  They go straight
+    into a shuffle; hashing the texts a second time costs less than keeping them on disk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(percent)
         for batch in batches:
             texts = texts_of(batch)
+            signatures, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for a in range(0, len(texts), 512):
                 parts = [range_signatures(grams, classes) for grams in shingle_sets(texts[a : a + 512], words)]
                 of = np.repeat(np.arange(a, a + len(parts)), [len(p) for p in parts])
-                columns = [pa.array(np.concatenate(parts).view(np.int64)), batch.column("doc_id").take(pa.array(of))]
-                yield pa.RecordBatch.from_arrays(columns, names=["range", "id"])
+                for column, part in zip((signatures, owners), (np.concatenate(parts), of), strict=True):
+                    column.append(part)
+            yield _meetings(np.concatenate(signatures), batch.column("doc_id").to_numpy()[np.concatenate(owners)])
 
     cut = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return cut.mapInArrow(lean(run), "range long, id long")
+    return cut.mapInArrow(lean(run), "range long, id long, leader long")
+
+
+def _meetings(ranges: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """range, id, leader of what one batch offers.  In a range that more than CROWD of its documents offer, the
+    one with the smallest id speaks for them (leader: itself) and the others follow it, under a number of their own
+    in place of the range: a range of a third of all documents meets itself once per batch."""
+    order = np.lexsort((ids, ranges))
+    ranges, ids = ranges[order], ids[order]
+    begin = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])) if len(ranges) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(begin, len(ranges)))
+    crowded = np.repeat(sizes > CROWD, sizes)
+    leader = np.repeat(ids[begin], sizes)
+    keys = np.where(crowded & (ids != leader), mix(ranges ^ mix(ids.astype(np.uint64))), ranges)
+    columns = [pa.array(keys.view(np.int64)), pa.array(ids), pa.array(leader, mask=~crowded)]
+    return pa.RecordBatch.from_arrays(columns, names=["range", "id", "leader"])
 
 
 def with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
@@ -248,14 +265,14 @@ def _candidates(offered: DataFrame) -> DataFrame:
     """(a, b, n, leads): pairs that may be similar, and enough of them to connect all that are.
 
     A similar pair agrees on two ranges at least (``SizeClasses``).  In a range that up to CROWD documents
-    offer, every pair counts one; in a larger one every document meets the smallest id alone (``leads``),
-    which connects all pairs of it, so its size costs no squares.  What a pair has in common is then either
+    offer, every pair counts one; in a larger one every document meets the smallest id, or one that meets it, alone
+    (``leads``), which connects all pairs of it, so its size costs no squares.  What a pair has in common is then either
     a crowded range or n >= 2 others; a pair with one range in common by chance is no candidate.
     """
     range_of = Window.partitionBy("range")
     rows = (
-        offered.withColumn("n", F.count(F.lit(1)).over(range_of))
-        .withColumn("leader", F.min("id").over(range_of))
+        offered.withColumn("n", F.count(F.lit(1)).over(range_of) + F.max(F.when(F.col("leader").isNotNull(), F.lit(CROWD)).otherwise(F.lit(0))).over(range_of))
+        .withColumn("leader", F.when(F.col("leader") != F.col("id"), F.col("leader")).otherwise(F.min("id").over(range_of)))
         .where("n > 1")
     )
     rows = keep(rows, "met")
@@ -299,7 +316,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMIL
 
 
 def one_of_each_group(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The rows of ``docs``, all columns, of the documents with the smallest doc_id of their component."""
-    found = jaccard_components(docs, words, percent)
-    others = keep(found.where("doc_id != component_id").select(F.col("doc_id").alias("other_id")), "near-copies")
-    return docs.join(others, F.col("doc_id") == F.col("other_id"), "left_anti")
+    """The rows of ``docs``, all columns, that have the smallest doc_id of their component.
+
+    Every row is a document of its own: of rows that repeat a doc_id one has it and the others, like those without
+    one, come after all doc_ids, so that an equal row goes, and one with another text is judged by that text.
+    Any column name may occur beside doc_id and text.
+    """
+    rows, unique = with_unique_id(docs)
+    found = jaccard_components(rows.select(F.col(unique).alias("doc_id"), "text"), words, percent)
+    return without(rows, unique, found.where("doc_id != component_id").select("doc_id"), "near-copies")

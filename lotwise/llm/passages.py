@@ -120,8 +120,10 @@ def _all_anchors(texts: DataFrame, units: Units) -> DataFrame:
             order = np.lexsort((first, anchors))
             low, among = first[order], _begins(anchors[order])
             last = np.append(among[1:], len(order)) - 1
-            silent = np.repeat(low[among] < low[last], last - among + 1) if len(order) else np.empty(0, bool)
-            silent[among], silent[last] = False, False
+            silent = np.empty(0, bool)
+            if len(order):
+                silent = np.repeat(low[among] < low[last], last - among + 1)
+                silent[among], silent[last] = False, False
             spoken = np.empty(len(order), bool)
             spoken[order] = ~silent
             key = np.where(spoken, anchors, mix(anchors ^ mix(text.astype(np.uint64) + U(1))))

@@ -238,3 +238,37 @@ def test_urls(spark, pages):
     got = url_filter.judge_urls(spark.createDataFrame([(*p, "h") for p in pages], "page_id long, url string, host string")).collect()
     assert len(got) == len(pages) and all(r["verdict"] in ("allow", "block") for r in got)
     assert {r["rule"] for r in got if r["page_id"] is None} <= {"example.org/es/"}
+
+
+def test_a_crowd_in_a_batch(spark):
+    """More near copies in one batch than meet pair by pair, and other documents among them."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdef", k=5))
+    base = [word() for _ in range(150)]
+    texts = [" ".join([*base[:k], word(), *base[k + 1 :]]) if i % 2 else " ".join(word() for _ in range(60)) for i, k in enumerate(rng.choices(range(1, 149), k=400))]
+    docs = spark.createDataFrame([(1000 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = {1000 - i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, t in enumerate(texts) for w in [t.split()]}
+    want, left = {}, set(sets)
+    while left:
+        todo = [min(left)]
+        root = todo[0]
+        left.discard(root)
+        while todo:
+            a = todo.pop()
+            want[a] = root
+            near = [b for b in left if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+            left.difference_update(near)
+            todo += near
+    for parts in (1, 7):
+        got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs.repartition(parts), 3, 90).collect()}
+        assert got == want
+
+
+def test_meetings():
+    ranges = np.array([5] * 40 + [6] * 3 + [7], dtype=np.uint64)
+    ids = np.array([*range(100, 60, -1), 1, 2, 3, 9])
+    rows = ngram_join._meetings(ranges, ids).to_pylist()
+    assert sorted((r["range"], r["id"]) for r in rows if r["leader"] is None) == [(6, 1), (6, 2), (6, 3), (7, 9)]
+    assert [(r["range"], r["id"]) for r in rows if r["leader"] == r["id"]] == [(5, 61)]
+    silent = [r for r in rows if r["leader"] not in (None, r["id"])]
+    assert len({r["range"] for r in silent}) == 39 and {r["leader"] for r in silent} == {61}
