@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def stack_facts(frames: Sequence[DataFrame], fill: Mapping[str, object] | None = None) -> DataFrame:
     """UNION ALL by column name; a measure one side lacks is filled with its neutral value."""
@@ -22,9 +24,11 @@ def union_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop columns without a single value.  One aggregate returns one row of counts."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
-    return df.select(*[f"`{c}`" for c in df.columns if counts[c] > 0])
+    """``df`` without the columns that have no value.  It is written once, its values counted on the way, and
+    the table is read without the empty columns."""
+    seen = Observation("values")
+    table = written(df.observe(seen, *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]), "stack")
+    return table.select(*[f"`{c}`" for i, c in enumerate(df.columns) if seen.get.get(f"n{i}", 0) > 0])
 
 
 def combine_frames(frames: Sequence[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "lotwise", cores: str = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -48,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is ever overwritten in place."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, read back: computed once, and never again for a lost executor."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.lookup import first_contained
-from ..session import shared_dir
+from ..session import written
+from .records import assemble_records
 
 
 def read_delimited(
@@ -90,8 +92,8 @@ def rejected_rows(spark: SparkSession, path: str, schema: str, header: bool = Tr
 
 
 def append_csv_once(spark: SparkSession, path: str, schema: str, table_path: str, header: bool = True, multi_line: bool = False) -> int:
-    """:func:`append_csv` that may be repeated: each file has its own partition ``source_file`` of the table,
-    which a second load of the file replaces."""
+    """:func:`append_csv` that may be repeated: each file has its own partition ``source_file`` of the table, which a
+    second load of the file replaces, also by nothing.  For files that come again and again see ``ledger``."""
     rows = (
         spark.read.schema(schema)
         .options(header=str(header).lower(), mode="DROPMALFORMED", quote='"', escape='"', multiLine=multi_line)
@@ -99,13 +101,27 @@ def append_csv_once(spark: SparkSession, path: str, schema: str, table_path: str
     )
     columns = rows.columns
     # The file's own name alone would let two folders' files replace each other.
-    source = F.concat_ws("-", F.xxhash64(F.col("_metadata.file_path")), F.col("_metadata.file_name"))
+    source = lambda path: F.concat_ws("-", F.xxhash64(path), F.element_at(F.split(F.url_decode(path), "/"), -1))
+    read = spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in rows.inputFiles()], "path string")
+    before = _files_of(spark, table_path, read.select(source(F.col("path")).alias("source_file")))
     seen = Observation("append_csv_once")
-    rows = rows.select(*columns, source.alias("source_file")).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = rows.select(*columns, source(F.col("_metadata.file_path")).alias("source_file")).observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(table_path)
+    for uri in before:  # of files that have no row any more
+        old = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, False)
     return seen.get["rows"]
 
 
+def _files_of(spark: SparkSession, table_path: str, partitions: DataFrame) -> list[str]:
+    """The files that hold these partitions (source_file) of the table, none if there is no table yet."""
+    table = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    if not table.getFileSystem(spark._jsc.hadoopConfiguration()).exists(table):
+        return []
+    files = spark.read.schema("source_file string").parquet(table_path).select("source_file", F.col("_metadata.file_path").alias("path"))
+    return [r["path"] for r in files.join(partitions, "source_file", "left_semi").select("path").distinct().collect()]
+
+
 def _located_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
     """Text lines with file and position.  Files are split as usual: inside a split rows keep
     their order, and splits are ordered by their start."""
@@ -145,20 +161,20 @@ def combine_tenant_files(
     dropped, files without rows vanish.  ``tenant`` (and the columns of ``extra_maps``) come
     from the first map entry found in the file name (with ``match_on="file_path"`` in the whole
     path, for a folder per tenant); a filled file of an unknown tenant is an
-    error that names it.  Quoted cells may hold separators but no line breaks.
+    error that names it.  Quoted cells may hold separators and line breaks (read as line feeds); files are split
+    all the same (see ``records``).
 
-    Lines with their positions are checkpointed once, because positions are only comparable
-    within one read.  Header and footer of each file are then two aggregates over the line
-    table, joined back by file: no file passes through one task.
+    Lines with their positions are written once, because positions are only comparable
+    within one read.  Header and footer of each file are then two aggregates over the records,
+    joined back by file: no file passes through one task.
     """
-    shared_dir(spark)
-    lines = _located_lines(spark, paths, encoding).filter(F.trim("line") != "").checkpoint()
+    lines = assemble_records(written(_located_lines(spark, paths, encoding), "lines")).filter(F.trim("line") != "")
     stem = F.regexp_replace(match_on, r"\.[^./]*$", "")
-    ends = lines.groupBy("file_path").agg(
+    ends = written(lines.groupBy("file_path").agg(
         F.min("position").alias("first"), F.max("position").alias("last"),
         F.min_by("line", "position").alias("header"),
         F.min(first_contained(stem, tenant_map)).alias("tenant"),
-    ).checkpoint()  # one short row per file, read three times
+    ), "file-ends")  # one short row per file, read three times
     filled = F.col("first") < F.col("last")
     facts = ends.agg(
         F.count(F.lit(1)).alias("files"),
@@ -170,7 +186,7 @@ def combine_tenant_files(
     width = facts["width"] or 1
     cells_schema = ", ".join(f"c{i} string" for i in range(width))
     # One parse per line: the struct is a column of its own before its fields become an array.
-    as_row = lambda c: F.from_csv(c, cells_schema, {"escape": '"'})
+    as_row = lambda c: F.from_csv(c, cells_schema, {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"})
     as_array = F.array(*[F.col(f"_row.c{i}") for i in range(width)])
     names = F.transform(as_array, lambda name: F.trim(name))
     heads = ends.withColumn("_row", as_row(F.col("header")))

@@ -21,6 +21,7 @@ from lotwise.plans import allocation_groups as AG
 from lotwise.plans import upkeep as K
 from lotwise.session import new_path
 from lotwise.sources import files as FS
+from lotwise.sources import ledger as LG
 from lotwise.sources import sinks as SK
 from lotwise.streaming.ingest import ingest_new_files
 
@@ -454,12 +455,12 @@ CHUNK_ORDERS = 500_000
 
 def _tenant_files(t) -> str:
     """The orders as CSV files of five tenants, a file per tenant and key range, each with a footer.
-    West Co's files name the unit in a column of their own."""
+    West Co's files name the unit in a column of their own; some units have quotes and a line break."""
     rows = t.orders.select(
         F.replace("o_orderpriority", F.lit(" "), F.lit("_")).alias("tenant_dir"),
         F.floor(F.col("o_orderkey") / CHUNK_ORDERS).alias("chunk"), F.lit(0).alias("kind"),
         F.col("o_orderkey").cast("string").alias("Payment ID"),
-        F.concat(F.lit("Unit, "), "o_orderstatus").alias("Payment Business Unit"),
+        F.concat(F.when(F.col("o_custkey") % 7 == 0, F.lit('The "Unit",\n')).otherwise(F.lit("Unit, ")), "o_orderstatus").alias("Payment Business Unit"),
         F.when(F.col("o_custkey") % 10 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("Payment Amount"),
         F.lit(None).cast("string").alias("Refund Reason"),
     )
@@ -473,7 +474,7 @@ def _tenant_files(t) -> str:
     for part in (lines.where(~west), lines.where(west).withColumnRenamed("Payment Business Unit", "Unit Of West")):
         (
             part.repartition("tenant_dir", "chunk").sortWithinPartitions("tenant_dir", "chunk", "kind").drop("kind")
-            .write.mode("append").partitionBy("tenant_dir", "chunk").option("header", True).option("encoding", "ISO-8859-1").csv(path)
+            .write.mode("append").partitionBy("tenant_dir", "chunk").option("header", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
         )
     return path
 
@@ -487,7 +488,7 @@ def _file_combine(t):
 
 register(
     "file_combine", "payment_id business_unit payment_amount:d tenant", _file_combine,
-    """SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, 'Unit, ' || o_orderstatus AS business_unit,
+    """SELECT CAST(o_orderkey AS VARCHAR) AS payment_id, CASE WHEN o_custkey % 7 = 0 THEN 'The "Unit",' || chr(10) ELSE 'Unit, ' END || o_orderstatus AS business_unit,
       CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_totalprice END AS payment_amount,
       CASE left(o_orderpriority, 1) WHEN '1' THEN 'North Co' WHEN '2' THEN 'South Co' WHEN '3' THEN 'West Co' WHEN '4' THEN 'East Co' ELSE 'Hill Co' END AS tenant
     FROM orders""",
@@ -609,6 +610,54 @@ register(
 )
 
 
+def _deliver(t, frame, folder, numbers) -> None:
+    """Write the rows of each number as the file ``folder/<number>.csv``, in place of the one before; none: without a byte."""
+    draft = new_path(t.spark, "draft")
+    frame.repartition("number").write.partitionBy("number").option("header", True).csv(draft)
+    path = t.spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    for number in numbers:
+        store.delete(path(f"{folder}/{number}.csv"), False)
+        found = store.globStatus(path(f"{draft}/number={number}/part-*"))
+        if len(found):
+            store.rename(found[0].getPath(), path(f"{folder}/{number}.csv"))
+        else:
+            store.create(path(f"{folder}/{number}.csv")).close()
+
+
+def _load_ledger(t):
+    """Three deliveries of the orders in files of eight kinds: the first; the same again; then corrected totals in kind 1,
+    half of kind 2, nothing in kind 3 and broken keys in kind 4.  Good and rejected rows of the end, and what each load did."""
+    folder, root, schema = new_path(t.spark, "deliveries"), new_path(t.spark, "loaded"), "key bigint, total double"
+    number = F.floor(F.col("o_orderkey") / CHUNK_ORDERS) * 8 + F.col("o_orderkey") % 8
+    rows = t.orders.select(number.alias("number"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_totalprice").alias("total"))
+    files = [r["number"] for r in rows.select("number").distinct().collect()]
+    _deliver(t, rows, folder, files)
+    done = [LG.load_files(t.spark, folder, schema, root) for _ in range(2)]
+    changed = rows.where("number % 8 = 1").withColumn("total", F.col("total") + 1).unionByName(rows.where("number % 8 = 2 and key % 16 = 2"))
+    broken = F.when(F.col("total") < 100_000, F.concat(F.lit("broken "), "key")).otherwise(F.col("key"))
+    changed = changed.unionByName(rows.where("number % 8 = 4").withColumn("key", broken))
+    _deliver(t, changed, folder, [n for n in files if n % 8 in (1, 2, 3, 4)])
+    done.append(LG.load_files(t.spark, folder, schema, root))
+    counts = F.lit(" ".join(f"{d.files}:{d.rows}:{d.rejected}" for d in done)).alias("loads")
+    good = LG.loaded_rows(t.spark, schema, root).select(F.col("key").cast("string").alias("key"), "total", F.lit(False).alias("rejected"), counts)
+    bad = LG.rejected_lines(t.spark, schema, root).select(F.split("line", ",")[0].alias("key"), F.lit(None).cast("double").alias("total"), F.lit(True).alias("rejected"), counts)
+    return good.unionByName(bad)
+
+
+register(
+    "load_ledger", "key total:d rejected:b loads", _load_ledger,
+    """SELECT CASE WHEN o_orderkey % 8 = 4 AND o_totalprice < 100000 THEN 'broken ' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS key,
+      CASE WHEN o_orderkey % 8 = 4 AND o_totalprice < 100000 THEN NULL WHEN o_orderkey % 8 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS total,
+      o_orderkey % 8 = 4 AND o_totalprice < 100000 AS rejected, n AS loads
+    FROM orders, (SELECT count(DISTINCT (o_orderkey // 500000) * 8 + o_orderkey % 8) || ':' || count(*) || ':0 0:0:0 '
+      || count(DISTINCT (o_orderkey // 500000) * 8 + o_orderkey % 8) FILTER (o_orderkey % 8 BETWEEN 1 AND 4) || ':' || count(*) FILTER (o_orderkey % 8 = 1 OR o_orderkey % 16 = 2 OR o_orderkey % 8 = 4 AND o_totalprice >= 100000)
+      || ':' || count(*) FILTER (o_orderkey % 8 = 4 AND o_totalprice < 100000) AS n FROM orders) x
+    WHERE o_orderkey % 8 NOT IN (2, 3) OR o_orderkey % 16 = 2""",
+)
+
+
 def _ingested(t):
     folder, table, checkpoint = (new_path(t.spark, n) for n in ("incoming", "periods", "progress"))
     sums = t.orders.groupBy(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")).agg(

@@ -1,4 +1,7 @@
+import csv
+import io
 import os
+import random
 import time
 from datetime import date, datetime, timezone
 
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotwise.sources import files as FS
 from lotwise.sources import sinks as SK
+from lotwise.sources.records import ends_inside
 from lotwise.sources.tables import read_dims, read_table, run_queries, select_rename
 from lotwise.streaming.ingest import ingest_new_files
 from lotwise.plans.upkeep import tenant_report
@@ -59,6 +63,51 @@ def test_tenant_files_over_many_splits(spark, tmp_path):
     assert tuple(got) == (20000, sum(range(20000)))
 
 
+def csv_text(rng, n):
+    """Rows with separators, quotes and line breaks in quoted cells, stray quotes in plain ones, and short cells."""
+    cell = lambda: "".join(rng.choices(["a", "b", ",", '"', "\n", " ", "é"], k=rng.choice([0, 1, 2, 3, 9])))
+    quoted = lambda c: '"' + c.replace('"', '""') + '"'
+    plain = lambda: "x" + "".join(rng.choices(["a", '"', " "], k=rng.randint(0, 3)))
+    rows = [",".join([str(i), quoted(cell()) if rng.random() < 0.5 else plain(), quoted(cell()), plain()]) for i in range(n)]
+    return "ID,V,W,Z\n" + "\n".join(rows) + "\nTotal,,,\n"
+
+
+def test_records_over_many_splits(spark, tmp_path):
+    """Quoted line breaks across the borders of splits, against Python's reader."""
+    rng = random.Random(11)
+    texts = {"NorthX_1.csv": csv_text(rng, 3000), "South_2.csv": csv_text(rng, 40), "South_3.csv": 'ID,"V\n2",W\n1,a,b\nTotal,,\n'}
+    texts["South_4.csv"] = "ID,V\n" + '7,"' + "line\n" * 4000 + 'end"\nTotal,\n'
+    for name, text in texts.items():
+        write(tmp_path / name, text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        found = FS.combine_tenant_files(spark, str(tmp_path), None, TENANTS, encoding="UTF-8")
+        got = sorted((r["file_path"][-9:-4], r["ID"], *((r[c] or "") for c in ("V", "V\n2", "W", "Z"))) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = []
+    for name, text in texts.items():
+        head, *rows, _ = [r for r in csv.reader(io.StringIO(text)) if "".join(r).strip()]
+        want += [(name[-9:-4], *(dict(zip(head, r)).get(c, "").strip(" ") if c == "ID" else dict(zip(head, r)).get(c, "") for c in ("ID", "V", "V\n2", "W", "Z"))) for r in rows]
+    assert got == sorted(want)
+
+
+def test_open_quote_is_an_error(spark, tmp_path):
+    write(tmp_path / "South.csv", 'ID,V\n1,"open\n2,b\nTotal,\n')
+    with pytest.raises(ValueError, match="South.csv"):
+        FS.combine_tenant_files(spark, str(tmp_path), None, TENANTS)
+
+
+@pytest.mark.parametrize(
+    ("line", "outside", "inside"),
+    [("a,b", 0, 1), ('"a,b', 1, 0), ('a"b,c', 0, 0), ('"a""b', 1, 0), ('"a"",b', 1, 0), ('"a"x"y",z', 0, 0), ('a,"b","c', 1, 1), ('",', 1, 0), ('""', 0, 1), ("", 0, 1), ('x",y', 0, 0), ('","', 0, 1)],
+)
+def test_ends_inside(spark, line, outside, inside):
+    row = spark.createDataFrame([(line, '"' + line)], "a string, b string").select(ends_inside(F.col("a")), ends_inside(F.col("b"))).first()
+    assert tuple(map(int, row)) == (outside, inside)
+
+
 def test_unknown_tenant_is_named(spark, tmp_path):
     write(tmp_path / "West.csv", "ID\n1\nTotal\n")
     with pytest.raises(ValueError, match="West.csv"):
@@ -170,6 +219,9 @@ def test_append_once(spark, rows, tmp_path):
     for p, n in ((path, 2), (other, 1), (path, 2)):
         assert FS.append_csv_once(spark, p, "k int, v string", target) == n
     assert rows(spark.read.parquet(target), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    write(tmp_path / "in.csv", "")
+    assert FS.append_csv_once(spark, str(tmp_path / "*.csv"), "k int, v string", target) == 1
+    assert rows(spark.read.parquet(target), "k", "v") == [(3, "c")]
 
 
 def test_stream_late_files(spark, rows, tmp_path):
