@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_NAMES
 from ..functions.mappings import QUESTION_OPERATIONS
+from ..session import written
 
 DIMENSIONS = ("month", "year", "store", "brand")
 
@@ -18,50 +19,51 @@ def _any_in(text: Column, words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [text.contains(w) for w in words])
 
 
-SMALL_CATALOGUE = 200
+#: Length of the pieces that names are looked up by.
+GRAM = 4
 
 
-def first_name(text: Column, names: DataFrame, limit: int = SMALL_CATALOGUE) -> Column | None:
-    """The first catalogue name in the text as one CASE, if the catalogue has at most ``limit``
-    names; None when it is larger.  At most ``limit`` + 1 names come to the driver."""
-    rows = names.where("name is not null").select("name", "position").orderBy("position", "name").limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    chain = F
-    for row in rows:
-        chain = chain.when(text.contains(row["name"].lower()), row["name"])
-    return (chain if rows else F.when(F.lit(False), "")).otherwise(F.lit(None).cast("string"))
+def _grams(text: Column, size: Column) -> Column:
+    """(gram, at) of each place of the text where a piece of this size begins."""
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return F.transform(places, lambda at: F.struct(text.substr(at, size).alias("gram"), at.alias("at")))
 
 
 def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str, DataFrame]) -> DataFrame:
     """Per text the first name of each catalogue (``{column: (name, position) frame}``) in it.
 
-    Texts are cut into their substrings of the lengths that names have, and these meet the
-    names by equality: only real occurrences are emitted, texts and names are never paired.
-    Start and length are exploded instead of mapped, which keeps the cutting in codegen.  The
-    texts are spread by key once, so the final grouping needs no further shuffle when the
-    names are small enough to be broadcast.
+    Every name is filed under one piece of GRAM characters (a shorter name under itself): the one that the fewest
+    names hold.  Texts are cut into such pieces, which meet the names filed there by equality, and each name is then compared
+    in its place.  So a text costs one row per character, whatever the catalogue, and a name is only
+    compared where its rarest piece stands.
     """
     names = reduce(
         lambda a, b: a.unionByName(b),
         [
             frame.select(
-                F.lit(kind).alias("_kind"), F.lower("name").alias("_piece"), F.col("name").alias("_name"),
+                F.lit(kind).alias("_kind"), F.lower("name").alias("_lower"), F.col("name").alias("_name"),
                 F.col("position").cast("long").alias("_position"),
             )
             for kind, frame in catalogues.items()
         ],
-    ).where("_name is not null")
-    sizes = names.agg(F.sort_array(F.collect_set(F.length("_piece")))).scalar()
+    ).where("_name is not null and _name != ''")
+    size = F.least(F.length("_lower"), F.lit(GRAM))
+    pieces = names.withColumn("_piece", F.explode(_grams(F.col("_lower"), size))).select("*", "_piece.gram", "_piece.at").drop("_piece")
+    common = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("_names"))
+    filed = pieces.join(common, "gram").groupBy("_kind", "_lower", "_name", "_position").agg(
+        F.min(F.struct("_names", "gram", "at")).alias("_rarest")
+    )
+    filed = written(filed.select("_kind", "_lower", "_name", "_position", "_rarest.gram", F.col("_rarest.at").alias("_at")), "names")
+    sizes = filed.agg(F.collect_set(F.length("gram"))).scalar()  # at most GRAM different ones
     cut = (
         texts.select(key, F.col(text).alias("_text"))
-        .repartition(key)
-        .select(key, "_text", F.explode(sizes).alias("_size"))
-        .filter(F.length("_text") >= F.col("_size"))
-        .select(key, "_text", "_size", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_size") + 1)).alias("_start"))
-        .select(key, F.col("_text").substr(F.col("_start"), F.col("_size")).alias("_piece"))
+        .withColumn("_size", F.explode(sizes))
+        .withColumn("_place", F.explode(_grams(F.col("_text"), F.col("_size"))))
+        .select(key, F.col("_text"), F.col("_place.gram").alias("gram"), F.col("_place.at").alias("_start"))
     )
-    hits = cut.join(names, "_piece")
+    begin = F.col("_start") - F.col("_at") + 1
+    here = (begin >= 1) & (F.col("_text").substr(F.greatest(begin, F.lit(1)), F.length("_lower")) == F.col("_lower"))
+    hits = cut.join(filed, "gram").where(here)
     order = F.struct("_position", "_name")
     return hits.groupBy(key).agg(
         *[F.min(F.when(F.col("_kind") == kind, order))["_name"].alias(kind) for kind in catalogues]
@@ -75,14 +77,12 @@ def resolve_questions(
     brands: DataFrame,
     key: str = "question_id",
     text: str = "question",
-    small_catalogue: int = SMALL_CATALOGUE,
 ) -> DataFrame:
     """Month, year, store, brand, operation and metric of each question.
 
     ``phrases`` maps a phrase to a metric; the longest one found wins.  Without a phrase the
     first metric sharing a word of more than four letters is taken.  ``stores``/``brands``
-    hold (name, position) in catalogue order; up to ``small_catalogue`` names are looked for
-    one by one, larger catalogues through :func:`names_in_text`, with the same result.
+    hold (name, position) in catalogue order and are searched by :func:`names_in_text`, however many they are.
     """
     asked = questions.select(key, F.lower(text).alias("_q"))
     q = F.col("_q")
@@ -112,50 +112,42 @@ def resolve_questions(
         metric.otherwise(F.lit(None).cast("string")).alias("metric"),
     )
     named_store = ~_any_in(q, ["what store", "which store"])
-    store, brand = first_name(q, stores, small_catalogue), first_name(q, brands, small_catalogue)
-    if store is None or brand is None:
-        found = names_in_text(base, key, "_q", {"store": stores, "brand": brands})
-        base, store, brand = base.join(found, key, "left"), F.col("store"), F.col("brand")
-    return base.select(
-        *[c for c in base.columns if c not in ("_q", "store", "brand")],
-        F.when(named_store, store).alias("store"),
-        F.when(~F.col("asks_brand"), brand).alias("brand"),
+    found = names_in_text(base, key, "_q", {"store": stores, "brand": brands})
+    return base.join(found, key, "left").select(
+        *[c for c in base.columns if c != "_q"],
+        F.when(named_store, F.col("store")).alias("store"),
+        F.when(~F.col("asks_brand"), F.col("brand")).alias("brand"),
     )
 
 
 def answer_questions(resolved: DataFrame, scorecard: DataFrame, metrics: Sequence[str], key: str = "question_id") -> DataFrame:
     """Answers of the resolved questions; a question without a metric keeps a NULL answer.
 
-    Every filter is optional, so the scorecard is summed once for all combinations of the
-    four dimensions (CUBE with map-side partial sums), and a question looks its combination
-    up by equality: the work grows with questions plus scorecard rows, not their product.
+    Every filter is optional, so a question asks one of the sixteen grouping sets of the four dimensions.  The scorecard
+    is summed to its cells once; the cells then go into those sets alone that some question asks, each summed
+    from the cells, and a question looks its combination up by equality: the work grows with questions plus
+    scorecard rows, not their product.
     """
-    long = scorecard.unpivot(list(DIMENSIONS), list(metrics), "metric", "value").filter(F.col("value").isNotNull())
-    high = F.min(F.struct((-F.col("value")).alias("v"), F.col("store").alias("e")))
-    low = F.min(F.struct(F.col("value").alias("v"), F.col("store").alias("e")))
-    high_b = F.min(F.struct((-F.col("value")).alias("v"), F.col("brand").alias("e")))
-    low_b = F.min(F.struct(F.col("value").alias("v"), F.col("brand").alias("e")))
-    # the metric is part of every grouping set, the four dimensions are optional
-    keyed = long.select(
-        "metric", "value", "store", "brand",
-        *[F.col(d).cast("string").alias(f"g_{d}") for d in DIMENSIONS],
-    )
-    sets = [["metric", *[f"g_{d}" for i, d in enumerate(DIMENSIONS) if bits >> i & 1]] for bits in range(16)]
-    cube = (
-        keyed.groupingSets(
-            [[F.col(c) for c in s] for s in sets], "metric", *[f"g_{d}" for d in DIMENSIONS]
-        )
-        .agg(
-            F.grouping_id().alias("gid"),
-            F.sum("value").alias("sum"), F.avg("value").alias("mean"), F.max("value").alias("max"),
-            F.min("value").alias("min"), F.count("value").cast("double").alias("count"),
-            high.alias("high"), low.alias("low"), high_b.alias("high_b"), low_b.alias("low_b"),
-        )
-    )
     gid = reduce(
         lambda a, b: a + b,
         [F.when(F.col(d).isNull(), 1 << (len(DIMENSIONS) - 1 - i)).otherwise(0) for i, d in enumerate(DIMENSIONS)],
     ).cast("long")
+    long = scorecard.unpivot(list(DIMENSIONS), list(metrics), "metric", "value").filter(F.col("value").isNotNull())
+    cells = long.groupBy("metric", *DIMENSIONS).agg(
+        F.sum("value").alias("sum"), F.count("value").cast("double").alias("count"), F.max("value").alias("max"), F.min("value").alias("min"),
+    )
+    asked = resolved.where("metric is not null").agg(F.collect_set(gid)).scalar()  # at most sixteen numbers
+    masked = cells.withColumn("gid", F.explode(asked)).select(
+        "metric", "gid", "sum", "count", "max", "min", "store", "brand",
+        *[F.when(F.col("gid").bitwiseAND(1 << (len(DIMENSIONS) - 1 - i)) == 0, F.col(d).cast("string")).alias(f"g_{d}") for i, d in enumerate(DIMENSIONS)],
+    )
+    first = lambda value, name: F.min(F.struct(value.alias("v"), F.col(name).alias("e")))
+    cube = masked.groupBy("metric", "gid", *[f"g_{d}" for d in DIMENSIONS]).agg(
+        F.sum("sum").alias("sum"), (F.sum("sum") / F.sum("count")).alias("mean"), F.sum("count").alias("count"),
+        F.max("max").alias("max"), F.min("min").alias("min"),
+        first(-F.col("max"), "store").alias("high"), first(F.col("min"), "store").alias("low"),
+        first(-F.col("max"), "brand").alias("high_b"), first(F.col("min"), "brand").alias("low_b"),
+    )
     probe = resolved.select(
         key, F.col("metric").alias("_metric"), "operation", "asks_store", "asks_brand", gid.alias("_gid"),
         *[F.col(d).cast("string").alias(f"q_{d}") for d in DIMENSIONS],

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Last row per key in ``order``; give enough columns to break ties."""
@@ -104,10 +106,12 @@ def price_runs(df: DataFrame, unit: str, store: str, price: str, day: str, tie:
 
 def price_changes(runs: DataFrame, unit: str, store: str) -> DataFrame:
     """Records that open a new price or close one, for units with more than one such record
-    in a store.  The flag's maximum per unit is always 1, so it filters nothing."""
+    in a store.  The flag's maximum per unit is always 1, so it filters nothing.  These few records are
+    written once, so that whatever reads them again does not number the runs again."""
     kept = runs.filter(
         ((F.col("days_at_price") == 1) & (F.col("appearance") != 1)) | (F.col("from_last") == 1)
     )
+    kept = written(kept, "price-changes")
     busy = (
         kept.groupBy(unit, store)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -134,22 +138,26 @@ def carry_last_valid(
 
     Walks a unit's changes from the longest day count down.  A discounted change uses the
     remembered count up, so every stretch between two discounted changes remembers anew.
-    Input: the few change records of a unit, not its daily history.
+
+    What a row does to the remembered count is to set it, to clear it or nothing, and such steps compose to
+    the last one that does anything.  So the steps of each (unit, day count) cell are summed up in one row, those rows are
+    combined along the unit, and each cell is walked alone from what the cells before it leave: the rows of a unit,
+    however many, are spread over its day counts.
     """
     empty = changed & (discount.isNull() | (discount == 0))
     real = changed & ~empty
-    walk = Window.partitionBy(unit).orderBy(F.desc(days), *tie)
-    past = walk.rowsBetween(Window.unboundedPreceding, -1)
-    stretch = F.coalesce(F.sum(F.when(real, 1).otherwise(0)).over(past), F.lit(0))
-    inner = Window.partitionBy(unit, "_stretch").orderBy(F.desc(days), *tie)
-    seen = F.last(F.when(empty, F.col(days)), ignorenulls=True).over(
-        inner.rowsBetween(Window.unboundedPreceding, -1)
-    )
+    step = F.when(real, F.struct(F.lit(None).cast(df.schema[days].dataType).alias("v"))).when(empty, F.struct(F.col(days).alias("v")))
+    keyed = _keyed(df, [unit], days).withColumn("_step", step)
+    cells = keyed.groupBy("_cell").agg(F.max_by("_step", F.when(F.col("_step").isNotNull(), F.struct("_cell", *tie))).alias("_last"))
+    along = Window.partitionBy(F.col(f"_cell.{unit}")).orderBy(F.desc(f"_cell.{days}")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = cells.select("_cell", F.last("_last", ignorenulls=True).over(along).alias("_carry"))
+    inside = Window.partitionBy("_cell").orderBy("_cell", *tie).rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.coalesce(F.last("_step", ignorenulls=True).over(inside), F.col("_carry"))
     return (
-        df.withColumn("_stretch", stretch)
+        keyed.join(carried, "_cell")
         .withColumn("_seen", seen)
-        .withColumn(out, F.when(real, F.coalesce("_seen", F.col(days))).otherwise(F.col(days)))
-        .drop("_stretch", "_seen")
+        .withColumn(out, F.when(real, F.coalesce("_seen.v", F.col(days))).otherwise(F.col(days)))
+        .drop("_seen", "_step", "_carry", "_cell")
     )
 
 

@@ -88,6 +88,10 @@ QTY = "CAST(l_quantity AS DECIMAL(12,2))"
 TARGET = "CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(l_quantity AS DECIMAL(4,0)) AS DECIMAL(18,4))"
 BRAND_NO = "CAST(replace(p_brand, 'Brand#', '') AS INT)"
 PRIORITY_NO = "CAST(left(o_orderpriority, 1) AS INT)"
+QUESTION_STARTS = [
+    "What is the total", "What is the average", "What is the maximum", "Which store has the lowest", "How many", "Which store has the highest",
+    "Which brand has the lowest", "What brand has the highest",
+]
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
 
 LINE_STAR = ["lineitem", "orders:o_orderkey=l_orderkey", "part:p_partkey=l_partkey", "supplier:s_suppkey=l_suppkey",
@@ -413,12 +417,13 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
     }, LINE_STAR[:2] + LINE_STAR[3:])
     roles["questions"] = ({
         "question_id": "o_orderkey",
-        "question": "concat(" + d.pick(["What is the total", "What is the average", "What is the maximum", "Which store has the lowest", "How many"], PRIORITY_NO)
+        "question": "concat(" + d.pick(QUESTION_STARTS, f"(o_custkey + o_orderkey) % {len(QUESTION_STARTS)} + 1")
                     + ", ' ', " + d.pick(["retail units", "core pvr", "variable gross?", "gross figure", "nothing known"], "o_custkey % 5 + 1")
                     + ", ' ', CASE WHEN o_custkey % 3 = 0 THEN '' ELSE concat('at ', n_name, ' ') END, "
+                    + "CASE WHEN o_custkey % 7 < 2 THEN concat('for ', r_name, ' ') ELSE '' END, "
                     + "CASE WHEN o_custkey % 4 = 0 THEN '' ELSE concat('in ', " + d.month_name("o_orderdate") + ", ' ') END, "
                     + "CASE WHEN o_custkey % 2 = 0 THEN '' ELSE CAST(year(o_orderdate) AS STRING) END)",
-    }, ["orders", "customer:c_custkey=o_custkey", "nation:n_nationkey=c_nationkey"])
+    }, ["orders", "customer:c_custkey=o_custkey", "nation:n_nationkey=c_nationkey", "region:r_regionkey=n_regionkey"])
     record = ("concat('{{\"id\":\"', CAST(s_suppkey AS STRING), '\",\"name\":\"', s_name, '{suffix}\",\"lat\":', "
               "CAST(s_nationkey AS STRING), ',\"city\":\"', n_name, '\",\"state\":\"', r_name, '\"}}')")
     card = ("concat('<div><h3 class=\"name\">', s_name, ' &amp; Sons</h3><i>x</i>', "

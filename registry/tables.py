@@ -379,24 +379,30 @@ def _catalogues(t):
     return stores, brands
 
 
+def _large_catalogues(t):
+    """The catalogue with every customer's name behind it, which no question holds."""
+    stores, brands = _catalogues(t)
+    return stores.unionByName(t.customer.select(F.col("c_name").alias("name"), (F.col("c_custkey") + 1000).alias("position"))), brands
+
+
 def _resolved(t):
     return Q.resolve_questions(t.questions, PHRASES, *_catalogues(t))
 
 
 _MONTH_CASE = " ".join(f"WHEN contains(q, '{m}') THEN {i}" for i, m in enumerate(D.MONTH_NAMES, 1))
 _RESOLVED = f"""resolved AS (SELECT question_id, CASE {_MONTH_CASE} END AS month, CAST(nullif(regexp_extract(q, '\\b(20[0-9][0-9])\\b', 1), '') AS INT) AS year,
-    q LIKE '%what store%' OR q LIKE '%which store%' OR q LIKE '%what location%' AS asks_store, false AS asks_brand,
+    q LIKE '%what store%' OR q LIKE '%which store%' OR q LIKE '%what location%' AS asks_store, q LIKE '%what brand%' OR q LIKE '%which brand%' AS asks_brand,
     CASE WHEN q LIKE '%average%' OR q LIKE '%avg%' OR q LIKE '%mean%' THEN 'mean' WHEN q LIKE '%max%' OR q LIKE '%highest%' THEN 'max'
       WHEN q LIKE '%min%' OR q LIKE '%lowest%' THEN 'min' WHEN q LIKE '%count%' OR q LIKE '%how many%' THEN 'count' ELSE 'sum' END AS operation,
     CASE WHEN contains(q, 'variable gross') THEN 'variable gross' WHEN contains(q, 'retail units') THEN 'retail units' WHEN contains(q, 'core pvr') THEN 'core gross'
       WHEN list_has_any(string_split(q, ' '), ['retail', 'units']) THEN 'retail units' WHEN list_contains(string_split(q, ' '), 'gross') THEN 'core gross' END AS metric,
     CASE WHEN q LIKE '%which store%' THEN NULL ELSE (SELECT arg_min(n_name, n_nationkey) FROM nation WHERE contains(q, lower(n_name))) END AS store,
-    (SELECT arg_min(r_name, r_regionkey) FROM region WHERE contains(q, lower(r_name))) AS brand
+    CASE WHEN q LIKE '%what brand%' OR q LIKE '%which brand%' THEN NULL ELSE (SELECT arg_min(r_name, r_regionkey) FROM region WHERE contains(q, lower(r_name))) END AS brand
   FROM (SELECT question_id, lower(question) AS q FROM questions) x)"""
-_RESOLVED_SPEC = "question_id:i month:i year:i store brand operation metric asks_store:b"
+_RESOLVED_SPEC = "question_id:i month:i year:i store brand operation metric asks_store:b asks_brand:b"
 register("questions_resolved", _RESOLVED_SPEC, _resolved, "SELECT * FROM resolved", ("questions",), _RESOLVED)
 register(
-    "questions_resolved_large", _RESOLVED_SPEC, lambda t: Q.resolve_questions(t.questions, PHRASES, *_catalogues(t), small_catalogue=0),
+    "questions_resolved_large", _RESOLVED_SPEC, lambda t: Q.resolve_questions(t.questions, PHRASES, *_large_catalogues(t)),
     "SELECT * FROM resolved", ("questions",), _RESOLVED,
 )
 _SCORE = """score AS (SELECT month, year, store, brand, CAST(round(sum(units)) AS DOUBLE) AS u, CAST(round(sum(gross)) AS DOUBLE) AS c, CAST(round(max(retail)) AS DOUBLE) AS v
@@ -405,10 +411,11 @@ _SCORE = """score AS (SELECT month, year, store, brand, CAST(round(sum(units)) A
     UNION ALL SELECT month, year, store, brand, 'variable gross', v FROM score),
   asked AS (SELECT DISTINCT month, year, store, brand, metric FROM resolved WHERE metric IS NOT NULL),
   facts AS (SELECT a.month, a.year, a.store, a.brand, a.metric, sum(l.value) AS s, avg(l.value) AS m, max(l.value) AS hi, min(l.value) AS lo, count(l.value) AS n,
-      min(l.store) FILTER (WHERE l.value = x.lo) AS low_store
+      min(l.store) FILTER (WHERE l.value = x.lo) AS low_store, min(l.store) FILTER (WHERE l.value = x.hi) AS high_store,
+      min(l.brand) FILTER (WHERE l.value = x.lo) AS low_brand, min(l.brand) FILTER (WHERE l.value = x.hi) AS high_brand
     FROM asked a LEFT JOIN long_rows l ON l.metric = a.metric AND (a.month IS NULL OR l.month = a.month) AND (a.year IS NULL OR l.year = a.year)
       AND (a.store IS NULL OR l.store = a.store) AND (a.brand IS NULL OR l.brand = a.brand)
-    LEFT JOIN (SELECT a.month, a.year, a.store, a.brand, a.metric, min(l.value) AS lo FROM asked a JOIN long_rows l ON l.metric = a.metric
+    LEFT JOIN (SELECT a.month, a.year, a.store, a.brand, a.metric, min(l.value) AS lo, max(l.value) AS hi FROM asked a JOIN long_rows l ON l.metric = a.metric
       AND (a.month IS NULL OR l.month = a.month) AND (a.year IS NULL OR l.year = a.year) AND (a.store IS NULL OR l.store = a.store)
       AND (a.brand IS NULL OR l.brand = a.brand) GROUP BY 1, 2, 3, 4, 5) x
       ON x.metric = a.metric AND x.month IS NOT DISTINCT FROM a.month AND x.year IS NOT DISTINCT FROM a.year AND x.store IS NOT DISTINCT FROM a.store
@@ -423,7 +430,8 @@ def _answers(t):
 register(
     "question_answers", "question_id:i metric operation value:r entity", _answers,
     """SELECT question_id, r.metric, operation, CASE WHEN r.metric IS NULL THEN NULL ELSE CASE operation WHEN 'sum' THEN coalesce(s, 0) WHEN 'mean' THEN m WHEN 'max' THEN hi WHEN 'min' THEN lo ELSE n END END AS value,
-      CASE WHEN asks_store AND operation = 'min' THEN low_store END AS entity
+      CASE WHEN asks_store AND operation = 'max' THEN high_store WHEN asks_store AND operation = 'min' THEN low_store
+        WHEN asks_brand AND operation = 'max' THEN high_brand WHEN asks_brand AND operation = 'min' THEN low_brand END AS entity
     FROM resolved r LEFT JOIN facts f ON f.metric = r.metric AND f.month IS NOT DISTINCT FROM r.month AND f.year IS NOT DISTINCT FROM r.year
       AND f.store IS NOT DISTINCT FROM r.store AND f.brand IS NOT DISTINCT FROM r.brand""", ("questions", "scorecard_rows"), f"{_RESOLVED}, {_SCORE}",
 )
@@ -729,8 +737,17 @@ register(
 
 
 def _turns(t):
+    """What users say, each turn followed by a question that its number picks."""
     turns = t.conversations.filter("role = 'user'")
-    return turns.select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.col("text").alias("question"))
+    asked = F.element_at(F.array(*[F.lit(q) for q in TURN_QUESTIONS]), (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(TURN_QUESTIONS))) + 1).cast("int"))
+    return turns.select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.concat_ws(" ", F.coalesce("text", F.lit("")), asked).alias("question"))
+
+
+#: Questions that follow a turn's own words.
+TURN_QUESTIONS = [
+    "how many retail units in march 2024", "what is the average core pvr", "lowest variable gross in december", "", "highest units of 2025", "gross in may",
+]
+_TURN_QUESTION = "[" + ", ".join(f"'{q}'" for q in TURN_QUESTIONS) + f"][(conv_id + turn) % {len(TURN_QUESTIONS)} + 1]"
 
 
 register(
@@ -741,5 +758,5 @@ register(
         WHEN q LIKE '%min%' OR q LIKE '%lowest%' THEN 'min' WHEN q LIKE '%count%' OR q LIKE '%how many%' THEN 'count' ELSE 'sum' END AS operation,
       CASE WHEN contains(q, 'retail units') THEN 'retail units' WHEN contains(q, 'core pvr') THEN 'core gross' WHEN contains(q, 'variable gross') THEN 'variable gross'
         WHEN regexp_matches(q, '(^|\\s)(retail|units)(\\s|$)') THEN 'retail units' WHEN regexp_matches(q, '(^|\\s)gross(\\s|$)') THEN 'core gross' END AS metric
-    FROM (SELECT conv_id, turn, lower(text) AS q FROM conversations WHERE role = 'user') x""",
+    FROM (SELECT conv_id, turn, lower(coalesce(text, '') || ' ' || {_TURN_QUESTION}) AS q FROM conversations WHERE role = 'user') x""",
 )

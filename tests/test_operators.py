@@ -1,3 +1,4 @@
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -140,6 +141,23 @@ def test_carry_last_valid(spark, rows):
     assert rows(got, "days", "out") == [(1, 2), (2, 2), (4, 4), (5, 7), (7, 7), (9, 9)]
 
 
+def test_carry_along_a_hot_unit(spark):
+    """Against a plain walk, with a third of the rows on one unit and ties on the day count."""
+    rng = random.Random(4)
+    data = [(i, "hot" if i % 3 == 0 else f"u{rng.randint(0, 20)}" if i % 50 else None, rng.randint(1, 15), rng.random() < 0.7, rng.choice([None, 0, 0, 2])) for i in range(900)]
+    df = spark.createDataFrame(data, "id int, u string, days int, ch boolean, disc int").repartition(5)
+    got = {r["id"]: r["out"] for r in W.carry_last_valid(df, "u", "days", F.col("ch"), F.col("disc"), ["id"], "out").collect()}
+    want, seen = {}, {}
+    for i, unit, days, changed, discount in sorted(data, key=lambda r: (-r[2], r[0])):
+        want[i] = days
+        if changed and discount:
+            want[i] = seen.get(unit) or days
+            seen[unit] = None
+        elif changed:
+            seen[unit] = days
+    assert got == want
+
+
 def test_flag_latest(spark, rows):
     df = spark.createDataFrame([(date(2025, 1, 1),), (date(2025, 1, 2),), (None,)], "d date")
     assert [r[1] for r in rows(W.flag_latest(df, "d", "f"))] == [0, 1, 0]
