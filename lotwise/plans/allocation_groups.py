@@ -59,7 +59,10 @@ MODEL_ABBREVIATIONS = [
 _SILVERADO = ("SILVERADO 1500", "SILVERADO 2500", "SILVERADO 2500HD", "SILVERADO 3500", "SILVERADO 3500HD",
               "SILVERADO 3500HD CC", "SILVERADO EV")
 _SIERRA = ("SIERRA 1500", "SIERRA 2500", "SIERRA 2500HD", "SIERRA 3500", "SIERRA 3500HD", "SIERRA 4500HD")
-_SUPER_DUTY = tuple(f"SUPER DUTY F-{n} {w}" for n in (250, 350, 450, 550, 600) for w in ("SRW", "DRW"))
+_SUPER_DUTY = (
+    "SUPER DUTY F-250 SRW", "SUPER DUTY F-250 DRW", "SUPER DUTY F-350 SRW", "SUPER DUTY F-350 DRW", "SUPER DUTY F-450 SRW",
+    "SUPER DUTY F-450 DRW", "SUPER DUTY F-550 SRW", "SUPER DUTY F-550 DRW", "SUPER DUTY F-600 SRW", "SUPER DUTY F-600 DRW",
+)
 
 
 def _cab(make: str, models: tuple[str, ...], cab: str, result: str, kind: str | None = None) -> Rule:

@@ -56,9 +56,9 @@ _OUT = "store_num selling_dealer brand_group group_market market_name segment"
 _KEYS = "store_num, selling_dealer, group_market, brand_group, segment, make_market, market_name"
 register(
     "market_share_monthly", f"{_OUT} share_pct:r time:i year:i make_market_sales:i mtd_sales:i comp_sales:i own_sales:i",
-    lambda t: MK.monthly_cube(_prepared(t)).withColumn("share_pct", F.col("mtd_sales") / F.col("make_market_sales")),
+    lambda t: MK.monthly_cube(_prepared(t)),
     f"""SELECT CASE WHEN store_num = 'Competition' THEN '' ELSE store_num END AS store_num, selling_dealer, brand_group, group_market, market_name, segment,
-      CAST(s AS DOUBLE) / CAST(total AS DOUBLE) AS share_pct, sale_month AS time, sale_year AS year, total AS make_market_sales, s AS mtd_sales,
+      round_even(CAST(s AS DOUBLE) / CAST(total AS DOUBLE), 3) AS share_pct, sale_month AS time, sale_year AS year, total AS make_market_sales, s AS mtd_sales,
       CASE WHEN store_num = 'Competition' THEN s ELSE 0 END AS comp_sales, CASE WHEN store_num = 'Competition' THEN 0 ELSE s END AS own_sales
     FROM (SELECT *, sum(s) OVER (PARTITION BY make_market, sale_month, sale_year) AS total FROM (
       SELECT coalesce(own_store, 'Competition') AS store_num, selling_dealer, group_market, brand_group, segment, make_market, market_name, sale_month,
@@ -67,8 +67,8 @@ register(
 _MONTHS = "('YTDJan', 1), ('YTDFeb', 2), ('YTDMar', 3), ('YTDApr', 4), ('YTDMay', 5), ('YTDJun', 6), ('YTDJul', 7), ('YTDAug', 8)"
 register(
     "market_share_ytd", f"{_OUT} share_pct:r time year:i make_market_sales:i ytd_sales:i comp_sales:i own_sales:i",
-    lambda t: MK.ytd_cube(_prepared(t), MARKET_AS_OF).withColumn("share_pct", F.col("ytd_sales") / F.col("make_market_sales")),
-    f"""SELECT store_num, selling_dealer, brand_group, group_market, market_name, segment, CAST(s AS DOUBLE) / CAST(total AS DOUBLE) AS share_pct,
+    lambda t: MK.ytd_cube(_prepared(t), MARKET_AS_OF),
+    f"""SELECT store_num, selling_dealer, brand_group, group_market, market_name, segment, round_even(CAST(s AS DOUBLE) / CAST(total AS DOUBLE), 3) AS share_pct,
       time, sale_year AS year, total AS make_market_sales, s AS ytd_sales, CASE WHEN store_num = 'Competition' THEN s ELSE 0 END AS comp_sales,
       CASE WHEN store_num = 'Competition' THEN 0 ELSE s END AS own_sales
     FROM (SELECT *, sum(s) OVER (PARTITION BY make_market, sale_year, time) AS total FROM (

@@ -186,6 +186,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
         "model_id": "concat('M', CAST(p_size AS STRING))",
         "trim": "p_name",
         "style_id": "p_size",
+        "part_no": "l_partkey",
         "style_name": "concat(p_type, ' ', p_name)",
         "fuel_type": _fuel(),
         "allocation_group": f"CASE WHEN p_size % 5 = 0 THEN 'nomap' ELSE {ALLOC} END",
@@ -274,6 +275,7 @@ def definitions(d: Dialect) -> dict[str, tuple[dict[str, str], list[str]]]:
                     "ELSE 'TO BE BUILT' END) END")
     order_columns = {
         "order_number": "CAST(o_orderkey AS STRING)",
+        "customer_no": "o_custkey",
         "status": order_status,
         "make": d.pick(MAKES, "o_custkey % 25 + 1"),
         "model": "o_orderpriority",

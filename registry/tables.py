@@ -15,6 +15,7 @@ from lotwise.operators import lookup as LK
 from lotwise.operators import matching as MA
 from lotwise.operators import measures as MS
 from lotwise.operators import questions as Q
+from lotwise.operators import rules as RU
 from lotwise.operators import stacking as ST
 from lotwise.operators.predicates import drop_overlap, exclude_values
 from lotwise.plans import allocation_groups as AG
@@ -25,6 +26,7 @@ from lotwise.sources import ledger as LG
 from lotwise.sources import sinks as SK
 from lotwise.streaming.ingest import ingest_new_files
 
+from . import model_lines as ML
 from . import rules_sql as S
 from .base import register
 from .roles import AS_OF, MARKET_AS_OF
@@ -133,43 +135,94 @@ register(
 )
 
 
+def _line_groups(t):
+    """The group list: entries of the lines' keys and, for pipeline models, of keys made of a make and a group."""
+    line = ML.line_of(F.col("dealer_vehicle_id"))
+    keys = t.vehicles.select("dealer_vehicle_id", "brand_model_code", line.alias("line"))
+    keys = keys.select("*", F.explode(ML.listed(F.col("line"), F.col("dealer_vehicle_id"))).alias("key")).select("dealer_vehicle_id", "key").unionByName(
+        keys.select("dealer_vehicle_id", F.concat("line.make", F.lit("_"), "brand_model_code", F.lit("-"), (F.col("dealer_vehicle_id") % 50 + 1).cast("string")).alias("key"))
+    )
+    entries = keys.select(F.concat(F.col("dealer_vehicle_id").cast("string"), F.lit(" {"), "key", F.lit("}")).alias("entry"), F.col("dealer_vehicle_id").alias("position"))
+    return AG.group_table(entries, "entry", "position")
+
+
+def _with_line(df, number):
+    """``df`` with the make, model, style, trim and id of the line that a number column stands for."""
+    line = ML.line_of(F.col(number))
+    return df.withColumns({c: line[c] for c in ("make", "model", "style_name", "trim", "model_id")})
+
+
+_LINE_GROUPS = f"""{ML.LINES_SQL}, {ML.LISTED_SQL},
+  numbered AS (SELECT *, dealer_vehicle_id % {len(ML.LINES)} AS line FROM vehicles),
+  entries AS (SELECT dealer_vehicle_id AS n, listed_key AS k FROM numbered JOIN listed USING (line)
+    UNION ALL SELECT dealer_vehicle_id, l.make || '_' || brand_model_code || '-' || (dealer_vehicle_id % 50 + 1) FROM numbered JOIN lines l USING (line)),
+  grp AS (SELECT upper(k) AS k, arg_max(n || ' {{' || k || '}}', n) AS g FROM entries GROUP BY 1),
+  van AS (SELECT DISTINCT 'M' || (dealer_vehicle_id % 20) AS model_id, 'VAN' || (dealer_vehicle_id % 20) AS v FROM vehicles),
+  mapped AS (SELECT l.*, CASE WHEN l.make = 'Mercedes-Benz' AND l.model LIKE 'Sprinter%' THEN v ELSE coalesce(special, a.g, b.g) END AS in_stock,
+      CASE WHEN l.make = 'Mercedes-Benz' AND l.model LIKE 'Sprinter%' THEN v ELSE coalesce(c.g, d.g) END AS on_order
+    FROM lines l LEFT JOIN grp a ON a.k = l.key LEFT JOIN grp b ON b.k = l.second_key LEFT JOIN grp c ON c.k = l.plain_key LEFT JOIN grp d ON d.k = l.plain_second_key
+      LEFT JOIN van ON van.model_id = l.model_id
+    WHERE l.make <> 'Maserati' AND l.model <> 'Police Interceptor Utility')"""
+register(
+    "every_rule_mapping", "style_id:i make model model_id style_name trim allocation_group",
+    lambda t: AG.assign_allocation_group(_with_line(t.vehicles.select(F.col("dealer_vehicle_id").alias("style_id")), "style_id"), _line_groups(t), _vans(t)),
+    f"""SELECT dealer_vehicle_id AS style_id, m.make, m.model, m.model_id, m.style_name, m.trim, coalesce(in_stock, 'nomap') AS allocation_group
+    FROM vehicles JOIN mapped m ON m.line = dealer_vehicle_id % {len(ML.LINES)}""", ("vehicles",), _LINE_GROUPS,
+)
+
+
+def _rule_report(t):
+    models = _with_line(t.vehicles.select(F.col("dealer_vehicle_id").alias("style_id")), "style_id").withColumnRenamed("style_name", "style")
+    reports = [
+        RU.rule_report(models, rules, ["make", "model", "style"]).withColumn("list", F.lit(name))
+        for name, rules in (("abbreviation", AG.MODEL_ABBREVIATIONS), ("special", AG.SPECIAL_GROUPS))
+    ]
+    return ST.stack_facts(reports)
+
+
+register(
+    "rule_report", "list priority:i result won:i", _rule_report,
+    f"""SELECT 'abbreviation' AS list, line AS priority, split_part(key, '_', 2) AS result, n AS won FROM lines JOIN counts USING (line) WHERE line < {ML.ABBREVIATED}
+    UNION ALL SELECT 'special', line - {ML.ABBREVIATED}, special, n FROM lines JOIN counts USING (line) WHERE line BETWEEN {ML.ABBREVIATED} AND {ML.ABBREVIATED + ML.SPECIAL - 1}""",
+    ("vehicles",), f"{ML.LINES_SQL}, counts AS (SELECT dealer_vehicle_id % {len(ML.LINES)} AS line, count(*) AS n FROM vehicles GROUP BY 1)",
+)
+
+
 def _unmapped_inventory(t):
-    return AG.map_inventory(t("inventory_month", "allocation_group department accounting_month year make model model_id style_id style_name trim"), _groups(t), _vans(t), date(1995, 6, 1), 2018)
+    inventory = t("inventory_month", "allocation_group department accounting_month year make model model_id style_id style_name trim part_no")
+    inventory = _with_line(inventory.withColumn("style_id", F.col("part_no") % len(ML.LINES)), "part_no")
+    return AG.map_inventory(inventory, _line_groups(t), _vans(t), date(1995, 6, 1), 2018)
 
 
 register(
     "inventory_group_mapping", "style_id:i year:i make model model_id style_name trim allocation_group", _unmapped_inventory,
-    """SELECT DISTINCT style_id, year, make, model, model_id, style_name, trim, CASE WHEN make = 'LEXUS' AND false THEN '' ELSE 'nomap' END AS allocation_group
-    FROM inventory_month WHERE allocation_group = 'nomap' AND department = '300' AND accounting_month > DATE '1995-06-01' AND year > 2018
-      AND make NOT IN ('KIA') AND model_id IS NOT NULL""", ("inventory_month",),
+    f"""SELECT DISTINCT m.line AS style_id, year, m.make, m.model, m.model_id, m.style_name, m.trim, coalesce(in_stock, 'nomap') AS allocation_group
+    FROM inventory_month i JOIN mapped m ON m.line = part_no % {len(ML.LINES)}
+    WHERE i.allocation_group = 'nomap' AND department = '300' AND accounting_month > DATE '1995-06-01' AND year > 2018 AND m.make <> 'Kia'""",
+    ("inventory_month", "vehicles"), _LINE_GROUPS,
 )
+
+
+def _orders_by_line(t):
+    return _with_line(t("orders_daily", "update_date model_year make model model_number trim alloc_group customer_no"), "customer_no").withColumn("model_number", F.col("model_id"))
+
+
 register(
     "pipeline_group_mapping", "model_year:i make model model_id trim allocation_group was_missing:b",
-    lambda t: AG.map_pipeline(t.orders_daily, t("inventory_month", "model_id allocation_group year accounting_month"), _pipeline_groups(t), _vans(t), date(1997, 2, 27), 2019),
-    """SELECT model_year, make, model, model_id, trim, CASE WHEN h.g IS NULL THEN 'nomap' ELSE coalesce(p.g, 'nomap') END AS allocation_group, true AS was_missing
-    FROM (SELECT DISTINCT model_year, make, model, coalesce(model_number, '0') AS model_id, trim FROM orders_daily
-      WHERE update_date > DATE '1997-02-27' AND model_year > 2019 AND ((make <> 'nomake' AND alloc_group = 'nomap') OR alloc_group = '' OR alloc_group IS NULL)) o
-    LEFT JOIN hist h USING (model_id) LEFT JOIN pg p ON p.k = upper(o.make || '_' || h.g)""",
+    lambda t: AG.map_pipeline(
+        _orders_by_line(t), t("inventory_month", "model_id allocation_group year accounting_month"), _line_groups(t), _vans(t), date(1997, 2, 27), 2019
+    ),
+    f"""SELECT DISTINCT model_year, m.make, m.model, m.model_id, m.trim, coalesce(on_order, CASE WHEN h.g IS NULL THEN 'nomap' ELSE coalesce(p.g, 'nomap') END) AS allocation_group,
+      on_order IS NULL AS was_missing
+    FROM orders_daily o JOIN mapped m ON m.line = customer_no % {len(ML.LINES)} LEFT JOIN hist h ON h.model_id = m.model_id
+      LEFT JOIN grp p ON p.k = upper(m.make || '_' || h.g)
+    WHERE update_date > DATE '1997-02-27' AND model_year > 2019 AND (alloc_group = 'nomap' OR alloc_group = '' OR alloc_group IS NULL)""",
     ("orders_daily", "inventory_month", "vehicles"),
-    """hist AS (SELECT model_id, allocation_group AS g FROM (SELECT model_id, allocation_group, row_number() OVER (PARTITION BY model_id
-        ORDER BY year DESC, accounting_month DESC, allocation_group DESC) AS rn FROM inventory_month) x WHERE rn = 1),
-   pg AS (SELECT upper(brand_code || '_' || brand_model_code || '-' || (dealer_vehicle_id % 50 + 1)) AS k,
-     arg_max(dealer_vehicle_id || ' {' || brand_code || '_' || brand_model_code || '-' || (dealer_vehicle_id % 50 + 1) || '}', dealer_vehicle_id) AS g
-     FROM vehicles WHERE brand_code IS NOT NULL GROUP BY 1)""",
+    f"""{_LINE_GROUPS}, hist AS (SELECT model_id, allocation_group AS g FROM (SELECT model_id, allocation_group, row_number() OVER (PARTITION BY model_id
+        ORDER BY year DESC, accounting_month DESC, allocation_group DESC) AS rn FROM inventory_month) x WHERE rn = 1)""",
 )
 
 
-def _pipeline_groups(t):
-    entries = t.vehicles.filter("brand_code IS NOT NULL").select(
-        F.concat(
-            F.col("dealer_vehicle_id").cast("string"), F.lit(" {"), "brand_code", F.lit("_"), "brand_model_code", F.lit("-"),
-            (F.col("dealer_vehicle_id") % 50 + 1).cast("string"), F.lit("}"),
-        ).alias("entry"),
-        F.col("dealer_vehicle_id").alias("position"),
-    )
-    return AG.group_table(entries, "entry", "position")
-
-
 register(
     "history_backfill", "model_id model units:i allocation_group was_missing:b",
     lambda t: LK.backfill_from_history(

@@ -103,18 +103,21 @@ register(
 
 
 def _efficiency(t):
-    extract = t("sales_detail", "store_id accounting_month sold_count").groupBy("store_id", "accounting_month").agg(F.sum("sold_count").alias("value")).select(
-        F.col("store_id").alias("org"), F.col("accounting_month").alias("month"), F.lit("Base").alias("scenario"),
-        F.lit("PPR").alias("manufacture"), F.lit("NEW").alias("department"), F.lit("SALES EFFICIENCY %").alias("account"),
-        F.lit("ACTUAL").alias("consolidated_scenario"), "value",
-    )
-    return P.sales_efficiency(extract, date(1999, 7, 1))
+    """An extract with other accounts, scenarios, departments, makes and months beside the wanted ones."""
+    extract = t("sales_detail", "store_id accounting_month department record_source make sold_count").groupBy(
+        F.col("store_id").alias("org"), F.col("accounting_month").alias("month"), F.upper("department").alias("department"),
+        F.when(F.col("record_source") == "Accounting", "SALES EFFICIENCY %").otherwise("UNITS SOLD").alias("account"),
+        F.when(F.col("make") < "M", "PPR").otherwise("OTHER").alias("manufacture"),
+        F.when(F.col("store_id").cast("int") % 3 == 0, "BUDGET").otherwise("ACTUAL").alias("consolidated_scenario"),
+    ).agg(F.sum("sold_count").alias("value"))
+    return P.sales_efficiency(extract.withColumn("scenario", F.concat_ws("-", "consolidated_scenario", "org")), date(1999, 7, 1))
 
 
 register(
     "sales_efficiency", "store_id month:i year:i scenario manufacture department account value:i", _efficiency,
-    """SELECT store_id, 7 AS month, 1999 AS year, 'Base' AS scenario, 'PPR' AS manufacture, 'NEW' AS department,
-      'SALES EFFICIENCY %' AS account, sum(sold_count) AS value FROM sales_detail WHERE accounting_month = DATE '1999-07-01' GROUP BY store_id""",
+    """SELECT store_id, 7 AS month, 1999 AS year, 'ACTUAL-' || store_id AS scenario, 'PPR' AS manufacture, 'NEW' AS department,
+      'SALES EFFICIENCY %' AS account, sum(sold_count) AS value FROM sales_detail
+    WHERE accounting_month = DATE '1999-07-01' AND department = 'New' AND record_source = 'Accounting' AND make < 'M' AND CAST(store_id AS INT) % 3 <> 0 GROUP BY store_id""",
     ("sales_detail",),
 )
 
@@ -337,7 +340,7 @@ register(
 
 
 def _electric(t):
-    flags = t("inventory_month", "allocation_group").select(F.col("allocation_group").alias("model")).distinct().withColumn("ev_flag", F.lit("EV"))
+    flags = t("inventory_month", "allocation_group").select(F.col("allocation_group").alias("model")).distinct().withColumn("ev_flag", F.when(F.length("model") % 2 == 0, "EV").otherwise("ICE"))
     pace = t("stores", "store_id acctbal").select(F.concat("store_id", F.lit(".0")).alias("store_id"), F.col("acctbal").cast("string").alias("pace"))
     stores = t("stores", "store_id store_name")
     return E.electric_availability(_available(t), stores, flags, pace, E.prior_month_mix(t("sales_detail", "accounting_month store_id make allocation_group department record_source sold_count"), AS_OF), _START)
@@ -353,7 +356,7 @@ register(
     FROM (SELECT CASE WHEN accounting_month = DATE '1999-07-01' THEN 'Prior Month' ELSE 'Current Month' END AS month, st.store_name, brand_group,
         a.store_id, a.model, a.make, {', '.join(f'sum({c}) AS {c}' for c in _COUNTS)}, sum(sales_count) AS sales_count
       FROM available a JOIN stores st ON st.store_id = a.store_id
-      WHERE a.model IN (SELECT allocation_group FROM inventory_month) AND a.make IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) g
+      WHERE a.model IN (SELECT allocation_group FROM inventory_month WHERE length(allocation_group) % 2 = 0) AND a.make IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) g
     LEFT JOIN stores p ON p.store_id = g.store_id LEFT JOIN mix x ON x.store_id = g.store_id AND x.allocation_group = g.model""",
     (*_E_ROLES, "stores"), f"{_AVAILABLE}, {_MIX}",
 )

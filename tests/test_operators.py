@@ -10,6 +10,7 @@ from lotwise.operators import lookup as LK
 from lotwise.operators import matching as MT
 from lotwise.operators import measures as MS
 from lotwise.operators import predicates as P
+from lotwise.operators import rules as RU
 from lotwise.operators import stacking as ST
 from lotwise.operators import windows as W
 from lotwise.operators.rules import Rule, apply_if_found, apply_if_missing, first_match
@@ -301,6 +302,22 @@ def test_allocation_groups(spark):
     assert (pipeline["1500 Classic"], pipeline["RX"]) == ("nomap", "nomap")
 
 
+def test_rules_as_a_table(spark):
+    """The join finds what the expression finds; a rule behind a wider one is shadowed."""
+    columns = ["make", "model", "style"]
+    shadowed = Rule("never", has={"model": ("YUKON",), "style": ("SLT",)}, is_any={"make": ("GMC",)})
+    lacking = Rule("other", lacks={"style": ("REG",), "model": ("X",)}, is_any={"make": ("FORD", "RAM")})
+    rules = [*AG.MODEL_ABBREVIATIONS, *AG.SPECIAL_GROUPS, shadowed, lacking]
+    makes, models = ["gmc", "Cadillac ", "JEEP", "FORD", "Ram", None, ""], ["Yukon XL", "Yukon", "ESCALADE ESV", "Grand", "1500", "Focus", None]
+    data = [(a, b, c, i) for i, (a, b, c) in enumerate((a, b, c) for a in makes for b in models for c in ("SLT", "Reg Cab", None))]
+    df = spark.createDataFrame(data, "make string, model string, style string, id int")
+    table = RU.match_by_table(df, rules, columns, "found").withColumn("wanted", first_match(rules, {c: F.col(c) for c in columns}))
+    assert table.count() == len(data) and table.where("not found <=> wanted").collect() == []
+    report = {r["priority"]: (r["result"], r["matched"], r["won"]) for r in RU.rule_report(df, rules, columns).collect()}
+    assert len(report) == len(rules) and report[len(rules) - 2] == ("never", 2, 0) and report[len(rules) - 1][2] > 0
+    assert sum(won for _, _, won in report.values()) == table.where("found is not null").count()
+
+
 def test_market_cubes(spark, rows):
     current = spark.createDataFrame(
         [("M", "FORD", "1", None, "D1", 2025, 1, 10), ("M", "FORD", "1", "", "", 2025, 3, 30), ("M", "FORD", "2", "S2", "D2", 2025, 3, 10),
