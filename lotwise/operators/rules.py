@@ -61,9 +61,9 @@ def matching_rules(df: DataFrame, rules: Sequence[Rule], columns: Sequence[str],
     tested on the pairs: for long rule lists that change, where :func:`first_match` writes all of them into one expression.
     """
     table = rule_table(df.sparkSession, rules, on)
-    upper = {c: F.coalesce(F.upper(F.trim(F.col(c))), F.lit("")) for c in columns}
+    upper = {c: F.upper(F.trim(F.col(c))) for c in columns}
     values = F.create_map(*[x for c, v in upper.items() for x in (F.lit(c), v)])
-    rows = df.select(*columns).distinct().withColumn("_values", values).withColumn("_key", F.explode(F.array(upper[on], F.lit(None).cast("string"))))
+    rows = df.select(*columns).distinct().withColumn("_values", values).withColumn("_key", F.explode(F.array_distinct(F.array(upper[on], F.lit(None).cast("string")))))
 
     def holds(test: Column) -> Column:
         value = F.element_at("_values", test["column"])
