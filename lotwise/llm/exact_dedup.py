@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import WHITE, keep, text_or_empty, with_row, without
+from .base import WHITE, keep, text_or_empty, with_unique_id, without
 
 
 def normalised(text: Column) -> Column:
@@ -71,6 +71,6 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Decides row by row: of rows that repeat a doc_id each goes or stays by its own text, equal rows of a
     doc_id stay together, and a copy without a doc_id goes.  Any column name may occur beside doc_id and text.
     """
-    rows, key = with_row(docs)
-    judged = exact_dedup(rows.select("doc_id", "text", F.col(key).alias("row_key")), carry=("row_key",))
-    return without(rows, key, judged.where("not kept").select("row_key"), "dedup-gone")
+    rows, unique = with_unique_id(docs)
+    judged = exact_dedup(rows.select("doc_id", "text", F.col(unique).alias("row")), carry=("row",))
+    return without(rows, unique, judged.where("not kept").select("row"), "dedup-gone")
