@@ -59,14 +59,13 @@ def longest_rule(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> t
 def _grams(text: Column, mark: str) -> Column:
     """All n-grams of a marked text; ^ and $ stand for its ends."""
     ended = F.concat(F.lit("^"), text, F.lit("$"))
-    lists = [
-        F.when(
-            F.length(ended) >= n,
-            F.transform(F.sequence(F.lit(1), F.greatest(F.length(ended) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substring(ended, i, F.lit(n)))),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in LENGTHS
-    ]
-    return F.concat(*lists)
+
+    def of_length(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(ended) - n + 1, F.lit(1)))
+        grams = F.transform(places, lambda i: F.concat(F.lit(mark), F.substring(ended, i, F.lit(n))))
+        return F.when(F.length(ended) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[of_length(n) for n in LENGTHS])
 
 
 def _features(df: DataFrame) -> DataFrame:
