@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import classify as C
 from ..functions import dates as D
 from ..functions.text import first_cap
+from ..operators.intervals import sums_in_intervals
 from ..operators.measures import per_unit, sum_when, total_nonzero
 from ..operators.predicates import ci_equal, ci_not_in, not_like_any
 from ..operators.stacking import fill_placeholders, stack_facts
@@ -58,6 +59,22 @@ def sales_by_period(sales: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def sales_by_store_period(sales: DataFrame, periods: DataFrame) -> DataFrame:
+    """New sales of every store's own periods, however many there are and whether or not they overlap.
+
+    ``periods``: store_id, period, start_date, end_date.  Gross counts booked records only, as in
+    :func:`sales_by_period`; a period without a sale has no row, and a repeated period counts its sales each time.
+    """
+    booked = ci_equal(F.col("record_source"), "accounting")
+    gross = {"base_gross": "base_retail", "incentive_gross": "incentives", "cfs_gross": "fi_gross", "ovi_gross": "ovi"}
+    facts = sales.filter(ci_equal(F.col("department"), "new")).select(
+        "store_id", "contract_date", "sold_count", *[F.when(booked, F.col(c)).otherwise(0).alias(n) for n, c in gross.items()],
+    )
+    return sums_in_intervals(
+        facts, "contract_date", ["sold_count", *gross], periods, "start_date", "end_date", ["store_id"]
+    ).drop("rows")
+
+
 def store_brand(stores: DataFrame, regions: Sequence[str], excluded_names: Sequence[str]) -> DataFrame:
     """Brand of each open retail store."""
     return stores.filter(

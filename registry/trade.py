@@ -138,6 +138,34 @@ register(
     JOIN sales_detail v ON v.contract_date BETWEEN p.s AND p.e WHERE department = 'New' GROUP BY 1, 2, 3, 4) x
     WHERE sold_count + base_gross + incentive_gross + cfs_gross + ovi_gross <> 0""", ("sales_detail",),
 )
+
+
+def _store_periods(t):
+    """A period of each store per first line: from its shipping on, up to 400 days; thousands that overlap."""
+    line = t.lineitem.filter("l_linenumber = 1")
+    start = F.to_date("l_shipdate")
+    return line.select(
+        F.col("l_suppkey").cast("string").alias("store_id"), F.col("l_orderkey").alias("period"), start.alias("start_date"),
+        F.date_add(start, F.col("l_quantity").cast("int") * 8).alias("end_date"),
+    )
+
+
+register(
+    "store_period_sales",
+    "store_id period:i start_date:t end_date:t sold_count:i base_gross:r incentive_gross:r cfs_gross:r ovi_gross:r",
+    lambda t: N.sales_by_store_period(
+        t("sales_detail", "store_id contract_date department record_source sold_count base_retail incentives fi_gross ovi"), _store_periods(t)
+    ),
+    """SELECT p.store_id, p.period, p.s AS start_date, p.e AS end_date, sum(sold_count) AS sold_count,
+      sum(CASE WHEN record_source = 'Accounting' THEN base_retail ELSE 0 END) AS base_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN incentives ELSE 0 END) AS incentive_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN fi_gross ELSE 0 END) AS cfs_gross,
+      sum(CASE WHEN record_source = 'Accounting' THEN ovi ELSE 0 END) AS ovi_gross
+    FROM (SELECT CAST(l_suppkey AS VARCHAR) AS store_id, l_orderkey AS period, CAST(l_shipdate AS DATE) AS s,
+        CAST(l_shipdate AS DATE) + CAST(l_quantity AS INT) * 8 AS e FROM lineitem WHERE l_linenumber = 1) p
+    JOIN sales_detail v ON v.store_id = p.store_id AND v.contract_date BETWEEN p.s AND p.e WHERE department = 'New' GROUP BY 1, 2, 3, 4""",
+    ("sales_detail",),
+)
 register(
     "period_labels", "accounting_month:t period quarter units:i",
     lambda t: t("sales_detail", "accounting_month sold_count").groupBy("accounting_month").agg(F.sum("sold_count").alias("units")).select(
