@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import digits_only, drop_quotes
+from ..session import written
 from .measures import row_nonnull
 
-HOT_VALUE_ROWS = 10_000
+# A shared value whose referrals and customers make more than this many pairs per row takes a second key.
+PAIRS_PER_ROW = 32
 
 
 def _text(col: str) -> Column:
@@ -16,7 +20,7 @@ def _text(col: str) -> Column:
 
 
 def match_people(
-    form: DataFrame, customers: DataFrame, form_id: str = "form_id", hot_rows: int = HOT_VALUE_ROWS
+    form: DataFrame, customers: DataFrame, form_id: str = "form_id", pairs_per_row: int = PAIRS_PER_ROW
 ) -> DataFrame:
     """Customers of the form's market that agree with a referral in two of e-mail, phone, name.
 
@@ -25,14 +29,31 @@ def match_people(
     turned into (market, kind, value) rows and meet in one equality join; no pair is tried on
     names alone.  An empty probe agrees with nothing.
 
-    A value that more than ``hot_rows`` customers share (a switchboard number, a placeholder
-    address) needs a second equal key: the other value, or the referral's last name among the
-    substrings of the customer's.  Every emitted pair is then nearly an answer, and the result
-    does not depend on ``hot_rows``.
+    The referrals and customers of each value are counted.  Where their product exceeds ``pairs_per_row``
+    for each of the rows (a switchboard number, a placeholder address, on either side or both), the value
+    alone would emit a product of rows, so it takes part in two narrower joins instead: on e-mail and phone
+    together, and on the value with names that agree (:func:`_agreeing_names`).  Every pair of those is an answer,
+    emitted once per value and join, and all other values emit at most ``pairs_per_row`` pairs a row.  The
+    result does not depend on ``pairs_per_row``.
 
     ``form``: form_id, market_id, first_name, last_name, email, phone.
     ``customers``: cust_no, market_id, first_name, last_name, email, phone.
     """
+    flags = candidate_pairs(form, customers, form_id, pairs_per_row).select(
+        "form_id", "cust_no", "market",
+        F.when(F.col("f_email") == F.col("c_email"), "Email_match").alias("email_match"),
+        F.when(F.col("f_phone") == F.col("c_phone"), "Phone_match").alias("phone_match"),
+        F.when(
+            F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last")), "name_match"
+        ).alias("name_match"),
+    )
+    agreed = row_nonnull(F.col("email_match"), F.col("phone_match"), F.col("name_match"))
+    # A pair equal in both values meets more than once; distinct runs on answers alone.
+    return flags.filter(agreed >= 2).distinct()
+
+
+def candidate_pairs(form: DataFrame, customers: DataFrame, form_id: str, pairs_per_row: int) -> DataFrame:
+    """Pairs of a referral and a customer with an equal e-mail or phone: all of them, but of hot values the answers only."""
     probe = form.select(
         F.col(form_id).alias("form_id"),
         F.left(F.col("market_id"), F.lit(4)).alias("market"),
@@ -49,26 +70,46 @@ def match_people(
         _text("email").alias("c_email"),
         F.nullif(F.trim(F.col("phone")), F.lit("")).alias("c_phone"),
     )
-    probes = _by_value(probe, "f_email", "f_phone")
-    values = _by_value(known, "c_email", "c_phone")
-    key = ["market", "kind", "value"]
-    hot = values.groupBy(*key).agg((F.count(F.lit(1)) > hot_rows).alias("hot")).filter("hot")
-    name_key = F.concat(F.lit("n:"), F.col("f_last"))
-    probes = probes.join(hot, key, "left").withColumn("second", F.explode(_second_keys(F.array(name_key))))
-    name_keys = F.transform(_substrings("c_last"), lambda piece: F.concat(F.lit("n:"), piece))
-    values = values.join(hot, key, "left").withColumn("second", F.explode(_second_keys(name_keys)))
-    met = probes.drop("hot", "other").join(values.drop("hot", "other"), [*key, "second"])
-    flags = met.select(
-        "form_id", "cust_no", "market",
-        F.when(F.col("f_email") == F.col("c_email"), "Email_match").alias("email_match"),
-        F.when(F.col("f_phone") == F.col("c_phone"), "Phone_match").alias("phone_match"),
-        F.when(
-            F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last")), "name_match"
-        ).alias("name_match"),
+    probes = written(_by_value(probe, "f_email", "f_phone"), "referral-values")  # both are read for the counts and for each join
+    values = written(_by_value(known, "c_email", "c_phone"), "customer-values")
+    hot = hot_values(probes, values, VALUE_KEY, pairs_per_row)
+    plain = probes.join(hot, VALUE_KEY, "left_anti").join(values.drop("other"), VALUE_KEY)
+    hot_probes, hot_known = probes.join(hot, VALUE_KEY, "left_semi"), values.join(hot, VALUE_KEY, "left_semi")
+    by_both = hot_probes.join(hot_known, [*VALUE_KEY, "other"])
+    names = _agreeing_names(hot_probes, hot_known)
+    by_name = hot_probes.join(names, [*VALUE_KEY, "f_first", "f_last"]).join(
+        hot_known.drop("other"), [*VALUE_KEY, "c_first", "c_last"]
     )
-    agreed = row_nonnull(F.col("email_match"), F.col("phone_match"), F.col("name_match"))
-    # A pair equal in both values meets twice; distinct runs on answers alone.
-    return flags.filter(agreed >= 2).distinct()
+    return plain.drop("other").unionByName(by_both.drop("other")).unionByName(by_name.drop("other"))
+
+
+VALUE_KEY = ["market", "kind", "value"]
+
+
+def hot_values(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs_per_row: int) -> DataFrame:
+    """Keys that both sides have and whose product of rows exceeds ``pairs_per_row`` times their sum.
+
+    Both sides are counted in one aggregate, combined before its shuffle.  A key that is frequent on one side
+    only is not among them as long as the other side has at most ``pairs_per_row`` rows of it: its pairs
+    are in proportion to its rows.
+    """
+    sides = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
+        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    counted = sides.groupBy(*keys).agg(F.sum("l").cast("double").alias("l"), F.sum("r").cast("double").alias("r"))
+    return counted.filter(F.col("l") * F.col("r") > pairs_per_row * (F.col("l") + F.col("r"))).select(*keys)
+
+
+def _agreeing_names(probes: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of names under one value, referral's and customer's, that agree.
+
+    Each name counts once per value, whatever its rows.  A referral's last name is met among the substrings of
+    the customers'; the first names are compared in place, between names that share this piece.
+    """
+    wanted = probes.select(*VALUE_KEY, "f_first", "f_last").dropna().distinct()
+    held = known.select(*VALUE_KEY, "c_first", "c_last").dropna().distinct()
+    pieces = held.withColumn("f_last", F.explode(_substrings("c_last")))
+    return wanted.join(pieces, [*VALUE_KEY, "f_last"]).filter(F.col("c_first").contains(F.col("f_first")))
 
 
 def _by_value(df: DataFrame, email: str, phone: str) -> DataFrame:
@@ -83,12 +124,6 @@ def _by_value(df: DataFrame, email: str, phone: str) -> DataFrame:
     )
 
 
-def _second_keys(name_keys: Column) -> Column:
-    other = F.array(F.concat(F.lit("o:"), F.col("other")))
-    both = F.array_compact(F.concat(F.coalesce(name_keys, F.array().cast("array<string>")), other))
-    return F.when(F.col("hot"), both).otherwise(F.array(F.lit("")))
-
-
 def _substrings(col: str) -> Column:
     text = F.col(col)
     starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))

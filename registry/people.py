@@ -279,9 +279,9 @@ _MATCH_SQL = """SELECT form_id, cust_no, CASE WHEN e = 1 THEN 'Email_match' END
   CASE WHEN n = 1 THEN 'name_match' END AS name_match FROM strong"""
 
 
-def _matches(t, hot_rows=MT.HOT_VALUE_ROWS):
+def _matches(t):
     deals = t("sales_detail", "cust_no accounting_month sale_type deal_no front_gross")
-    return K.referral_matches(t.referral_form, t.customers, deals, date(1999, 7, 1), hot_rows=hot_rows)
+    return K.referral_matches(t.referral_form, t.customers, deals, date(1999, 7, 1))
 
 
 register(
@@ -289,7 +289,7 @@ register(
     lambda t: MT.match_people(t.referral_form, t.customers), _MATCH_SQL, ("referral_form", "customers"), _PAIRS,
 )
 register(
-    "record_match_hot_keys", _MATCH_SPEC, lambda t: MT.match_people(t.referral_form, t.customers, hot_rows=0), _MATCH_SQL,
+    "record_match_hot_keys", _MATCH_SPEC, lambda t: MT.match_people(t.referral_form, t.customers, pairs_per_row=0), _MATCH_SQL,
     ("referral_form", "customers"), _PAIRS,
 )
 register(

@@ -255,17 +255,55 @@ def brute_force():
     return answers
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10_000])
-def test_people_match_like_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("pairs_per_row", [0, 10_000])
+def test_people_match_like_brute_force(spark, pairs_per_row):
     form = spark.createDataFrame(FORM, "form_id int, market_id string, first_name string, last_name string, email string, phone string")
     known = spark.createDataFrame(CUSTOMERS, "cust_no string, market_id string, first_name string, last_name string, email string, phone string")
     got = {
         (r.form_id, r.cust_no, r.email_match is not None, r.phone_match is not None, r.name_match is not None)
-        for r in MT.match_people(form, known, hot_rows=hot_rows).collect()
+        for r in MT.match_people(form, known, pairs_per_row=pairs_per_row).collect()
     }
     assert got == brute_force() and {g[0] for g in got} == {1, 2, 6}
 
 
+def _crowd(spark, customers: int, referrals: int):
+    """One placeholder phone for all; e-mails and names are nearly all different."""
+    known = spark.range(customers).selectExpr(
+        "concat('c', id) AS cust_no", "'0001' AS market_id", "concat('Ann', id) AS first_name", "concat('Lee', id % 211, 'x') AS last_name",
+        "concat('c', id, '@x.example') AS email", "'5550000' AS phone",
+    )
+    form = spark.range(referrals).selectExpr(
+        "id AS form_id", "'0001 East' AS market_id", f"concat('ann', id % {customers}) AS first_name", f"concat('lee', id % {customers} % 211, 'X') AS last_name",
+        "IF(id % 4 = 0, concat('C', id, '@x.example'), NULL) AS email", "'555-0000' AS phone",
+    )
+    return form, known
+
+
+@pytest.mark.parametrize("sizes", [(40, 900), (900, 40), (300, 300)])
+def test_people_match_on_a_value_hot_on_either_side(spark, sizes):
+    form, known = _crowd(spark, *sizes)
+    got, plain = (sorted(map(tuple, MT.match_people(form, known, pairs_per_row=n).collect()), key=str) for n in (0, 10**9))
+    assert got == plain and len(got) >= sizes[1]
+
+
+def test_people_match_emits_answers_from_a_hot_value(spark):
+    """10,000 customers and a million referrals on one number: ten thousand million pairs on the number alone."""
+    form, known = _crowd(spark, 10_000, 1_000_000)
+    probes = form.selectExpr("'phone' AS kind", "phone AS value").unionAll(form.selectExpr("'none'", "string(form_id)"))
+    others = known.selectExpr("'phone' AS kind", "'555-0000' AS value")
+    assert [tuple(r) for r in MT.hot_values(probes, others, ["kind", "value"], 32).collect()] == [("phone", "555-0000")]
+    assert MT.hot_values(probes, others.limit(30), ["kind", "value"], 32).isEmpty()  # a million rows, 30 pairs each
+    matched = MT.match_people(form, known)
+    answers = matched.count()
+    # "ann7" occurs in Ann7, Ann70 and Ann700 if the last name fits too
+    firsts = {}
+    for c in range(10_000):
+        firsts.setdefault(f"LEE{c % 211}X", []).append(f"ANN{c}")
+    agree = sum(sum(f"ANN{i}" in name for name in firsts[f"LEE{i % 211}X"]) for i in range(10_000)) * 100
+    assert answers == agree
+    assert MT.candidate_pairs(form, known, "form_id", MT.PAIRS_PER_ROW).count() <= 2 * answers
+
+
 def test_exclude_seen_keeps_missing_keys(spark):
     df = spark.createDataFrame([("1",), ("2",), (None,)], "t string")
     prev = spark.createDataFrame([("1",), (None,)], "t string")
