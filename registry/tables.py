@@ -20,7 +20,7 @@ from lotwise.operators import stacking as ST
 from lotwise.operators.predicates import drop_overlap, exclude_values
 from lotwise.plans import allocation_groups as AG
 from lotwise.plans import upkeep as K
-from lotwise.session import new_path
+from lotwise.session import new_path, written
 from lotwise.sources import files as FS
 from lotwise.sources import ledger as LG
 from lotwise.sources import sinks as SK
@@ -353,6 +353,45 @@ register(
     "upsert_month", "year:i mth:i store_id units:i", lambda t: K.upsert_month(*_period_tables(t), date(1999, 8, 1)),
     "SELECT year, mth, store_id, CASE WHEN year = 1999 AND mth = 8 THEN units * 10 ELSE units END AS units FROM sums", ("sales_detail",), _PERIOD,
 )
+
+
+def _upserted(t):
+    """A history of orders by month; a delivery repeats 1997 and 1998 in other tasks, with every third month changed, and adds a
+    month.  Per month: its rows and keys, what was done, and whether the table still has the file names of before."""
+    path = new_path(t.spark, "history")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("year_month"))
+    SK.upsert_changed(rows, path, ["year_month"])
+
+    def names():
+        return FS.list_files(t.spark, path).filter(F.col("path").contains("year_month=")).groupBy(
+            F.regexp_extract("path", "year_month=([^/]*)", 1).alias("year_month")
+        ).agg(F.array_sort(F.collect_set("path")).alias("files"))
+
+    before = written(names(), "before")
+    changed = F.col("year_month").cast("int") % 3 == 0
+    delivery = rows.filter("year_month BETWEEN '199701' AND '199812'").repartition(7).withColumn(
+        "o_orderstatus", F.when(changed & (F.col("o_orderstatus") == "O"), "X").otherwise(F.col("o_orderstatus"))
+    )
+    new = rows.filter("year_month = '199701'").withColumn("year_month", F.lit("209901"))
+    report = SK.upsert_changed(delivery.unionByName(new), path, ["year_month"])
+    held = t.spark.read.schema(rows.schema).parquet(path).groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_orderkey").alias("keys"), F.count_if(F.col("o_orderstatus") == "X").alias("changed")
+    )
+    after = names().withColumnRenamed("files", "now")
+    return held.join(report.select("year_month", "action"), "year_month", "left").join(before, "year_month", "left").join(
+        after, "year_month"
+    ).withColumn("same_files", F.coalesce(F.col("files") == F.col("now"), F.lit(False)))
+
+
+register(
+    "upsert_changed", "year_month orders:i keys:i changed:i action same_files:b", _upserted,
+    """SELECT year_month, count(*) AS orders, sum(k) AS keys, CAST(sum(CASE WHEN done = 'replaced' AND st = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS changed,
+      done AS action, done IS NULL OR done = 'kept' AS same_files
+    FROM (SELECT *, CASE WHEN year_month = '209901' THEN 'added' WHEN year_month BETWEEN '199701' AND '199812' THEN
+        CASE WHEN CAST(year_month AS INT) % 3 = 0 AND bool_or(st = 'O') OVER (PARTITION BY year_month) THEN 'replaced' ELSE 'kept' END END AS done
+      FROM (SELECT strftime(o_orderdate, '%Y%m') AS year_month, o_orderkey AS k, o_orderstatus AS st FROM orders
+        UNION ALL SELECT '209901', o_orderkey, o_orderstatus FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199701') o) x GROUP BY year_month, done""",
+)
 register(
     "append_months", "sale_year:i sale_month:i make units:i",
     lambda t: H.append_months(t("sales_current", "sale_year sale_month make mtd_sales"), t("sales_history", "sale_year sale_month make mtd_sales"), [1, 2, 3], [2000, 2001]).groupBy("sale_year", "sale_month", "make").agg(
