@@ -17,6 +17,7 @@ from lotwise.operators import measures as MS
 from lotwise.operators import questions as Q
 from lotwise.operators import rules as RU
 from lotwise.operators import stacking as ST
+from lotwise.operators import tags as TG
 from lotwise.operators.predicates import drop_overlap, exclude_values
 from lotwise.plans import allocation_groups as AG
 from lotwise.plans import upkeep as K
@@ -432,6 +433,27 @@ register(
     """SELECT page_id, 0 AS position, s_name AS name, page_id || ' Main St, Suite 1' AS street, n_name AS city, r_name || ' 12345' AS state_zip,
       page_id || ' Main St, Suite 1, ' || n_name || ', ' || r_name || ' 12345' AS full_address FROM location_pages""", ("location_pages",),
 )
+
+
+def _cards(t):
+    """Whole pages inside two cards, one in the other, behind a comment and a value that look like tags."""
+    head, inner = "<div data-n='<div>' class=\"card\">a<!-- <div> -->", '<div title="</div>" class=\'inner card\'>'
+    whole = t.pages.select("page_id", F.concat(F.lit(head), F.lit(inner), F.coalesce("html", F.lit("")), F.lit("</DIV>b</div>")).alias("whole"))
+    blocks = TG.nested_blocks(whole, ["page_id"], "whole", "div", {"class": "card"})
+    return blocks.select(
+        "page_id", "position", F.md5("block").alias("block"), TG.first_text(F.col("block"), "h1").alias("title"),
+        TG.first_text(F.col("block"), "div", {"class": "ad"}).alias("ad"), TG.first_text(F.col("block"), "aside").alias("aside"),
+        F.size(TG.element_texts(F.col("block"), "li")).alias("items"),
+    )
+
+
+register(
+    "nested_blocks", "page_id:i position:i block title ad aside items:i", _cards,
+    """SELECT page_id, k AS position, md5(CASE k WHEN 0 THEN 'a<div title="</div>" class=''inner card''>' || plain || '</DIV>b' ELSE plain END) AS block,
+      trim(regexp_extract(plain, '<h1>([^<]*)</h1>', 1)) AS title, trim(regexp_extract(plain, '<div class="ad">([^<]*)</div>', 1)) AS ad, '' AS aside,
+      len(regexp_extract_all(plain, '<li>')) AS items
+    FROM (SELECT page_id, regexp_replace(html, '<!--.*?-->', '', 'gs') AS plain FROM pages) p CROSS JOIN (VALUES (0), (1)) v(k)""",
+)
 _WORDS = ["License", "license", "Training", "contact"]
 register(
     "keyword_lines", "doc_id:i line_no:i line", lambda t: X.keyword_lines(t.documents, ["doc_id"], "text", _WORDS),
