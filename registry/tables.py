@@ -450,7 +450,8 @@ def _cards(t):
 register(
     "nested_blocks", "page_id:i position:i block title ad aside items:i", _cards,
     """SELECT page_id, k AS position, md5(CASE k WHEN 0 THEN 'a<div title="</div>" class=''inner card''>' || plain || '</DIV>b' ELSE plain END) AS block,
-      trim(regexp_extract(plain, '<h1>([^<]*)</h1>', 1)) AS title, trim(regexp_extract(plain, '<div class="ad">([^<]*)</div>', 1)) AS ad, '' AS aside,
+      trim(replace(replace(replace(replace(regexp_extract(plain, '<h1>([^<]*)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS title,
+      trim(replace(replace(replace(replace(regexp_extract(plain, '<div class="ad">([^<]*)</div>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS ad, '' AS aside,
       len(regexp_extract_all(plain, '<li>')) AS items
     FROM (SELECT page_id, regexp_replace(html, '<!--.*?-->', '', 'gs') AS plain FROM pages) p CROSS JOIN (VALUES (0), (1)) v(k)""",
 )
