@@ -14,7 +14,7 @@ from ..functions.mappings import STORE_NAME_SHORTS, VOI_GROUPS
 from ..functions.text import replace_all
 from ..operators.lookup import attach_coordinates, zero_unless_marked
 from ..operators.matching import org_hierarchy, split_credit
-from ..operators.measures import any_nonzero, duration_components
+from ..operators.measures import any_nonzero, distinct_states, duration_components, merge_distinct
 from ..operators.predicates import ci_equal, ci_in
 from ..operators.stacking import stack_facts, union_distinct
 
@@ -197,12 +197,19 @@ def spend_and_distance(
     return union_distinct(by_band, spent)
 
 
-def speed_bands(photos: DataFrame, daily: DataFrame, start: date, end: date) -> DataFrame:
+def speed_bands(
+    photos: DataFrame, daily: DataFrame, start: date, end: date, keys: Sequence[str] = ("mth", "store_id", "flag")
+) -> DataFrame:
     """Units per month, store and days-to-photo band, for used stock that was on the lot.
 
     The daily table only decides which units count, so it is a semi join; the distinct count
     is exact.
     """
+    units = _photo_units(photos, daily, start, end)
+    return units.groupBy(*keys).agg(F.countDistinct("vin").alias("vin_count"))
+
+
+def _photo_units(photos: DataFrame, daily: DataFrame, start: date, end: date) -> DataFrame:
     on_lot = daily.filter(
         ci_equal(F.col("stock_type"), "used") & (F.col("valid_for_group") == 1) & ci_equal(F.col("status"), "S")
         & (F.upper("image_type") != "STOCKPHOTOS")
@@ -211,11 +218,22 @@ def speed_bands(photos: DataFrame, daily: DataFrame, start: date, end: date) ->
     return (
         photos.filter(F.col("snapshot_date").between(F.lit(start), F.lit(end)) & days.between(0, 30))
         .join(on_lot, "vin", "left_semi")
-        .groupBy(F.month("snapshot_date").alias("mth"), "store_id", C.photo_band(days).alias("flag"))
-        .agg(F.countDistinct("vin").alias("vin_count"))
+        .withColumn("flag", C.photo_band(days))
+        .withColumn("mth", F.month("snapshot_date"))
     )
 
 
+def speed_band_states(photos: DataFrame, daily: DataFrame, start: date, end: date) -> DataFrame:
+    """As :func:`speed_bands`, but a row per calendar month with a state that merges: store it by ``snapshot_month``."""
+    units = _photo_units(photos, daily, start, end).withColumn("snapshot_month", D.month_of(F.col("snapshot_date")))
+    return distinct_states(units, ["snapshot_month", "store_id", "flag"], "vin")
+
+
+def speed_bands_over(states: DataFrame, first: date, last: date, keys: Sequence[str] = ("store_id", "flag")) -> DataFrame:
+    """Estimated units per store and band, or per fewer ``keys``, over the months ``first`` to ``last`` of stored states."""
+    return merge_distinct(states.filter(F.col("snapshot_month").between(F.lit(first), F.lit(last))), keys, "vin_count")
+
+
 PHOTO_BANDS = {"under_5": (None, 5), "under_10": (5, 10), "above_10": (10, 30), "all": (None, 30)}
 
 

@@ -12,6 +12,8 @@ from lotwise.operators import matching as MT
 from lotwise.operators.lookup import lookup
 from lotwise.plans import leads as L
 from lotwise.plans import upkeep as K
+from lotwise.session import new_path
+from lotwise.sources.sinks import replace_partitions
 
 from .base import register
 from .roles import EVENT_AS_OF
@@ -247,6 +249,37 @@ register(
         AND i.photo_date >= i.entry_date AND date_diff('day', i.entry_date, i.photo_date) <= 30) x GROUP BY 1, 2, 3""",
     ("photo_trend", "unit_snapshots"),
 )
+
+
+def _stored_speed(t):
+    """Monthly states stored by month, one month loaded twice; the estimate of two years' span per store and per band
+    against the exact count, within four standard errors or half a unit."""
+    photos, daily = t.photo_trend, t("unit_snapshots", "vin stock_type valid_for_group status image_type")
+    path = new_path(t.spark, "speed-states")
+    states = L.speed_band_states(photos, daily, _P0, _P1)
+    replace_partitions(states, path, ["snapshot_month"])
+    replace_partitions(states.filter("snapshot_month = '1998-03-01'"), path, ["snapshot_month"])
+    stored = t.spark.read.schema(states.schema).parquet(path)
+    first, last = date(1997, 7, 1), date(1999, 6, 1)
+    exact = L.speed_bands(photos, daily, date(1997, 7, 1), date(1999, 6, 30), ["store_id", "flag"])
+    by_store = L.speed_bands_over(stored, first, last).withColumnRenamed("vin_count", "estimate")
+    by_band = L.speed_bands_over(stored, first, last, ["flag"]).withColumnRenamed("vin_count", "estimate")
+    band_exact = L.speed_bands(photos, daily, date(1997, 7, 1), date(1999, 6, 30), ["flag"])
+    both = exact.join(by_store, ["store_id", "flag"], "full").unionByName(
+        band_exact.join(by_band, "flag", "full"), allowMissingColumns=True
+    )
+    return both.withColumn("within", F.abs(F.col("estimate") - F.col("vin_count")) <= F.greatest(F.lit(0.5), 4 * 0.01625 * F.col("vin_count")))
+
+
+register(
+    "speed_bands_states", "store_id flag vin_count:i within:b", _stored_speed,
+    """SELECT store_id, flag, count(DISTINCT vin) AS vin_count, true AS within
+    FROM (SELECT DISTINCT i.store_id, i.vin, CASE WHEN d <= 5 THEN '0-5 Days' WHEN d <= 10 THEN '6-10 Days' ELSE 'Above 10 Days' END AS flag
+      FROM (SELECT *, date_diff('day', entry_date, photo_date) AS d FROM photo_trend) i JOIN unit_snapshots s ON s.vin = i.vin
+      WHERE i.snapshot_date BETWEEN DATE '1997-07-01' AND DATE '1999-06-30' AND upper(s.stock_type) = 'USED' AND s.valid_for_group = 1 AND s.status = 'S'
+        AND s.image_type <> 'StockPhotos' AND d BETWEEN 0 AND 30) x GROUP BY GROUPING SETS ((store_id, flag), (flag))""",
+    ("photo_trend", "unit_snapshots"),
+)
 _COUNTED = "snapshot_date > DATE '1997-01-01' AND photo_date IS NOT NULL AND entry_date <= photo_date AND d"
 
 

@@ -304,6 +304,22 @@ def test_people_match_emits_answers_from_a_hot_value(spark):
     assert MT.candidate_pairs(form, known, "form_id", MT.PAIRS_PER_ROW).count() <= 2 * answers
 
 
+def test_distinct_counts_merge_over_any_span(spark):
+    """Overlapping months: the merged states against exact counts, a NULL key and NULL values among them."""
+    df = spark.range(120_000).selectExpr(
+        "IF(id % 40 = 0, NULL, id % 12) AS month", "IF(id % 11 = 0, NULL, hash(id) % 30000) AS vin", "IF(id % 3 = 0, 'hot', 's' || id % 5) AS store"
+    )
+    states = MS.distinct_states(df, ["month", "store"], "vin").cache()
+    monthly = {(r[0], r[1]): r[2] for r in df.groupBy("month", "store").agg(F.countDistinct("vin")).collect()}
+    assert {(r["month"], r["store"]): r["exact"] for r in states.collect()} == monthly
+    for span in ("month BETWEEN 2 AND 7", "month = 1", "true", "month IS NULL"):
+        exact = {r[0]: r[1] for r in df.filter(span).groupBy("store").agg(F.countDistinct("vin")).collect()}
+        merged = {r["store"]: r["n"] for r in MS.merge_distinct(states.filter(span), ["store"], "n").collect()}
+        assert merged.keys() == exact.keys() and all(abs(merged[s] - n) <= max(1, 4 * 0.01625 * n) for s, n in exact.items())
+    assert states.selectExpr("max(length(state))").first()[0] <= 2**12 + 100
+    assert MS.merge_distinct(states.limit(0), ["store"], "n").count() == 0
+
+
 def test_exclude_seen_keeps_missing_keys(spark):
     df = spark.createDataFrame([("1",), ("2",), (None,)], "t string")
     prev = spark.createDataFrame([("1",), (None,)], "t string")
