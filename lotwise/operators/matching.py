@@ -39,21 +39,29 @@ def match_people(
     ``form``: form_id, market_id, first_name, last_name, email, phone.
     ``customers``: cust_no, market_id, first_name, last_name, email, phone.
     """
+    agree = lambda test: F.coalesce(test, F.lit(False))
     flags = candidate_pairs(form, customers, form_id, pairs_per_row).select(
         "form_id", "cust_no", "market",
-        F.when(F.col("f_email") == F.col("c_email"), "Email_match").alias("email_match"),
-        F.when(F.col("f_phone") == F.col("c_phone"), "Phone_match").alias("phone_match"),
-        F.when(
-            F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last")), "name_match"
-        ).alias("name_match"),
+        agree(F.col("f_email") == F.col("c_email")).alias("e"),
+        agree(F.col("f_phone") == F.col("c_phone")).alias("p"),
+        agree(F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last"))).alias("n"),
+    )
+    # Rows of either side may repeat; distinct runs on answers alone, as flags.
+    strong = flags.filter(F.col("e").cast("int") + F.col("p").cast("int") + F.col("n").cast("int") >= 2).distinct()
+    return strong.select(
+        "form_id", "cust_no", "market", F.when(F.col("e"), "Email_match").alias("email_match"),
+        F.when(F.col("p"), "Phone_match").alias("phone_match"), F.when(F.col("n"), "name_match").alias("name_match"),
     )
-    agreed = row_nonnull(F.col("email_match"), F.col("phone_match"), F.col("name_match"))
-    # A pair equal in both values meets more than once; distinct runs on answers alone.
-    return flags.filter(agreed >= 2).distinct()
 
 
 def candidate_pairs(form: DataFrame, customers: DataFrame, form_id: str, pairs_per_row: int) -> DataFrame:
-    """Pairs of a referral and a customer with an equal e-mail or phone: all of them, but of hot values the answers only."""
+    """Pairs of a referral and a customer with an equal e-mail or phone: all of them, but of hot values the answers only.
+
+    A pair that is equal in both values is met under its e-mail alone.  Both sides are stored as one row per person, which
+    becomes two values when it is read.  These files are compressed and their rows multiply, so their size tells the
+    planner little: their joins are sorted, never broadcast through the driver.  The hot values are stored as hashes, whose file
+    has their true size; a hash that two values share makes both hot, which changes no result.
+    """
     probe = form.select(
         F.col(form_id).alias("form_id"),
         F.left(F.col("market_id"), F.lit(4)).alias("market"),
@@ -70,17 +78,35 @@ def candidate_pairs(form: DataFrame, customers: DataFrame, form_id: str, pairs_p
         _text("email").alias("c_email"),
         F.nullif(F.trim(F.col("phone")), F.lit("")).alias("c_phone"),
     )
-    probes = written(_by_value(probe, "f_email", "f_phone"), "referral-values")  # both are read for the counts and for each join
-    values = written(_by_value(known, "c_email", "c_phone"), "customer-values")
-    hot = hot_values(probes, values, VALUE_KEY, pairs_per_row)
-    plain = probes.join(hot, VALUE_KEY, "left_anti").join(values.drop("other"), VALUE_KEY)
-    hot_probes, hot_known = probes.join(hot, VALUE_KEY, "left_semi"), values.join(hot, VALUE_KEY, "left_semi")
-    by_both = hot_probes.join(hot_known, [*VALUE_KEY, "other"])
+    # Both are read for the counts and for each join.
+    probes = _by_value(written(probe, "referrals"), "f_email", "f_phone", "f_other")
+    values = _by_value(written(known, "customers"), "c_email", "c_phone", "c_other")
+    hot = written(hot_values(probes, values, ["_hash"], pairs_per_row), "hot-values")
+    part = lambda df, how: df.join(hot, "_hash", how).drop("_hash")
+    same_other = F.coalesce(F.col("f_other") == F.col("c_other"), F.lit(False))
+    plain = part(probes, "left_anti").join(_sorted(part(values, "left_anti")), VALUE_KEY)
+    plain = plain.filter(~(same_other & (F.col("kind") == "phone")))
+    hot_probes, hot_known = part(probes, "left_semi"), part(values, "left_semi")
+    by_email = F.col("kind") == "email"
+    by_both = hot_probes.filter(by_email).withColumn("_other", F.col("f_other")).join(
+        _sorted(hot_known.filter(by_email).withColumn("_other", F.col("c_other"))), [*VALUE_KEY, "_other"]
+    )
     names = _agreeing_names(hot_probes, hot_known)
-    by_name = hot_probes.join(names, [*VALUE_KEY, "f_first", "f_last"]).join(
-        hot_known.drop("other"), [*VALUE_KEY, "c_first", "c_last"]
+    by_name = hot_probes.join(_sorted(names), [*VALUE_KEY, "f_first", "f_last"]).join(
+        _sorted(hot_known), [*VALUE_KEY, "c_first", "c_last"]
     )
-    return plain.drop("other").unionByName(by_both.drop("other")).unionByName(by_name.drop("other"))
+    pairs = plain.unionByName(by_both.drop("_other")).unionByName(by_name.filter(~same_other))
+    of = lambda kind, other: F.when(F.col("kind") == kind, F.col("value")).otherwise(F.col(other))
+    return pairs.select(
+        "form_id", "cust_no", "market", "f_first", "f_last", "c_first", "c_last",
+        of("email", "f_other").alias("f_email"), of("phone", "f_other").alias("f_phone"),
+        of("email", "c_other").alias("c_email"), of("phone", "c_other").alias("c_phone"),
+    )
+
+
+def _sorted(df: DataFrame) -> DataFrame:
+    """A side of a join whose size the planner cannot tell: both sides are shuffled and sorted."""
+    return df.hint("merge")
 
 
 VALUE_KEY = ["market", "kind", "value"]
@@ -108,32 +134,31 @@ def _agreeing_names(probes: DataFrame, known: DataFrame) -> DataFrame:
     """
     wanted = probes.select(*VALUE_KEY, "f_first", "f_last").dropna().distinct()
     held = known.select(*VALUE_KEY, "c_first", "c_last").dropna().distinct()
-    pieces = held.withColumn("f_last", F.explode(_substrings("c_last")))
-    return wanted.join(pieces, [*VALUE_KEY, "f_last"]).filter(F.col("c_first").contains(F.col("f_first")))
+    sizes = probes.agg(F.collect_set(F.length("f_last"))).scalar()  # at most the length of the longest name
+    pieces = held.withColumn("_size", F.explode(sizes)).withColumn("f_last", F.explode(_substrings("c_last", "_size"))).drop("_size")
+    return wanted.join(_sorted(pieces), [*VALUE_KEY, "f_last"]).filter(F.col("c_first").contains(F.col("f_first")))
 
 
-def _by_value(df: DataFrame, email: str, phone: str) -> DataFrame:
+def _by_value(df: DataFrame, email: str, phone: str, rest: str) -> DataFrame:
+    """A row per value of a person, the other value beside it as ``rest``."""
     entry = lambda kind, value, other: F.struct(
-        F.lit(kind).alias("kind"), F.col(value).alias("value"), F.col(other).alias("other")
+        F.lit(kind).alias("kind"), F.col(value).alias("value"), F.col(other).alias(rest)
     )
     return (
-        df.withColumn("_entry", F.explode(F.array(entry("email", email, phone), entry("phone", phone, email))))
+        df.filter(F.col("market").isNotNull())
+        .withColumn("_entry", F.explode(F.array(entry("email", email, phone), entry("phone", phone, email))))
         .select("*", "_entry.*")
-        .drop("_entry")
-        .filter(F.col("value").isNotNull() & F.col("market").isNotNull())
+        .drop("_entry", email, phone)
+        .filter(F.col("value").isNotNull())
+        .withColumn("_hash", F.xxhash64(*VALUE_KEY))
     )
 
 
-def _substrings(col: str) -> Column:
-    text = F.col(col)
-    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
-    pieces = F.transform(
-        starts,
-        lambda start: F.transform(
-            F.sequence(F.lit(1), F.length(text) - start + 1), lambda size: F.substring(text, start, size)
-        ),
-    )
-    return F.array_distinct(F.flatten(pieces))
+def _substrings(col: str, size: str) -> Column:
+    """Distinct substrings of one length; NULL where the text is shorter."""
+    text, length = F.col(col), F.col(size)
+    starts = F.when(length.between(1, F.length(text)), F.sequence(F.lit(1), F.length(text) - length + 1))
+    return F.array_distinct(F.transform(starts, lambda start: F.substring(text, start, length)))
 
 
 def exclude_seen(df: DataFrame, previous: DataFrame, key: str) -> DataFrame:

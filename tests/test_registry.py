@@ -1,3 +1,4 @@
+from lotwise.operators import matching as MT
 from registry import trade
 
 
@@ -6,3 +7,17 @@ def test_every_model_of_the_inventory_is_on_the_electric_report(spark):
     inventory = spark.createDataFrame([(m,) for m in models], "allocation_group string")
     listed = trade._fuel_list(lambda role, columns: inventory)
     assert {(r["model"], r["ev_flag"]) for r in listed.collect()} == {(m, "EV") for m in models}
+
+
+def test_matching_never_sends_its_sides_through_the_driver(spark):
+    """Both files are tiny when compressed, their rows are not: neither side of a join is broadcast by the file's size."""
+    known = spark.range(2000).selectExpr(
+        "concat('c', id) AS cust_no", "'0001' AS market_id", "'Ann' AS first_name", "concat('Lee', id % 7) AS last_name",
+        "concat('c', id, '@x.example') AS email", "concat('555', id) AS phone",
+    )
+    form = known.selectExpr("cust_no AS form_id", "'0001 East' AS market_id", "first_name", "last_name", "email", "phone")
+    pairs = MT.candidate_pairs(form, known, "form_id", 0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "HashJoin" in line]
+    assert joins and all("_hash" in line for line in joins)
+    assert pairs.count() == 2000  # a pair equal in both values is met once
