@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from lotwise.llm import language_id
 from lotwise.operators import matching as MT
 from registry import trade
 
@@ -21,3 +24,9 @@ def test_matching_never_sends_its_sides_through_the_driver(spark):
     joins = [line for line in plan.splitlines() if "HashJoin" in line]
     assert joins and all("_hash" in line for line in joins)
     assert pairs.count() == 2000  # a pair equal in both values is met once
+
+
+def test_every_labelled_text_is_counted(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', IF(id = 17, 'rare', 'plain')) AS text", "'x' AS lang")
+    counts = {(r["word"], r["n"]) for r in language_id._word_counts(language_id._known(docs)).groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    assert counts == {("word", 4000), ("rare", 1), ("plain", 3999)}
