@@ -111,18 +111,28 @@ def ytd_by_month(
     """Year-to-date sums up to every month 1..month(as_of), for every year in the data.
 
     A month's row counts towards itself and all later months, so an entity without sales
-    in a month still carries its figure.  Run it on monthly sums: each row fans out into
-    at most twelve, and partial sums meet before the shuffle.
+    in a month still carries its figure.  One row per key is shuffled, with a sum for every month; it
+    fans out into its months afterwards, in place.
     """
-    last = F.lit(as_of.month)
-    reach = F.when(F.col(month) <= last, F.sequence(F.col(month), last)).otherwise(F.array().cast("array<int>"))
+    return ytd_rows(ytd_sums(monthly, keys, month, measure, as_of), keys, out, label)
+
+
+def ytd_sums(df: DataFrame, keys: Sequence[str], month: str, measure: str, as_of: date) -> DataFrame:
+    """Per key ``_first``, its first month up to ``as_of``'s, and ``_sums``, the measure up to each of months 1..month(as_of)."""
+    months = range(1, as_of.month + 1)
+    summed = df.filter(F.col(month).between(1, as_of.month)).groupBy(*keys).agg(
+        F.min(month).cast("int").alias("_first"), *[F.sum(F.when(F.col(month) <= m, F.col(measure))).alias(f"_m{m}") for m in months]
+    )
+    return summed.select(*keys, "_first", F.array(*[f"_m{m}" for m in months]).alias("_sums"))
+
+
+def ytd_rows(sums: DataFrame, keys: Sequence[str], out: str, label: str, *more: str) -> DataFrame:
+    """A row per key and month from the key's first on, labelled ``YTDJan``..; ``more`` arrays by month become columns of their name."""
     names = F.array(*[F.lit(f"YTD{name}") for name in MONTH_ABBR])
-    return (
-        monthly.withColumn("_upto", F.explode(reach))
-        .groupBy(*keys, "_upto")
-        .agg(F.sum(measure).alias(out))
-        .withColumn(label, F.element_at(names, F.col("_upto")))
-        .drop("_upto")
+    at = F.explode(F.sequence(F.col("_first"), F.size("_sums")))
+    return sums.withColumn("_upto", at).select(
+        *keys, F.element_at("_sums", F.col("_upto")).alias(out), F.element_at(names, F.col("_upto")).alias(label),
+        *[F.element_at(m, F.col("_upto")).alias(m) for m in more],
     )
 
 

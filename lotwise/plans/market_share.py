@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..operators.lookup import lookup, override_blank, restrict_to_allowed
-from ..operators.measures import share_of_total, ytd_by_month
+from ..operators.measures import per_unit, round_half_even, share_of_total, ytd_rows, ytd_sums
 from ..operators.predicates import drop_overlap
 from ..operators.stacking import stack_facts
 from ..operators.windows import flag_latest
+from ..session import written
 
 ENTITY = ["store_num", "selling_dealer", "group_market", "brand_group", "segment", "make_market", "market_name"]
 
@@ -66,15 +67,20 @@ def monthly_cube(sales: DataFrame) -> DataFrame:
 def ytd_cube(sales: DataFrame, as_of: date) -> DataFrame:
     """Year-to-date sales and shares up to each month of ``as_of``'s year, for every year."""
     store = C.store_or_competition(F.col("own_store"), blank_is_competition=True)
-    monthly = (
-        sales.withColumn("store_num", store)
-        .groupBy(*ENTITY, "sale_month", "sale_year")
-        .agg(F.sum("mtd_sales").alias("mtd_sales"))
+    named = sales.withColumn("store_num", store)
+    # Stored, as the totals are summed from the entities' sums and joined to them; the totals' file has their true size.
+    sums = written(ytd_sums(named, [*ENTITY, "sale_year"], "sale_month", "mtd_sales", as_of), "ytd-sums")
+    group = ["make_market", "sale_year"]
+    totals = sums.groupBy(*group).agg(
+        F.array(*[F.sum(F.element_at("_sums", m)) for m in range(1, as_of.month + 1)]).alias("make_market_sales")
     )
-    ytd = ytd_by_month(monthly, [*ENTITY, "sale_year"], "sale_month", "mtd_sales", as_of, "ytd_sales", "time")
-    shared = share_of_total(ytd, ["make_market", "sale_year", "time"], "ytd_sales", "make_market_sales", "share_pct")
+    totals = written(totals, "ytd-totals").select(*[F.col(k).alias(f"_{k}") for k in group], "make_market_sales")
+    same = F.col("make_market").eqNullSafe(F.col("_make_market")) & F.col("sale_year").eqNullSafe(F.col("_sale_year"))
+    met = sums.filter((F.col("store_num") != "") & F.col("store_num").isNotNull()).join(totals, same)
+    ytd = ytd_rows(met, [*ENTITY, "sale_year"], "ytd_sales", "time", "make_market_sales")
+    shared = ytd.withColumn("share_pct", round_half_even(per_unit(F.col("ytd_sales"), F.col("make_market_sales")), 3))
     rival, own = C.split_measure(F.col("store_num"), F.col("ytd_sales"))
-    return shared.filter((F.col("store_num") != "") & F.col("store_num").isNotNull()).select(
+    return shared.select(
         "store_num", "selling_dealer", "brand_group", "group_market", "market_name", "segment", "share_pct", "time",
         F.col("sale_year").alias("year"), "make_market_sales", "ytd_sales",
         rival.alias("comp_sales"), own.alias("own_sales"),

@@ -9,10 +9,11 @@ from lotwise.operators import lookup as LK
 from lotwise.operators import measures as MS
 from lotwise.operators.windows import flag_latest
 from lotwise.plans import market_share as MK
+from lotwise.session import written
 
 from . import rules_sql as S
 from .base import register
-from .roles import MARKET_AS_OF
+from .roles import DERIVED, MARKET_AS_OF
 
 ROLES = ("sales_current", "sales_history", "allowed_pairs")
 _BRANDS = {
@@ -24,10 +25,10 @@ _BRANDS = {
 _BRAND_SQL = "CASE make " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _BRANDS.items()) + " END"
 
 
-def _dims(t):
+def _dims(t, allowed=None):
     brand = t.vehicles.select(F.col("brand_code").alias("make")).distinct().filter("make IS NOT NULL")
     return {
-        "allowed": t.allowed_pairs,
+        "allowed": t.allowed_pairs if allowed is None else allowed,
         "market": t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             F.col("n_name").alias("market_name"), F.col("r_name").alias("group_market")
         ),
@@ -41,7 +42,11 @@ def _dims(t):
 
 
 def _prepared(t):
-    return MK.prepare_sales(t.sales_current, t.sales_history, _dims(t), MARKET_AS_OF)
+    """Current and historical sales and the allowed pairs are selections of one table of sales, which is joined and stored once."""
+    sales = written(t.market_sales, "market-sales")
+    part = lambda role: sales.filter(DERIVED[role][2])
+    pairs = part("allowed_pairs").select(*DERIVED["allowed_pairs"][1]).distinct()
+    return MK.prepare_sales(part("sales_current"), part("sales_history"), _dims(t, pairs), MARKET_AS_OF)
 
 
 _PREPARED = f"""prepared AS (SELECT c.market_name, c.make, CASE WHEN own_store = '' THEN CASE WHEN s_acctbal > 5000 THEN 'OV' || site_code END ELSE own_store END AS own_store,

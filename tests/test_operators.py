@@ -411,3 +411,11 @@ def test_dense_brand_inventory_of_all_months(spark, rows):
     sales = spark.createDataFrame([(date(2031, 5, 1), "Ford", "New", 4)], "accounting_month date, make string, department string, sold_count int")
     dense = dense_brand_inventory(inventory, sales)
     assert rows(dense.where("brand = 'Ford'"), "date", "inv", "sales") == [(date(1995, 1, 1), 2, 0), (date(2031, 5, 1), 3, 4)]
+
+
+def test_year_to_date_rows_fan_out_after_the_shuffle(spark):
+    df = spark.createDataFrame([("a", 2024, 2, 5), ("a", 2024, 2, None), ("a", 2024, 9, 1), ("b", 2024, 3, None)], "k string, y int, m int, v int")
+    got = MS.ytd_by_month(df, ["k", "y"], "m", "v", date(2025, 3, 20), "ytd", "time")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [("a", 2024, 5, "YTDFeb"), ("a", 2024, 5, "YTDMar"), ("b", 2024, None, "YTDMar")]))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")
