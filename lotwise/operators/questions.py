@@ -21,22 +21,19 @@ def _any_in(text: Column, words: Sequence[str]) -> Column:
 
 #: Length of the pieces that names are looked up by.
 GRAM = 4
+#: Places of the table that tells whether a piece may be one that names are filed under.
+MARKS = 1 << 16
+#: More names than these are joined sorted: their compressed file looks small to the planner, whatever their number.
+FEW_NAMES = 20_000
 
 
-def _grams(text: Column, size: Column) -> Column:
-    """(gram, at) of each place of the text where a piece of this size begins."""
-    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
-    return F.transform(places, lambda at: F.struct(text.substr(at, size).alias("gram"), at.alias("at")))
+def _starts(text: Column, size: Column) -> Column:
+    """Places of the text where a piece of this size begins."""
+    return F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
 
 
-def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str, DataFrame]) -> DataFrame:
-    """Per text the first name of each catalogue (``{column: (name, position) frame}``) in it.
-
-    Every name is filed under one piece of GRAM characters (a shorter name under itself): the one that the fewest
-    names hold.  Texts are cut into such pieces, which meet the names filed there by equality, and each name is then compared
-    in its place.  So a text costs one row per character, whatever the catalogue, and a name is only
-    compared where its rarest piece stands.
-    """
+def _filed(catalogues: Mapping[str, DataFrame]) -> DataFrame:
+    """Every name of the catalogues under its rarest piece (``gram``) and the piece's place in it (``_at``)."""
     names = reduce(
         lambda a, b: a.unionByName(b),
         [
@@ -47,23 +44,52 @@ def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str
             for kind, frame in catalogues.items()
         ],
     ).where("_name is not null and _name != ''")
-    size = F.least(F.length("_lower"), F.lit(GRAM))
-    pieces = names.withColumn("_piece", F.explode(_grams(F.col("_lower"), size))).select("*", "_piece.gram", "_piece.at").drop("_piece")
-    common = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("_names"))
-    filed = pieces.join(common, "gram").groupBy("_kind", "_lower", "_name", "_position").agg(
-        F.min(F.struct("_names", "gram", "at")).alias("_rarest")
-    )
-    filed = written(filed.select("_kind", "_lower", "_name", "_position", "_rarest.gram", F.col("_rarest.at").alias("_at")), "names")
-    sizes = filed.agg(F.collect_set(F.length("gram"))).scalar()  # at most GRAM different ones
+    # A place takes sixteen bits below: of longer names the pieces behind do not count.
+    at = F.explode(F.slice(_starts(F.col("_lower"), F.least(F.length("_lower"), F.lit(GRAM))), 1, 1 << 16))
+    gram = lambda place: F.substring("_lower", place, GRAM)
+    common = names.withColumn("_at", at).groupBy(gram(F.col("_at")).alias("gram")).agg(F.count(F.lit(1)).alias("_names"))
+    keys = ["_kind", "_lower", "_name", "_position"]
+    # Number of names and place in one long: the smallest is kept by a hash aggregate, where the names' rows already lie.
+    pieces = names.repartition(*keys).withColumn("_at", at).withColumn("gram", gram(F.col("_at")))
+    rank = F.min(F.col("_names") * (1 << 17) + F.col("_at")).alias("_rank")
+    rarest = pieces.join(written(common, "pieces"), "gram").groupBy(*keys).agg(rank)
+    place = (F.col("_rank") % (1 << 17)).cast("int")
+    return written(rarest.select(*keys, gram(place).alias("gram"), place.alias("_at")), "names")
+
+
+def names_in_text(texts: DataFrame, key: str, text: str, catalogues: Mapping[str, DataFrame]) -> DataFrame:
+    """Per text the first name of each catalogue (``{column: (name, position) frame}``) in it.
+
+    Every name is filed under one piece of GRAM characters (a shorter name under itself): the one that the fewest
+    names hold.  A text keeps the places alone whose piece is marked as filed, a test by hash within the row.  A piece tells
+    at which places of names, and of which lengths, it is filed; the substrings of the text that would be such names
+    meet the names by equality.  So what a text costs depends on the places and lengths of names, not on how many there
+    are, and a piece that many names are filed under pairs no text with all of them.
+    """
+    filed = _filed(catalogues)
+    size = F.length("gram")
+    sizes = filed.agg(F.collect_set(size)).scalar()  # at most GRAM different ones
+    bucket = lambda gram: F.pmod(F.xxhash64(gram), F.lit(MARKS)).cast("int")
+    marks = bytearray(MARKS)
+    for row in filed.select(bucket(F.col("gram")).alias("b")).distinct().toArrow().column("b").to_pylist():
+        marks[row] = 1
+    marked = lambda gram: F.substring(F.lit(marks), bucket(gram) + 1, 1) == F.lit(bytearray(b"\x01"))
+    whole = F.col("_text")
     cut = (
         texts.select(key, F.col(text).alias("_text"))
         .withColumn("_size", F.explode(sizes))
-        .withColumn("_place", F.explode(_grams(F.col("_text"), F.col("_size"))))
-        .select(key, F.col("_text"), F.col("_place.gram").alias("gram"), F.col("_place.at").alias("_start"))
+        .withColumn("_start", F.explode(F.filter(_starts(whole, F.col("_size")), lambda at: marked(whole.substr(at, F.col("_size"))))))
+        .withColumn("gram", whole.substr(F.col("_start"), F.col("_size")))
+    )
+    spots = filed.groupBy("gram").agg(F.collect_set(F.struct(F.col("_at"), F.length("_lower").alias("length"))).alias("_spots"))
+    spot, begin = F.col("_spot"), F.col("_start") - F.col("_spot._at") + 1
+    candidates = (
+        cut.join(spots, "gram").withColumn("_spot", F.explode("_spots"))
+        .where((begin >= 1) & (begin + spot["length"] - 1 <= F.length(whole)))
+        .select(key, "gram", spot["_at"].alias("_at"), whole.substr(begin, spot["length"]).alias("_lower"))
     )
-    begin = F.col("_start") - F.col("_at") + 1
-    here = (begin >= 1) & (F.col("_text").substr(F.greatest(begin, F.lit(1)), F.length("_lower")) == F.col("_lower"))
-    hits = cut.join(filed, "gram").where(here)
+    few = filed.count() <= FEW_NAMES
+    hits = candidates.join(filed if few else filed.hint("merge"), ["gram", "_at", "_lower"])
     order = F.struct("_position", "_name")
     return hits.groupBy(key).agg(
         *[F.min(F.when(F.col("_kind") == kind, order))["_name"].alias(kind) for kind in catalogues]

@@ -104,3 +104,14 @@ def test_first_contained(spark):
     df = spark.createDataFrame([("x_AF_b",), ("AirForceAF",), ("zz",)], "t string")
     got = df.select(first_contained(F.col("t"), {"AirForce": "one", "AF": "two"})).collect()
     assert [r[0] for r in got] == ["two", "one", None]
+
+
+def test_a_piece_of_many_names_pairs_no_text_with_all_of_them(spark):
+    """3000 names that share their pieces: a text meets the one that it holds."""
+    frame = spark.range(3000).selectExpr("concat('q1997', lpad(conv(id, 10, 3), 8, '0')) AS name", "id AS position")
+    asked = spark.range(200).selectExpr("id AS k", "concat('in 1997 or q1997', lpad(conv(id, 10, 3), 8, '0'), '?') AS t")
+    found = Q.names_in_text(asked, "k", "t", {"store": frame})
+    assert {r["k"]: r["store"] for r in found.collect()} == {r["k"]: r["t"][11:-1] for r in asked.collect()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert any("_lower" in line for line in joins)
