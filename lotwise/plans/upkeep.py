@@ -14,6 +14,7 @@ from ..operators.lookup import lookup
 from ..operators.matching import exclude_seen, match_people
 from ..operators.questions import answer_questions, resolve_questions
 from ..operators.stacking import drop_empty_columns
+from ..session import written
 from ..sources.files import combine_tenant_files, standardize
 
 # Headers of the payments report and the columns that hold amounts.
@@ -94,5 +95,6 @@ def popup_locations(pages: DataFrame) -> DataFrame:
 def scorecard_answers(
     questions: DataFrame, scorecard: DataFrame, stores: DataFrame, brands: DataFrame, phrases: Mapping[str, str]
 ) -> DataFrame:
-    resolved = resolve_questions(questions, phrases, stores, brands)
+    # Stored, as the asked grouping sets are taken from it before the answers are.
+    resolved = written(resolve_questions(questions, phrases, stores, brands), "resolved-questions")
     return answer_questions(resolved, scorecard, list(dict.fromkeys(phrases.values())))
