@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from lotwise.llm import language_id
@@ -30,3 +31,21 @@ def test_every_labelled_text_is_counted(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', IF(id = 17, 'rare', 'plain')) AS text", "'x' AS lang")
     counts = {(r["word"], r["n"]) for r in language_id._word_counts(language_id._known(docs)).groupBy("word").agg(F.sum("n").alias("n")).collect()}
     assert counts == {("word", 4000), ("rare", 1), ("plain", 3999)}
+
+
+def test_models_of_all_folds_are_learned_in_the_same_passes(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('abab ba b', id % 9, ' ab aab') AS text", "IF(id % 3 = 0, 'x', 'y') AS lang")
+    known, names, langs = language_id._known(docs), ["▁", "▁a", "a", "b", "ab", "▁ab", "ba"], ["x", "y"]
+    counts = language_id._word_counts(known, language_id.FOLDS)
+    assert counts.count() == counts.select("lang", "word").distinct().count()  # a word is cut once for all folds
+    passes, step = [], language_id._em_step
+    monkeypatch.setattr(language_id, "_em_step", lambda *a: passes.append(a) or step(*a))
+    table = language_id._fit(counts, langs, names, [F.col("n") - F.col("n0"), F.col("n") - F.col("n1"), F.col("n")])
+    assert len(passes) == language_id.STEPS
+    for k, rest in enumerate([known.where("fold <> 0"), known.where("fold <> 1"), known]):
+        alone = language_id._fit(language_id._word_counts(rest), langs, names, [F.col("n")])
+        assert np.allclose(table[:, :, k], alone[:, :, 0], rtol=1e-12)
+    judged = language_id.predict(known, langs, names, table[:, :, [0, 1, 2, 2, 2]], carry=("doc_id", "fold"), fit=True, model="fold").where("fold < 2")
+    for k in (0, 1):
+        alone = language_id.predict(known.where(f"fold = {k}"), langs, names, np.ascontiguousarray(table[:, :, k]), carry=("doc_id", "fold"), fit=True)
+        assert sorted(map(tuple, judged.where(f"fold = {k}").collect())) == sorted(map(tuple, alone.collect()))
