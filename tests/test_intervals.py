@@ -77,3 +77,16 @@ def test_many_overlapping_store_periods_need_no_nested_loop(spark):
         F.expr("store = st AND _class = c AND shiftright(d, _class) = _bin"),
     ).count()
     assert 0 < tried < 5 * held.count()
+
+
+def test_sums_of_intervals_shuffle_no_row_per_day_and_interval(spark):
+    """The days meet the intervals once; what they meet is summed before it is shuffled."""
+    periods = [("a", i, DAY + timedelta(days=i % 50), 300) for i in range(500)]
+    table = spark.createDataFrame([(s, i, d, d + timedelta(days=n)) for s, i, d, n in periods], INTERVALS)
+    df = spark.range(4000).selectExpr("'a' AS store", "date_add(date'1969-12-01', int(id % 400)) AS day", "1 AS n")
+    sums = sums_in_intervals(df, "day", ["n"], table, "s", "e", ["store"])
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert {(r["n"], r["rows"]) for r in sums.collect()} == {(3010, 3010)}
+    classes = interval_bins(table, "s", "e", 3).agg(F.collect_set("_class")).first()[0]
+    assert classes == [9]
