@@ -1,8 +1,13 @@
+from datetime import date
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lotwise.llm import language_id
 from lotwise.operators import matching as MT
+from lotwise.plans import upkeep as K
+from lotwise.session import written
 from registry import trade
 
 
@@ -27,6 +32,39 @@ def test_matching_never_sends_its_sides_through_the_driver(spark):
     assert pairs.count() == 2000  # a pair equal in both values is met once
 
 
+def _people(spark, n):
+    known = spark.range(n).selectExpr(
+        "concat('c', id) AS cust_no", "'0001' AS market_id", "concat('Ann', id % 97) AS first_name", "concat('Lee', id % 1013) AS last_name",
+        "concat('c', id, '@x.example') AS email", "concat('555', id) AS phone",
+    )
+    form = known.selectExpr(
+        "cust_no AS form_id", "'0001 East' AS market_id", "first_name", "last_name", "email", "phone", "concat('s', cust_no) AS submitter_email"
+    )
+    deals = known.withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(2)))).selectExpr(
+        "cust_no", "concat(cust_no, '-', nth) AS deal_no", "add_months(DATE '1999-08-01', -nth) AS accounting_month",
+        "IF(cust_no LIKE '%7', 'Return', 'VehicleSale') AS sale_type", "1.0D AS front_gross",
+    )
+    return form, known, deals
+
+
+@pytest.mark.parametrize("with_sales", [False, True])
+def test_matching_shuffles_each_side_once(spark, with_sales):
+    """Beyond the size of a broadcast every side is shuffled once, the answers once; no side again for hot values that do not exist."""
+    form, known, deals = _people(spark, 20_000)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")
+    try:
+        found = MT.match_people(form, known)
+        if with_sales:
+            found = K.referral_matches(form, known, written(deals, "deals"), date(1999, 7, 1))
+        assert len(found.collect()) == (36_000 if with_sales else 20_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Referrals, customers, answers; with sales the answers by customer and the deals.
+    assert final.count("Exchange hashpartitioning") == (5 if with_sales else 3)
+
+
 def test_every_labelled_text_is_counted(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', IF(id = 17, 'rare', 'plain')) AS text", "'x' AS lang")
     counts = {(r["word"], r["n"]) for r in language_id._word_counts(language_id._known(docs)).groupBy("word").agg(F.sum("n").alias("n")).collect()}
