@@ -44,13 +44,20 @@ def tenant_report(
 
 def referral_matches(form: DataFrame, customers: DataFrame, deals: DataFrame, since: date, **options) -> DataFrame:
     """Sales since ``since`` to customers that agree with a referral in two of three respects."""
-    strong = match_people(form, customers, **options)
+    return sold_since(match_people(form, customers, **options), deals, since)
+
+
+def sold_since(people: DataFrame, deals: DataFrame, since: date) -> DataFrame:
+    """Sales since ``since`` to the customers of ``people``, one row per person's row and sale."""
     sold = deals.filter((F.col("accounting_month") >= F.lit(since)) & (F.col("sale_type") == "VehicleSale"))
-    return strong.join(sold, "cust_no")
+    return people.join(sold, "cust_no")
 
 
 def new_referrals(matches: DataFrame, previous: DataFrame, form: DataFrame) -> DataFrame:
-    """Matches not reported last time, with the submitter of the referral in front."""
+    """Matches not reported last time, with the submitter of the referral in front.
+
+    Both hang on the person alone: where the sales multiply the matches, :func:`sold_since` comes after.
+    """
     fresh = exclude_seen(matches, previous, "telephone")
     named = lookup(fresh, form, ["email"], {"submitter_email": "employee_email"})
     return named.select("employee_email", *[c for c in named.columns if c != "employee_email"])

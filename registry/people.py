@@ -312,9 +312,12 @@ _MATCH_SQL = """SELECT form_id, cust_no, CASE WHEN e = 1 THEN 'Email_match' END
   CASE WHEN n = 1 THEN 'name_match' END AS name_match FROM strong"""
 
 
+_SOLD_SINCE = date(1999, 7, 1)
+
+
 def _matches(t):
     deals = t("sales_detail", "cust_no accounting_month sale_type deal_no front_gross")
-    return K.referral_matches(t.referral_form, t.customers, deals, date(1999, 7, 1))
+    return K.referral_matches(t.referral_form, t.customers, deals, _SOLD_SINCE)
 
 
 register(
@@ -334,12 +337,13 @@ register(
 
 def _new_referrals(t):
     people = t.customers.select("cust_no", F.upper("email").alias("email"), F.col("phone").alias("telephone"))
-    matches = _matches(t).join(people, "cust_no").select("form_id", "cust_no", "deal_no", "email", "telephone")
+    matches = MT.match_people(t.referral_form, t.customers).join(people, "cust_no").select("form_id", "cust_no", "email", "telephone")
     previous = t.customers.filter("cust_no < '3'").select(F.col("phone").alias("telephone"))
     form = lookup(
         t.referral_form.select("form_id", F.upper("email").alias("email")), t.referral_form, ["form_id"], ["submitter_email"]
     ).groupBy("email").agg(F.min("submitter_email").alias("submitter_email"))
-    return K.new_referrals(matches, previous, form)
+    deals = t("sales_detail", "cust_no accounting_month sale_type deal_no")
+    return K.sold_since(K.new_referrals(matches, previous, form), deals, _SOLD_SINCE)
 
 
 register(

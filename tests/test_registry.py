@@ -8,7 +8,7 @@ from lotwise.llm import language_id
 from lotwise.operators import matching as MT
 from lotwise.plans import upkeep as K
 from lotwise.session import written
-from registry import trade
+from registry import people, trade
 
 
 def test_every_model_of_the_inventory_is_on_the_electric_report(spark):
@@ -65,6 +65,28 @@ def test_matching_shuffles_each_side_once(spark, with_sales):
     assert final.count("Exchange hashpartitioning") == (5 if with_sales else 3)
 
 
+def test_sales_multiply_the_new_referrals_last(spark, monkeypatch):
+    form, known, deals = _people(spark, 40)
+    nobody = known.selectExpr("'x' || cust_no AS cust_no", "market_id", "first_name", "last_name", "CAST(NULL AS STRING) AS email", "CAST(NULL AS STRING) AS phone")
+    known = known.union(known.where("cust_no = 'c5'")).union(nobody)  # a customer that comes twice, some without a number
+
+    class Own:
+        referral_form, customers = form, known.withColumn("cust_no", F.regexp_replace("cust_no", "^c", ""))
+
+        def __call__(self, role, columns):
+            return deals.withColumn("cust_no", F.regexp_replace("cust_no", "^c", "")).select(*columns.split())
+
+    seen, step = [], K.new_referrals
+    monkeypatch.setattr(K, "new_referrals", lambda matches, *rest: seen.append(matches.columns) or step(matches, *rest))
+    got = people._new_referrals(Own()).select("employee_email", "form_id", "cust_no", "deal_no", "email", "telephone").collect()
+    assert seen and "deal_no" not in seen[0]
+    asked = [i for i in range(40) if not str(i) < "3" and i % 10 != 7]
+    assert sorted(map(tuple, got)) == sorted(
+        (f"sc{i}", f"c{i}", f"{i}", f"c{i}-{nth}", f"C{i}@X.EXAMPLE", f"555{i}")
+        for i in asked for nth in (0, 1) for _ in range(2 if i == 5 else 1)
+    )
+
+
 def test_every_labelled_text_is_counted(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', IF(id = 17, 'rare', 'plain')) AS text", "'x' AS lang")
     counts = {(r["word"], r["n"]) for r in language_id._word_counts(language_id._known(docs)).groupBy("word").agg(F.sum("n").alias("n")).collect()}
