@@ -13,6 +13,7 @@ from .measures import row_nonnull
 
 # A shared value whose referrals and customers make more than this many pairs per row takes a second key.
 PAIRS_PER_ROW = 32
+MATCH_LABELS = {"email_match": "Email_match", "phone_match": "Phone_match", "name_match": "name_match"}
 
 
 def _text(col: str) -> Column:
@@ -39,19 +40,27 @@ def match_people(
     ``form``: form_id, market_id, first_name, last_name, email, phone.
     ``customers``: cust_no, market_id, first_name, last_name, email, phone.
     """
+    return label_matches(flag_matches(form, customers, form_id, pairs_per_row))
+
+
+def flag_matches(
+    form: DataFrame, customers: DataFrame, form_id: str = "form_id", pairs_per_row: int = PAIRS_PER_ROW
+) -> DataFrame:
+    """The rows of :func:`match_people` with flags for labels, which are smaller to shuffle."""
     agree = lambda test: F.coalesce(test, F.lit(False))
     flags = candidate_pairs(form, customers, form_id, pairs_per_row).select(
         "form_id", "cust_no", "market",
-        agree(F.col("f_email") == F.col("c_email")).alias("e"),
-        agree(F.col("f_phone") == F.col("c_phone")).alias("p"),
-        agree(F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last"))).alias("n"),
+        agree(F.col("f_email") == F.col("c_email")).alias("email_match"),
+        agree(F.col("f_phone") == F.col("c_phone")).alias("phone_match"),
+        agree(F.col("c_first").contains(F.col("f_first")) & F.col("c_last").contains(F.col("f_last"))).alias("name_match"),
     )
     # Rows of either side may repeat; distinct runs on answers alone, as flags.
-    strong = flags.filter(F.col("e").cast("int") + F.col("p").cast("int") + F.col("n").cast("int") >= 2).distinct()
-    return strong.select(
-        "form_id", "cust_no", "market", F.when(F.col("e"), "Email_match").alias("email_match"),
-        F.when(F.col("p"), "Phone_match").alias("phone_match"), F.when(F.col("n"), "name_match").alias("name_match"),
-    )
+    return flags.filter(sum(F.col(flag).cast("int") for flag in MATCH_LABELS) >= 2).distinct()
+
+
+def label_matches(flagged: DataFrame) -> DataFrame:
+    """Flags of :func:`flag_matches` as the labels of a report, NULL where a respect does not agree."""
+    return flagged.withColumns({flag: F.when(F.col(flag), label) for flag, label in MATCH_LABELS.items()})
 
 
 def candidate_pairs(form: DataFrame, customers: DataFrame, form_id: str, pairs_per_row: int) -> DataFrame:
@@ -115,10 +124,15 @@ VALUE_KEY = ["market", "kind", "value"]
 def hot_values(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs_per_row: int) -> DataFrame:
     """Keys that both sides have and whose product of rows exceeds ``pairs_per_row`` times their sum.
 
-    Both sides are counted in one aggregate, combined before its shuffle.  A key that is frequent on one side
-    only is not among them as long as the other side has at most ``pairs_per_row`` rows of it: its pairs
-    are in proportion to its rows.
+    A key that is frequent on one side only is not among them as long as the other side has at most ``pairs_per_row``
+    rows of it: its pairs are in proportion to its rows.  ``right``, best the smaller side, is counted alone first, and
+    only keys that it has more often go on, so that ``left`` is not shuffled for keys that cannot be hot.  They are stored, which tells
+    the planner how many they are.  What is left of both sides is counted in one aggregate, combined before its shuffle.
     """
+    if pairs_per_row:
+        often = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > pairs_per_row).select(*keys)
+        often = written(often, "frequent-values")
+        left, right = (side.select(*keys).join(often, list(keys), "left_semi") for side in (left, right))
     sides = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(
         right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.extract import extract_addresses, extract_blocks, extract_records
 from ..operators.history import replace_named_period, roll_history
 from ..operators.lookup import lookup
-from ..operators.matching import exclude_seen, match_people
+from ..operators.matching import exclude_seen, flag_matches, label_matches
 from ..operators.questions import answer_questions, resolve_questions
 from ..operators.stacking import drop_empty_columns
 from ..session import written
@@ -43,8 +43,8 @@ def tenant_report(
 
 
 def referral_matches(form: DataFrame, customers: DataFrame, deals: DataFrame, since: date, **options) -> DataFrame:
-    """Sales since ``since`` to customers that agree with a referral in two of three respects."""
-    return sold_since(match_people(form, customers, **options), deals, since)
+    """Sales since ``since`` to customers that agree with a referral in two of three respects, labelled once they have met."""
+    return label_matches(sold_since(flag_matches(form, customers, **options), deals, since))
 
 
 def sold_since(people: DataFrame, deals: DataFrame, since: date) -> DataFrame:

@@ -87,6 +87,28 @@ def test_sales_multiply_the_new_referrals_last(spark, monkeypatch):
     )
 
 
+def test_referrals_are_not_shuffled_for_values_that_no_side_repeats(spark):
+    """A value is hot only if both sides have it often; where no customer repeats one, the referrals need no count."""
+    form, known, _ = _people(spark, 5_000)
+    many = form.select("email").unionAll(form.filter("form_id < 'c2'").select("email"))
+    hot = MT.hot_values(many, known.select("email"), ["email"], 32)
+    assert hot.isEmpty() and hot.collect() == []
+    assert "Exchange" not in hot._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    often = form.filter("form_id IN ('c1', 'c2')").crossJoin(spark.range(80)).select("email")
+    once = known.filter("cust_no <> 'c2'").select("email")
+    assert [r[0] for r in MT.hot_values(many.unionAll(often), often.filter("email LIKE 'c1@%'").unionAll(once), ["email"], 32).collect()] == ["c1@x.example"]
+
+
+def test_sales_meet_flags_not_labels(spark):
+    """The matches are shuffled to their sales as flags; the labels are written where both have met."""
+    form, known, deals = _people(spark, 200)
+    found = K.referral_matches(form, known, deals, date(1999, 7, 1))
+    assert found.columns[:6] == ["cust_no", "form_id", "market", "email_match", "phone_match", "name_match"]
+    assert {tuple(r)[3:6] for r in found.collect()} == {("Email_match", "Phone_match", "name_match")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Email_match") < plan.index("Join Inner")
+
+
 def test_every_labelled_text_is_counted(spark):
     docs = spark.range(4000).selectExpr("id AS doc_id", "concat('word ', IF(id = 17, 'rare', 'plain')) AS text", "'x' AS lang")
     counts = {(r["word"], r["n"]) for r in language_id._word_counts(language_id._known(docs)).groupBy("word").agg(F.sum("n").alias("n")).collect()}
