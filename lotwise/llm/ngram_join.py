@@ -3,8 +3,9 @@
 Which rows can be similar at all follows from sizes alone.  The columns (n-grams) are cut into ranges by
 hash, so many per document that two similar documents agree on a whole range: with at most d n-grams in
 one set only, d + 1 ranges leave one without a difference.  Documents that agree on a range, directly or
-through others, form a candidate group; a shared passage, however frequent, makes none, since it would
-have to fill a range alone.  Each group's rows of the matrix, in tiles of bounded size, are multiplied
+through others, form a candidate group; a shared passage makes one only where it fills a range alone.  A group too
+large for one tile is grouped anew by its sets' rarest n-grams, since such passages are found in more documents the
+more there are.  Each group's rows of the matrix, in tiles of bounded size, are multiplied
 with their transpose, columns a block at a time, and pairs below the bound for their sizes are dropped.
 """
 
@@ -12,13 +13,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import keep, lean, lean_group, lists_of, texts_of, with_unique_id, without
+from .base import forget, keep, lean, lean_group, lists_of, texts_of, with_unique_id, without
 from .components import connected_components
 from .hashing import U, chunks, mix, word_hashes
 
@@ -27,6 +29,8 @@ WORDS, SIMILARITY = 3, 90
 CROWD = 32
 #: A tile of the product: documents and n-grams on either side, in expectation.
 TILE_DOCUMENTS, TILE_GRAMS = 1024, 1 << 19
+#: Distances between the parts of a group whose tiles are made at a time: a row is shuffled twice for each at most.
+DISTANCES = 4
 #: Columns of a dense block; an n-gram in fewer documents of a tile is added up pair by pair.
 DENSE_COLUMNS, DENSE_FROM = 2048, 24
 #: Entry pairs that are added up at once.
@@ -150,18 +154,23 @@ def _meetings(ranges: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["range", "id", "leader"])
 
 
-def with_grams(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """``members`` (id and int or long columns) with grams, the whole incidence rows of their documents."""
-    carried = members.columns
+def with_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` (id and other columns) with the texts of their documents."""
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return texts.join(members, F.col("doc_id") == F.col("id")).select(*members.columns, "text")
+
+
+def with_grams(texts: DataFrame, words: int) -> DataFrame:
+    """``texts`` (text and int or long columns) with grams, the whole incidence rows, in place of the text."""
+    carried = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams = lists_of([g.view(np.int64) for g in shingle_sets(texts_of(batch), words)])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carried), grams], names=[*carried, "grams"])
 
-    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(members, F.col("doc_id") == F.col("id"))
-    fields = ", ".join(f"{c} {t}" for c, t in members.dtypes)
-    return texts.select(*carried, "text").mapInArrow(lean(run), f"{fields}, grams array<long>")
+    fields = ", ".join(f"{c} {t}" for c, t in texts.drop("text").dtypes)
+    return texts.mapInArrow(lean(run), f"{fields}, grams array<long>")
 
 
 def overlap_counts(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
@@ -226,16 +235,65 @@ def _tile_links(left: list, right: list, percent: int) -> Iterator[tuple[int, in
     return zip(ids[linked].tolist(), ids[label[linked]].tolist(), strict=True)
 
 
+def _group_sizes(members: DataFrame) -> DataFrame:
+    """group, n, size (n-grams) and the parts that it needs."""
+    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    parts = F.ceil(F.greatest(F.col("n") / TILE_DOCUMENTS, F.col("size") / TILE_GRAMS))
+    return keep(sizes.withColumn("parts", parts.cast("int")), "group-sizes")
+
+
+def _regrouped(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """(id, group, n_shingles) of ``members`` that may be similar to others of their group, in the groups that these form.
+
+    A set's n-grams are ordered by the number of sets here that have them, ties by hash.  Similar sets share s |A|
+    n-grams of A at least, so the first that they share is among the first |A| - ceil(s |A|) + 1 of A, and likewise of B.
+    Those that no other set has come first and meet nothing; of the rest a set offers what is left of these places.
+    Sets that offer the same n-gram of a group meet the smallest id of them, so a frequent n-gram costs no squares.
+    """
+    texts = with_texts(docs, members.select("id", "group")).withColumn("row", F.monotonically_increasing_id())
+    texts = keep(texts, "group-texts")  # rows that repeat an id are sets of their own
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, n = np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_sets(texts_of(batch), words)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n, pa.int64())], names=["gram", "n"])
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(texts_of(batch), words))
+            sizes = np.array([len(grams) for grams in sets], np.int32)
+            grams = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            columns = [pa.array(c) for c in (grams, np.repeat(batch.column("row").to_numpy(), sizes), np.repeat(sizes, sizes))]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "row", "size"])
+
+    several = texts.select("text").mapInArrow(lean(counts), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
+    several = keep(several, "shared-grams")
+    held = texts.select("row", "text").mapInArrow(lean(entries), "gram long, row long, size int").join(several, "gram").groupBy("row")
+    held = held.agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("held"))
+    places = F.size("held") - F.ceil(F.col("size") * percent / 100).cast("int") + 1
+    rarest = held.where(places > 0).withColumn("rarest", F.slice("held", F.lit(1), places)).join(texts.select("row", "id", "group"), "row")
+    rarest = keep(rarest.select("id", "group", F.explode("rarest.gram").alias("gram")), "rarest-grams")
+    forget(several, texts)
+    leaders = rarest.groupBy("group", "gram").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").drop("last")
+    met = rarest.join(keep(leaders, "leaders"), ["group", "gram"]).select(F.col("id").alias("a"), F.col("leader").alias("b"))
+    groups = connected_components(met).withColumnsRenamed({"node": "id", "component": "group"})
+    return groups.join(members.select("id", "n_shingles"), "id")
+
+
 def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) from (id, group, n_shingles) rows: every similar pair of a group is connected by them.
 
-    Small groups share a tile (numbered below 0), a large one is dealt by hash into as many parts as it
+    Small groups share a tile (numbered below 0), a large one is grouped anew and then dealt by hash into as many parts as it
     needs, and each pair of its parts is a tile.  So no task holds more than two parts, however large the
-    group.  Tiles are known from the sizes before any text is read, and n-grams are shuffled once.
+    group.  Tiles are known from the sizes before any text is read, and n-grams are shuffled once for each tile, the tiles of
+    a few distances between parts (around a circle) at a time, so that what lies on disk grows with the rows.
     """
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
-    parts = F.ceil(F.greatest(F.col("n") / TILE_DOCUMENTS, F.col("size") / TILE_GRAMS))
-    sizes = keep(sizes.withColumn("parts", parts.cast("int")), "group-sizes")
+    sizes = _group_sizes(members)
+    if sizes.where("parts > 1").head(1):
+        known = members.join(sizes.select("group", "parts"), "group")
+        anew = _regrouped(docs, known.where("parts > 1").select(*members.columns), words, percent)
+        members = keep(known.where("parts = 1").select(*members.columns).unionByName(anew), "groups")
+        sizes = _group_sizes(members)
     small = sizes.where("parts = 1").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
     cells = 1 + max((small["n"] or 0) // TILE_DOCUMENTS, (small["size"] or 0) // TILE_GRAMS) * 2
     dealt = members.join(sizes.select("group", "parts"), "group").select(
@@ -244,8 +302,14 @@ def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
         F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"),
         "parts",
     )
-    rows = with_grams(docs, keep(dealt, "dealt"), words).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("tile", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "grams")
+    texts = keep(with_texts(docs, keep(dealt, "dealt")), "dealt-texts")  # joined first: its shuffle goes before that of the n-grams
+
+    def tiles(nearest: int) -> DataFrame:
+        part, parts = F.col("part"), F.col("parts")
+        apart = lambda other: F.least(F.pmod(part - other, parts), F.pmod(other - part, parts))
+        others = F.filter(F.sequence(F.lit(0), parts - 1), lambda other: apart(other).between(nearest, nearest + DISTANCES - 1))
+        rows = with_grams(texts.where(parts >= 2 * nearest), words).withColumn("other", F.explode(others))
+        return rows.select("tile", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "grams")
 
     def run(tile: pa.Table) -> pa.Table:
         part, ids = tile.column("part").to_numpy(), tile.column("id").to_numpy()
@@ -258,7 +322,11 @@ def _product(docs: DataFrame, members: DataFrame, words: int, percent: int) -> D
         links = list(_tile_links(*sides, percent))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return rows.groupBy("tile", "low", "high").applyInArrow(lean_group(run), "a long, b long")
+    most = sizes.agg(F.max("parts")).first()[0] or 1
+    links = [tiles(d).groupBy("tile", "low", "high").applyInArrow(lean_group(run), "a long, b long") for d in range(0, most // 2 + 1, DISTANCES)]
+    links = reduce(DataFrame.unionByName, [keep(of, "set-links") for of in links])
+    forget(texts)
+    return links
 
 
 def _candidates(offered: DataFrame) -> DataFrame:
@@ -278,9 +346,13 @@ def _candidates(offered: DataFrame) -> DataFrame:
     rows = keep(rows, "met")
     crowded = rows.where((F.col("n") > CROWD) & (F.col("leader") < F.col("id"))).select(F.col("id").alias("a"), F.col("leader").alias("b"))
     few = rows.where(F.col("n") <= CROWD).groupBy("range").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    pairs = few.select(F.posexplode("ids").alias("k", "a"), "ids").select("a", F.explode(F.slice("ids", F.lit(1), F.col("k"))).alias("b"))
-    both = crowded.withColumn("leads", F.lit(True)).unionByName(pairs.withColumn("leads", F.lit(False)))
-    return both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("leads").alias("leads"))
+    few = few.groupBy("ids").agg(F.count(F.lit(1)).alias("n"))  # copies agree on many ranges, whose pairs are the same
+    pairs = few.select(F.posexplode("ids").alias("k", "a"), "ids", "n").select("a", F.explode(F.slice("ids", F.lit(1), F.col("k"))).alias("b"), "n")
+    both = crowded.select("a", "b", F.lit(1).cast("long").alias("n"), F.lit(True).alias("leads"))
+    both = both.unionByName(pairs.withColumn("leads", F.lit(False))).groupBy("a", "b")
+    pairs = keep(both.agg(F.sum("n").alias("n"), F.max("leads").alias("leads")), "candidates")
+    forget(rows)
+    return pairs
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -294,11 +366,11 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY
     known = keep(marks.join(classes, "mark", "left").drop("mark"), "set-members")
     copies = keep(known.where("doc_id is not null and doc_id != class_id").select("doc_id").distinct(), "set-copies")
     offered = offered_ranges(docs.where("doc_id is not null").join(copies, "doc_id", "left_anti"), words, percent)
-    met = keep(_candidates(offered), "candidates").where("leads or n >= 2").select("a", "b")
+    met = _candidates(offered).where("leads or n >= 2").select("a", "b")
     groups = connected_components(keep(met, "met")).withColumnsRenamed({"node": "id", "component": "group"})
     sizes = known.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.max("n_shingles").alias("n_shingles"))
     members = keep(groups.join(sizes, "id"), "groups")
-    return known, keep(_product(docs, members, words, percent), "set-links")
+    return known, _product(docs, members, words, percent)
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY) -> DataFrame:

@@ -272,3 +272,36 @@ def test_meetings():
     assert [(r["range"], r["id"]) for r in rows if r["leader"] == r["id"]] == [(5, 61)]
     silent = [r for r in rows if r["leader"] not in (None, r["id"])]
     assert len({r["range"] for r in silent}) == 39 and {r["leader"] for r in silent} == {61}
+
+
+def test_large_candidate_groups_are_grouped_anew_and_met_in_rounds(spark, monkeypatch):
+    """Texts that share a passage, half of each, form one candidate group; that no two are similar must not cost each row
+    a copy for every part of the group.  Real copies in a group of many parts meet in several rounds, none is lost."""
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = {i: passage + " " + " ".join(f"u{i}x{k}" for k in range(10)) for i in range(60)}
+    texts |= {100 + i: " ".join(f"c{(i // 20)}w{k}" if k != i * 2 else f"edit{i}" for k in range(80)) for i in range(40)}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    want = {i: i for i in texts}
+    for _ in texts:
+        for i in texts:
+            near = [want[j] for j in texts if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+            want[i] = min(near)
+    assert len(set(want.values())) == 62
+    kept = {}
+    plain = ngram_join.keep
+
+    def spy(df, name):
+        out = plain(df, name)
+        kept.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(ngram_join, "keep", spy)
+    monkeypatch.setattr(ngram_join, "TILE_DOCUMENTS", 4)
+    monkeypatch.setattr(ngram_join, "DISTANCES", 1, raising=False)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs, 5, 80).collect()}
+    assert got == want
+    assert kept["groups"][0].groupBy("group").count().agg({"count": "max"}).first()[0] >= 60  # they did form a group
+    parts = {r["id"]: r["parts"] for r in kept["dealt"][-1].collect()}
+    assert all(parts.get(i, 1) == 1 for i in range(60))
+    assert max(parts[i] for i in range(100, 140)) > 2 and len(kept["set-links"]) > 1
