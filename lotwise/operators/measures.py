@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_ABBR
+from ..session import written
 
 
 def sum_when(condition: Column, value: Column) -> Column:
@@ -90,14 +91,17 @@ def round_half_even(col: Column, digits: int) -> Column:
 
 
 def share_of_total(
-    df: DataFrame, keys: Sequence[str], measure: str, total: str, share: str, digits: int | None = 3
+    df: DataFrame, keys: Sequence[str], measure: str, total: str, share: str, digits: int | None = 3, stored: bool = False
 ) -> DataFrame:
     """Total of the group and each row's share of it; NULL keys form a group of their own.
 
     The totals are a second aggregate joined back, not a window: a group holding a third
-    of the rows is summed map-side and its rows stay spread over many tasks.
+    of the rows is summed map-side and its rows stay spread over many tasks.  With ``stored``, for a table of many rows a group,
+    it and its totals are written first: the rows are computed once, and joined where they are if the totals' file is small.
     """
+    df = written(df, "of-total") if stored else df
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(total))
+    totals = written(totals, "totals") if stored else totals
     right = totals.select(*[F.col(k).alias(f"_{k}") for k in keys], total)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     ratio = per_unit(F.col(measure), F.col(total))

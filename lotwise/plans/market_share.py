@@ -26,14 +26,15 @@ def prepare_sales(current: DataFrame, history: DataFrame, dims: Mapping[str, Dat
     ``dims``: allowed (market_name, make), market (market_name, group_market), brand (make,
     brand_group), override (site_code, own_store_override, selling_dealer_override); keys are
     unique.  Sales are summed to the grain of the cube before the lookups, so that the joins
-    handle sums and not registrations.
+    handle sums and not registrations.  The lists that may be derived from facts (allowed, brand) are stored:
+    their files have their true size, so no sales are shuffled to meet them.
     """
     both = stack_facts([drop_overlap(current, as_of), history])
-    allowed = restrict_to_allowed(both, dims["allowed"], ["market_name", "make"])
+    allowed = restrict_to_allowed(both, written(dims["allowed"], "allowed-pairs"), ["market_name", "make"])
     grain = ["market_name", "make", "site_code", "own_store", "selling_dealer", "sale_year", "sale_month"]
-    summed = allowed.groupBy(*grain).agg(F.sum("mtd_sales").alias("mtd_sales"))
+    summed = written(allowed.groupBy(*grain).agg(F.sum("mtd_sales").alias("mtd_sales")), "grain-sums")
     named = lookup(summed, dims["market"], ["market_name"], ["group_market"])
-    named = lookup(named, dims["brand"], ["make"], ["brand_group"])
+    named = lookup(named, written(dims["brand"], "brands"), ["make"], ["brand_group"])
     named = override_blank(
         named, dims["override"], ["site_code"],
         {"own_store": "own_store_override", "selling_dealer": "selling_dealer_override"},
@@ -53,7 +54,7 @@ def monthly_cube(sales: DataFrame) -> DataFrame:
         .agg(F.sum("mtd_sales").alias("mtd_sales"))
     )
     shared = share_of_total(
-        monthly, ["make_market", "sale_month", "sale_year"], "mtd_sales", "make_market_sales", "share_pct"
+        monthly, ["make_market", "sale_month", "sale_year"], "mtd_sales", "make_market_sales", "share_pct", stored=True
     )
     rival, own = C.split_measure(F.col("store_num"), F.col("mtd_sales"))
     return shared.select(

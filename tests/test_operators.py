@@ -396,6 +396,42 @@ def test_market_cubes(spark, rows):
     assert ("S1", "YTDMar", 2025, 30, 0.6) in rows(ytd, "store_num", "time", "year", "ytd_sales", "share_pct")
 
 
+def test_monthly_cube_shuffles_sales_for_its_sums_alone(spark):
+    """Sales are shuffled for the sums of the grain and of the entities, not to meet lists and totals that are small, and a
+    stored step leaves no shuffle files behind."""
+    from pathlib import Path
+
+    from lotwise.session import written
+
+    data = [("M", f"B{i % 5}", str(i % 40), None if i % 3 else "", f"D{i % 7}", 2025, 1 + i % 2, i) for i in range(400)]
+    history = spark.createDataFrame(
+        data, "market_name string, make string, site_code string, own_store string, selling_dealer string, sale_year int, sale_month int, mtd_sales long")
+    pairs = history.groupBy("market_name", "make").agg(F.count(F.lit(1)).alias("n")).select("market_name", "make")
+    dims = {
+        "allowed": pairs,
+        "market": spark.createDataFrame([("M", "GM1")], "market_name string, group_market string"),
+        "brand": history.select("make").distinct().withColumn("brand_group", F.lit("Ford")),
+        "override": spark.createDataFrame([(str(i), "S1", "Over") for i in range(40)], "site_code string, own_store_override string, selling_dealer_override string"),
+    }
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    sales = MK.prepare_sales(history.limit(0), history, dims, date(2025, 3, 15))
+    cube = MK.monthly_cube(sales)
+    for df in (sales, cube):  # sums and lists are stored: what follows reads tables
+        assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Exchange hashpartitioning" not in cube._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["mtd_sales"] for r in cube.collect()) == sum(range(400))
+    assert {(r["make_market_sales"]) for r in cube.where("time = 1").collect()} == {sum(i for i in range(400) if i % 5 == b and i % 2 == 0) for b in range(5)}
+
+    def files():
+        root = Path(spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0])
+        return {p for p in root.rglob("shuffle_*.data")}
+
+    there = files()
+    sums = written(history.groupBy("site_code").agg(F.sum("mtd_sales").alias("n")), "sums")
+    assert files() <= there and sums.count() == 40
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == before
+
+
 def test_split_credit_without_first_name(spark, rows):
     df = spark.createDataFrame([(None, "b", 4.0), (None, None, 2.0), ("a", "b", 1.0)], "a1 string, a2 string, n double")
     assert rows(MT.split_credit(df, "a1", "a2", "n", "who"), "who", "n") == [("a", 0.5), ("b", 0.5), ("b", 2.0)]
